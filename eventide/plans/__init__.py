@@ -2,6 +2,9 @@
 
 from eventide.plans.registry import ORACLES, QUERIES  # noqa: F401
 from eventide.plans import (  # noqa: F401  (modules register on import)
+    q_basic,
+    q_keyed,
+    q_topn,
     q_windows,
 )
 
