@@ -16,16 +16,17 @@ def keyed_match(left: DataFrame, right: DataFrame, lkey: str, rkey: str) -> Data
     return left.join(right, F.col(lkey) == F.col(rkey), "inner")
 
 
-def window_join(left: DataFrame, right: DataFrame, key: str, lts: str, rts: str,
+def window_join(left: DataFrame, right: DataFrame, lkey: str, rkey: str, lts: str, rts: str,
                 size_us: int) -> DataFrame:
-    """equal key and the same tumbling window ``[k*size, (k+1)*size)``.
-    Inputs carry distinct column names; adds ``window_start``/``window_end``."""
+    """equal key and the same tumbling window ``[k*size, (k+1)*size)``:
+    an equi-join on (key, window index).  Inputs carry distinct column
+    names; adds ``window_start``/``window_end``."""
     lw = left.withColumn("__lw", F.floor(epoch_us(lts) / size_us))
     rw = right.withColumn("__rw", F.floor(epoch_us(rts) / size_us))
-    j = lw.join(rw, (F.col(key) == F.col(f"r_{key}")) & (F.col("__lw") == F.col("__rw")))
-    return j.withColumn("window_start", F.timestamp_micros(F.col("__lw") * size_us).cast("timestamp_ntz")) \
-        .withColumn("window_end", F.timestamp_micros((F.col("__lw") + 1) * size_us).cast("timestamp_ntz")) \
-        .drop("__lw", "__rw")
+    j = lw.join(rw, (F.col(lkey) == F.col(rkey)) & (F.col("__lw") == F.col("__rw")))
+    return (j.withColumn("window_start", F.timestamp_micros(F.col("__lw") * size_us).cast("timestamp_ntz"))
+             .withColumn("window_end", F.timestamp_micros((F.col("__lw") + 1) * size_us).cast("timestamp_ntz"))
+             .drop("__lw", "__rw"))
 
 
 def interval_join(left: DataFrame, right: DataFrame, lkey: str, rkey: str, lts: str, rts: str,
@@ -72,7 +73,8 @@ def late_split_two_inputs(df: DataFrame, side: str, ts: str, order: list[str],
         "__maxL": ("max", F.when(F.col(side) == "L", F.col("__t"))),
         "__maxR": ("max", F.when(F.col(side) == "R", F.col("__t"))),
     }, exclusive=True, chunk=scan.micros_chunk(d, order[0]))
-    wm = F.least(F.col("__maxL"), F.col("__maxR")) - F.lit(delay_us + 1000)
+    both = F.col("__maxL").isNotNull() & F.col("__maxR").isNotNull()
+    wm = F.when(both, F.least(F.col("__maxL"), F.col("__maxR")) - F.lit(delay_us + 1000))
     # before both inputs have produced a row the combined watermark is -inf
     late = F.coalesce(F.col("__t") < wm, F.lit(False))
     return d.withColumn("late", late).drop("__t", "__maxL", "__maxR")

@@ -33,16 +33,16 @@ def sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sensor_view(table(spark, sf_dir, "events"))
 
 
-def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return arrival_view(table(spark, sf_dir, "events"))
+def arrivals(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    return arrival_view(table(spark, sf_dir, "events"), extra)
 
 
 # ---------------------------------------------------------------- SQL pieces
 # The sensor view in DuckDB SQL (same fixed values as sources/sensor.py).
 SENSOR_SQL = ("SELECT 's' || CAST(user_id AS VARCHAR) AS id, ts, "
-              "CAST(floor(value) AS INTEGER) % 15 AS vc, event_id AS seq FROM events")
-ARRIVAL_SQL = ("SELECT *, ts + to_seconds(CAST((seq * 7919) % 3600 AS BIGINT)) AS arrival "
-               "FROM sensor")
+              "CAST(floor(value) AS INTEGER) % 15 AS vc, event_id AS seq, event_type FROM events")
+ARRIVAL_SQL = ("SELECT *, epoch_us(arrival) AS arrival_us FROM (SELECT *, "
+               "ts + to_seconds(CAST((seq * 7919) % 3600 AS BIGINT)) AS arrival FROM sensor)")
 
 
 def with_sensor(body: str, ctes: str = "", arrival: bool = False) -> str:

@@ -29,21 +29,25 @@ ARRIVAL_PRIME = 7919
 ARRIVAL_SPREAD_S = 3600
 
 
-def sensor_view(events: DataFrame) -> DataFrame:
+def sensor_view(events: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     return events.select(
         F.concat(F.lit("s"), F.col("user_id").cast("string")).alias("id"),
         F.col("ts"),
         (F.floor("value").cast("int") % LEVELS).alias("vc"),
         F.col("event_id").alias("seq"),
+        *extra,
     )
 
 
-def arrival_view(events: DataFrame) -> DataFrame:
-    s = sensor_view(events)
+def arrival_view(events: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Adds ``arrival`` (timestamp) and ``arrival_us`` (its epoch microseconds,
+    the first arrival-order column; ties broken by ``seq``)."""
+    s = sensor_view(events, extra)
     delay = F.make_dt_interval(
         F.lit(0), F.lit(0), F.lit(0),
         ((F.col("seq") * ARRIVAL_PRIME) % ARRIVAL_SPREAD_S).cast("decimal(18,6)"))
-    return s.withColumn("arrival", F.col("ts") + delay)
+    s = s.withColumn("arrival", F.col("ts") + delay)
+    return s.withColumn("arrival_us", epoch_us("arrival"))
 
 
 def epoch_us(c: Column | str) -> Column:
