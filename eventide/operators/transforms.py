@@ -33,9 +33,10 @@ def flat_map(df: DataFrame, outputs: Column, keep: list[str] | None = None,
 
 
 def sensor_flatmap_outputs() -> Column:
-    """The reference's case rule: s1 -> vc, id; s2 -> ts, vc, id; other -> id."""
+    """The reference's case rule: s1 -> vc, id; s2 -> ts, vc, id; other -> id
+    (ts as epoch seconds, the unit of the sensor record)."""
     vc = F.col("vc").cast("string")
-    ts = F.unix_millis(F.col("ts").cast("timestamp")).cast("string")
+    ts = F.unix_seconds(F.col("ts").cast("timestamp")).cast("string")
     return (F.when(F.col("id") == "s1", F.array(vc, F.col("id")))
              .when(F.col("id") == "s2", F.array(ts, vc, F.col("id")))
              .otherwise(F.array(F.col("id"))))

@@ -40,7 +40,7 @@ def filter_eq(spark, sf):
 @query("flatmap_case", with_sensor("""
     SELECT seq, unnest(o) AS value, generate_subscripts(o, 1) - 1 AS pos
     FROM (SELECT seq, CASE WHEN id = 's1' THEN [CAST(vc AS VARCHAR), id]
-                           WHEN id = 's2' THEN [CAST(epoch_us(ts) // 1000 AS VARCHAR), CAST(vc AS VARCHAR), id]
+                           WHEN id = 's2' THEN [CAST(epoch_us(ts) // 1000000 AS VARCHAR), CAST(vc AS VARCHAR), id]
                            ELSE [id] END AS o FROM sensor)"""))
 def flatmap_case(spark, sf):
     """s1 -> vc, id; s2 -> ts, vc, id; others -> id."""
