@@ -40,58 +40,65 @@ def running_top_k(df: DataFrame, keys: Sequence[str], value: str, k: int = 3,
                   order: str = "seq") -> DataFrame:
     """K2/J4 running: after each row, the ``k`` largest values of its key so far.
 
-    Two-level, like ``scan.running``: inside a (key, chunk) block the running
-    top-k is folded in pandas (a block is bounded by the chunk width); the
-    top-k of all earlier chunks comes from a prefix over per-chunk top-k
-    arrays (k values per chunk) and is merged with array functions.
+    Two-level, like ``scan.running``: rows are hash-partitioned on
+    (key, chunk) and sorted, then one pandas pass per partition folds the
+    running top-k (state: k values; a (key, chunk) block is bounded by the
+    chunk width).  The top-k of all earlier chunks of a key comes from a
+    prefix over per-chunk top-k arrays - k values per chunk, a table ``width``
+    times smaller than the input - and is merged with array functions.
     """
     from eventide.operators.scan import seq_chunk
 
-
     ch = "__tk_chunk"
+    keys = list(keys)
     d = df.withColumn(ch, seq_chunk(df, order))
     cols = list(d.columns)
-    schema = T.StructType(list(d.schema.fields) + [T.StructField("__local", T.ArrayType(T.IntegerType()))])
+    arr = T.ArrayType(T.IntegerType())
+    schema = T.StructType(list(d.schema.fields) + [T.StructField("__local", arr)])
+    group_cols = [*keys, ch]
 
-    def fold(pdf):
+    def fold(batches):
         import heapq
-        pdf = pdf.sort_values(order, kind="stable")
-        heap: list[int] = []
-        out = []
-        for v in pdf[value].tolist():
-            if v is not None:
-                if len(heap) < k:
-                    heapq.heappush(heap, v)
-                elif v > heap[0]:
-                    heapq.heapreplace(heap, v)
-            out.append(sorted(heap, reverse=True))
-        pdf = pdf[cols].copy()
-        pdf["__local"] = out
-        return pdf
-
-    loc = d.groupBy(*keys, ch).applyInPandas(fold, schema)
-    summ = loc.groupBy(*keys, ch).agg(F.max_by("__local", order).alias("__tot"))
-
-    # Prefix over chunks: one small row (k values) per chunk, folded in chunk
-    # order per key - a table ``chunk width`` times smaller than the input.
-    def prefix(pdf):
+        cur, heap = None, []
+        for pdf in batches:
+            tops = []
+            for g, v in zip(zip(*[pdf[c].tolist() for c in group_cols]), pdf[value].tolist()):
+                if g != cur:
+                    cur, heap = g, []
+                if v is not None and v == v:
+                    if len(heap) < k:
+                        heapq.heappush(heap, int(v))
+                    elif v > heap[0]:
+                        heapq.heapreplace(heap, int(v))
+                tops.append(sorted(heap, reverse=True))
+            out = pdf[cols].copy()
+            out["__local"] = tops
+            yield out
+
+    loc = d.repartition(*group_cols).sortWithinPartitions(*group_cols, order) \
+        .mapInPandas(fold, schema)
+    summ = loc.groupBy(*group_cols).agg(F.max_by("__local", order).alias("__tot"))
+
+    # Prefix over chunks: k values per chunk, folded in chunk order per key.
+    def prefix(batches):
         import heapq
-        pdf = pdf.sort_values(ch)
-        acc: list[int] = []
-        pre = []
-        for tot in pdf["__tot"].tolist():
-            pre.append(sorted(acc, reverse=True))
-            acc = heapq.nlargest(k, acc + list(tot))
-        pdf = pdf.drop(columns=["__tot"])
-        pdf["__pre"] = pre
-        return pdf
-
-    pre_schema = T.StructType(list(summ.drop("__tot").schema.fields)
-                              + [T.StructField("__pre", T.ArrayType(T.IntegerType()))])
-    pre = summ.groupBy(*keys).applyInPandas(prefix, pre_schema) if keys else \
-        summ.groupBy(F.lit(0).alias("__g")).applyInPandas(
-            prefix, pre_schema)
-    j = loc.join(pre, [*keys, ch], "left")
-    merged = F.slice(F.sort_array(F.concat(F.coalesce("__pre", F.array().cast("array<int>")),
+        cur, acc = None, []
+        for pdf in batches:
+            pre = []
+            for g, tot in zip(zip(*[pdf[c].tolist() for c in keys]), pdf["__tot"].tolist()):
+                if g != cur:
+                    cur, acc = g, []
+                pre.append(sorted(acc, reverse=True))
+                acc = heapq.nlargest(k, acc + [int(x) for x in tot])
+            out = pdf[group_cols].copy()
+            out["__pre"] = pre
+            yield out
+
+    pre_schema = T.StructType([f for f in summ.schema.fields if f.name != "__tot"]
+                              + [T.StructField("__pre", arr)])
+    part = summ.repartition(*keys) if keys else summ.repartition(1)
+    pre = part.sortWithinPartitions(*group_cols).mapInPandas(prefix, pre_schema)
+    j = loc.join(pre, group_cols, "left")
+    merged = F.slice(F.sort_array(F.concat(F.coalesce("__pre", F.array().cast(arr)),
                                            F.col("__local")), asc=False), 1, k)
     return j.withColumn(f"top{k}", merged).drop(ch, "__local", "__pre")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from eventide.operators import transforms as X
 from eventide.plans.registry import query, sensor, with_sensor
-from eventide.sources.tables import table
+from eventide.sources.tables import spread, table
 
 # DuckDB forms of lines / words with Java split semantics (see functions/text.py)
 DOC_LINES_SQL = r"""l0 AS (SELECT doc_id, string_split_regex(regexp_replace(text, '\r?\n\z', ''), '\r?\n') AS ls
@@ -20,7 +20,7 @@ DOC_LINES_SQL = r"""l0 AS (SELECT doc_id, string_split_regex(regexp_replace(text
 
 
 def doc_words(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
     ls = X.split_lines(docs, "text", ["doc_id"])
     return X.split_words(ls, "line", ["doc_id", "line_no"])
 

@@ -9,7 +9,7 @@ from eventide.operators.transforms import split_lines
 from eventide.plans.q_basic import DOC_LINES_SQL
 from eventide.plans.q_state import java_hash_sql
 from eventide.plans.registry import query, sensor, with_sensor
-from eventide.sources.tables import table
+from eventide.sources.tables import spread, table
 
 
 @query("udf_java_hash", with_sensor(f"SELECT seq, id, {java_hash_sql('id')} AS h, "
@@ -39,6 +39,6 @@ def udtf_split(spark, sf):
     """The table function ``split_words(line) -> (word, length)``
     registered by name and joined laterally in SQL."""
     register_functions(spark)
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
     split_lines(docs, "text", ["doc_id"]).createOrReplaceTempView("doc_lines")
     return spark.sql("SELECT doc_id, line_no, t.word, t.length FROM doc_lines, LATERAL split_words(line) t")

@@ -8,7 +8,7 @@ from eventide.operators import joins as J
 from eventide.operators.windows import micros
 from eventide.plans.q_basic import DOC_LINES_SQL
 from eventide.plans.registry import query, sensor, with_sensor
-from eventide.sources.tables import table
+from eventide.sources.tables import spread, table
 from eventide.operators.transforms import split_lines
 from eventide.sources.sensor import sensor_view
 
@@ -67,7 +67,7 @@ def broadcast_threshold(spark, sf):
 
 
 def _lines(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
     return split_lines(docs, "text", ["doc_id"])
 
 

@@ -31,10 +31,11 @@ def word_count(spark, sf):
     FROM w""")
 def word_count_running(spark, sf):
     """The running count of each word in text order (one row per word
-    occurrence).  Two-level scan keyed by word, chunked by document ranges."""
+    occurrence).  Two-level scan keyed by word, chunked by ranges of 256
+    documents (a hot word's block holds at most 256 documents' occurrences)."""
     w = doc_words(spark, sf)
     return K.running_count(w, ["word"], "cnt", order=["doc_id", "line_no", "word_no"],
-                           chunk=F.floor(F.col("doc_id") / 16))
+                           chunk=F.floor(F.col("doc_id") / 256))
 
 
 @query("keyed_sum", with_sensor("SELECT id, CAST(sum(vc) AS BIGINT) AS vc FROM sensor GROUP BY id"))

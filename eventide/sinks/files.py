@@ -21,7 +21,10 @@ def _bucketed(df: DataFrame, ts: str, value: str, fmt: str) -> DataFrame:
 def write_bucketed_text(df: DataFrame, path: str, ts: str, value: str,
                         fmt: str = BUCKET_FORMAT, max_records: int | None = None,
                         mode: str = "overwrite") -> None:
-    w = _bucketed(df, ts, value, fmt).write.mode(mode).partitionBy("bucket")
+    # AQE rebalance: rows of a bucket go together (few files per folder),
+    # small buckets are coalesced and a hot bucket is split across tasks.
+    b = _bucketed(df, ts, value, fmt).hint("rebalance", "bucket")
+    w = b.write.mode(mode).partitionBy("bucket")
     if max_records:
         w = w.option("maxRecordsPerFile", max_records)
     w.text(path)
