@@ -8,9 +8,9 @@ task.  Instead each group is cut into chunks of the order column:
 
 1. a window over ``(key, chunk)`` computes the running value inside a chunk
    (every chunk holds at most ``width`` units of the order column);
-2. per-chunk totals (one row per key and chunk, taken from the already
-   partitioned result, so no second shuffle of the rows) get a prefix over
-   the chunks of a key - a table ``width`` times smaller than the input;
+2. per-chunk totals (one row per key and chunk, partially aggregated on
+   every task, so the rows themselves are shuffled only once) get a prefix
+   over the chunks of a key - a table ``width`` times smaller than the input;
 3. the prefix is joined back on ``(key, chunk)``; AQE broadcasts it when its
    measured size allows and shuffle-joins it otherwise.
 
@@ -88,12 +88,12 @@ def running(df: DataFrame, keys: Sequence[str], order, aggs: Mapping[str, tuple[
             local_cols[f"__ev_exc{i}"] = fn(F.col(f"__ev_in{i}")).over(exc)
     loc = d.withColumns(local_cols)
 
-    # Chunk totals = last inclusive running value of each chunk.  ``loc`` is
-    # already hash-partitioned on (keys, chunk), so this adds no exchange.
-    last_key = F.struct(*order_cols)
-    summ = loc.groupBy(*keys, _CH).agg(
-        *[F.max_by(F.col(f"__ev_inc{i}"), last_key).alias(f"__ev_tot{i}")
-          for i in range(len(names))])
+    # Chunk totals straight from the input: a partial aggregation on every
+    # task, so only one small row per (key, chunk, task) is shuffled - the
+    # rows themselves are shuffled once, for the window above.
+    summ = d.groupBy(*keys, _CH).agg(
+        *[_LOCAL[aggs[n][0]](F.col(f"__ev_in{i}")).alias(f"__ev_tot{i}")
+          for i, n in enumerate(names)])
     pw = Window.partitionBy(*keys).orderBy(_CH).rowsBetween(Window.unboundedPreceding, -1)
     kmap = {k: f"__ev_k{j}" for j, k in enumerate(keys)}
     pre = summ.select(
@@ -135,3 +135,22 @@ def previous(df: DataFrame, keys: Sequence[str], order, value: Column, name: str
         s = F.when(where, s)
     r = running(df, keys, order_cols, {name: ("max", s)}, chunk=chunk, exclusive=True)
     return r.withColumn(name, F.col(name)["v"])
+
+
+CONF_CHECKPOINT_CHAINS = "eventide.scan.checkpointChains"
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Cut lineage between chained scans.
+
+    Each scan reads its input twice (rows for the window, partial totals for
+    the prefix), so a chain of scans would recompute earlier stages over and
+    over.  A reliable checkpoint in the shared folder (``spark.checkpoint.dir``)
+    computes each stage once and also shortens recovery after a lost
+    executor.  Disabled with ``eventide.scan.checkpointChains=false``.
+    """
+    spark = df.sparkSession
+    if spark.conf.get(CONF_CHECKPOINT_CHAINS, "true").lower() != "true":
+        return df
+    from eventide.session import cut_lineage
+    return cut_lineage(df, spark)

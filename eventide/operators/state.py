@@ -49,22 +49,43 @@ def ttl_state(df: DataFrame, keys: Sequence[str], value: str, ts: str, ttl_us: i
                                  F.col(value).alias("v"))))}, exclusive=True)
         alive = F.col("__t") < F.col("__w.t") + F.lit(ttl_us)
         return d.withColumn(name, F.when(alive, F.col("__w.v"))).drop("__t", "__w")
-    d = scan.previous(d, keys, order, F.col("__t"), "__prev_t")
+    d = scan.stage(scan.previous(d, keys, order, F.col("__t"), "__prev_t"))
     d = d.withColumn("__cut", F.when(F.col("__prev_t").isNull()
                                      | (F.col("__t") - F.col("__prev_t") >= ttl_us), 1).otherwise(0))
-    d = scan.running(d, keys, order, {"__run": ("sum", F.col("__cut"))})
+    d = scan.stage(scan.running(d, keys, order, {"__run": ("sum", F.col("__cut"))}))
     d = scan.previous(d, [*keys, "__run"], order, F.col(value), name, where=write_when)
     return d.drop("__t", "__prev_t", "__cut", "__run")
 
 
-def durable_count(df: DataFrame, key: str, slots: int) -> DataFrame:
-    """K7 re-aimed: a count per slot ``pmod(java_hash(key), slots)`` plus the
-    total (slot null).  The streaming form keeps these in checkpointed state
-    and survives restarts with a different slot count."""
-    d = df.withColumn("slot", F.pmod(java_hash(key), F.lit(slots)))
+KEY_GROUPS = 128
+
+
+def key_group(key: str, key_groups: int = KEY_GROUPS):
+    """Fixed shard of a key: ``pmod(java_hash(key), key_groups)``."""
+    return F.pmod(java_hash(key), F.lit(key_groups))
+
+
+def slot_of_group(kg, slots: int, key_groups: int = KEY_GROUPS):
+    """Slot owning a key group when there are ``slots`` slots (contiguous
+    ranges of groups, so a new slot count moves whole groups)."""
+    return F.floor(kg * F.lit(slots) / F.lit(key_groups)).cast("int")
+
+
+def durable_count(df: DataFrame, key: str, slots: int, key_groups: int = KEY_GROUPS) -> DataFrame:
+    """K7 re-aimed: the count per slot plus the total (slot null).  Counts are
+    kept per fixed key group; a slot is a range of groups, so restarting
+    with a different slot count just regroups the same checkpointed group
+    counts (``streaming.operators.key_group_counts``)."""
+    d = df.withColumn("slot", slot_of_group(key_group(key, key_groups), slots, key_groups))
     return d.rollup("slot").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def slot_counts(group_counts: DataFrame, slots: int, key_groups: int = KEY_GROUPS) -> DataFrame:
+    """Regroup per-key-group counts (``kg``, ``cnt``) into ``slots`` slots."""
+    d = group_counts.withColumn("slot", slot_of_group(F.col("kg"), slots, key_groups))
+    return d.rollup("slot").agg(F.sum("cnt").alias("cnt"))
+
+
 def changelog(df: DataFrame, keys: Sequence[str], value: str, order: str = "seq") -> DataFrame:
     """T5: the changelog of ``SELECT key, sum(value) GROUP BY key``: ``+I``
     for a key's first row, then ``-U`` old / ``+U`` new when the sum changes

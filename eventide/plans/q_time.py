@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventide.operators import joins as J
+from eventide.operators import scan
 from eventide.operators import watermark as WM
 from eventide.operators.windows import micros
 from eventide.plans.registry import arrivals, query, sensor, with_sensor
@@ -113,7 +114,7 @@ def late_window_firings(spark, sf):
     """The full-window results of every firing: the main firing when
     the watermark passes the window end, plus one re-firing per late-but-
     allowed row (with all rows so far)."""
-    c = _classified(spark, sf)
+    c = scan.stage(_classified(spark, sf))   # read by both firing branches
     return WM.late_window_firings(c, ["id"], "vc", ARR)
 
 
@@ -150,7 +151,7 @@ def _sides(spark, sf):
 def interval_join_late(spark, sf):
     """interval join (+-30 min) whose late rows (event time below the
     join's watermark = minimum of both inputs) go to per-side outputs."""
-    d = J.late_split_two_inputs(_sides(spark, sf), "side", "ts", ARR, DELAY_US)
+    d = scan.stage(J.late_split_two_inputs(_sides(spark, sf), "side", "ts", ARR, DELAY_US))
     on = d.filter(~F.col("late"))
     left = on.filter(F.col("side") == "L").select(F.col("seq").alias("l_seq"), F.col("id").alias("l_id"),
                                                    F.col("ts").alias("l_ts"))

@@ -40,3 +40,11 @@ def session_aggregate(df: DataFrame, keys: Sequence[str], ts: str, gap: str | Co
 def running_count(df: DataFrame, keys: Sequence[str], name: str = "cnt") -> DataFrame:
     """Keyed count in update mode: one row per changed key per batch."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+
+
+def key_group_counts(df: DataFrame, key: str, key_groups: int = 128) -> DataFrame:
+    """K7 streaming: running count per fixed key group in checkpointed state
+    (``complete``/``update`` mode); survives restarts, and any slot count is
+    derived from it with ``state.slot_counts``."""
+    from eventide.operators.state import key_group
+    return df.groupBy(key_group(key, key_groups).alias("kg")).agg(F.count(F.lit(1)).alias("cnt"))

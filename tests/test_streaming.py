@@ -185,3 +185,32 @@ def test_queue_options():
     assert queue_sink_options("h:9092", "t", "/ck")["topic"] == "t"
     with pytest.raises(ValueError):
         queue_source_options("h:9092", "t", "middle")
+
+
+def test_durable_count_survives_restart_and_rescale(spark, replayed, tmp_path):
+    from eventide.operators import state as St
+    d, s = replayed
+    src = f"{d}/in"
+    files = sorted(f for f in os.listdir(src) if f.endswith(".parquet"))
+    first = str(tmp_path / "first")
+    os.makedirs(first)
+    for f in files[:3]:
+        os.link(os.path.join(src, f), os.path.join(first, f))
+    ck = str(tmp_path / "ck")
+
+    def run(path, name):
+        st = replay_stream(spark, path, s.schema)
+        q = (SO.key_group_counts(st, "id").writeStream.format("memory").queryName(name)
+             .outputMode("complete").option("checkpointLocation", ck).trigger(availableNow=True).start())
+        q.awaitTermination(120)
+
+    run(first, "kg1")
+    # restart on the same checkpoint after more files arrived in the source folder
+    for f in files[3:]:
+        os.link(os.path.join(src, f), os.path.join(first, f))
+    run(first, "kg2")
+    kg = spark.table("kg2")
+    for slots in (2, 4):
+        got = sorted(((r.slot is None, r.slot or 0), r.cnt) for r in St.slot_counts(kg, slots).collect())
+        want = sorted(((r.slot is None, r.slot or 0), r.cnt) for r in St.durable_count(s, "id", slots).collect())
+        assert got == want
