@@ -53,9 +53,11 @@ def periodic_watermark(df: DataFrame, ts: str, arrival: str, period_us: int,
     period) rows; its running max is a scan over that small table."""
     per = df.groupBy(F.floor(epoch_us(arrival) / period_us).alias("period")) \
         .agg(F.max(epoch_us(ts)).alias("__mx"))
-    per = scan.running(per, [], "period", {"__run": ("max", F.col("__mx"))})
-    per = scan.previous(per, [], "period", F.col("__run"), "__prev_run")
-    adv = per.filter(F.col("__prev_run").isNull() | (F.col("__run") > F.col("__prev_run")))
+    # one scan: the max over earlier periods; the watermark advanced when this
+    # period's own max exceeds it
+    per = scan.running(per, [], "period", {"__prev_run": ("max", F.col("__mx"))}, exclusive=True)
+    per = per.withColumn("__run", F.greatest("__prev_run", "__mx"))
+    adv = per.filter(F.col("__prev_run").isNull() | (F.col("__mx") > F.col("__prev_run")))
     return adv.select(
         _ts((F.col("period") + 1) * period_us).alias("period_end"),
         _ts(F.col("__run") - F.lit(delay_us + 1000)).alias("watermark"))

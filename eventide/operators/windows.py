@@ -66,7 +66,6 @@ def session(df: DataFrame, keys: Sequence[str], ts: str, gap: str | Column,
     d = scan.running(d, keys, ordering,
                      {"__prev_end": ("max", F.col("__ts_us") + F.col("__gap_us"))},
                      chunk=chunk, exclusive=True)
-    d = scan.stage(d)
     d = d.withColumn("__open", F.when(F.col("__prev_end").isNull()
                                       | (F.col("__ts_us") > F.col("__prev_end")), 1).otherwise(0))
     d = scan.running(d, keys, ordering, {name: ("sum", F.col("__open"))},
