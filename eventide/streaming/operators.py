@@ -48,3 +48,25 @@ def key_group_counts(df: DataFrame, key: str, key_groups: int = 128) -> DataFram
     derived from it with ``state.slot_counts``."""
     from eventide.operators.state import key_group
     return df.groupBy(key_group(key, key_groups).alias("kg")).agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def config_threshold_batch(read_config, sink, value: str = "vc", default: int = 0,
+                           name: str = "threshold"):
+    """F4 streaming: a ``foreachBatch`` function.  Each micro-batch re-reads
+    the config table (``read_config() -> DataFrame(seq, threshold)``), takes
+    its latest value as a scalar subquery (one value, nothing broadcast but
+    that) and passes rows above it to ``sink(df, batch_id)``."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        cfg = read_config()
+        latest = cfg.agg(F.max_by(F.col(name), F.col("seq"))).scalar()
+        th = F.coalesce(latest, F.lit(default))
+        sink(batch.withColumn(name, th).filter(F.col(value) > F.col(name)), batch_id)
+    return run
+
+
+def processing_time_window(df: DataFrame, keys: Sequence[str], size: str,
+                           aggs: Sequence[Column]) -> DataFrame:
+    """H5 streaming: tumbling windows over the ingest clock (one timestamp per
+    micro-batch); every row lands in the window of its batch's start time."""
+    d = df.withColumn("ingest_ts", F.current_timestamp())
+    return window_aggregate(d, keys, "ingest_ts", size, aggs)

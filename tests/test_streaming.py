@@ -214,3 +214,124 @@ def test_durable_count_survives_restart_and_rescale(spark, replayed, tmp_path):
         got = sorted(((r.slot is None, r.slot or 0), r.cnt) for r in St.slot_counts(kg, slots).collect())
         want = sorted(((r.slot is None, r.slot or 0), r.cnt) for r in St.durable_count(s, "id", slots).collect())
         assert got == want
+
+
+def test_config_threshold_per_batch(spark, replayed, tmp_path):
+    d, s = replayed
+    cfg_path = str(tmp_path / "cfg")
+    spark.createDataFrame([(1, 9), (2, 12)], "seq long, threshold int").write.parquet(cfg_path)
+    out = str(tmp_path / "alerts")
+    sink = lambda df, bid: df.write.mode("append").parquet(out)
+    fn = SO.config_threshold_batch(lambda: spark.read.parquet(cfg_path), sink)
+    q = _stream(spark, replayed).writeStream.foreachBatch(fn) \
+        .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    got = spark.read.parquet(out)
+    assert got.count() == s.filter(F.col("vc") > 12).count()
+    assert got.filter(F.col("threshold") != 12).count() == 0
+
+
+def test_processing_time_window_counts_every_row(spark, replayed):
+    d, s = replayed
+    st = _stream(spark, replayed).withWatermark("ts", "0 seconds")
+    agg = SO.processing_time_window(st, ["id"], "1 hour", [F.count(F.lit(1)).alias("n")])
+    run_to_end(agg, "st_proc", f"{d}/ck_proc", mode="update")
+    per = spark.table("st_proc").groupBy("id", "window_start").agg(F.max("n").alias("n"))
+    assert per.agg(F.sum("n")).first()[0] == s.count()
+
+
+def test_union_watermark_policy_min_vs_max(spark, tmp_path):
+    """Two inputs, one far behind.  With the default 'min' policy the
+    slow input holds the combined watermark back, so its window stays open;
+    with 'max' the fast input's watermark closes it."""
+    def side(rows, path):
+        df = spark.createDataFrame(rows, "id string, t long, seq long").withColumn("ts", F.timestamp_seconds("t"))
+        write_replay(df, path, 1, "seq")
+        return df.schema
+
+    sch = side([("a", 100 + i, i) for i in range(5)], str(tmp_path / "fast"))
+    side([("b", 1 + i, 10 + i) for i in range(5)], str(tmp_path / "slow"))
+    emitted = {}
+    try:
+        for policy in ("min", "max"):
+            spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", policy)
+            fast = replay_stream(spark, str(tmp_path / "fast"), sch).withWatermark("ts", "1 second")
+            slow = replay_stream(spark, str(tmp_path / "slow"), sch).withWatermark("ts", "1 second")
+            agg = SO.window_aggregate(fast.unionByName(slow), [], "ts", "10 seconds",
+                                      [F.count(F.lit(1)).alias("n")])
+            run_to_end(agg, f"wm_{policy}", str(tmp_path / f"ck_{policy}"))
+            emitted[policy] = sorted((r.window_start.second, r.n) for r in spark.table(f"wm_{policy}").collect())
+    finally:
+        spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min")
+    assert emitted["min"] == []            # watermark = min(103 s, 4 s): [0,10) still open
+    assert emitted["max"] == [(0, 5)]      # watermark = 103 s: [0,10) closed and emitted
+
+
+def test_print_sink_labels(spark, capsys):
+    from eventide.sinks.console import print_batch
+    print_batch("warn")(spark.range(3), 0)
+    assert capsys.readouterr().out.count("warn> ") == 3
+
+
+def test_ttl_processor_processing_time(spark, tmp_path):
+    """K6 on the wall clock: ttl 20 s, reads 12 s apart.  Read-and-write refresh
+    keeps the value alive; write-only refresh lets it expire.  (Polls the
+    committed output: processAllAvailable never returns with processing-time
+    state, which keeps scheduling batches.)"""
+    import time as _t
+    src = tmp_path / "src"
+    src.mkdir()
+    schema = "id string, seq long, vc int"
+    queries = []
+
+    def rows(out):
+        try:
+            return spark.read.parquet(out).count()
+        except Exception:  # noqa: BLE001  (no committed file yet)
+            return 0
+
+    try:
+        for refresh in (True, False):
+            name = f"ttl_{refresh}"
+            out = str(tmp_path / name)
+            st = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(src))
+            q = (P.apply(st, "id", P.TtlValue(20000, refresh), P.TTL_SCHEMA, time_mode="ProcessingTime")
+                 .writeStream.format("parquet").option("path", out)
+                 .option("checkpointLocation", str(tmp_path / f"ck_{name}"))
+                 .trigger(processingTime="250 milliseconds").start())
+            queries.append((q, out, refresh))
+        # warm-up row on another key: Python workers start before the clock matters
+        # s1 files are written 12 s apart (a batch starts right after its file),
+        # so each read sees an age of ~12 s < ttl, and two steps ~24 s > ttl.
+        feed = [("s0", 0)] + [("s1", vc) for vc in (20, 1, 1)]
+        last_write = None
+        for i, (key, vc) in enumerate(feed):
+            if last_write is not None and i > 1:
+                _t.sleep(max(0.0, last_write + 12.0 - _t.time()))
+            last_write = _t.time()
+            (src / f"f{i}.json").write_text(f'{{"id": "{key}", "seq": {i}, "vc": {vc}}}\n')
+            deadline = _t.time() + 60
+            while any(rows(out) < i + 1 for _, out, _ in queries):
+                assert _t.time() < deadline, "stream did not process the file in time"
+                _t.sleep(0.1)
+            assert i < 2 or _t.time() - last_write < 10.0, "batches too slow for the wall-clock test"
+        results = {refresh: [r.state for r in spark.read.parquet(out).filter("id = 's1'").orderBy("seq").collect()]
+                   for _, out, refresh in queries}
+    finally:
+        for q, _, _ in queries:
+            q.stop()
+    assert results[True] == [None, 20, 20]
+    assert results[False] == [None, 20, None]
+
+
+def test_rate_generator_stream(spark, tmp_path):
+    from eventide.sources.generators import number_string, sequence_stream
+    import time as _t
+    st = sequence_stream(spark, 20, lambda i: [number_string(i), i.alias("i")])
+    q = st.writeStream.format("memory").queryName("rate_gen").option(
+        "checkpointLocation", str(tmp_path / "ck")).trigger(processingTime="500 milliseconds").start()
+    _t.sleep(4)
+    q.stop()
+    got = sorted(r.i for r in spark.table("rate_gen").collect())
+    assert got and got == list(range(len(got)))
+    assert spark.table("rate_gen").filter(F.col("value") == "Number:0").count() == 1
