@@ -21,9 +21,12 @@ def _bucketed(df: DataFrame, ts: str, value: str, fmt: str) -> DataFrame:
 def write_bucketed_text(df: DataFrame, path: str, ts: str, value: str,
                         fmt: str = BUCKET_FORMAT, max_records: int | None = None,
                         mode: str = "overwrite") -> None:
-    # AQE rebalance: rows of a bucket go together (few files per folder),
-    # small buckets are coalesced and a hot bucket is split across tasks.
-    b = _bucketed(df, ts, value, fmt).hint("rebalance", "bucket")
+    # Range-partition on (bucket, row hash): each task writes a contiguous run
+    # of buckets (one open file at a time, few files per folder), and a hot
+    # bucket spans several tasks because the hash splits it between ranges.
+    b = _bucketed(df, ts, value, fmt)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    b = b.repartitionByRange(n, "bucket", F.xxhash64("value")).sortWithinPartitions("bucket")
     w = b.write.mode(mode).partitionBy("bucket")
     if max_records:
         w = w.option("maxRecordsPerFile", max_records)
