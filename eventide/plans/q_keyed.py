@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventide.operators import keyed as K
-from eventide.operators import scan
 from eventide.plans.q_basic import DOC_LINES_SQL, doc_words
 from eventide.plans.registry import query, sensor, with_sensor
 
@@ -143,5 +142,3 @@ def state_value_counts(spark, sf):
                           lambda e: F.concat(e["key"].cast("string"), F.lit(":"), e["value"].cast("string")))
     return m.select("id", F.array_join(entries, ",").alias("counts"))
 
-
-__all__ = ["scan"]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from eventide.operators import state as S
 from eventide.operators.windows import micros
 from eventide.plans.registry import query, sensor, with_sensor
@@ -73,5 +71,3 @@ def changelog_sum(spark, sf):
     """T5: ``SELECT id, sum(vc) GROUP BY id`` as a changelog (+I, -U, +U)."""
     return S.changelog(sensor(spark, sf).select("id", "seq", "vc"), ["id"], "vc")
 
-
-__all__ = ["F"]
