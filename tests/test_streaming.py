@@ -366,3 +366,62 @@ def test_stateless_operators_stream_equals_batch(spark, replayed):
         got = spark.table(f"sl_{name}")
         cols = got.columns
         assert _rows(got, cols) == _rows(op(s), cols), name
+
+
+def test_late_windows_stream_equals_batch(spark, tmp_path):
+    """W8 streaming (foreachBatch with own state) equals the batch replay:
+    same late side output, same main firings and re-firings."""
+    from eventide.operators import watermark as WM
+    from eventide.sources.sensor import arrival_view
+    from eventide.streaming.late import LateWindows
+
+    # sf0.01: enough rows beyond the allowed lateness to test the side output
+    a = arrival_view(spark.read.parquet("/root/testdata/sf0.01/events.parquet"))
+    write_replay(a, str(tmp_path / "in"), 6, "arrival_us")
+    out = str(tmp_path / "out")
+
+    def emit(kind, df, batch_id):
+        df.write.mode("overwrite").parquet(f"{out}/{kind}/batch_id={batch_id}")
+
+    size, delay, lateness = 3600 * 10**6, 1200 * 10**6, 1200 * 10**6
+    lw = LateWindows(str(tmp_path / "state"), ["id"], "ts", ["arrival_us", "seq"], "vc",
+                     size, delay, lateness, emit)
+    q = replay_stream(spark, str(tmp_path / "in"), a.schema).writeStream.foreachBatch(lw) \
+        .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    last = q.lastProgress["batchId"]
+    assert last >= 5
+    firings = spark.read.parquet(f"{out}/firing").drop("batch_id").unionByName(lw.flush(spark, last, a))
+    c = WM.late_classify(a, ["id"], "ts", ["arrival_us", "seq"], size, delay, lateness)
+    want = WM.late_window_firings(c, ["id"], "vc", ["arrival_us", "seq"])
+    cols = ["id", "window_start", "firing", "n", "vc_sum"]
+    assert _rows(firings, cols) == _rows(want, cols)
+    late_got = sorted(r.seq for r in spark.read.parquet(f"{out}/late").collect())
+    late_want = sorted(r.seq for r in c.filter(F.col("class") == "too_late").collect())
+    assert late_got == late_want and len(late_want) > 0
+
+
+def test_late_windows_late_only_window_across_batches(spark, tmp_path):
+    """A window reached only by late-but-allowed rows, one per micro-batch:
+    its re-firings keep counting across batches."""
+    from eventide.streaming.late import LateWindows
+    S1 = 1_000_000
+    # (ts seconds, arrival order): window [0,10) never gets an on-time row
+    rows = [("s1", 30, 1, 1), ("s1", 9, 2, 2), ("s1", 8, 3, 3)]
+    df = spark.createDataFrame(rows, "id string, t long, vc int, seq long") \
+        .withColumn("ts", F.timestamp_seconds("t").cast("timestamp_ntz")).withColumn("arr", F.col("seq"))
+    write_replay(df, str(tmp_path / "in"), 3, "seq")
+    out = str(tmp_path / "out")
+
+    def emit(kind, d, batch_id):
+        d.write.mode("overwrite").parquet(f"{out}/{kind}/batch_id={batch_id}")
+
+    # delay 20 s, lateness 15 s: after ts 30 the watermark is 9.999 s, so
+    # [0,10) has fired (empty) and rows at 9 and 8 are late but allowed
+    lw = LateWindows(str(tmp_path / "state"), ["id"], "ts", ["arr"], "vc", 10 * S1, 20 * S1, 15 * S1, emit)
+    q = replay_stream(spark, str(tmp_path / "in"), df.schema).writeStream.foreachBatch(lw) \
+        .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    got = sorted((r.firing, r.n, r.vc_sum) for r in spark.read.parquet(f"{out}/firing")
+                 .filter(F.col("window_start") == F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).collect())
+    assert got == [(1, 1, 2), (2, 2, 5)]
