@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventide.operators import scan
-from eventide.sources.sensor import epoch_us
+from eventide.sources.sensor import epoch_us, from_epoch_us
 
 
 def keyed_match(left: DataFrame, right: DataFrame, lkey: str, rkey: str) -> DataFrame:
@@ -24,8 +24,8 @@ def window_join(left: DataFrame, right: DataFrame, lkey: str, rkey: str, lts: st
     lw = left.withColumn("__lw", F.floor(epoch_us(lts) / size_us))
     rw = right.withColumn("__rw", F.floor(epoch_us(rts) / size_us))
     j = lw.join(rw, (F.col(lkey) == F.col(rkey)) & (F.col("__lw") == F.col("__rw")))
-    return (j.withColumn("window_start", F.timestamp_micros(F.col("__lw") * size_us).cast("timestamp_ntz"))
-             .withColumn("window_end", F.timestamp_micros((F.col("__lw") + 1) * size_us).cast("timestamp_ntz"))
+    return (j.withColumn("window_start", from_epoch_us(F.col("__lw") * size_us))
+             .withColumn("window_end", from_epoch_us((F.col("__lw") + 1) * size_us))
              .drop("__lw", "__rw"))
 
 

@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventide.functions.text import lines, words
+from eventide.sources.sensor import epoch_s
 
 
 def map_project(*cols: str | Column) -> Callable[[DataFrame], DataFrame]:
@@ -36,7 +37,7 @@ def sensor_flatmap_outputs() -> Column:
     """The reference's case rule: s1 -> vc, id; s2 -> ts, vc, id; other -> id
     (ts as epoch seconds, the unit of the sensor record)."""
     vc = F.col("vc").cast("string")
-    ts = F.unix_seconds(F.col("ts").cast("timestamp")).cast("string")
+    ts = epoch_s("ts").cast("string")
     return (F.when(F.col("id") == "s1", F.array(vc, F.col("id")))
              .when(F.col("id") == "s2", F.array(ts, vc, F.col("id")))
              .otherwise(F.array(F.col("id"))))

@@ -15,18 +15,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventide.operators import scan
-from eventide.sources.sensor import epoch_us
+from eventide.sources.sensor import epoch_us, from_epoch_us
 
 
 def assign_timestamp(df: DataFrame, field: str, unit: str = "s", name: str = "event_time") -> DataFrame:
     """Event time from a numeric field in seconds or milliseconds."""
     c = F.col(field)
-    ts = F.timestamp_seconds(c) if unit == "s" else F.timestamp_millis(c)
-    return df.withColumn(name, ts.cast("timestamp_ntz"))
+    us = c * (1_000_000 if unit == "s" else 1_000)
+    return df.withColumn(name, from_epoch_us(us))
 
 
 def _ts(us: Column) -> Column:
-    return F.timestamp_micros(us).cast("timestamp_ntz")
+    return from_epoch_us(us)
 
 
 def watermark_trace(df: DataFrame, ts: str, order: Sequence[str], delay_us: int,

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventide.operators import scan
-from eventide.sources.sensor import epoch_us
+from eventide.sources.sensor import epoch_us, from_epoch_us
 
 US = {"ms": 1_000, "s": 1_000_000, "min": 60_000_000, "h": 3_600_000_000}
 
@@ -76,9 +76,8 @@ def session(df: DataFrame, keys: Sequence[str], ts: str, gap: str | Column,
 def session_bounds(grouped_cols: list[Column]) -> list[Column]:
     """Aggregates giving a session's ``[first ts, last end)``."""
     return [
-        F.timestamp_micros(F.min("__ts_us")).cast("timestamp_ntz").alias("window_start"),
-        F.timestamp_micros(F.max(F.col("__ts_us") + F.col("__gap_us"))).cast("timestamp_ntz")
-        .alias("window_end"),
+        from_epoch_us(F.min("__ts_us")).alias("window_start"),
+        from_epoch_us(F.max(F.col("__ts_us") + F.col("__gap_us"))).alias("window_end"),
         *grouped_cols,
     ]
 

@@ -11,6 +11,7 @@ from eventide.sources import generators as G
 from eventide.sources.text import parse_fields, sensor_lines
 from eventide.plans.registry import query, sensor, with_sensor
 from eventide.sources.tables import table
+from eventide.sources.sensor import epoch_s
 
 M, P = G.MULT2, G.MODULUS
 
@@ -69,7 +70,7 @@ def bucketed_files(spark, sf):
     """Sensor records written as text under hourly bucket folders in the
     shared folder, read back."""
     s = sensor(spark, sf)
-    lines = s.select(F.concat_ws(",", "id", F.unix_seconds(F.col("ts").cast("timestamp")).cast("string"),
+    lines = s.select(F.concat_ws(",", "id", epoch_s("ts").cast("string"),
                                  F.col("vc").cast("string")).alias("line"), "ts")
     path = shared_dir(spark, "bucketed_files")
     write_bucketed_text(lines, path, "ts", "line", max_records=1_000_000)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from eventide.operators import keyed as K
 from eventide.plans.q_basic import DOC_LINES_SQL, doc_words
 from eventide.plans.registry import query, sensor, with_sensor
+from eventide.sources.sensor import epoch_s
 
 RUN = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 
@@ -97,7 +98,7 @@ def keyed_min_by(spark, sf):
 
 
 def _with_ts_s(df):
-    return df.withColumn("ts_s", F.unix_seconds(F.col("ts").cast("timestamp")))
+    return df.withColumn("ts_s", epoch_s("ts"))
 
 
 @query("keyed_reduce", with_sensor("""SELECT id, CAST(sum(epoch_us(ts) // 1000000) AS BIGINT) AS ts_s,

@@ -9,6 +9,7 @@ from eventide.operators import scan
 from eventide.operators import watermark as WM
 from eventide.operators.windows import micros
 from eventide.plans.registry import arrivals, query, sensor, with_sensor
+from eventide.sources.sensor import epoch_s
 
 # Reference durations scaled to the sparse test events.
 DELAY_US = micros("20 min")       # out-of-orderness 3 s
@@ -28,7 +29,7 @@ ARR_SQL = "ORDER BY arrival_us, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECE
     "AS event_time FROM sensor"))
 def assign_timestamp(spark, sf):
     """Event time assigned from a seconds field (x 1000 ms)."""
-    s = sensor(spark, sf).select("seq", F.unix_seconds(F.col("ts").cast("timestamp")).alias("ts_s"))
+    s = sensor(spark, sf).select("seq", epoch_s("ts").alias("ts_s"))
     return WM.assign_timestamp(s, "ts_s", "s")
 
 

@@ -50,12 +50,29 @@ def arrival_view(events: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     return s.withColumn("arrival_us", epoch_us("arrival"))
 
 
+# Time conversions are plain arithmetic against the epoch as timestamp_ntz,
+# so they never depend on the session time zone (the test tables hold
+# timestamp_ntz).  A zoned timestamp is first taken as wall-clock time in the
+# session zone; eventide sessions run in UTC.
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def epoch_us(c: Column | str) -> Column:
-    """Microseconds since the epoch of a timestamp or timestamp_ntz column."""
+    """Microseconds since the epoch of a timestamp_ntz (or timestamp) column."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.unix_micros(c.cast("timestamp"))
+    return F.timestamp_diff("MICROSECOND", _epoch(), c.cast("timestamp_ntz"))
 
 
 def epoch_ms(c: Column | str) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.unix_millis(c.cast("timestamp"))
+    return F.floor(epoch_us(c) / 1000)
+
+
+def epoch_s(c: Column | str) -> Column:
+    """Whole seconds since the epoch (floor), like the sensor record's ts."""
+    return F.floor(epoch_us(c) / 1_000_000)
+
+
+def from_epoch_us(us: Column) -> Column:
+    """timestamp_ntz for a count of microseconds since the epoch."""
+    return F.timestamp_add("MICROSECOND", us, _epoch())

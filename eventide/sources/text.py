@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from eventide.sources.sensor import epoch_s
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -49,5 +50,5 @@ def parse_fields(df: DataFrame, line: str, schema: T.StructType, sep: str = ",",
 def sensor_lines(sensor: DataFrame) -> DataFrame:
     """The sensor view as the reference's text records ``id,ts,vc`` (ts in
     epoch seconds)."""
-    return sensor.select(F.concat_ws(",", "id", F.unix_seconds(F.col("ts").cast("timestamp")).cast("string"),
+    return sensor.select(F.concat_ws(",", "id", epoch_s("ts").cast("string"),
                                      F.col("vc").cast("string")).alias("value"))

@@ -24,7 +24,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from eventide.operators import scan
-from eventide.sources.sensor import epoch_us
+from eventide.sources.sensor import epoch_us, from_epoch_us
 
 
 class LateWindows:
@@ -61,8 +61,8 @@ class LateWindows:
         spark.range(1).select(max_t.cast("long").alias("max_t")).write.mode("overwrite").parquet(f"{path}/meta")
 
     def _window_cols(self, ws: str = "__ws"):
-        return [F.timestamp_micros(F.col(ws)).cast("timestamp_ntz").alias("window_start"),
-                F.timestamp_micros(F.col(ws) + self.size).cast("timestamp_ntz").alias("window_end")]
+        return [from_epoch_us(F.col(ws)).alias("window_start"),
+                from_epoch_us(F.col(ws) + self.size).alias("window_end")]
 
     # ----------------------------------------------------------------- batch
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
