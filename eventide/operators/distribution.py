@@ -11,23 +11,36 @@ from pyspark.sql import DataFrame, functions as F
 from eventide.functions.hashing import java_hash
 
 
-def shuffle_random(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """Random target task per row."""
-    return df.repartition(n, F.rand(seed))
+def shuffle_random(df: DataFrame, n: int | None = None, seed: int = 42) -> DataFrame:
+    """Random target task per row (``n`` defaults to the shuffle
+    partitions of the session)."""
+    return df.repartition(n, F.rand(seed)) if n else df.repartition(F.rand(seed))
 
 
-def rebalance(df: DataFrame, n: int) -> DataFrame:
-    """Round robin over ``n`` tasks - evens out skewed inputs."""
+def rebalance(df: DataFrame, n: int | None = None) -> DataFrame:
+    """Round robin - evens out skewed inputs."""
+    if n is None:
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n)
 
 
-def rescale(df: DataFrame, n: int) -> DataFrame:
-    """Local merge of neighbouring partitions, no shuffle (only reduces)."""
+def rescale(df: DataFrame, n: int | None = None) -> DataFrame:
+    """Local merge of neighbouring partitions, no shuffle (only reduces);
+    by default to half the current partitions."""
+    if n is None:
+        n = max(1, df.rdd.getNumPartitions() // 2)
     return df.coalesce(n)
 
 
-def replicate(df: DataFrame, n: int, name: str = "task") -> DataFrame:
-    """Every row to every one of ``n`` tasks (tagged with its target)."""
+def replicate(df: DataFrame, n: int, max_rows: int = 1_000_000, name: str = "task") -> DataFrame:
+    """Every row to every one of ``n`` tasks (tagged with its target).
+
+    Copying a growing input n times does not scale, so the input's size is
+    checked first (``max_rows``, a cheap bounded count); beyond it the
+    caller should join instead (``F.broadcast`` a checked side, or a shuffle
+    join)."""
+    if df.limit(max_rows + 1).count() > max_rows:
+        raise ValueError(f"replicate: more than {max_rows} rows; join instead of replicating")
     d = df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
     return by_id(d, n, name)
 
@@ -39,8 +52,11 @@ def by_id(df: DataFrame, n: int, col: str) -> DataFrame:
     return df.repartitionByRange(n, col)
 
 
-def custom(df: DataFrame, key: str, n: int, name: str = "slot") -> DataFrame:
+def custom(df: DataFrame, key: str, n: int | None = None, name: str = "slot") -> DataFrame:
     """User partitioner ``pmod(java_hash(key), n)`` (the reference's
-    ``hashCode % n`` can be negative; ``pmod`` cannot)."""
+    ``hashCode % n`` can be negative; ``pmod`` cannot); ``n`` defaults to the
+    session's shuffle partitions."""
+    if n is None:
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     d = df.withColumn(name, F.pmod(java_hash(key), F.lit(n)))
     return by_id(d, n, name)
