@@ -56,8 +56,9 @@ def session(df: DataFrame, keys: Sequence[str], ts: str, gap: str | Column,
     a session.  ``gap`` is a fixed duration or a per-row microsecond column
     (dynamic gap).  A row starts a new session when its time lies beyond the
     end of every earlier row of its key.  Both passes are two-level scans, so
-    a hot key is spread over many tasks.  Adds ``name`` and ``session_end_us``
-    helper ``__gap_us``.
+    a hot key is spread over many tasks.  Adds ``name`` (1, 2, ... per key)
+    and the helper columns ``__ts_us`` / ``__gap_us`` that ``session_bounds``
+    aggregates.
     """
     gap_us = F.lit(micros(gap)) if isinstance(gap, str) else gap
     d = df.withColumn("__ts_us", epoch_us(ts)).withColumn("__gap_us", gap_us.cast("bigint"))

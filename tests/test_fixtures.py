@@ -307,3 +307,17 @@ def test_sessions_fixed_and_dynamic(spark, sensor_rows):
     assert got == [("s1", 1, 2), ("s1", 2, 1), ("s1", 3, 1), ("s2", 1, 1)]
     dyn = W.session(s, ["id"], "ts", F.col("vc").cast("bigint") * F.lit(20 * S_))
     assert dyn.filter("id = 's1'").agg(F.max("session_no")).first()[0] == 1
+
+
+def test_ttl_gap_of_exactly_ttl_has_expired(spark, sensor_rows):
+    """A value written or refreshed at t expires at t + ttl: a read exactly
+    ttl later already sees nothing (both refresh rules)."""
+    s = sensor_rows([("s1", 0, 20), ("s1", 5, 1), ("s1", 9, 1)])
+    rw = S.ttl_state(s, ["id"], "vc", "ts", 5 * S_, refresh_on_read=True).orderBy("seq")
+    wo = S.ttl_state(s, ["id"], "vc", "ts", 5 * S_, refresh_on_read=False).orderBy("seq")
+    assert [r.state for r in rw.collect()] == [None, None, None]
+    assert [r.state for r in wo.collect()] == [None, None, None]
+    s2 = sensor_rows([("s1", 0, 20), ("s1", 4, 1), ("s1", 9, 1)])
+    # read at 4 refreshes to 4; 9 - 4 = 5 = ttl -> expired under read+write too
+    rw2 = S.ttl_state(s2, ["id"], "vc", "ts", 5 * S_, refresh_on_read=True).orderBy("seq")
+    assert [r.state for r in rw2.collect()] == [None, 20, None]

@@ -55,6 +55,11 @@ def test_custom_partitioner_places_rows(spark):
     assert rep.count() == 150 and rep.filter(F.col("pid") != F.col("task")).count() == 0
 
 
+def test_replicate_refuses_unbounded_input(spark):
+    with pytest.raises(ValueError):
+        D.replicate(spark.range(50), 3, max_rows=10)
+
+
 def test_key_partition_colocates(spark):
     from eventide.operators.keyed import key_partition
     df = spark.createDataFrame([(f"s{i % 7}", i) for i in range(100)], "id string, n long")
