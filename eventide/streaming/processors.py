@@ -128,7 +128,39 @@ COUNT_SCHEMA = "id string, window_no long, n long, vcs array<int>"
 
 class EventTimeTimers(StatefulProcessor):
     """K8: a timer ``after_ms`` after each row's event time; on expiry emits
-    (key, timer time, watermark at firing).  Same instant twice = one timer."""
+    (key, timer time, watermark at firing).  Same instant twice = one timer.
+    With ``delete_previous`` a new timer replaces the key's pending one (the
+    delete variant), so at most one timer per key is pending."""
+
+    def __init__(self, after_ms: int, delete_previous: bool = False):
+        self.after_ms, self.delete_previous = after_ms, delete_previous
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.pending = handle.getValueState("pending", _LONG)
+
+    def handleInputRows(self, key, rows, timerValues):
+        for (ts,) in _sorted_rows(rows, ["ts_ms"]):
+            at = int(ts) + self.after_ms
+            if self.delete_previous and self.pending.exists():
+                self.handle.deleteTimer(self.pending.get()[0])
+            self.handle.registerTimer(at)
+            if self.delete_previous:
+                self.pending.update((at,))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if self.delete_previous:
+            self.pending.clear()
+        yield pd.DataFrame({"id": [key[0]], "timer_ms": [expiredTimerInfo.getExpiryTimeInMs()],
+                            "watermark_ms": [timerValues.getCurrentWatermarkInMs()]})
+
+    def close(self) -> None:
+        pass
+
+
+class ProcessingTimeTimers(StatefulProcessor):
+    """K9: a timer ``after_ms`` after the processing time a row is seen."""
 
     def __init__(self, after_ms: int):
         self.after_ms = after_ms
@@ -137,14 +169,14 @@ class EventTimeTimers(StatefulProcessor):
         self.handle = handle
 
     def handleInputRows(self, key, rows, timerValues):
-        for pdf in rows:
-            for ts in pdf["ts_ms"].tolist():
-                self.handle.registerTimer(int(ts) + self.after_ms)
+        now = timerValues.getCurrentProcessingTimeInMs()
+        for _ in _sorted_rows(rows, ["seq"]):
+            self.handle.registerTimer(now + self.after_ms)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         yield pd.DataFrame({"id": [key[0]], "timer_ms": [expiredTimerInfo.getExpiryTimeInMs()],
-                            "watermark_ms": [timerValues.getCurrentWatermarkInMs()]})
+                            "watermark_ms": [timerValues.getCurrentProcessingTimeInMs()]})
 
     def close(self) -> None:
         pass

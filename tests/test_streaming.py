@@ -425,3 +425,47 @@ def test_late_windows_late_only_window_across_batches(spark, tmp_path):
     got = sorted((r.firing, r.n, r.vc_sum) for r in spark.read.parquet(f"{out}/firing")
                  .filter(F.col("window_start") == F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).collect())
     assert got == [(1, 1, 2), (2, 2, 5)]
+
+
+def test_event_time_timer_delete_variant(spark, tmp_path):
+    """K8 delete variant: a new timer replaces the pending one."""
+    rows = [("s1", 1000), ("s1", 5000), ("s1", 30000)]
+    df = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "id string, ts_ms long, seq long")
+    df = df.withColumn("ts", F.timestamp_millis("ts_ms"))
+    write_replay(df, str(tmp_path / "in"), 3, "seq")
+    got = {}
+    for delete in (False, True):
+        st = replay_stream(spark, str(tmp_path / "in"), df.schema).withWatermark("ts", "3001 milliseconds")
+        out = P.apply(st, "id", P.EventTimeTimers(5000, delete_previous=delete), P.TIMER_SCHEMA,
+                      time_mode="EventTime")
+        run_to_end(out, f"st_tdel_{delete}", str(tmp_path / f"ck_{delete}"))
+        got[delete] = sorted(r.timer_ms for r in spark.table(f"st_tdel_{delete}").collect())
+    assert got[False] == [6000, 10000]      # watermark 26.999 s after the last row
+    assert got[True] == []                  # 6 s and 10 s were replaced; 35 s not reached
+
+
+def test_processing_time_timer_fires(spark, tmp_path):
+    """K9: a timer 1 s after a row is seen fires on the wall clock.  (Polls the
+    committed output; the query keeps running batches on its own.)"""
+    import time as _t
+    src = tmp_path / "src"
+    src.mkdir()
+    out = str(tmp_path / "out")
+    st = spark.readStream.schema("id string, seq long").json(str(src))
+    q = (P.apply(st, "id", P.ProcessingTimeTimers(1000), P.TIMER_SCHEMA, time_mode="ProcessingTime")
+         .writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "ck"))
+         .trigger(processingTime="250 milliseconds").start())
+    try:
+        (src / "f0.json").write_text('{"id": "s1", "seq": 0}\n')
+        deadline = _t.time() + 90
+        n = 0
+        while n == 0 and _t.time() < deadline:
+            _t.sleep(0.5)
+            try:
+                n = spark.read.parquet(out).count()
+            except Exception:  # noqa: BLE001  (nothing committed yet)
+                n = 0
+    finally:
+        q.stop()
+    rows = spark.read.parquet(out).collect()
+    assert len(rows) == 1 and rows[0].id == "s1" and rows[0].watermark_ms >= rows[0].timer_ms
