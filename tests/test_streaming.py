@@ -469,3 +469,20 @@ def test_processing_time_timer_fires(spark, tmp_path):
         q.stop()
     rows = spark.read.parquet(out).collect()
     assert len(rows) == 1 and rows[0].id == "s1" and rows[0].watermark_ms >= rows[0].timer_ms
+
+
+def test_session_window_stream_equals_batch(spark, replayed):
+    d, s = replayed
+    st = SO.with_event_time(_stream(spark, replayed), "ts", 0)
+    agg = SO.session_aggregate(st, ["id"], "event_time", "2 hours", [F.count(F.lit(1)).alias("n")])
+    run_to_end(agg, "st_sess", f"{d}/ck_sess")
+    got = _rows(spark.table("st_sess"), ["id", "window_start", "window_end", "n"])
+    b = W.session(s, ["id"], "ts", "2 h")
+    batch = b.groupBy("id", "session_no").agg(*W.session_bounds([F.count(F.lit(1)).alias("n")]))
+    final_wm = s.agg(F.max("ts")).first()[0]
+    closed = batch.filter(F.col("window_end") <= F.lit(final_wm).cast("timestamp_ntz")
+                          - F.expr("INTERVAL 1 MILLISECOND"))
+    want = [(i, a.replace(tzinfo=None), e.replace(tzinfo=None), n)
+            for i, a, e, n in _rows(closed, ["id", "window_start", "window_end", "n"])]
+    got = [(i, a.replace(tzinfo=None), e.replace(tzinfo=None), n) for i, a, e, n in got]
+    assert got == want and len(got) > 50
