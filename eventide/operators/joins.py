@@ -60,6 +60,18 @@ def stream_interval_join(left: DataFrame, right: DataFrame, lkey: str, rkey: str
     return left.join(right, cond, "inner")
 
 
+def stream_window_join(left: DataFrame, right: DataFrame, lkey: str, rkey: str, lts: str, rts: str,
+                       size: str) -> DataFrame:
+    """F1 streaming form: both sides watermarked; equal key and equal
+    tumbling window.  Spark drops a window's state once both watermarks pass
+    its end."""
+    lw = left.withColumn("__lw", F.window(lts, size))
+    rw = right.withColumn("__rw", F.window(rts, size))
+    j = lw.join(rw, (F.col(lkey) == F.col(rkey)) & (F.col("__lw") == F.col("__rw")))
+    return (j.withColumn("window_start", F.col("__lw.start")).withColumn("window_end", F.col("__lw.end"))
+             .drop("__lw", "__rw"))
+
+
 def late_split_two_inputs(df: DataFrame, side: str, ts: str, order: list[str],
                           delay_us: int) -> DataFrame:
     """F3 helper: one arrival sequence holding both inputs (``side`` is 'L' or

@@ -486,3 +486,20 @@ def test_session_window_stream_equals_batch(spark, replayed):
             for i, a, e, n in _rows(closed, ["id", "window_start", "window_end", "n"])]
     got = [(i, a.replace(tzinfo=None), e.replace(tzinfo=None), n) for i, a, e, n in got]
     assert got == want and len(got) > 50
+
+
+def test_stream_window_join_equals_batch(spark, replayed):
+    d, s = replayed
+    st = SO.with_event_time(_stream(spark, replayed), "ts", 2 * 3600 * 1000)
+    left = st.filter(F.col("vc") % 2 == 0).select(F.col("seq").alias("l_seq"), F.col("id").alias("l_id"),
+                                                  F.col("event_time").alias("l_ts"))
+    right = st.filter(F.col("vc") % 2 == 1).select(F.col("seq").alias("r_seq"), F.col("id").alias("r_id"),
+                                                   F.col("event_time").alias("r_ts"))
+    j = J.stream_window_join(left, right, "l_id", "r_id", "l_ts", "r_ts", "1 hour")
+    run_to_end(j.select("l_seq", "r_seq"), "st_wj", f"{d}/ck_wj")
+    bl = s.filter(F.col("vc") % 2 == 0).select(F.col("seq").alias("l_seq"), F.col("id").alias("l_id"),
+                                               F.col("ts").alias("l_ts"))
+    br = s.filter(F.col("vc") % 2 == 1).select(F.col("seq").alias("r_seq"), F.col("id").alias("r_id"),
+                                               F.col("ts").alias("r_ts"))
+    want = J.window_join(bl, br, "l_id", "r_id", "l_ts", "r_ts", 3600 * 10**6)
+    assert _rows(spark.table("st_wj"), ["l_seq", "r_seq"]) == _rows(want, ["l_seq", "r_seq"])
