@@ -28,7 +28,9 @@ def spread(df: DataFrame) -> DataFrame:
     splits than there are task slots (one big row group, say), before
     CPU-heavy row work such as splitting whole texts.  At scale the input has
     far more splits than slots and this is a no-op - no extra shuffle."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (no RDD access, e.g. a Connect session)
+        return df
+    return df.repartition(slots) if splits < slots else df
