@@ -503,3 +503,78 @@ def test_stream_window_join_equals_batch(spark, replayed):
                                                F.col("ts").alias("r_ts"))
     want = J.window_join(bl, br, "l_id", "r_id", "l_ts", "r_ts", 3600 * 10**6)
     assert _rows(spark.table("st_wj"), ["l_seq", "r_seq"]) == _rows(want, ["l_seq", "r_seq"])
+
+
+def test_keyed_and_windowed_aggregates_on_streams(spark, replayed):
+    """G4-G8, U2, K3 (update mode, final values) and H2, H9, I1, I2
+    (watermarked windows, append mode): the library functions run unchanged
+    on a stream and their final results equal the batch results."""
+    from eventide.functions import weighted_avg
+    from eventide.operators import keyed as K
+
+    d, s = replayed
+    keyed = {
+        "sum": lambda df: K.reduce_sums(df, ["id"], ["vc"]),
+        "max_by": lambda df: K.extreme_row(df, ["id"], "vc", ["seq", "vc"]),
+        "min_by": lambda df: K.extreme_row(df, ["id"], "vc", ["seq", "vc"], use_min=True),
+        "max_first": lambda df: K.max_keep_first(df, ["id"], "vc", ["seq"]),
+        "wavg": lambda df: df.groupBy("id").agg(F.round(weighted_avg(F.col("vc").cast("long"),
+                                                                     F.col("seq") % 5 + 1), 6).alias("w")),
+        "value_counts": lambda df: df.groupBy("id", "vc").agg(F.count(F.lit(1)).alias("n")),
+    }
+    for name, op in keyed.items():
+        out = op(_stream(spark, replayed))
+        run_to_end(out, f"ka_{name}", f"{d}/ck_ka_{name}", mode="complete")
+        cols = out.columns
+        assert _rows(spark.table(f"ka_{name}"), cols) == _rows(op(s), cols), name
+
+    _stream(spark, replayed).createOrReplaceTempView("sensor_stream")
+    q = spark.sql("SELECT id, sum(vc) AS vc_sum FROM sensor_stream WHERE vc > 5 GROUP BY id")
+    run_to_end(q, "ka_sql", f"{d}/ck_ka_sql", mode="complete")
+    s.createOrReplaceTempView("sensor_batch")
+    want = spark.sql("SELECT id, sum(vc) AS vc_sum FROM sensor_batch WHERE vc > 5 GROUP BY id")
+    assert _rows(spark.table("ka_sql"), ["id", "vc_sum"]) == _rows(want, ["id", "vc_sum"])
+
+    final_wm = s.agg(F.max("ts")).first()[0]
+    windowed = {
+        "sliding": (["id"], "30 minutes", [F.count(F.lit(1)).alias("n")]),
+        "all": ([], None, [F.count(F.lit(1)).alias("n"), F.sum("vc").alias("vc_sum")]),
+        "first_last": (["id"], None, [F.min_by("seq", "seq").alias("first"), F.max_by("seq", "seq").alias("last")]),
+    }
+    for name, (keys, slide, aggs) in windowed.items():
+        st = SO.with_event_time(_stream(spark, replayed), "ts", 0)
+        run_to_end(SO.window_aggregate(st, keys, "event_time", "1 hour", aggs, slide=slide),
+                   f"kw_{name}", f"{d}/ck_kw_{name}")
+        got = spark.table(f"kw_{name}")
+        bs = W.sliding(s, "ts", "1 h", "30 min") if slide else W.tumbling(s, "ts", "1 h")
+        want = bs.groupBy(*keys, "window_start", "window_end").agg(*aggs) \
+            .filter(F.col("window_end") <= F.lit(final_wm) - F.expr("INTERVAL 1 MILLISECOND"))
+        cols = [c for c in got.columns if c != "window_end"]
+        assert _rows(got, cols) == _rows(want, cols), name
+
+
+def test_union_and_text_operators_on_streams(spark, tmp_path):
+    """A2/A3 line stream, C4/U3 word split with lengths, E1 union: run on
+    streams and equal the batch results."""
+    from eventide.operators import transforms as X
+    from eventide.sources.text import read_lines, stream_lines
+
+    src = tmp_path / "lines"
+    src.mkdir()
+    texts = ["hello flink", "hello world hi ", "", "   ", "hello java"]
+    for i, t in enumerate(texts):
+        (src / f"f{i}.txt").write_text(t + "\n")
+    st = stream_lines(spark, str(src), max_files=1).withColumn("doc_id", F.lit(0))
+    words = J.lateral_words(st, "value", ["doc_id"])
+    run_to_end(words, "tx_words", str(tmp_path / "ck_w"))
+    batch = J.lateral_words(read_lines(spark, str(src)).withColumn("doc_id", F.lit(0)), "value", ["doc_id"])
+    assert _rows(spark.table("tx_words"), ["word", "length"]) == _rows(batch, ["word", "length"])
+    assert _rows(batch, ["word", "length"]) == sorted(
+        [("hello", 5), ("flink", 5), ("hello", 5), ("world", 5), ("hi", 2), ("", 0), ("hello", 5), ("java", 4)])
+
+    a = stream_lines(spark, str(src)).select(F.length("value").alias("v"))
+    b = stream_lines(spark, str(src)).select((F.length("value") * 10).alias("v"))
+    run_to_end(X.union_all(a, b), "tx_union", str(tmp_path / "ck_u"))
+    got = sorted(r.v for r in spark.table("tx_union").collect())
+    want = sorted([len(t) for t in texts] + [10 * len(t) for t in texts])
+    assert got == want
