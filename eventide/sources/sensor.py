@@ -50,10 +50,19 @@ def arrival_view(events: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     return s.withColumn("arrival_us", epoch_us("arrival"))
 
 
-# Time conversions are plain arithmetic against the epoch as timestamp_ntz,
-# so they never depend on the session time zone (the test tables hold
-# timestamp_ntz).  A zoned timestamp is first taken as wall-clock time in the
-# session zone; eventide sessions run in UTC.
+# Time conversions never depend on the session time zone (the test tables
+# hold timestamp_ntz).  In a UTC session the fast epoch functions are exact;
+# in any other zone plain arithmetic against the epoch as timestamp_ntz is
+# used instead (a zoned timestamp is then taken as its session wall clock).
+_UTC = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "Universal", "Zulu"}
+
+
+def _utc_session() -> bool:
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    return spark is not None and spark.conf.get("spark.sql.session.timeZone") in _UTC
+
+
 def _epoch() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
@@ -61,6 +70,8 @@ def _epoch() -> Column:
 def epoch_us(c: Column | str) -> Column:
     """Microseconds since the epoch of a timestamp_ntz (or timestamp) column."""
     c = F.col(c) if isinstance(c, str) else c
+    if _utc_session():
+        return F.unix_micros(c.cast("timestamp"))
     return F.timestamp_diff("MICROSECOND", _epoch(), c.cast("timestamp_ntz"))
 
 
@@ -75,4 +86,6 @@ def epoch_s(c: Column | str) -> Column:
 
 def from_epoch_us(us: Column) -> Column:
     """timestamp_ntz for a count of microseconds since the epoch."""
+    if _utc_session():
+        return F.timestamp_micros(us).cast("timestamp_ntz")
     return F.timestamp_add("MICROSECOND", us, _epoch())

@@ -21,9 +21,9 @@ def lines_df(spark, lines):
 
 
 def test_f1_word_count(spark):
-    d = X.split_words(lines_df(spark, ["hello flink", "hello world", "hello java"]), "line", ["doc_id"])
+    d = X.split_words(lines_df(spark, ["hello spark", "hello world", "hello java"]), "line", ["doc_id"])
     got = {r.word: r.cnt for r in d.groupBy("word").agg(F.count(F.lit(1)).alias("cnt")).collect()}
-    assert got == {"hello": 3, "flink": 1, "world": 1, "java": 1}
+    assert got == {"hello": 3, "spark": 1, "world": 1, "java": 1}
 
 
 NUMBERS = [
@@ -181,15 +181,15 @@ def test_f16_top2(spark):
 
 
 def test_f17_lateral_split(spark):
-    df = lines_df(spark, ["hello flink", "hello world hi", "hello java"])
+    df = lines_df(spark, ["hello spark", "hello world hi", "hello java"])
     out = J.lateral_words(df, "line", ["doc_id"]).collect()
-    assert [(r.word, r.length) for r in out] == [("hello", 5), ("flink", 5), ("hello", 5), ("world", 5),
+    assert [(r.word, r.length) for r in out] == [("hello", 5), ("spark", 5), ("hello", 5), ("world", 5),
                                                  ("hi", 2), ("hello", 5), ("java", 4)]
     register_functions(spark)
     df.createOrReplaceTempView("fx_lines")
     sq = spark.sql("SELECT doc_id, t.word, t.length FROM fx_lines, LATERAL split_words(line) t").collect()
     assert sorted((r.doc_id, r.word, r.length) for r in sq) == sorted(
-        [(0, "hello", 5), (0, "flink", 5), (1, "hello", 5), (1, "world", 5), (1, "hi", 2), (2, "hello", 5),
+        [(0, "hello", 5), (0, "spark", 5), (1, "hello", 5), (1, "world", 5), (1, "hi", 2), (2, "hello", 5),
          (2, "java", 4)])
 
 

@@ -561,7 +561,7 @@ def test_union_and_text_operators_on_streams(spark, tmp_path):
 
     src = tmp_path / "lines"
     src.mkdir()
-    texts = ["hello flink", "hello world hi ", "", "   ", "hello java"]
+    texts = ["hello spark", "hello world hi ", "", "   ", "hello java"]
     for i, t in enumerate(texts):
         (src / f"f{i}.txt").write_text(t + "\n")
     st = stream_lines(spark, str(src), max_files=1).withColumn("doc_id", F.lit(0))
@@ -570,7 +570,7 @@ def test_union_and_text_operators_on_streams(spark, tmp_path):
     batch = J.lateral_words(read_lines(spark, str(src)).withColumn("doc_id", F.lit(0)), "value", ["doc_id"])
     assert _rows(spark.table("tx_words"), ["word", "length"]) == _rows(batch, ["word", "length"])
     assert _rows(batch, ["word", "length"]) == sorted(
-        [("hello", 5), ("flink", 5), ("hello", 5), ("world", 5), ("hi", 2), ("", 0), ("hello", 5), ("java", 4)])
+        [("hello", 5), ("spark", 5), ("hello", 5), ("world", 5), ("hi", 2), ("", 0), ("hello", 5), ("java", 4)])
 
     a = stream_lines(spark, str(src)).select(F.length("value").alias("v"))
     b = stream_lines(spark, str(src)).select((F.length("value") * 10).alias("v"))
