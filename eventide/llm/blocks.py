@@ -27,29 +27,48 @@ def text_blocks(batches: Iterable[pa.RecordBatch], column: str = "text",
             yield batch.slice(begin), texts[begin:]
 
 
-def sorted_groups(frames, keys: list[str]):
-    """Whole groups of a partition sorted by ``keys``: pandas frames come in,
-    one frame per group goes out.  A group must fit into memory; callers bound
-    their groups."""
-    import pandas as pd
-
+def group_chunks(frames, keys: list[str]):
+    """Frames of a partition sorted by ``keys``, cut so that each holds whole
+    groups: ``(frame, edges)`` with the groups between consecutive edges.  A
+    group must fit into memory; callers bound their groups."""
     held: list = []
     for pdf in frames:
         if not len(pdf):
             continue
-        change = np.zeros(len(pdf), dtype=bool)
+        begin = pdf.iloc[0]
+        if held and any(held[0][k].iat[0] != begin[k] for k in keys):
+            yield _with_edges(held, keys)
+            held = []
+        last = np.ones(len(pdf), dtype=bool)
         for k in keys:
             v = pdf[k].to_numpy()
-            change[1:] |= v[1:] != v[:-1]
-        edges = [0, *np.flatnonzero(change).tolist(), len(pdf)]
-        for a, b in zip(edges, edges[1:]):
-            part = pdf.iloc[a:b]
-            if held and any(held[-1][k].iat[-1] != part[k].iat[0] for k in keys):
-                yield pd.concat(held, ignore_index=True) if len(held) > 1 else held[0].reset_index(drop=True)
-                held = []
-            held.append(part)
+            last &= v == v[-1]
+        cut = int(len(pdf) - np.argmin(last[::-1])) if not last.all() else 0
+        if cut:
+            held.append(pdf.iloc[:cut])
+            yield _with_edges(held, keys)
+            held = []
+        held.append(pdf.iloc[cut:])
     if held:
-        yield pd.concat(held, ignore_index=True) if len(held) > 1 else held[0].reset_index(drop=True)
+        yield _with_edges(held, keys)
+
+
+def _with_edges(held: list, keys: list[str]):
+    import pandas as pd
+
+    pdf = pd.concat(held, ignore_index=True) if len(held) > 1 else held[0].reset_index(drop=True)
+    change = np.zeros(len(pdf), dtype=bool)
+    for k in keys:
+        v = pdf[k].to_numpy()
+        change[1:] |= v[1:] != v[:-1]
+    return pdf, [0, *np.flatnonzero(change).tolist(), len(pdf)]
+
+
+def sorted_groups(frames, keys: list[str]):
+    """The groups themselves, one frame each."""
+    for pdf, edges in group_chunks(frames, keys):
+        for a, b in zip(edges, edges[1:]):
+            yield pdf.iloc[a:b].reset_index(drop=True)
 
 
 def gather_runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventide.llm import byte_bpe, packing, prefix_counts
+from eventide.llm import byte_bpe, packing, prefix_counts, pstable, trie_join, winnowing
 from eventide.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,16 +19,32 @@ def query(fn):
     return fn
 
 
+@query
+def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.edit_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+@query
+def op6_pstable_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pstable.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
 @query
 def op8_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_counts.budgets(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+@query
+def op9_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = trie_join.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, bits=4)
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
