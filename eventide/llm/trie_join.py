@@ -9,7 +9,7 @@ half or in at most ``e - e // 2 - 1`` bits of their lower half, so two tries
 first 32 bits; together they lose no link and prune early.
 
 On Spark the top of the trie is expanded as a DataFrame of node pairs, down to
-nodes of at most ``LEAF`` fingerprints; a crowded node is expanded further.
+nodes of ``LEAF`` fingerprints on average; a crowded node is expanded further.
 The fingerprints meet in the remaining node pairs, where each task goes down
 the two subtrees with sorted arrays.  A task hands on a spanning forest of the
 links it finds, not the links; components follow on Spark.
@@ -30,8 +30,10 @@ from eventide.session import cut_lineage
 
 BITS = 64
 HALF = 32
-#: Fingerprints below a node that is not expanded further on Spark.
+#: Fingerprints below a node of the first expansion, on average, at most.
 LEAF = 4096
+#: A node with more fingerprints than this is expanded further on Spark.
+CROWDED = 8 * LEAF
 #: Bits by which a crowded node is expanded at once.
 STEP = 4
 #: Node pairs with at most so many fingerprint pairs are compared directly.
@@ -109,7 +111,7 @@ def _node_pairs(codes: DataFrame, order: int, bits: int, size: int):
              .join(nodes.select(F.col("x").alias("y")), "y", "left_semi"))
     out = []
     while True:
-        crowded = nodes.where(F.col("n") > LEAF).select("x")
+        crowded = nodes.where(F.col("n") > CROWDED).select("x")
         if depth >= BITS or crowded.isEmpty():
             out.append((depth, pairs.select("x", "y", "diff")))
             return out
