@@ -243,9 +243,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4, text: str
 
 
 def deduplicate(docs: DataFrame, shingle: int = 4, bits: int = 4, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One document of each group stays: the one with the smallest key, and of
-    rows with that key the first by text.  All columns are kept; rows with a
-    null key stay where their group has no key."""
+    """One document of each group stays: the one with the smallest key.  All
+    columns are kept.  Rows with the same key are one document, which stays if
+    one of its rows is its group's first; rows without a key stay."""
     groups = near_duplicates(docs, shingle, bits, text, key)
-    kept = groups.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("__k")).distinct()
-    return docs.join(kept, docs[key].eqNullSafe(kept["__k"]), "left_semi")
+    gone = (groups.groupBy(F.col(key).alias("__k")).agg(F.max(F.col(key) == F.col("component_id")).alias("first"))
+            .where("NOT first").select("__k"))
+    return docs.join(gone, docs[key] == gone["__k"], "left_anti")
