@@ -132,6 +132,16 @@ def fit(indptr: np.ndarray, cols: np.ndarray, vals: np.ndarray, size: int, grade
     return w, theta
 
 
+def telling(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
+    """Which features tell toxic texts from clean ones, by the likelihood ratio
+    of the numbers of texts that have them."""
+    both = toxic + clean
+    expected = np.maximum(both * n_toxic / max(n_toxic + n_clean, 1), 1e-9)
+    rest = np.maximum(both - expected, 1e-9)
+    ratio = 2 * (toxic * np.log(np.maximum(toxic, 1e-9) / expected) + clean * np.log(np.maximum(clean, 1e-9) / rest))
+    return (toxic > expected) & (ratio > RATIO)
+
+
 def train_on(indptr: np.ndarray, cols: np.ndarray, counts: np.ndarray, names: list[str], toxic: np.ndarray) -> OrdinalModel:
     """The two fits, on feature counts of texts (CSR form) and their 0/1 labels."""
     nothing = OrdinalModel([], np.zeros(0), np.full(GRADES - 1, 30.0))
@@ -139,14 +149,6 @@ def train_on(indptr: np.ndarray, cols: np.ndarray, counts: np.ndarray, names: li
     if not pos or pos == n or not names:
         return nothing
     rows = np.repeat(np.arange(n), np.diff(indptr))
-    # Features that tell toxic from clean by the likelihood ratio; the rest would
-    # get no weight from the penalised fit either.
-    with_t = np.bincount(cols, weights=toxic[rows], minlength=len(names))
-    with_c = np.bincount(cols, minlength=len(names)) - with_t
-    expected = np.maximum((with_t + with_c) * pos / n, 1e-9)
-    rest = np.maximum(with_t + with_c - expected, 1e-9)
-    ratio = 2 * (with_t * np.log(np.maximum(with_t, 1e-9) / expected) + with_c * np.log(np.maximum(with_c, 1e-9) / rest))
-    keep = (with_t > expected) & (ratio > RATIO)
 
     def only(keep: np.ndarray):
         place = np.cumsum(keep) - 1
@@ -154,9 +156,7 @@ def train_on(indptr: np.ndarray, cols: np.ndarray, counts: np.ndarray, names: li
         ptr = np.concatenate([[0], np.cumsum(np.bincount(rows[at], minlength=n))])
         return ptr, place[cols[at]], np.log1p(counts[at].astype(np.float64)), [w for w, k in zip(names, keep) if k]
 
-    ptr, c, v, chosen = only(keep)
-    if not chosen:
-        return nothing
+    ptr, c, v, chosen = only(np.ones(len(names), dtype=bool))
     w, _ = fit(ptr, c, v, len(chosen), toxic, 2, l1=L1, steps=1500)
     found = {f for f, x in zip(chosen, w) if x > 0}
     keep = np.array([x in found for x in names])
@@ -178,13 +178,36 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, text: str
     sample = cut_lineage(docs.select(F.col(key).alias("k"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
                          .join(F.broadcast(known), "k"))
 
-    def of_toxic(batches):
-        split = Features()
-        for _, texts in text_blocks(batches, "t"):
-            yield pa.RecordBatch.from_arrays([pa.array([f for t in texts for f in split.count(t)], pa.string())], names=["feature"])
-
-    names = sorted(r[0] for r in sample.where("y > 0").select("t").mapInArrow(of_toxic, "feature string")
-                   .groupBy("feature").count().where(F.col("count") >= MIN_TEXTS).select("feature").collect())
+    def standing(wanted):
+        """Numbers of texts that have a feature, summed up per task."""
+        def run(batches):
+            split, n = Features(wanted), {}
+            for _, texts in text_blocks(batches, "t"):
+                for t in texts:
+                    for f in split.count(t):
+                        n[f] = n.get(f, 0) + 1
+                if len(n) > Features.MOST:
+                    yield _counts(n)
+                    n = {}
+            yield _counts(n)
+        return run
+
+    # First the features of toxic texts, then how many clean texts have them:
+    # only those that tell the two apart go on to the fit.
+    of = {}
+    for y in (1, 0):
+        part = sample.where("y > 0" if y else "y <= 0").select("t").mapInArrow(standing(of or None), "feature string, n bigint")
+        part = part.groupBy("feature").agg(F.sum("n").alias("n"))
+        if y:
+            of = {f: [n, 0] for f, n in part.where(F.col("n") >= MIN_TEXTS).collect()}
+        elif of:
+            for f, n in part.collect():
+                of[f][1] = n
+    size = dict(sample.groupBy((F.col("y") > 0).cast("int").alias("y")).count().collect())
+    names = sorted(of)
+    if names:
+        told = telling(*np.array([of[f] for f in names], dtype=np.float64).T, size.get(1, 0), size.get(0, 0))
+        names = [f for f, ok in zip(names, told) if ok]
     place = {w: i for i, w in enumerate(names)}
 
     def counted(batches):
@@ -206,6 +229,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, text: str
     return train_on(indptr, np.concatenate(lists).astype(np.int64), counts, names, (np.array(got["y"].to_pylist()) > 0).astype(np.int64))
 
 
+def _counts(n: dict[str, int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["feature", "n"])
+
+
 class Features(dict):
     """Features of words, remembered: the word and its first 4, 5 and 6 letters;
     with ``wanted`` only those."""
