@@ -73,8 +73,8 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
     """Bin and offset of each item, in the given order.
 
     Placing an item of size ``s`` in a bin of gap ``g`` changes the sum of
-    squares by ``2 * (N[g - s] - N[g]) + 2``; a new bin and a bin that becomes
-    full count as ``N = 0``."""
+    squares by ``2 * (N[g - s] - N[g]) + 2``, by ``1 - 2 * N[s]`` if the bin
+    becomes full, and by ``2 * N[capacity - s] + 1`` for a new bin."""
     open_count = np.zeros(capacity + 1, dtype=np.int64)   # open bins per gap 1 .. capacity - 1
     by_gap: list[list[int]] = [[] for _ in range(capacity + 1)]
     bins = np.empty(len(lengths), dtype=np.int64)
@@ -83,8 +83,10 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
     never = np.iinfo(np.int64).max
     for i, s in enumerate(lengths.tolist()):
         here, after = open_count[s:], open_count[:capacity + 1 - s]
-        change = np.where(here > 0, after - here, never)
-        change[-1] = open_count[capacity - s] if s < capacity else 0     # a new bin
+        change = np.where(here > 0, 2 * (after - here) + 2, never)
+        if here[0]:
+            change[0] -= 1                           # the bin becomes full
+        change[-1] = 2 * open_count[capacity - s] + 1 if s < capacity else 0     # a new bin
         g = s + int(change.argmin())
         if g == capacity:
             b, made = made, made + 1
