@@ -1,8 +1,8 @@
 """User functions: scalar, aggregate and table functions.
 
 All are native: SQL functions registered by name (``CREATE TEMPORARY
-FUNCTION``) and Column expressions, so they stay inside whole-stage code
-generation - no Python runs per row.
+FUNCTION``) and Column expressions; no Python runs per row (higher-order
+functions are interpreted in the JVM).
 """
 
 from __future__ import annotations

@@ -35,15 +35,9 @@ def rescale(df: DataFrame, n: int | None = None) -> DataFrame:
     return df.coalesce(n)
 
 
-def replicate(df: DataFrame, n: int, max_rows: int = 1_000_000, name: str = "task") -> DataFrame:
-    """Every row to every one of ``n`` tasks (tagged with its target).
-
-    Copying a growing input n times does not scale, so the input's size is
-    checked first (``max_rows``, a cheap bounded count); beyond it the
-    caller should join instead (``F.broadcast`` a checked side, or a shuffle
-    join)."""
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"replicate: more than {max_rows} rows; join instead of replicating")
+def replicate(df: DataFrame, n: int, name: str = "task") -> DataFrame:
+    """Every row to every one of ``n`` tasks (tagged with its target).  The
+    output is ``n`` times the input; a growing table is better joined."""
     d = df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
     return by_id(d, n, name)
 

@@ -50,11 +50,13 @@ def max_keep_first(df: DataFrame, keys: Sequence[str], field: str, other: Sequen
 def extreme_row(df: DataFrame, keys: Sequence[str], field: str, cols: Sequence[str],
                 order: str = "seq", use_min: bool = False) -> DataFrame:
     """maxBy / minBy - the whole row holding the extreme value; on ties
-    the earliest row wins (explicit second sort field)."""
-    sign = 1 if use_min else -1
-    rank = F.struct((F.col(field) * F.lit(sign)).alias("v"), F.col(order).alias("o"))
+    the earliest row wins (the numeric ``order`` is the second sort field).
+    Rows without a value take no part; a key with none gives null fields."""
+    tie = F.col(order) if use_min else -F.col(order)
+    rank = F.when(F.col(field).isNotNull(), F.struct(F.col(field).alias("v"), tie.alias("o")))
+    pick = F.min_by if use_min else F.max_by
     row = F.struct(*[F.col(c) for c in cols])
-    return df.groupBy(*keys).agg(F.min_by(row, rank).alias("__r")) \
+    return df.groupBy(*keys).agg(pick(row, rank).alias("__r")) \
         .select(*keys, *[F.col(f"__r.{c}").alias(c) for c in cols])
 
 

@@ -21,7 +21,7 @@ def map_project(*cols: str | Column) -> Callable[[DataFrame], DataFrame]:
 
 
 def filter_eq(col: str, value) -> Callable[[DataFrame], DataFrame]:
-    """Parametrised equality filter (pushed down to the scan by Catalyst)."""
+    """Parametrised equality filter (reaches the scan where ``col`` is a stored column)."""
     return lambda df: df.filter(F.col(col) == F.lit(value))
 
 

@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from eventide.operators import transforms as X
+from eventide.sources.sensor import sensor_view
 from eventide.plans.registry import query, sensor, with_sensor
 from eventide.sources.tables import spread, table
 
@@ -33,8 +34,9 @@ def map_project(spark, sf):
 
 @query("filter_eq", with_sensor("SELECT id, ts, vc, seq FROM sensor WHERE id = 's1'"))
 def filter_eq(spark, sf):
-    """Parametrised filter class -> closure."""
-    return sensor(spark, sf).transform(X.filter_eq("id", "s1"))
+    """Parametrised filter class -> closure; on the stored column, so
+    that it reaches the scan."""
+    return sensor_view(table(spark, sf, "events").transform(X.filter_eq("user_id", 1)))
 
 
 @query("flatmap_case", with_sensor("""

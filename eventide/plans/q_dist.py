@@ -40,7 +40,7 @@ def dist_replicate(spark, sf):
     """Replicate to 4 tasks - applied to a table of bounded size derived
     from events (counts per event type), never to the growing table itself."""
     per_type = table(spark, sf, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-    return D.replicate(per_type, 4, max_rows=10_000)
+    return D.replicate(per_type, 4)
 
 
 @query("dist_custom", _ROWS)

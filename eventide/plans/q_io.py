@@ -22,35 +22,30 @@ def _mix_sql(i: str, salt: int) -> str:
     return f"(({h} * {M}) % {P})"
 
 
-def _n_events(spark, sf) -> int:
-    """Size of the generated input: one generated row per event row."""
-    return table(spark, sf, "events").count()
-
-
-_IDX = "(SELECT row_number() OVER () - 1 AS i FROM events)"
+_IDX = "(SELECT event_id AS i FROM events)"
 
 
 @query("gen_sequence", f"SELECT 'Number:' || CAST(i AS VARCHAR) AS value FROM {_IDX}")
 def gen_sequence(spark, sf):
-    """A4: bounded generator: ``"Number:" + i`` for i < n (n = event rows)."""
-    return G.sequence_source(spark, _n_events(spark, sf), G.number_string)
+    """A4: the generator mapped over the events' numbers: ``"Number:" + i``."""
+    return G.generate(table(spark, sf, "events"), "event_id", G.number_string)
 
 
 @query("gen_sensor", f"""SELECT 's' || CAST(1 + {_mix_sql('i', 1)} % 3 AS VARCHAR) AS id,
         CAST(i // 3 AS BIGINT) AS ts, CAST({_mix_sql('i', 2)} % 15 AS INTEGER) AS vc, i AS seq FROM {_IDX}""")
 def gen_sensor(spark, sf):
     """A5: the synthetic sensor stream (ids s1-s3, vc 0..14, 3 rows/s)."""
-    return G.sequence_source(spark, _n_events(spark, sf), G.sensor_row)
+    return G.generate(table(spark, sf, "events"), "event_id", G.sensor_row)
 
 
 @query("gen_table_spec", f"""SELECT CAST(1 + {_mix_sql('i', 1)} % 10 AS INTEGER) AS id,
-        CAST(1 + i % 1000000 AS BIGINT) AS ts, CAST(1 + {_mix_sql('i', 3)} % 100 AS INTEGER) AS vc FROM {_IDX}""")
+        CAST(1 + i AS BIGINT) AS ts, CAST(1 + {_mix_sql('i', 3)} % 100 AS INTEGER) AS vc FROM {_IDX} WHERE i < 1000000""")
 def gen_table_spec(spark, sf):
     """A table declared by per-column generators, used through SQL."""
     spec = {"id": ("random", 1, 10), "ts": ("sequence", 1, 1_000_000), "vc": ("random", 1, 100)}
     # salts follow the spec's column order: id 1, ts 2, vc 3
-    G.sequence_source(spark, _n_events(spark, sf), G.table_spec(spec)).createOrReplaceTempView("source")
-    return spark.sql("SELECT id, ts, vc FROM source")
+    source = G.generate(table(spark, sf, "events"), "event_id", G.table_spec(spec))
+    return spark.sql("SELECT id, ts, vc FROM {source}", source=source)
 
 
 @query("parse_sensor_line", with_sensor(

@@ -1,12 +1,11 @@
 """Session construction and shared-folder helpers.
 
-On a cluster the session is given; these helpers only fill in settings that
-are unset, so a cluster's own configuration always wins.
+On a cluster the session is given and left as it is; ``local_session`` makes
+one for tests and the bench.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -16,7 +15,7 @@ ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
 
-# Settings every eventide job expects; applied only where the session has none.
+# Settings of a local session.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -44,27 +43,21 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="eventide-ckpt-"))
     return spark
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder.
-
-    Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (local tests) is a private folder created and registered.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    """A fresh path under the shared folder named by ``spark.checkpoint.dir``
+    (or by ``setCheckpointDir``).  Writers create it; without a shared folder
+    this raises instead of falling back to a folder of one machine."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="eventide-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        raise RuntimeError("no shared folder: set spark.checkpoint.dir to a folder that driver and executors share")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(base)
-    path = f"{base.rstrip('/')}/eventide/{purpose}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/"):
-        os.makedirs(path, exist_ok=True)
-    return path
+    return f"{base.rstrip('/')}/eventide/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
 def cut_lineage(df, spark: SparkSession | None = None):

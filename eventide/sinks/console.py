@@ -7,12 +7,13 @@ import sys
 from pyspark.sql import DataFrame
 
 
-def print_batch(label: str | None = None, to_stderr: bool = False, rows: int = 20):
-    """A ``foreachBatch`` function that prints each micro-batch (bounded)."""
+def print_batch(label: str | None = None, to_stderr: bool = False):
+    """A ``foreachBatch`` function that prints every row of each micro-batch;
+    one partition at a time passes through the driver's console."""
     def run(df: DataFrame, batch_id: int) -> None:
         out = sys.stderr if to_stderr else sys.stdout
         prefix = f"{label}> " if label else ""
-        for r in df.take(rows):
+        for r in df.toLocalIterator():
             print(f"{prefix}{r}", file=out)
     return run
 

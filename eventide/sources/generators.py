@@ -33,18 +33,24 @@ def random_int(i: Column, lo: int, hi: int, salt: int) -> Column:
 def sequence_source(spark: SparkSession, n: int, fn: Callable[[Column], Column | list[Column]],
                     partitions: int | None = None) -> DataFrame:
     """A4: ``fn(i)`` for ``i`` in ``0..n-1``."""
-    out = fn(F.col("id"))
-    out = out if isinstance(out, list) else [out]
-    return spark.range(0, n, 1, partitions).select(*out)
+    return generate(spark.range(0, n, 1, partitions), "id", fn)
+
+
+def generate(df: DataFrame, index: str, fn: Callable[[Column], Column | list[Column]]) -> DataFrame:
+    """A4 over the numbers of a column: ``fn(i)`` per row, up to the end of the
+    shortest bounded sequence of ``fn``."""
+    out = fn(F.col(index))
+    end = getattr(fn, "rows", None)
+    df = df if end is None else df.where(F.col(index) < end)
+    return df.select(*out if isinstance(out, list) else [out])
 
 
 def sequence_stream(spark: SparkSession, rows_per_second: int,
                     fn: Callable[[Column], Column | list[Column]], partitions: int = 1) -> DataFrame:
     """A4 streaming: the rate source, rows numbered from 0."""
-    out = fn(F.col("value"))
-    out = out if isinstance(out, list) else [out]
-    return (spark.readStream.format("rate").option("rowsPerSecond", rows_per_second)
-            .option("numPartitions", partitions).load().select(*out))
+    rate = (spark.readStream.format("rate").option("rowsPerSecond", rows_per_second)
+            .option("numPartitions", partitions).load())
+    return generate(rate, "value", fn)
 
 
 def number_string(i: Column) -> Column:
@@ -64,16 +70,17 @@ def sensor_row(i: Column, ids: int = 3, levels: int = 15, per_second: int = 3) -
 
 def table_spec(spec: Mapping[str, tuple]) -> Callable[[Column], list[Column]]:
     """A per-column generator spec: ``("random", lo, hi)`` or
-    ``("sequence", start, end)`` (end is the last value; rows past it wrap)."""
+    ``("sequence", start, end)``; the source ends with the last value of its
+    shortest sequence."""
     def fn(i: Column) -> list[Column]:
         cols = []
         for salt, (name, g) in enumerate(spec.items(), start=1):
             if g[0] == "random":
                 cols.append(random_int(i, g[1], g[2], salt).alias(name))
             elif g[0] == "sequence":
-                span = g[2] - g[1] + 1
-                cols.append((F.lit(g[1]) + F.pmod(i, F.lit(span))).cast("bigint").alias(name))
+                cols.append((F.lit(g[1]) + i).cast("bigint").alias(name))
             else:
                 raise ValueError(f"unknown generator {g[0]!r}")
         return cols
+    fn.rows = min((g[2] - g[1] + 1 for g in spec.values() if g[0] == "sequence"), default=None)
     return fn

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -14,8 +13,6 @@ def spark():
     # Tiny chunks so every fixture exercises both levels of the prefix scans.
     s.conf.set("eventide.scan.chunkRows", "2")
     s.conf.set("eventide.scan.chunkMicros", "3000000")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="eventide-test-ckpt-"))
     yield s
     s.stop()
 

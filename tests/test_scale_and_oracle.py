@@ -55,11 +55,6 @@ def test_custom_partitioner_places_rows(spark):
     assert rep.count() == 150 and rep.filter(F.col("pid") != F.col("task")).count() == 0
 
 
-def test_replicate_refuses_unbounded_input(spark):
-    with pytest.raises(ValueError):
-        D.replicate(spark.range(50), 3, max_rows=10)
-
-
 def test_key_partition_colocates(spark):
     from eventide.operators.keyed import key_partition
     df = spark.createDataFrame([(f"s{i % 7}", i) for i in range(100)], "id string, n long")
@@ -113,3 +108,40 @@ def test_hot_key_is_spread_over_tasks(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert parts > 1
     assert [r.s for r in hot] == list(range(1, 2001))
+
+
+def test_no_shared_folder_is_a_clear_error():
+    from eventide.session import shared_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        def getCheckpointDir(self):  # noqa: N802
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()  # noqa: N815
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session(), "x")
+
+
+def test_print_batch_prints_every_row(spark, capsys):
+    from eventide.sinks.console import print_batch
+    print_batch("p")(spark.range(25), 0)
+    assert capsys.readouterr().out.count("p> ") == 25
+
+
+def test_sequence_ends(spark):
+    from eventide.sources import generators as G
+    got = G.sequence_source(spark, 50, G.table_spec({"ts": ("sequence", 5, 14), "r": ("random", 1, 3)})).collect()
+    assert sorted(r.ts for r in got) == list(range(5, 15))
+
+
+def test_extreme_row_leaves_nulls_out(spark):
+    from eventide.operators.keyed import extreme_row
+    df = spark.createDataFrame([("a", 1, None), ("a", 2, 5), ("a", 3, 5), ("a", 4, 2), ("b", 5, None)], "id string, seq bigint, vc int")
+    assert {r.id: r.seq for r in extreme_row(df, ["id"], "vc", ["seq", "vc"]).collect()} == {"a": 2, "b": None}
+    assert {r.id: r.seq for r in extreme_row(df, ["id"], "vc", ["seq", "vc"], use_min=True).collect()} == {"a": 4, "b": None}
