@@ -32,8 +32,9 @@ DEFAULT_CHUNK_MICROS = 60 * 1_000_000
 
 _CH = "__ev_chunk"
 
-_LOCAL = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
-_COMBINE = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
+# How each kind is computed over rows, and over partial results.
+LOCAL = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
+COMBINE = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
 
 
 def _conf_int(df: DataFrame, key: str, default: int) -> int:
@@ -82,7 +83,7 @@ def running(df: DataFrame, keys: Sequence[str], order, aggs: Mapping[str, tuple[
     exc = wl.rowsBetween(Window.unboundedPreceding, -1)
     local_cols = {}
     for i, n in enumerate(names):
-        fn = _LOCAL[aggs[n][0]]
+        fn = LOCAL[aggs[n][0]]
         local_cols[f"__ev_inc{i}"] = fn(F.col(f"__ev_in{i}")).over(inc)
         if exclusive:
             local_cols[f"__ev_exc{i}"] = fn(F.col(f"__ev_in{i}")).over(exc)
@@ -92,14 +93,14 @@ def running(df: DataFrame, keys: Sequence[str], order, aggs: Mapping[str, tuple[
     # task, so only one small row per (key, chunk, task) is shuffled - the
     # rows themselves are shuffled once, for the window above.
     summ = d.groupBy(*keys, _CH).agg(
-        *[_LOCAL[aggs[n][0]](F.col(f"__ev_in{i}")).alias(f"__ev_tot{i}")
+        *[LOCAL[aggs[n][0]](F.col(f"__ev_in{i}")).alias(f"__ev_tot{i}")
           for i, n in enumerate(names)])
     pw = Window.partitionBy(*keys).orderBy(_CH).rowsBetween(Window.unboundedPreceding, -1)
     kmap = {k: f"__ev_k{j}" for j, k in enumerate(keys)}
     pre = summ.select(
         *[F.col(k).alias(kmap[k]) for k in keys],
         F.col(_CH).alias("__ev_pch"),
-        *[_COMBINE[aggs[n][0]](F.col(f"__ev_tot{i}")).over(pw).alias(f"__ev_pre{i}")
+        *[COMBINE[aggs[n][0]](F.col(f"__ev_tot{i}")).over(pw).alias(f"__ev_pre{i}")
           for i, n in enumerate(names)])
 
     cond = F.col(_CH) == F.col("__ev_pch")

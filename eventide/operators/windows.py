@@ -7,7 +7,7 @@ returned flat as ``window_start`` / ``window_end``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -83,6 +83,36 @@ def session_bounds(grouped_cols: list[Column]) -> list[Column]:
     ]
 
 
+def session_windows(df: DataFrame, keys: Sequence[str], ts: str, gap: str | Column,
+                    aggs: Mapping[str, tuple[str, Column]]) -> DataFrame:
+    """H3/H4: one row per session with ``[first ts, last end)`` and its aggregates.
+
+    ``gap`` is as in ``session``; ``aggs`` maps a name to ``(kind, column)`` with
+    the kinds of ``scan.running``.  Two rows whose gaps are at least ``2**n``
+    microseconds and whose times share a bucket of that width always belong to
+    one session, so rows are first aggregated by (key, n, bucket) with ``2**n``
+    the largest power within their gap.  That combines on every task, and leaves
+    of a hot key one row per bucket; ``session_window`` then merges those spans.
+    Rows with a null time or a gap that is null or not positive open no session
+    and are left out.
+    """
+    gap_us = (F.lit(micros(gap)) if isinstance(gap, str) else gap).cast("bigint")
+    d = df.withColumns({"__t": epoch_us(ts), "__gap": gap_us}).where("__t IS NOT NULL AND __gap > 0")
+    d = d.withColumn("__n", F.length(F.bin("__gap")) - 1)
+    d = d.withColumn("__b", F.call_function("shiftright", F.col("__t"), F.col("__n")))
+    spans = d.groupBy(*keys, "__n", "__b").agg(
+        F.min("__t").alias("__start"), F.max(F.col("__t") + F.col("__gap")).alias("__end"),
+        *[scan.LOCAL[kind](c).alias(name) for name, (kind, c) in aggs.items()])
+    # session_window merges spans that touch, as sessions do
+    length = ((F.col("__end") - F.col("__start")) / F.lit(1_000_000)).cast("decimal(18,6)")
+    exact = F.make_interval(secs=length)
+    spans = spans.withColumn("__at", F.timestamp_micros("__start"))
+    merged = spans.groupBy(*keys, F.session_window("__at", exact).alias("__w")).agg(
+        from_epoch_us(F.min("__start")).alias("window_start"), from_epoch_us(F.max("__end")).alias("window_end"),
+        *[scan.COMBINE[kind](name).alias(name) for name, (kind, _) in aggs.items()])
+    return merged.drop("__w")
+
+
 def count_number(df: DataFrame, keys: Sequence[str], order: str = "seq",
                  name: str = "rn") -> DataFrame:
     """Row number inside each key in arrival order (two-level, hot-key safe)."""
@@ -123,3 +153,22 @@ def count_sliding(df: DataFrame, keys: Sequence[str], size: int = 5, slide: int
     d = d.withColumn("window_no", F.col("__first_f") + F.col("__k") * slide)
     d = d.filter(F.col("window_no") - size < F.col("rn"))
     return d.filter(F.col("window_no") <= F.col("__total")).drop("__first_f", "__k", "__total")
+
+
+def count_windows(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column], size: int = 5,
+                  slide: int | None = None, order: str = "seq") -> DataFrame:
+    """H6/H7 aggregated: one row per fired window (tumbling without ``slide``).
+
+    A tumbling window has fired when it holds ``size`` rows, a sliding one when
+    it holds the row its number names, so no total per key is needed."""
+    d = count_number(df, keys, order)
+    if slide is None:
+        d = d.withColumn("window_no", F.floor((F.col("rn") - 1) / size) + 1)
+        fired = F.col("__rows") == size
+    else:
+        first = F.ceil(F.col("rn") / slide) * slide
+        firings = F.sequence(first, first + F.lit((-(-size // slide) - 1) * slide), F.lit(slide).cast("bigint"))
+        d = d.withColumn("window_no", F.explode(firings)).filter(F.col("window_no") - size < F.col("rn"))
+        fired = F.col("__last") == F.col("window_no")
+    out = d.groupBy(*keys, "window_no").agg(*aggs, F.count(F.lit(1)).alias("__rows"), F.max("rn").alias("__last"))
+    return out.filter(fired).drop("__rows", "__last")

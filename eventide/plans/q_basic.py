@@ -69,18 +69,17 @@ def rich_map_suffix(spark, sf):
 @query("sql_filter", with_sensor(
     "SELECT id, ts, vc FROM sensor WHERE ts > TIMESTAMP '2024-01-15 00:00:00'"))
 def sql_filter(spark, sf):
-    """Register a view, query it with SQL."""
-    sensor(spark, sf).createOrReplaceTempView("sensor")
-    return spark.sql("SELECT id, ts, vc FROM sensor WHERE ts > TIMESTAMP_NTZ '2024-01-15 00:00:00'")
+    """A table queried with SQL."""
+    return spark.sql("SELECT id, ts, vc FROM {sensor} WHERE ts > TIMESTAMP_NTZ '2024-01-15 00:00:00'",
+                     sensor=sensor(spark, sf))
 
 
 @query("sql_view_chain", with_sensor(
     "SELECT id, vc, seq FROM (SELECT id, vc, seq FROM sensor WHERE vc > 5) tmp WHERE vc > 7"))
 def sql_view_chain(spark, sf):
-    """A query over a registered intermediate view."""
-    sensor(spark, sf).createOrReplaceTempView("sensor")
-    spark.sql("SELECT id, vc, seq FROM sensor WHERE vc > 5").createOrReplaceTempView("tmp")
-    return spark.sql("SELECT * FROM tmp WHERE vc > 7")
+    """A query over an intermediate view."""
+    tmp = spark.sql("SELECT id, vc, seq FROM {sensor} WHERE vc > 5", sensor=sensor(spark, sf))
+    return spark.sql("SELECT * FROM {tmp} WHERE vc > 7", tmp=tmp)
 
 
 @query("split_parity", with_sensor(

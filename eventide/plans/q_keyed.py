@@ -120,9 +120,9 @@ def keyed_reduce_running(spark, sf):
 @query("sql_group_sum", with_sensor(
     "SELECT id, CAST(sum(vc) AS BIGINT) AS vc_sum FROM sensor WHERE vc > 5 GROUP BY id"))
 def sql_group_sum(spark, sf):
-    """SQL group-by with a filter, over a registered view."""
-    sensor(spark, sf).createOrReplaceTempView("sensor")
-    return spark.sql("SELECT id, CAST(sum(vc) AS BIGINT) AS vc_sum FROM sensor WHERE vc > 5 GROUP BY id")
+    """SQL group-by with a filter, over a table given by name."""
+    return spark.sql("SELECT id, CAST(sum(vc) AS BIGINT) AS vc_sum FROM {sensor} WHERE vc > 5 GROUP BY id",
+                     sensor=sensor(spark, sf))
 
 
 @query("state_value_counts_running", with_sensor(

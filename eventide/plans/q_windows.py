@@ -17,6 +17,11 @@ def _agg_cols():
     return [F.count(F.lit(1)).alias("n"), F.sum("vc").cast("bigint").alias("vc_sum")]
 
 
+def _rows():
+    """The rows of a count window (at most its size) in arrival order."""
+    return F.sort_array(F.collect_list(F.struct("seq", "vc"))).alias("__l")
+
+
 def _vc_list(col="vcs"):
     return F.array_join(F.transform(F.col(col), lambda x: x.cast("string")), ",").alias(col)
 
@@ -52,6 +57,10 @@ def sliding_event(spark, sf):
         .groupBy("id", "window_start", "window_end").agg(*_agg_cols())
 
 
+def _session_aggs():
+    return {"n": ("count", F.lit(1)), "vc_sum": ("sum", F.col("vc"))}
+
+
 _SESSION_SQL = """s1 AS (SELECT *, epoch_us(ts) AS t,
         max(epoch_us(ts) + {gap}) OVER (PARTITION BY id ORDER BY epoch_us(ts), seq
             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_end FROM sensor),
@@ -67,8 +76,7 @@ _SESSION_SQL = """s1 AS (SELECT *, epoch_us(ts) AS t,
     ctes=_SESSION_SQL.format(gap=GAP_US)))
 def session_event(spark, sf):
     """H3: sessions with a fixed gap (rows exactly ``gap`` apart share one)."""
-    d = W.session(sensor(spark, sf), ["id"], "ts", GAP)
-    return d.groupBy("id", "session_no").agg(*W.session_bounds(_agg_cols())).drop("session_no")
+    return W.session_windows(sensor(spark, sf), ["id"], "ts", GAP, _session_aggs())
 
 
 @query("session_dynamic_gap", with_sensor(
@@ -79,8 +87,7 @@ def session_event(spark, sf):
 def session_dynamic_gap(spark, sf):
     """H4: each row brings its own gap, here ``(vc + 1) * 10 min``."""
     gap = (F.col("vc") + 1).cast("bigint") * F.lit(DYN_GAP_UNIT_US)
-    d = W.session(sensor(spark, sf), ["id"], "ts", gap)
-    return d.groupBy("id", "session_no").agg(*W.session_bounds(_agg_cols())).drop("session_no")
+    return W.session_windows(sensor(spark, sf), ["id"], "ts", gap, _session_aggs())
 
 
 @query("tumbling_ingest", with_sensor(
@@ -104,24 +111,20 @@ _COUNT_SQL = """n AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq)
         FROM n WHERE ((rn - 1) // 5 + 1) * 5 <= total GROUP BY 1, 2""", ctes=_COUNT_SQL))
 def count_tumbling(spark, sf):
     """H6 + I6: count window of 5 per key; fires only when full."""
-    d = W.count_tumbling(sensor(spark, sf), ["id"], 5)
-    return d.groupBy("id", "window_no").agg(
-        *_agg_cols(), F.sort_array(F.collect_list(F.struct("seq", "vc"))).alias("__l")) \
-        .withColumn("vcs", F.col("__l.vc")).select("id", "window_no", "n", "vc_sum", _vc_list())
+    d = W.count_windows(sensor(spark, sf), ["id"], [*_agg_cols(), _rows()], 5)
+    return d.withColumn("vcs", F.col("__l.vc")).select("id", "window_no", "n", "vc_sum", _vc_list())
 
 
 @query("count_sliding", with_sensor(
     f"""SELECT id, f.w AS window_no, {_AGG_SQL},
                array_to_string(list(vc ORDER BY seq), ',') AS vcs
-        FROM n JOIN (SELECT range AS w FROM range(2, 1000000, 2)) f
+        FROM n JOIN (SELECT unnest(range(2, (SELECT max(total) FROM n) + 1, 2)) AS w) f
           ON n.rn <= f.w AND n.rn > f.w - 5 AND f.w <= n.total
         GROUP BY 1, 2""", ctes=_COUNT_SQL))
 def count_sliding(spark, sf):
     """H7: count window (5, 2): every 2nd row fires with the last <= 5 rows."""
-    d = W.count_sliding(sensor(spark, sf), ["id"], 5, 2)
-    return d.groupBy("id", "window_no").agg(
-        *_agg_cols(), F.sort_array(F.collect_list(F.struct("seq", "vc"))).alias("__l")) \
-        .withColumn("vcs", F.col("__l.vc")).select("id", "window_no", "n", "vc_sum", _vc_list())
+    d = W.count_windows(sensor(spark, sf), ["id"], [*_agg_cols(), _rows()], 5, 2)
+    return d.withColumn("vcs", F.col("__l.vc")).select("id", "window_no", "n", "vc_sum", _vc_list())
 
 
 @query("count_window_process", with_sensor(
@@ -131,11 +134,8 @@ def count_sliding(spark, sf):
         FROM n WHERE ((rn - 1) // 5 + 1) * 5 <= total GROUP BY 1, 2""", ctes=_COUNT_SQL))
 def count_window_process(spark, sf):
     """Full count-window function: sees all (at most 5) rows of the window."""
-    d = W.count_tumbling(sensor(spark, sf), ["id"], 5)
-    return d.groupBy("id", "window_no").agg(
-        F.count(F.lit(1)).alias("n"), F.min("seq").alias("first_seq"),
-        F.max("seq").alias("last_seq"),
-        F.sort_array(F.collect_list(F.struct("seq", "vc"))).alias("__l")) \
+    aggs = [F.count(F.lit(1)).alias("n"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"), _rows()]
+    return W.count_windows(sensor(spark, sf), ["id"], aggs, 5) \
         .withColumn("vcs", F.col("__l.vc")).drop("__l").withColumn("vcs", _vc_list())
 
 

@@ -145,3 +145,43 @@ def test_extreme_row_leaves_nulls_out(spark):
     df = spark.createDataFrame([("a", 1, None), ("a", 2, 5), ("a", 3, 5), ("a", 4, 2), ("b", 5, None)], "id string, seq bigint, vc int")
     assert {r.id: r.seq for r in extreme_row(df, ["id"], "vc", ["seq", "vc"]).collect()} == {"a": 2, "b": None}
     assert {r.id: r.seq for r in extreme_row(df, ["id"], "vc", ["seq", "vc"], use_min=True).collect()} == {"a": 4, "b": None}
+
+
+@pytest.mark.parametrize("gap", ["fixed", "dynamic"])
+def test_session_windows_match_the_row_form(spark, gap):
+    """Microsecond times and gaps, touching and just missing spans, one hot key."""
+    from eventide.operators import windows as W
+    rnd = random.Random(7)
+    data = [("hot" if rnd.random() < 0.4 else f"k{rnd.randrange(6)}", rnd.randrange(4000), rnd.randrange(1, 40), n)
+            for n in range(900)]
+    data += [("touch", 0, 5, 900), ("touch", 5, 5, 901), ("miss", 0, 5, 902), ("miss", 6, 5, 903), (None, 3, 5, 904)]
+    df = spark.createDataFrame(data, "id string, us long, g long, seq long") \
+        .withColumn("ts", F.timestamp_micros("us").cast("timestamp_ntz"))
+    width = "0.005 ms" if gap == "fixed" else F.col("g")
+    got = W.session_windows(df, ["id"], "ts", width, {"n": ("count", F.lit(1)), "s": ("sum", F.col("g")), "m": ("max", F.col("seq"))})
+    rows = W.session(df, ["id"], "ts", width).groupBy("id", "session_no").agg(*W.session_bounds(
+        [F.count(F.lit(1)).alias("n"), F.sum("g").alias("s"), F.max("seq").alias("m")])).drop("session_no")
+    assert got.columns == rows.columns
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, rows.collect()))
+
+
+def test_session_windows_leave_out_rows_without_a_time_or_gap(spark):
+    from eventide.operators import windows as W
+    df = spark.createDataFrame([("a", 1, 5), ("a", None, 5), ("a", 2, None), ("a", 3, 0)], "id string, us long, g long") \
+        .withColumn("ts", F.timestamp_micros("us").cast("timestamp_ntz"))
+    assert [r.n for r in W.session_windows(df, ["id"], "ts", F.col("g"), {"n": ("count", F.lit(1))}).collect()] == [1]
+    none = W.session_windows(df.where("false"), ["id"], "ts", "1 s", {"n": ("count", F.lit(1))})
+    assert none.collect() == []
+
+
+def test_count_windows_match_the_row_forms(spark):
+    from eventide.operators import windows as W
+    rnd = random.Random(3)
+    df = spark.createDataFrame([(rnd.choice("aab"), n, n % 7) for n in range(61)], "id string, seq long, vc int")
+    vs = F.sort_array(F.collect_list("seq")).alias("v")
+    for size, slide in [(5, None), (5, 2), (3, 3), (2, 5)]:
+        got = W.count_windows(df, ["id"], [vs], size, slide)
+        rows = W.count_tumbling(df, ["id"], size) if slide is None else W.count_sliding(df, ["id"], size, slide)
+        want = rows.groupBy("id", "window_no").agg(vs)
+        assert Counter((r.id, r.window_no, tuple(r.v)) for r in got.collect()) == \
+            Counter((r.id, r.window_no, tuple(r.v)) for r in want.collect()), (size, slide)
