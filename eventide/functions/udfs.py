@@ -1,21 +1,14 @@
 """User functions: scalar, aggregate and table functions.
 
-All are native: SQL functions registered by name (``CREATE TEMPORARY
-FUNCTION``) and Column expressions; no Python runs per row (higher-order
-functions are interpreted in the JVM).
+SQL functions registered by name and Column expressions.  Only ``java_hash``
+called by name runs in Python (Arrow batches): it takes any type.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, SparkSession, functions as F
 
-# Java String.hashCode over UTF-16 units, as Spark SQL (see hashing.py).
-JAVA_HASH_SQL = r"""
-CAST(CASE WHEN s = '' THEN 0 ELSE pmod(aggregate(
-    flatten(transform(split(s, ''), c -> CASE WHEN ascii(c) >= 65536
-        THEN array(55296 + shiftright(ascii(c) - 65536, 10), 56320 + pmod(ascii(c) - 65536, 1024))
-        ELSE array(ascii(c)) END)),
-    0L, (a, u) -> pmod(a * 31 + u, 4294967296)) + 2147483648, 4294967296) - 2147483648 END AS INT)"""
+from eventide.functions.hashing import hash_arrow
 
 # Java split on single blanks (trailing empties dropped), as Spark SQL.
 SPLIT_WORDS_SQL = r"""
@@ -26,7 +19,7 @@ SELECT w AS word, length(w) AS length FROM explode(
 
 def register_functions(spark: SparkSession) -> None:
     """Make the user functions callable by name from SQL."""
-    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION java_hash(s STRING) RETURNS INT RETURN {JAVA_HASH_SQL}")
+    spark.udf.register("java_hash", F.arrow_udf(hash_arrow, "int"))
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION split_words(line STRING) "
               f"RETURNS TABLE (word STRING, length INT) RETURN {SPLIT_WORDS_SQL}")
 

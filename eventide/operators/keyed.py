@@ -76,6 +76,20 @@ def value_counts_running(df: DataFrame, keys: Sequence[str], value: str,
     return scan.running(df, [*keys, value], order, {name: ("count", F.lit(1))})
 
 
+def value_map_running(df: DataFrame, keys: Sequence[str], value: str, domain: Sequence,
+                      name: str = "counts", order: str = "seq") -> DataFrame:
+    """K3 running: after each row the whole map value -> count of its key.
+
+    One running sum per value of ``domain``, all in one scan, so the map has at
+    most that many entries; values outside the domain (and null) are not
+    counted."""
+    sums = {f"__v{i}": ("sum", F.when(F.col(value) == v, 1).otherwise(0)) for i, v in enumerate(domain)}
+    d = scan.running(df, keys, order, sums)
+    entries = F.filter(F.array(*[F.struct(F.lit(v).alias("key"), F.col(c).alias("value"))
+                                 for c, v in zip(sums, domain)]), lambda e: e["value"] > 0)
+    return d.withColumn(name, F.map_from_entries(entries)).drop(*sums)
+
+
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """K3 final: the map value -> count per key (size = distinct values)."""
     per = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))

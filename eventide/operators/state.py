@@ -75,9 +75,10 @@ def durable_count(df: DataFrame, key: str, slots: int, key_groups: int = KEY_GRO
     """K7 re-aimed: the count per slot plus the total (slot null).  Counts are
     kept per fixed key group; a slot is a range of groups, so restarting
     with a different slot count just regroups the same checkpointed group
-    counts (``streaming.operators.key_group_counts``)."""
-    d = df.withColumn("slot", slot_of_group(key_group(key, key_groups), slots, key_groups))
-    return d.rollup("slot").agg(F.count(F.lit(1)).alias("cnt"))
+    counts (``streaming.operators.key_group_counts``).  Rows are counted per key
+    first, so only the different keys are hashed."""
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("cnt"))
+    return slot_counts(per_key.select(key_group(key, key_groups).alias("kg"), "cnt"), slots, key_groups)
 
 
 def slot_counts(group_counts: DataFrame, slots: int, key_groups: int = KEY_GROUPS) -> DataFrame:

@@ -7,20 +7,27 @@ from pyspark.sql import functions as F
 from eventide.functions import java_hash, register_functions, weighted_avg
 from eventide.operators.transforms import split_lines
 from eventide.plans.q_basic import DOC_LINES_SQL
-from eventide.plans.q_state import java_hash_sql
+from eventide.plans.q_state import JAVA_HASH_SQL, java_hash_sql
 from eventide.plans.registry import query, sensor, with_sensor
 from eventide.sources.tables import spread, table
 
 
-@query("udf_java_hash", with_sensor(f"SELECT seq, id, {java_hash_sql('id')} AS h, "
-                                    f"{java_hash_sql('id')} AS h_api FROM sensor"))
+_LONG = "(50 - seq) * 1000003"
+_LOW32 = f"(xor({_LONG}, ({_LONG}) >> 32) & 4294967295)"
+
+
+@query("udf_java_hash", with_sensor(f"""SELECT seq, id, {java_hash_sql('id')} AS h, vc - 7 AS h_int,
+    {JAVA_HASH_SQL.replace('x', _LOW32)} AS h_long, CASE WHEN vc > 7 THEN 1231 ELSE 1237 END AS h_bool,
+    true AS api_same FROM sensor"""))
 def udf_java_hash(spark, sf):
-    """Scalar function called from SQL by name and from the
+    """Scalar function of any type, called from SQL by name and from the
     DataFrame API; both give Java's hashCode (s1 = 3614)."""
     register_functions(spark)
-    sensor(spark, sf).createOrReplaceTempView("sensor")
-    return spark.sql("SELECT seq, id, java_hash(id) AS h FROM sensor") \
-        .withColumn("h_api", java_hash("id"))
+    args = {"h": "id", "h_int": "vc - 7", "h_long": _LONG, "h_bool": "vc > 7"}
+    named = spark.sql("SELECT *, " + ", ".join(f"java_hash({a}) AS {n}" for n, a in args.items()) + " FROM {sensor}",
+                      sensor=sensor(spark, sf).select("seq", "id", "vc"))
+    same = [F.col(n) == java_hash(F.expr(a)) for n, a in args.items()]
+    return named.withColumn("api_same", same[0] & same[1] & same[2] & same[3]).drop("vc")
 
 
 @query("udaf_weighted_avg", """SELECT l_suppkey,
@@ -40,5 +47,5 @@ def udtf_split(spark, sf):
     registered by name and joined laterally in SQL."""
     register_functions(spark)
     docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
-    split_lines(docs, "text", ["doc_id"]).createOrReplaceTempView("doc_lines")
-    return spark.sql("SELECT doc_id, line_no, t.word, t.length FROM doc_lines, LATERAL split_words(line) t")
+    return spark.sql("SELECT doc_id, line_no, t.word, t.length FROM {lines}, LATERAL split_words(line) t",
+                     lines=split_lines(docs, "text", ["doc_id"]))

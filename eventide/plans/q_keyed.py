@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from eventide.operators import keyed as K
 from eventide.plans.q_basic import DOC_LINES_SQL, doc_words
 from eventide.plans.registry import query, sensor, with_sensor
-from eventide.sources.sensor import epoch_s
+from eventide.sources.sensor import LEVELS, epoch_s
 
 RUN = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 
@@ -125,12 +125,27 @@ def sql_group_sum(spark, sf):
                      sensor=sensor(spark, sf))
 
 
+def _rendered(counts):
+    """``v:n,...`` by value."""
+    entries = F.transform(F.array_sort(F.map_entries(counts)),
+                          lambda e: F.concat(e["key"].cast("string"), F.lit(":"), e["value"].cast("string")))
+    return F.array_join(entries, ",")
+
+
+_MAP_SQL = ", ".join(f"""CASE WHEN count(CASE WHEN vc = {v} THEN 1 END) OVER w > 0
+    THEN '{v}:' || CAST(count(CASE WHEN vc = {v} THEN 1 END) OVER w AS VARCHAR) END""" for v in range(LEVELS))
+
+
 @query("state_value_counts_running", with_sensor(
-    f"""SELECT seq, id, vc, CAST(count(*) OVER (PARTITION BY id, vc ORDER BY seq {RUN}) AS BIGINT)
-               AS value_count FROM sensor"""))
+    f"""SELECT seq, id, vc, CAST(count(*) OVER (PARTITION BY id, vc ORDER BY seq {RUN}) AS BIGINT) AS value_count,
+               concat_ws(',', {_MAP_SQL}) AS counts
+        FROM sensor WINDOW w AS (PARTITION BY id ORDER BY seq {RUN})"""))
 def state_value_counts_running(spark, sf):
-    """K3 running: map state value -> count; the count of this row's value."""
-    return K.value_counts_running(sensor(spark, sf).select("seq", "id", "vc"), ["id"], "vc")
+    """K3 running: map state value -> count; the whole map and the count of this
+    row's value after every row."""
+    d = K.value_map_running(sensor(spark, sf).select("seq", "id", "vc"), ["id"], "vc", range(LEVELS))
+    return d.select("seq", "id", "vc", F.try_element_at("counts", "vc").alias("value_count"),
+                    _rendered("counts").alias("counts"))
 
 
 @query("state_value_counts", with_sensor("""SELECT id,
@@ -139,7 +154,4 @@ def state_value_counts_running(spark, sf):
 def state_value_counts(spark, sf):
     """K3 final: the whole map per key (rendered ``v:n,...`` by value)."""
     m = K.value_counts(sensor(spark, sf), ["id"], "vc")
-    entries = F.transform(F.map_entries("counts"),
-                          lambda e: F.concat(e["key"].cast("string"), F.lit(":"), e["value"].cast("string")))
-    return m.select("id", F.array_join(entries, ",").alias("counts"))
-
+    return m.select("id", _rendered("counts").alias("counts"))

@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F, types as T
 
+import pytest
+
 from eventide.functions import java_hash, register_functions, split_java, weighted_avg
 from eventide.operators import joins as J
 from eventide.operators import keyed as K
@@ -221,6 +223,37 @@ def test_f19_java_hash(spark):
     assert (r.a, r.b) == (5, 2)
 
 
+def test_java_hash_of_any_type(spark):
+    """Column and SQL forms against values of the Java rules; nulls; refused types."""
+    import struct
+    doubles = [0.0, -0.0, 1.0, -1.5, 0.1, 1e300, -1e-300, 5e-324, 2.2250738585072014e-308, 1.7976931348623157e308,
+               2.0 ** 31, 3.0, float("inf"), float("-inf"), None]
+
+    def fold(bits):
+        h = (bits ^ (bits >> 32)) & 0xFFFFFFFF
+        return h - (1 << 32) if h >= 1 << 31 else h
+    longs = [5, -5, 1 << 33, -(1 << 40) + 3, (1 << 63) - 1, -(1 << 63), None]
+    cases = {"double": (doubles, lambda x: fold(struct.unpack(">Q", struct.pack(">d", x))[0])),
+             "long": (longs, lambda v: fold(v & (1 << 64) - 1)), "int": ([5, -5, None], lambda v: v),
+             "boolean": ([True, False, None], lambda v: 1231 if v else 1237),
+             "string": (["s1", "", None], lambda v: 3614 if v else 0)}
+    register_functions(spark)
+    for kind, (values, want) in cases.items():
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {kind}")
+        expected = [None if v is None else want(v) for v in values]
+        named = spark.sql("SELECT i, java_hash(v) AS h FROM {df}", df=df)
+        assert [r.h for r in named.orderBy("i").collect()] == expected, kind
+        assert [r.h for r in df.select("i", java_hash("v").alias("h")).orderBy("i").collect()] == expected, kind
+    with pytest.raises(Exception, match="no rule for date"):
+        spark.sql("SELECT date'2024-01-01' AS d").select(java_hash("d")).collect()
+
+
+def test_value_map_running(spark, sensor_rows):
+    s = sensor_rows([("s1", 1, 1), ("s1", 2, 2), ("s2", 3, 1), ("s1", 4, 1), ("s1", 5, 9)])
+    got = K.value_map_running(s, ["id"], "vc", [1, 2]).orderBy("seq").collect()
+    assert [r.counts for r in got] == [{1: 1}, {1: 1, 2: 1}, {1: 1}, {1: 2, 2: 1}, {1: 2, 2: 1}]
+
+
 def test_f21_generator(spark):
     d = G.sequence_source(spark, 100, G.number_string, partitions=2)
     vals = [r.value for r in d.collect()]

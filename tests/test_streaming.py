@@ -597,3 +597,23 @@ def test_changelog_stream_equals_batch(spark, replayed, tmp_path):
     cols = ["id", "seq", "op_no", "op", "vc_sum"]
     got = spark.read.parquet(out).drop("batch_id")
     assert _rows(got, cols) == _rows(S.changelog(s.select("id", "seq", "vc"), ["id"], "vc"), cols)
+
+
+@pytest.mark.parametrize("group", [["window_end"], ["id", "window_end"]])
+def test_stream_top_n_equals_batch(spark, replayed, group, tmp_path):
+    """J2 (all sensors) and J3 (per sensor) over sliding windows."""
+    from eventide.sinks.exactly_once import idempotent_batch_writer, read_committed
+    d, s = replayed
+    st = SO.with_event_time(_stream(spark, replayed), "ts", 0)
+    keys = [c for c in group if c != "window_end"]
+    counts = SO.window_aggregate(st, [*keys, "vc"], "event_time", "1 hour", [F.count(F.lit(1)).alias("cnt")], slide="30 minutes")
+    out = str(tmp_path / "out")
+    fn = SO.top_n_batches(group, [F.desc("cnt"), F.asc("vc")], 2, idempotent_batch_writer(out))
+    q = counts.writeStream.foreachBatch(fn).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    final_wm = s.agg(F.max("ts")).first()[0]
+    batch = N.count_top_n(W.sliding(s, "ts", "1 h", "30 min"), group, "vc", 2)
+    closed = batch.filter(F.col("window_end") <= F.lit(final_wm) - F.expr("INTERVAL 1 MILLISECOND"))
+    cols = [*group, "vc", "cnt", "rank"]
+    got = _rows(read_committed(spark, out), cols)
+    assert got == _rows(closed, cols) and len(got) > 100
