@@ -36,8 +36,9 @@ def ttl_state(df: DataFrame, keys: Sequence[str], value: str, ts: str, ttl_us: i
 
     * write-only refresh: the latest earlier write, if ``now < write + ttl``;
     * read-and-write refresh: every row reads, so the value lives as long as
-      consecutive rows of the key are closer than ttl; rows are cut into runs
-      at gaps >= ttl and the value is the latest earlier write in the run.
+      consecutive rows of the key are closer than ttl: the latest earlier
+      write, if no gap >= ttl has ended since (one scan finds the gaps, one
+      the latest write and the latest gap).
     Event time stands in for the processing clock.
     """
     write_when = write_when if write_when is not None else F.col(value) > 10
@@ -49,12 +50,14 @@ def ttl_state(df: DataFrame, keys: Sequence[str], value: str, ts: str, ttl_us: i
                                  F.col(value).alias("v"))))}, exclusive=True)
         alive = F.col("__t") < F.col("__w.t") + F.lit(ttl_us)
         return d.withColumn(name, F.when(alive, F.col("__w.v"))).drop("__t", "__w")
-    d = scan.stage(scan.previous(d, keys, order, F.col("__t"), "__prev_t"))
-    d = d.withColumn("__cut", F.when(F.col("__prev_t").isNull()
-                                     | (F.col("__t") - F.col("__prev_t") >= ttl_us), 1).otherwise(0))
-    d = scan.stage(scan.running(d, keys, order, {"__run": ("sum", F.col("__cut"))}))
-    d = scan.previous(d, [*keys, "__run"], order, F.col(value), name, where=write_when)
-    return d.drop("__t", "__prev_t", "__cut", "__run")
+    d = scan.previous(d, keys, order, F.col("__t"), "__prev_t")
+    d = d.withColumn("__cut", F.col("__t") - F.col("__prev_t") >= ttl_us)
+    d = scan.running(d, keys, order, {
+        "__w": ("max", F.when(write_when, F.struct(F.col(order).alias("o"), F.col(value).alias("v")))),
+        "__c": ("max", F.when(F.col("__cut"), F.col(order)))}, exclusive=True)
+    # the latest write counts unless the key was silent for ttl since, this row's own gap included
+    alive = ~F.coalesce("__cut", F.lit(False)) & (F.col("__c").isNull() | (F.col("__w.o") >= F.col("__c")))
+    return d.withColumn(name, F.when(alive, F.col("__w.v"))).drop("__t", "__prev_t", "__cut", "__w", "__c")
 
 
 KEY_GROUPS = 128

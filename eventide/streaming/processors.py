@@ -88,6 +88,58 @@ class RunningTopK(StatefulProcessor):
 TOPK_SCHEMA = "id string, seq long, vc int, top array<int>"
 
 
+class RunningAverage(StatefulProcessor):
+    """K4, K5: reducing and aggregating state (sum and count of a key's values);
+    emits both results, the sum and the average so far, per row."""
+
+    def init(self, handle) -> None:
+        self.acc = handle.getValueState("acc", T.StructType([T.StructField("s", T.LongType()), T.StructField("n", T.LongType())]))
+
+    def handleInputRows(self, key, rows, timerValues):
+        s, n = self.acc.get() if self.acc.exists() else (0, 0)
+        out = []
+        for seq, vc in _sorted_rows(rows, ["seq", "vc"]):
+            s, n = s + int(vc), n + 1
+            out.append((key[0], int(seq), int(vc), s, s / n))
+        self.acc.update((s, n))
+        if out:
+            yield pd.DataFrame(out, columns=["id", "seq", "vc", "vc_sum", "vc_avg"])
+
+    def close(self) -> None:
+        pass
+
+
+AVERAGE_SCHEMA = "id string, seq long, vc int, vc_sum long, vc_avg double"
+
+
+class ValueCounts(StatefulProcessor):
+    """K3: map state value -> count; emits the whole map per row (by value).
+    The map grows with a key's different values, so it suits levels, not
+    measurements."""
+
+    def init(self, handle) -> None:
+        self.counts = handle.getMapState("counts", _INT, _LONG)
+
+    def handleInputRows(self, key, rows, timerValues):
+        counts = {k[0]: v[0] for k, v in self.counts.iterator()}
+        changed, out = set(), []
+        for seq, vc in _sorted_rows(rows, ["seq", "vc"]):
+            v = int(vc)
+            counts[v] = counts.get(v, 0) + 1
+            changed.add(v)
+            out.append((key[0], int(seq), v, ",".join(f"{k}:{n}" for k, n in sorted(counts.items()))))
+        for v in changed:
+            self.counts.updateValue((v,), (counts[v],))
+        if out:
+            yield pd.DataFrame(out, columns=["id", "seq", "vc", "counts"])
+
+    def close(self) -> None:
+        pass
+
+
+MAP_SCHEMA = "id string, seq long, vc int, counts string"
+
+
 class CountWindow(StatefulProcessor):
     """H6/H7: count window of ``size`` rows sliding by ``slide`` (tumbling
     when equal).  Keeps at most ``size`` rows and the key's row count."""
@@ -140,13 +192,20 @@ class EventTimeTimers(StatefulProcessor):
         self.pending = handle.getValueState("pending", _LONG)
 
     def handleInputRows(self, key, rows, timerValues):
-        for (ts,) in _sorted_rows(rows, ["ts_ms"]):
-            at = int(ts) + self.after_ms
-            if self.delete_previous and self.pending.exists():
-                self.handle.deleteTimer(self.pending.get()[0])
-            self.handle.registerTimer(at)
+        last = None                          # (seq, ts) of the latest row
+        for pdf in rows:
             if self.delete_previous:
-                self.pending.update((at,))
+                at = pdf["seq"].idxmax()
+                here = (int(pdf["seq"][at]), int(pdf["ts_ms"][at]))
+                last = here if last is None else max(last, here)
+            else:
+                for ts in pdf["ts_ms"].unique():
+                    self.handle.registerTimer(int(ts) + self.after_ms)
+        if last is not None:                 # of several timers only the latest row's would stay
+            if self.pending.exists():
+                self.handle.deleteTimer(self.pending.get()[0])
+            self.handle.registerTimer(last[1] + self.after_ms)
+            self.pending.update((last[1] + self.after_ms,))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
@@ -170,8 +229,7 @@ class ProcessingTimeTimers(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         now = timerValues.getCurrentProcessingTimeInMs()
-        for _ in _sorted_rows(rows, ["seq"]):
-            self.handle.registerTimer(now + self.after_ms)
+        self.handle.registerTimer(now + self.after_ms)       # one instant, so one timer
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):

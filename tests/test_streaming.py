@@ -87,6 +87,25 @@ def test_jump_alert_processor_equals_batch(spark, replayed):
     assert _rows(spark.table("st_jump"), cols) == _rows(want, cols)
 
 
+def test_running_average_processor_equals_batch(spark, replayed):
+    from eventide.operators import keyed as K
+    d, s = replayed
+    run_to_end(P.apply(_stream(spark, replayed), "id", P.RunningAverage(), P.AVERAGE_SCHEMA), "st_avg", f"{d}/ck_avg")
+    got = {r.seq: (r.vc_sum, round(r.vc_avg, 9)) for r in spark.table("st_avg").collect()}
+    sums = {r.seq: r.v for r in K.running_sum(s, ["id"], "vc", "v").collect()}
+    avgs = {r.seq: round(r.a, 9) for r in K.running_avg(s, ["id"], "vc", "a").collect()}
+    assert got == {q: (v, avgs[q]) for q, v in sums.items()} and len(got) > 100
+
+
+def test_value_counts_processor_equals_batch(spark, replayed):
+    from eventide.operators import keyed as K
+    d, s = replayed
+    run_to_end(P.apply(_stream(spark, replayed), "id", P.ValueCounts(), P.MAP_SCHEMA), "st_map", f"{d}/ck_map")
+    got = {r.seq: r.counts for r in spark.table("st_map").collect()}
+    batch = K.value_map_running(s, ["id"], "vc", range(15)).collect()
+    assert got == {r.seq: ",".join(f"{k}:{n}" for k, n in sorted(r.counts.items())) for r in batch}
+
+
 def test_topk_processor_equals_batch(spark, replayed):
     d, s = replayed
     out = P.apply(_stream(spark, replayed), "id", P.RunningTopK(3), P.TOPK_SCHEMA)
