@@ -12,7 +12,9 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from eventide.operators.joins import asof_last
 from eventide.operators.topn import top_n
+from eventide.operators.windows import with_ingest_time
 
 
 def with_event_time(df: DataFrame, ts: str, delay_ms: int, name: str = "event_time") -> DataFrame:
@@ -79,9 +81,39 @@ def config_threshold_batch(read_config, sink, value: str = "vc", default: int =
     return run
 
 
+class ConfigThreshold:
+    """F4 streaming with the configuration as a stream of its own: a
+    ``foreachBatch`` function over the union of both inputs (``is_config``, a SQL
+    condition, marks configuration rows).  Inside a micro-batch a row sees the
+    latest configuration before it in arrival order; the last one of a batch is
+    kept as one row per batch id in a shared folder, so a replayed batch starts
+    from the value it started from before."""
+
+    def __init__(self, state_dir: str, is_config: str, value: str, order: str,
+                 emit: Callable[[DataFrame, int], None], default: int = 0, name: str = "threshold"):
+        self.state_dir, self.is_config, self.value, self.order, self.emit, self.default, self.name = \
+            state_dir.rstrip("/"), is_config, value, order, emit, default, name
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        config, value = F.expr(self.is_config), F.col(self.value)
+        before = self.default
+        if batch_id > 0:                     # one row
+            before = batch.sparkSession.read.parquet(f"{self.state_dir}/v={batch_id - 1}").first()[0]
+        seen = asof_last(batch, config, value, self.order, before, self.name)
+        self.emit(seen.filter(~config & (value > F.col(self.name))), batch_id)
+        last = batch.agg(F.max_by(value, F.when(config & value.isNotNull(), F.col(self.order))).alias(self.name))
+        last.select(F.coalesce(self.name, F.lit(before)).alias(self.name)) \
+            .write.mode("overwrite").parquet(f"{self.state_dir}/v={batch_id}")
+
+
 def processing_time_window(df: DataFrame, keys: Sequence[str], size: str,
-                           aggs: Sequence[Column]) -> DataFrame:
-    """H5 streaming: tumbling windows over the ingest clock (one timestamp per
-    micro-batch); every row lands in the window of its batch's start time."""
-    d = df.withColumn("ingest_ts", F.current_timestamp())
-    return window_aggregate(d, keys, "ingest_ts", size, aggs)
+                           aggs: Sequence[Column], slide: str | None = None) -> DataFrame:
+    """H5 streaming: tumbling windows (sliding with ``slide``) over the ingest
+    clock, one timestamp per micro-batch: every row lands in the windows of its
+    batch's start time."""
+    return window_aggregate(with_ingest_time(df, "ingest_ts"), keys, "ingest_ts", size, aggs, slide)
+
+
+def processing_time_session(df: DataFrame, keys: Sequence[str], gap: str, aggs: Sequence[Column]) -> DataFrame:
+    """H5 streaming: sessions over the ingest clock."""
+    return session_aggregate(with_ingest_time(df, "ingest_ts"), keys, "ingest_ts", gap, aggs)

@@ -636,3 +636,51 @@ def test_stream_top_n_equals_batch(spark, replayed, group, tmp_path):
     cols = [*group, "vc", "cnt", "rank"]
     got = _rows(read_committed(spark, out), cols)
     assert got == _rows(closed, cols) and len(got) > 100
+
+
+def test_config_as_a_stream_changes_mid_batch(spark, replayed, tmp_path):
+    """thresholds arrive inside the micro-batches and carry over to the next."""
+    from eventide.sinks.exactly_once import idempotent_batch_writer, read_committed
+    d, s = replayed
+    out = str(tmp_path / "out")
+    fn = SO.ConfigThreshold(str(tmp_path / "state"), "seq % 37 = 0", "vc", "seq", idempotent_batch_writer(out))
+    q = _stream(spark, replayed).writeStream.foreachBatch(fn).option("checkpointLocation", str(tmp_path / "ck")) \
+        .trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    cfg = F.col("seq") % 37 == 0
+    batch = J.asof_last(s, cfg, F.col("vc"), "seq", 0).filter(~cfg & (F.col("vc") > F.col("threshold")))
+    cols = ["seq", "vc", "threshold"]
+    assert _rows(read_committed(spark, out), cols) == _rows(batch, cols)
+    assert len(os.listdir(tmp_path / "state")) == 6 and batch.select("threshold").distinct().count() > 3
+    first = _rows(spark.read.parquet(f"{out}/batch_id=5"), cols)
+    part = sorted(f for f in os.listdir(f"{d}/in") if f.startswith("part-"))[5]
+    fn(spark.read.schema(s.schema).parquet(f"{d}/in/{part}"), 5)      # a replayed batch
+    assert _rows(spark.read.parquet(f"{out}/batch_id=5"), cols) == first and first
+
+
+def test_processing_time_sliding_and_sessions(spark, replayed):
+    """H5: every row is counted in each window of its batch's time."""
+    d, s = replayed
+    n = s.count()
+    count = [F.count(F.lit(1)).alias("n")]
+    run_to_end(SO.processing_time_window(_stream(spark, replayed), ["id"], "1 hour", count, slide="30 minutes"),
+               "st_pt_slide", f"{d}/ck_pt_slide", mode="complete")
+    assert spark.table("st_pt_slide").agg(F.sum("n")).first()[0] == 2 * n
+    run_to_end(SO.processing_time_session(_stream(spark, replayed), ["id"], "1 hour", count),
+               "st_pt_sess", f"{d}/ck_pt_sess", mode="complete")
+    assert spark.table("st_pt_sess").agg(F.sum("n")).first()[0] == n
+    assert spark.table("st_pt_sess").count() == s.select("id").distinct().count()
+
+
+def test_dynamic_gap_session_stream_equals_batch(spark, replayed):
+    """H4: every row brings its own gap."""
+    d, s = replayed
+    st = SO.with_event_time(_stream(spark, replayed), "ts", 0)
+    gap = F.make_interval(mins=(F.col("vc") + 1) * 10)
+    run_to_end(SO.session_aggregate(st, ["id"], "event_time", gap, [F.count(F.lit(1)).alias("n")]), "st_dyn", f"{d}/ck_dyn")
+    batch = W.session_windows(s, ["id"], "ts", (F.col("vc") + 1).cast("long") * F.lit(600 * 10**6), {"n": ("count", F.lit(1))})
+    final_wm = s.agg(F.max("ts")).first()[0]
+    closed = batch.filter(F.col("window_end") <= F.lit(final_wm).cast("timestamp_ntz") - F.expr("INTERVAL 1 MILLISECOND"))
+    cols = ["id", "window_start", "window_end", "n"]
+    got = spark.table("st_dyn").withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols[1:3]})
+    assert _rows(got, cols) == _rows(closed, cols) and len(_rows(got, cols)) > 50
