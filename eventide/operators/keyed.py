@@ -8,7 +8,7 @@ two-level scan of ``scan.running`` so a hot key is spread over many tasks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -60,14 +60,31 @@ def extreme_row(df: DataFrame, keys: Sequence[str], field: str, cols: Sequence[s
         .select(*keys, *[F.col(f"__r.{c}").alias(c) for c in cols])
 
 
+def reduce_fields(df: DataFrame, keys: Sequence[str], fields: Mapping[str, str],
+                  running: bool = False, order: str = "seq") -> DataFrame:
+    """A fold given per field: ``sum``, ``min``, ``max``, ``first`` or
+    ``last`` (in arrival order).  Final: one row per key, an aggregate.  Running:
+    one row per input row, a two-level scan; the first row passes through.  Nulls
+    count in no sum or extreme; ``first`` and ``last`` take them as they are."""
+    unknown = {kind for kind in fields.values()} - {"sum", "min", "max", "first", "last"}
+    if unknown:
+        raise ValueError(f"unknown fold {sorted(unknown)}")
+    place = {f: F.struct(F.col(order).alias("o"), F.col(f).alias("v")) for f in fields}
+    extreme = {"first": "min", "last": "max"}
+    aggs = {f: (extreme[k], place[f]) if k in extreme else (k, F.col(f).cast("bigint") if k == "sum" else F.col(f))
+            for f, k in fields.items()}
+    if running:
+        out = scan.running(df, keys, order, {f"__{f}": a for f, a in aggs.items()})
+    else:
+        out = df.groupBy(*keys).agg(*[scan.LOCAL[kind](c).alias(f"__{f}") for f, (kind, c) in aggs.items()])
+    return out.withColumns({f: F.col(f"__{f}")["v"] if k in extreme else F.col(f"__{f}") for f, k in fields.items()}) \
+        .drop(*[f"__{f}" for f in fields])
+
+
 def reduce_sums(df: DataFrame, keys: Sequence[str], fields: Sequence[str],
                 running: bool = False, order: str = "seq") -> DataFrame:
-    """The reference's fold sums the numeric fields; algebraic, so it is an
-    aggregate (final) or a two-level running sum (running)."""
-    if not running:
-        return df.groupBy(*keys).agg(*[F.sum(F.col(f).cast("bigint")).alias(f) for f in fields])
-    return scan.running(df, keys, order,
-                        {f"{f}": ("sum", F.col(f).cast("bigint")) for f in fields})
+    """G7 as the reference's fold does it: numeric fields are summed."""
+    return reduce_fields(df, keys, {f: "sum" for f in fields}, running, order)
 
 
 def value_counts_running(df: DataFrame, keys: Sequence[str], value: str,

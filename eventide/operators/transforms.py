@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventide.functions.text import lines, words
@@ -57,10 +58,11 @@ def rich_map(df: DataFrame, fn: Callable[[pd.DataFrame, dict], pd.DataFrame], sc
              open_fn: Callable[[], dict] | None = None,
              close_fn: Callable[[dict], None] | None = None) -> DataFrame:
     """Map with a per-task life cycle.  ``open_fn`` runs once per task
-    before the first batch (its result is handed to every call), ``close_fn``
-    once after the last, also on failure.  Batches arrive through Arrow."""
+    before the first batch; its result and the number of the task (``task``) are
+    handed to every call.  ``close_fn`` runs once after the last batch, also on
+    failure.  Batches arrive through Arrow."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ctx = open_fn() if open_fn else {}
+        ctx = {"task": TaskContext.get().partitionId(), **(open_fn() if open_fn else {})}
         try:
             for b in batches:
                 yield fn(b, ctx)

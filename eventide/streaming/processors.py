@@ -112,6 +112,33 @@ class RunningAverage(StatefulProcessor):
 AVERAGE_SCHEMA = "id string, seq long, vc int, vc_sum long, vc_avg double"
 
 
+class KeyChangelog(StatefulProcessor):
+    """T5: the change rows (+I, -U, +U) of a key's sum.  State is the sum and
+    the row count of each key; a batch touches only the keys it holds."""
+
+    def init(self, handle) -> None:
+        self.acc = handle.getValueState("acc", T.StructType([T.StructField("s", T.LongType()), T.StructField("n", T.LongType())]))
+
+    def handleInputRows(self, key, rows, timerValues):
+        s, n = self.acc.get() if self.acc.exists() else (0, 0)
+        out = []
+        for seq, vc in _sorted_rows(rows, ["seq", "vc"]):
+            old, s, n = s, s + int(vc), n + 1
+            if n == 1:
+                out.append((key[0], int(seq), 0, "+I", s))
+            elif s != old:
+                out += [(key[0], int(seq), 0, "-U", old), (key[0], int(seq), 1, "+U", s)]
+        self.acc.update((s, n))
+        if out:
+            yield pd.DataFrame(out, columns=["id", "seq", "op_no", "op", "vc_sum"])
+
+    def close(self) -> None:
+        pass
+
+
+CHANGELOG_SCHEMA = "id string, seq long, op_no int, op string, vc_sum long"
+
+
 class ValueCounts(StatefulProcessor):
     """K3: map state value -> count; emits the whole map per row (by value).
     The map grows with a key's different values, so it suits levels, not

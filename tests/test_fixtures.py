@@ -248,6 +248,49 @@ def test_java_hash_of_any_type(spark):
         spark.sql("SELECT date'2024-01-01' AS d").select(java_hash("d")).collect()
 
 
+def test_reduce_fields(spark, sensor_rows):
+    s = sensor_rows([("s1", 1, 3), ("s1", 2, 1), ("s2", 3, 4), ("s1", 4, 2)]) \
+        .withColumns({"lo": F.col("vc"), "hi": F.col("vc"), "one": F.col("vc"), "end": F.col("vc")})
+    fold = {"vc": "sum", "lo": "min", "hi": "max", "one": "first", "end": "last"}
+    final = K.reduce_fields(s, ["id"], fold).orderBy("id").collect()
+    assert [tuple(r[c] for c in fold) for r in final] == [(6, 1, 3, 3, 2), (4, 4, 4, 4, 4)]
+    run = K.reduce_fields(s, ["id"], fold, running=True).orderBy("seq").collect()
+    assert [tuple(r[c] for c in fold) for r in run] == [(3, 3, 3, 3, 3), (4, 1, 3, 3, 1), (4, 4, 4, 4, 4), (6, 1, 3, 3, 2)]
+    with pytest.raises(ValueError, match="product"):
+        K.reduce_fields(s, ["id"], {"vc": "product"})
+
+
+def test_rich_map_task_number_and_close(spark, tmp_path):
+    """Every task knows its number and closes once, also when it fails."""
+    def mapped(pdf, ctx):
+        if (pdf["id"] < 0).any():
+            raise RuntimeError("bad row")
+        return pdf.assign(task=ctx["task"])
+
+    def close(ctx):
+        (tmp_path / f"{ctx['name']}-{ctx['task']}").touch()
+    df = spark.range(0, 40, 1, 4)
+    out = X.rich_map(df, mapped, "id long, task int", lambda: {"name": "ok"}, close)
+    rows = out.withColumn("pid", F.spark_partition_id()).collect()
+    assert len(rows) == 40 and all(r.task == r.pid for r in rows)
+    assert sorted(f.name for f in tmp_path.glob("ok-*")) == [f"ok-{i}" for i in range(4)]
+    with pytest.raises(Exception, match="bad row"):
+        X.rich_map(spark.range(-1, 0, 1, 1), mapped, "id long, task int", lambda: {"name": "failed"}, close).collect()
+    assert (tmp_path / "failed-0").exists()
+
+
+def test_table_names_and_sql_insert(spark, tmp_path):
+    """Columns named on the way to a table; T3: INSERT INTO a declared table."""
+    named = spark.createDataFrame([("s1", 1, 7), ("s2", 2, 3)]).toDF("id", "ts", "vc")
+    spark.sql(f"CREATE TABLE eventide_sink (id STRING, vc BIGINT) USING parquet LOCATION '{tmp_path / 'sink'}'")
+    try:
+        for _ in range(2):
+            spark.sql("INSERT INTO eventide_sink SELECT id, sum(vc) FROM {t} WHERE vc > 5 GROUP BY id", t=named)
+        assert [tuple(r) for r in spark.table("eventide_sink").collect()] == [("s1", 7), ("s1", 7)]
+    finally:
+        spark.sql("DROP TABLE eventide_sink")
+
+
 def test_value_map_running(spark, sensor_rows):
     s = sensor_rows([("s1", 1, 1), ("s1", 2, 2), ("s2", 3, 1), ("s1", 4, 1), ("s1", 5, 9)])
     got = K.value_map_running(s, ["id"], "vc", [1, 2]).orderBy("seq").collect()

@@ -684,3 +684,27 @@ def test_dynamic_gap_session_stream_equals_batch(spark, replayed):
     cols = ["id", "window_start", "window_end", "n"]
     got = spark.table("st_dyn").withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols[1:3]})
     assert _rows(got, cols) == _rows(closed, cols) and len(_rows(got, cols)) > 50
+
+
+def test_changelog_processor_equals_batch(spark, replayed):
+    """T5 on the state store: each batch touches only its own keys."""
+    d, s = replayed
+    run_to_end(P.apply(_stream(spark, replayed), "id", P.KeyChangelog(), P.CHANGELOG_SCHEMA), "st_kcl", f"{d}/ck_kcl")
+    cols = ["id", "seq", "op_no", "op", "vc_sum"]
+    assert _rows(spark.table("st_kcl"), cols) == _rows(S.changelog(s, ["id"], "vc"), cols)
+
+
+def test_keyed_connect_on_streams_within_a_time_bound(spark, replayed):
+    """E3 on streams: equal keys, times at most two hours apart, so that the
+    state of both sides ends."""
+    d, s = replayed
+    st = SO.with_event_time(_stream(spark, replayed), "ts", 3 * 3600 * 1000)
+
+    def side(df, rest, p, ts):
+        return df.filter(F.col("vc") % 2 == rest).select(F.col("seq").alias(f"{p}_seq"), F.col("id").alias(f"{p}_id"), F.col(ts).alias(f"{p}_ts"))
+    j = J.stream_interval_join(side(st, 0, "l", "event_time"), side(st, 1, "r", "event_time"), "l_id", "r_id", "l_ts", "r_ts",
+                               "-2 hours", "2 hours")
+    run_to_end(j.select("l_seq", "r_seq"), "st_e3", f"{d}/ck_e3")
+    want = J.keyed_match(side(s, 0, "l", "ts"), side(s, 1, "r", "ts"), "l_id", "r_id") \
+        .where("abs(unix_micros(l_ts) - unix_micros(r_ts)) <= 7200000000L")
+    assert _rows(spark.table("st_e3"), ["l_seq", "r_seq"]) == _rows(want, ["l_seq", "r_seq"])
