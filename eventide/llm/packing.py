@@ -27,6 +27,8 @@ from eventide.llm.blocks import gather_runs, sorted_groups, text_blocks
 
 #: Documents whose pieces share a shard, on average.
 SHARD_DOCS = 16_384
+#: Copies of a row that are written out at once.
+COPY_RUN = 10_000
 
 
 def cut(total: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -140,9 +142,16 @@ def _best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarra
 
 def pack(items: DataFrame, shards: int, capacity: int = 1024, key: str = "doc_id") -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to rows of ``(key, piece, start,
-    length, ids_crc32)``.  Every sequence lies in one shard."""
+    length, ids_crc32)``.  Every sequence lies in one shard.
+
+    Equal rows are counted first and dealt as numbered copies, so that many
+    repeats of one row fill all shards alike."""
     kind = items.select(key).schema[0].dataType.simpleString()
-    dealt = (items.withColumn("shard", F.pmod(F.xxhash64(key, "piece", "ids_crc32"), F.lit(shards)))
+    names = [key, "piece", "start", "length", "ids_crc32"]
+    counted = items.groupBy(*names).agg(F.count("*").alias("__n"))
+    runs = counted.withColumn("__from", F.explode(F.sequence(F.lit(0), F.col("__n") - 1, F.lit(COPY_RUN))))
+    copies = runs.select(*names, F.explode(F.sequence("__from", F.least("__n", F.col("__from") + COPY_RUN) - 1)).alias("__copy"))
+    dealt = (copies.select(*names, F.pmod(F.xxhash64(key, "piece", "ids_crc32", "__copy"), F.lit(shards)).alias("shard"))
              .repartition(max(shards, 1), "shard").sortWithinPartitions("shard", key, "piece", "ids_crc32"))
 
     def run(frames):

@@ -136,6 +136,16 @@ def test_op10(spark, edges, empty, docs):
     assert packing.pack_documents(edges, JSON).where("piece = 0").count() == len(EDGES)
 
 
+def test_repeats_of_one_row_fill_all_shards(spark, monkeypatch):
+    monkeypatch.setattr(packing, "COPY_RUN", 7)
+    items = spark.range(4000).selectExpr("if(id < 2000, null, id) as doc_id", "0 as piece", "0L as start", "cast(if(id < 2000, 300, 1 + id % 900) as bigint) as length",
+                                         "cast(if(id < 2000, 9, id) as bigint) as ids_crc32")
+    rows = packing.pack(items, shards=8).collect()
+    assert sorted((r.doc_id or 0, r.length) for r in rows) == sorted((r.doc_id or 0, r.length) for r in items.collect())
+    per_shard = np.bincount([r.sequence_id >> 32 for r in rows], minlength=8)
+    assert per_shard.max() < 1.3 * per_shard.mean()
+
+
 def test_sum_of_squares_places_where_squares_are_least():
     r = random.Random(5)
     sizes = np.array([r.randint(1, 20) for _ in range(150)])
