@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 CONF_CHUNK_ROWS = "eventide.scan.chunkRows"
 DEFAULT_CHUNK_ROWS = 1 << 18
 CONF_CHUNK_MICROS = "eventide.scan.chunkMicros"
-DEFAULT_CHUNK_MICROS = 60 * 1_000_000
+DEFAULT_CHUNK_MICROS = 1_000_000
 
 _CH = "__ev_chunk"
 

@@ -65,3 +65,10 @@ def cut_lineage(df, spark: SparkSession | None = None):
     spark = spark or df.sparkSession
     shared_dir(spark, "lineage")  # makes sure a checkpoint dir is registered
     return df.checkpoint(eager=True)
+
+
+def retire(spark: SparkSession, path: str) -> None:
+    """Remove an old version of a state table from the shared folder (nothing
+    happens where there is none)."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

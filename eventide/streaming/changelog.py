@@ -3,7 +3,7 @@
 Update mode gives only the new value per key and batch.  This
 ``foreachBatch`` function keeps the last sum and row count per key as a
 versioned table in a shared folder (one version per batch id, so a replayed
-batch reads the version before it) and emits, for every input row in
+batch reads the version before it; older versions are removed) and emits, for every input row in
 arrival order, exactly the change rows of the batch form
 ``operators.state.changelog``.
 """
@@ -15,6 +15,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from eventide.operators import scan
+from eventide.session import retire
 
 
 class ChangelogSum:
@@ -49,3 +50,4 @@ class ChangelogSum:
                                          F.max("__count").alias("__n0"))
         carried = self._state(batch, batch_id).join(last.select(*self.keys), self.keys, "left_anti")
         carried.unionByName(last).write.mode("overwrite").parquet(f"{self.state_dir}/v={batch_id}")
+        retire(batch.sparkSession, f"{self.state_dir}/v={batch_id - 2}")

@@ -14,7 +14,8 @@ arrival order), so the result equals the batch form
 (``operators.watermark.late_classify`` / ``late_window_firings``) row for
 row.  State is written as a new version per batch id in a shared folder; a
 replayed batch reads the version before it and overwrites its own, so
-replays are harmless when the outputs are written idempotently too.
+replays are harmless when the outputs are written idempotently too.  Only those
+two versions stay: a batch starts after the one before it is committed.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from eventide.operators import scan
+from eventide.session import retire
 from eventide.sources.sensor import epoch_us, from_epoch_us
 
 
@@ -59,6 +61,7 @@ class LateWindows:
         path = f"{self.state_dir}/v={batch_id}"
         windows.write.mode("overwrite").parquet(f"{path}/windows")
         spark.range(1).select(max_t.cast("long").alias("max_t")).write.mode("overwrite").parquet(f"{path}/meta")
+        retire(spark, f"{self.state_dir}/v={batch_id - 2}")
 
     def _window_cols(self, ws: str = "__ws"):
         return [from_epoch_us(F.col(ws)).alias("window_start"),

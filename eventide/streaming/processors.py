@@ -14,7 +14,9 @@ provider and ``spark.python.unix.domain.socket.enabled=true``.
 from __future__ import annotations
 
 import heapq
+import itertools
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, types as T
 from pyspark.sql.streaming import StatefulProcessor
@@ -23,12 +25,29 @@ _INT = T.StructType([T.StructField("v", T.IntegerType())])
 _LONG = T.StructType([T.StructField("v", T.LongType())])
 
 
+#: Rows that are Python objects, or wait in an output frame, at a time.
+BLOCK = 65_536
+
+
 def _sorted_rows(rows, cols):
-    frames = [pdf for pdf in rows]
-    if not frames:
-        return []
-    pdf = pd.concat(frames, ignore_index=True).sort_values("seq", kind="stable")
-    return list(pdf[cols].itertuples(index=False, name=None))
+    """The rows of a key in arrival order.  Of the micro-batch's rows only the
+    needed columns are kept, as arrays (8 bytes or less per value)."""
+    parts = [[pdf[c].to_numpy() for c in cols] for pdf in rows]
+    if not parts:
+        return
+    values = [np.concatenate(c) for c in zip(*parts)]
+    del parts
+    order = np.argsort(values[cols.index("seq")], kind="stable")
+    for at in range(0, len(order), BLOCK):
+        block = order[at:at + BLOCK]
+        yield from zip(*(v[block].tolist() for v in values))
+
+
+def _frames(rows, columns, dtypes=None):
+    """Output rows as frames of at most ``BLOCK`` rows."""
+    while block := list(itertools.islice(rows, BLOCK)):
+        pdf = pd.DataFrame(block, columns=columns)
+        yield pdf.astype(dtypes) if dtypes else pdf
 
 
 class JumpAlert(StatefulProcessor):
@@ -41,15 +60,15 @@ class JumpAlert(StatefulProcessor):
         self.last = handle.getValueState("last", _INT)
 
     def handleInputRows(self, key, rows, timerValues):
-        out = []
+        return _frames(self._changes(key, rows), ["id", "seq", "vc", "last_value"])
+
+    def _changes(self, key, rows):
         last = self.last.get()[0] if self.last.exists() else 0
         for seq, vc in _sorted_rows(rows, ["seq", "vc"]):
             if abs(int(vc) - last) > self.threshold:
-                out.append((key[0], int(seq), int(vc), last))
+                yield key[0], int(seq), int(vc), last
             last = int(vc)
         self.last.update((last,))
-        if out:
-            yield pd.DataFrame(out, columns=["id", "seq", "vc", "last_value"])
 
     def close(self) -> None:
         pass
@@ -68,18 +87,18 @@ class RunningTopK(StatefulProcessor):
         self.top = handle.getListState("top", _INT)
 
     def handleInputRows(self, key, rows, timerValues):
+        return _frames(self._changes(key, rows), ["id", "seq", "vc", "top"])
+
+    def _changes(self, key, rows):
         heap = [r[0] for r in self.top.get()] if self.top.exists() else []
         heapq.heapify(heap)
-        out = []
         for seq, vc in _sorted_rows(rows, ["seq", "vc"]):
             if len(heap) < self.k:
                 heapq.heappush(heap, int(vc))
             elif vc > heap[0]:
                 heapq.heapreplace(heap, int(vc))
-            out.append((key[0], int(seq), int(vc), sorted(heap, reverse=True)))
+            yield key[0], int(seq), int(vc), sorted(heap, reverse=True)
         self.top.put([(v,) for v in heap])
-        if out:
-            yield pd.DataFrame(out, columns=["id", "seq", "vc", "top"])
 
     def close(self) -> None:
         pass
@@ -96,14 +115,14 @@ class RunningAverage(StatefulProcessor):
         self.acc = handle.getValueState("acc", T.StructType([T.StructField("s", T.LongType()), T.StructField("n", T.LongType())]))
 
     def handleInputRows(self, key, rows, timerValues):
+        return _frames(self._changes(key, rows), ["id", "seq", "vc", "vc_sum", "vc_avg"])
+
+    def _changes(self, key, rows):
         s, n = self.acc.get() if self.acc.exists() else (0, 0)
-        out = []
         for seq, vc in _sorted_rows(rows, ["seq", "vc"]):
             s, n = s + int(vc), n + 1
-            out.append((key[0], int(seq), int(vc), s, s / n))
+            yield key[0], int(seq), int(vc), s, s / n
         self.acc.update((s, n))
-        if out:
-            yield pd.DataFrame(out, columns=["id", "seq", "vc", "vc_sum", "vc_avg"])
 
     def close(self) -> None:
         pass
@@ -120,17 +139,17 @@ class KeyChangelog(StatefulProcessor):
         self.acc = handle.getValueState("acc", T.StructType([T.StructField("s", T.LongType()), T.StructField("n", T.LongType())]))
 
     def handleInputRows(self, key, rows, timerValues):
+        return _frames(self._changes(key, rows), ["id", "seq", "op_no", "op", "vc_sum"])
+
+    def _changes(self, key, rows):
         s, n = self.acc.get() if self.acc.exists() else (0, 0)
-        out = []
         for seq, vc in _sorted_rows(rows, ["seq", "vc"]):
             old, s, n = s, s + int(vc), n + 1
             if n == 1:
-                out.append((key[0], int(seq), 0, "+I", s))
+                yield key[0], int(seq), 0, "+I", s
             elif s != old:
-                out += [(key[0], int(seq), 0, "-U", old), (key[0], int(seq), 1, "+U", s)]
+                yield from ((key[0], int(seq), 0, "-U", old), (key[0], int(seq), 1, "+U", s))
         self.acc.update((s, n))
-        if out:
-            yield pd.DataFrame(out, columns=["id", "seq", "op_no", "op", "vc_sum"])
 
     def close(self) -> None:
         pass
@@ -148,17 +167,18 @@ class ValueCounts(StatefulProcessor):
         self.counts = handle.getMapState("counts", _INT, _LONG)
 
     def handleInputRows(self, key, rows, timerValues):
+        return _frames(self._changes(key, rows), ["id", "seq", "vc", "counts"])
+
+    def _changes(self, key, rows):
         counts = {k[0]: v[0] for k, v in self.counts.iterator()}
-        changed, out = set(), []
+        changed = set()
         for seq, vc in _sorted_rows(rows, ["seq", "vc"]):
             v = int(vc)
             counts[v] = counts.get(v, 0) + 1
             changed.add(v)
-            out.append((key[0], int(seq), v, ",".join(f"{k}:{n}" for k, n in sorted(counts.items()))))
+            yield key[0], int(seq), v, ",".join(f"{k}:{n}" for k, n in sorted(counts.items()))
         for v in changed:
             self.counts.updateValue((v,), (counts[v],))
-        if out:
-            yield pd.DataFrame(out, columns=["id", "seq", "vc", "counts"])
 
     def close(self) -> None:
         pass
@@ -180,23 +200,23 @@ class CountWindow(StatefulProcessor):
         self.n = handle.getValueState("n", _LONG)
 
     def handleInputRows(self, key, rows, timerValues):
+        return _frames(self._changes(key, rows), ["id", "window_no", "n", "vcs"])
+
+    def _changes(self, key, rows):
         buf = list(self.buf.get()) if self.buf.exists() else []
         buf = [(int(s), int(v)) for s, v in buf]
         n = self.n.get()[0] if self.n.exists() else 0
-        out = []
         for seq, vc in _sorted_rows(rows, ["seq", "vc"]):
             n += 1
             buf = (buf + [(int(seq), int(vc))])[-self.size:]
             full = self.slide < self.size or len(buf) == self.size
             if n % self.slide == 0 and full:
                 wno = n // self.size if self.slide == self.size else n
-                out.append((key[0], wno, len(buf), [v for _, v in buf]))
+                yield key[0], wno, len(buf), [v for _, v in buf]
                 if self.slide == self.size:
                     buf = []
         self.buf.put(buf) if buf else self.buf.clear()
         self.n.update((n,))
-        if out:
-            yield pd.DataFrame(out, columns=["id", "window_no", "n", "vcs"])
 
     def close(self) -> None:
         pass
@@ -283,16 +303,16 @@ class TtlValue(StatefulProcessor):
         self.state = handle.getValueState("last", _INT, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues):
-        out = []
+        return _frames(self._changes(key, rows), ["id", "seq", "state"], {"state": "Int32"})
+
+    def _changes(self, key, rows):
         for seq, vc in _sorted_rows(rows, ["seq", "vc"]):
             cur = self.state.get()[0] if self.state.exists() else None
-            out.append((key[0], int(seq), cur))
+            yield key[0], int(seq), cur
             if cur is not None and self.refresh_on_read:
                 self.state.update((cur,))
             if vc > 10:
                 self.state.update((int(vc),))
-        if out:
-            yield pd.DataFrame(out, columns=["id", "seq", "state"]).astype({"state": "Int32"})
 
     def close(self) -> None:
         pass

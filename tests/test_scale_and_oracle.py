@@ -110,6 +110,21 @@ def test_hot_key_is_spread_over_tasks(spark):
     assert [r.s for r in hot] == list(range(1, 2001))
 
 
+def test_burst_minute_is_spread_over_tasks(spark):
+    """A minute that holds every row: the global scan handles it in several
+    partitions, one per second of arrival."""
+    df = spark.range(6000).selectExpr("id as seq", "(id * 7919) % 60000 * 1000 as arr")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = scan.running(df, [], ["arr", "seq"], {"n": ("count", F.lit(1))},
+                           chunk=scan.micros_chunk(df, "arr", scan.DEFAULT_CHUNK_MICROS))
+        rows = out.withColumn("p", F.spark_partition_id()).orderBy("arr", "seq").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert [r.n for r in rows] == list(range(1, 6001))
+    assert len({r.p for r in rows}) > 1
+
+
 def test_no_shared_folder_is_a_clear_error():
     from eventide.session import shared_dir
 

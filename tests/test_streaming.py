@@ -78,6 +78,35 @@ def test_stream_interval_join_equals_batch(spark, replayed):
     assert _rows(spark.table("st_ij"), ["l_seq", "r_seq"]) == _rows(want, ["l_seq", "r_seq"])
 
 
+def test_processors_work_in_blocks(monkeypatch):
+    """Rows of a key in several frames, read and emitted in blocks, in order."""
+    import pandas as pd
+    from eventide.streaming import processors as P
+
+    class Value:
+        def __init__(self):
+            self.v = None
+
+        def exists(self):
+            return self.v is not None
+
+        def get(self):
+            return self.v
+
+        def update(self, v):
+            self.v = v
+
+    monkeypatch.setattr(P, "BLOCK", 3)
+    avg = P.RunningAverage()
+    avg.acc = Value()
+    frames = [pd.DataFrame({"seq": seqs, "vc": [10 * n for n in seqs], "id": "a"}) for seqs in ([7, 1, 4], [2, 6], [], [5, 3])]
+    out = list(avg.handleInputRows(("a",), iter(frames), None))
+    assert [len(f) for f in out] == [3, 3, 1]
+    got = pd.concat(out)
+    assert got["seq"].tolist() == list(range(1, 8)) and got["vc_sum"].tolist() == [10, 30, 60, 100, 150, 210, 280]
+    assert avg.acc.v == (280, 7) and list(avg.handleInputRows(("a",), iter([]), None)) == []
+
+
 def test_jump_alert_processor_equals_batch(spark, replayed):
     d, s = replayed
     out = P.apply(_stream(spark, replayed), "id", P.JumpAlert(10), P.JUMP_SCHEMA)
@@ -410,6 +439,7 @@ def test_late_windows_stream_equals_batch(spark, tmp_path):
     q.awaitTermination(300)
     last = q.lastProgress["batchId"]
     assert last >= 5
+    assert sorted(os.listdir(tmp_path / "state")) == sorted([f"v={last - 1}", f"v={last}"])
     firings = spark.read.parquet(f"{out}/firing").drop("batch_id").unionByName(lw.flush(spark, last, a))
     c = WM.late_classify(a, ["id"], "ts", ["arrival_us", "seq"], size, delay, lateness)
     want = WM.late_window_firings(c, ["id"], "vc", ["arrival_us", "seq"])
@@ -613,6 +643,8 @@ def test_changelog_stream_equals_batch(spark, replayed, tmp_path):
     q = _stream(spark, replayed).writeStream.foreachBatch(cl) \
         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
     q.awaitTermination(300)
+    last = q.lastProgress["batchId"]
+    assert sorted(os.listdir(tmp_path / "state")) == sorted([f"v={last - 1}", f"v={last}"])
     cols = ["id", "seq", "op_no", "op", "vc_sum"]
     got = spark.read.parquet(out).drop("batch_id")
     assert _rows(got, cols) == _rows(S.changelog(s.select("id", "seq", "vc"), ["id"], "vc"), cols)
