@@ -15,6 +15,11 @@ digits), social security numbers (ranges kept), IPv4 addresses (octets up to
 ``DATE_SIDE ** 2`` days), access key ids and long hexadecimal secrets.  What
 fails its validation stays as it is.
 
+Numbers that stand side by side are one run.  Every value that may begin at any
+of its numbers is validated first, and the run is then cut at the valid ones from
+left to right; cards of other groups than 4-4-4-4, 4-6-5 or one are looked for in
+what these leave.  So a value is found whatever number stands beside it.
+
 Null texts stay null, empty texts stay empty; a text is handled within its row,
 so long texts, repeated rows, ties and hot values need no group at all; an empty
 table gives an empty table; other columns are passed through untouched.
@@ -30,20 +35,30 @@ ROUNDS = 8
 DATE_SIDE = 270
 _EPOCH = "1900-01-01"
 
-# The patterns of the kinds, in order of precedence.
+# The patterns of the kinds, as what comes before, the value and
+# what comes after, in order of precedence.
 KINDS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
-    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
-    "phone": r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
-    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "ip": r"(?<![0-9.])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![0-9]|\.[0-9])",
-    "iso": r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])",
-    "dmy": r"(?<![0-9.])[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?![0-9])",
-    "mdy": r"(?<![0-9/])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![0-9/])",
-    "keyid": r"(?<![A-Z0-9])AKIA[A-Z0-9]{16}(?![A-Z0-9])",
-    "hex": r"(?<![0-9A-Za-z])(?=[0-9]*[a-f])(?=[a-f]*[0-9])[0-9a-f]{16,128}(?![0-9A-Za-z])",
+    "email": (r"(?<![A-Za-z0-9._%+-])", r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+", ""),
+    "card": (r"(?<![0-9])", r"(?:[0-9]{4}(?<s>[ -])[0-9]{4}\k<s>[0-9]{4}\k<s>[0-9]{4}|[0-9]{4}(?<t>[ -])[0-9]{6}\k<t>[0-9]{5}|[0-9]{13,19})", r"(?![0-9])"),
+    "phone": (r"(?<![0-9+])", r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}", r"(?![0-9])"),
+    "ssn": (r"(?<![0-9])", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", r"(?![0-9])"),
+    "ip": (r"(?<![0-9.])", r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}", r"(?![0-9]|\.[0-9])"),
+    "iso": (r"(?<![0-9])", r"[0-9]{4}-[0-9]{2}-[0-9]{2}", r"(?![0-9])"),
+    "dmy": (r"(?<![0-9.])", r"[0-9]{2}\.[0-9]{2}\.[0-9]{4}", r"(?![0-9])"),
+    "mdy": (r"(?<![0-9/])", r"[0-9]{2}/[0-9]{2}/[0-9]{4}", r"(?![0-9/])"),
+    "loose": (r"(?<![0-9])", r"[0-9](?:[ -]?[0-9]){12,18}", r"(?![0-9])"),
+    "keyid": (r"(?<![A-Z0-9])", r"AKIA[A-Z0-9]{16}", r"(?![A-Z0-9])"),
+    "hex": (r"(?<![0-9A-Za-z])", r"(?=[0-9]*[a-f])(?=[a-f]*[0-9])[0-9a-f]{16,128}", r"(?![0-9A-Za-z])"),
 }
-PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
+NUMERIC = ("card", "phone", "ssn", "ip", "iso", "dmy", "mdy")
+DATES = {"iso": "yyyy-MM-dd", "dmy": "dd.MM.yyyy", "mdy": "MM/dd/yyyy"}
+_EMAIL, _KEYID, _HEX = ("".join(KINDS[k]) for k in ("email", "keyid", "hex"))
+# Numbers side by side, none of them the beginning of another kind.
+_NUMBER = f"(?!{_EMAIL})(?!{_HEX})[0-9]++"
+RUN = rf"[(+./-]{{0,3}}+{_NUMBER}(?:[ ().+/-]{{1,3}}+{_NUMBER})*+/?+"
+PATTERN = "|".join(f"(?:{p})" for p in (_EMAIL, _KEYID, _HEX, RUN))
+#: The shortest value of a run is an address of seven characters.
+_SHORTEST = 7
 
 
 def let(value: Column, body) -> Column:
@@ -98,6 +113,10 @@ def luhn_sum(digits: Column, check: bool = True) -> Column:
                        F.lit(0), lambda a, d: a + d)
 
 
+def _luhn(digits: Column) -> Column:
+    return luhn_sum(digits) % 10 == 0
+
+
 def _card(s: Column, key: str, back: bool) -> Column:
     def of(d: Column) -> Column:
         payload = F.slice(d, 1, F.size(d) - 1)
@@ -105,7 +124,7 @@ def _card(s: Column, key: str, back: bool) -> Column:
         def with_check(p: Column) -> Column:
             return fill(s, F.concat(p, F.array(F.pmod(10 - luhn_sum(p, False) % 10, F.lit(10)).cast("int"))))
 
-        return F.when(luhn_sum(d) % 10 == 0, let(permute(payload, _constant(payload, 10), "card", key, back), with_check)).otherwise(s)
+        return F.when(_luhn(d), let(permute(payload, _constant(payload, 10), "card", key, back), with_check)).otherwise(s)
     return let(_digits(s), of)
 
 
@@ -116,19 +135,36 @@ def _phone(s: Column, key: str, back: bool) -> Column:
     return let(_digits(s), of)
 
 
+def _fields(s: Column, sep: str) -> Column:
+    return F.transform(F.split(s, rf"\{sep}"), lambda c: c.cast("int"))
+
+
+def _within(f: Column, lows: tuple, sizes: tuple) -> Column:
+    return F.forall(F.zip_with(f, F.array(*[F.struct(F.lit(b).alias("b"), F.lit(n).alias("n")) for b, n in zip(lows, sizes)]),
+                               lambda v, r: (v >= r["b"]) & (v < r["b"] + r["n"])), lambda ok: ok)
+
+
 def _ranges(s: Column, tweak: str, lows: tuple, sizes: tuple, widths: tuple, sep: str, key: str, back: bool) -> Column:
     """Fields between ``sep``, each in its own range; out of range: unchanged."""
     def of(f: Column) -> Column:
         low, size = F.array(*map(F.lit, lows)), F.array(*map(F.lit, sizes))
         values = F.zip_with(f, low, lambda v, b: v - b)
-        valid = F.forall(F.zip_with(values, size, lambda v, n: (v >= 0) & (v < n)), lambda ok: ok)
+        valid = _within(f, lows, sizes)
 
         def shown(p: Column) -> Column:
             parts = [(F.get(p, F.lit(i)) + lows[i]).cast("string") for i in range(len(lows))]
             return F.concat_ws(sep, *[F.lpad(x, w, "0") if w else x for x, w in zip(parts, widths)])
 
         return F.when(valid, let(permute(values, size, tweak, key, back), shown)).otherwise(s)
-    return let(F.transform(F.split(s, rf"\{sep}"), lambda c: c.cast("int")), of)
+    return let(_fields(s, sep), of)
+
+
+def _day(s: Column, form: str) -> Column:
+    """Number of a real day (null: none)."""
+    y, m, d = (F.substring(s, form.index(c) + 1, n).cast("int") for c, n in (("y", 4), ("M", 2), ("d", 2)))
+    day = F.try_to_date(s, form)
+    real = (F.year(day) == y) & (F.month(day) == m) & (F.dayofmonth(day) == d)
+    return F.when(real, F.datediff(day, F.lit(_EPOCH).cast("date")))
 
 
 def _date(s: Column, form: str, key: str, back: bool) -> Column:
@@ -137,10 +173,7 @@ def _date(s: Column, form: str, key: str, back: bool) -> Column:
         return F.when((n >= 0) & (n < DATE_SIDE * DATE_SIDE), let(
             permute(pair, F.array(F.lit(DATE_SIDE), F.lit(DATE_SIDE)), "date", key, back),
             lambda p: F.date_format(F.date_add(F.lit(_EPOCH).cast("date"), F.get(p, F.lit(0)) * DATE_SIDE + F.get(p, F.lit(1))), form))).otherwise(s)
-    y, m, d = (F.substring(s, form.index(c) + 1, n).cast("int") for c, n in (("y", 4), ("M", 2), ("d", 2)))
-    day = F.try_to_date(s, form)
-    real = (F.year(day) == y) & (F.month(day) == m) & (F.dayofmonth(day) == d)
-    return F.coalesce(let(F.when(real, F.datediff(day, F.lit(_EPOCH).cast("date"))), of), s)
+    return F.coalesce(let(_day(s, form), of), s)
 
 
 def _classes(s: Column, tweak: str, key: str, back: bool) -> Column:
@@ -162,24 +195,85 @@ def _hex(s: Column, key: str, back: bool) -> Column:
                                      lambda p: F.array_join(F.transform(p, lambda x: F.lower(F.hex(x.cast("bigint")))), "")))
 
 
+#: Least values and numbers of values of the fields.
+_SSN, _IP = ((1, 1, 1), (665, 99, 9999)), ((0, 0, 0, 0), (256, 256, 256, 256))
+
+
+def _whole(hit: Column, kind: str) -> Column:
+    return hit.rlike(f"^(?:{''.join(KINDS[kind])})$")
+
+
+def _number(hit: Column, key: str, back: bool = False) -> Column:
+    """The pseudonym of a value in a run of numbers."""
+    return (F.when(_whole(hit, "card") | _whole(hit, "loose"), _card(hit, key, back))
+            .when(_whole(hit, "phone"), _phone(hit, key, back))
+            .when(_whole(hit, "ssn"), _ranges(hit, "ssn", *_SSN, (3, 2, 4), "-", key, back))
+            .when(_whole(hit, "ip"), _ranges(hit, "ip", *_IP, (0, 0, 0, 0), ".", key, back))
+            .when(_whole(hit, "iso"), _date(hit, DATES["iso"], key, back))
+            .when(_whole(hit, "dmy"), _date(hit, DATES["dmy"], key, back))
+            .when(_whole(hit, "mdy"), _date(hit, DATES["mdy"], key, back))
+            .otherwise(hit))
+
+
 def pseudonym(hit: Column, key: str, back: bool = False) -> Column:
     """The pseudonym of one found value (``back``: the value of a pseudonym)."""
-    def whole(kind: str) -> Column:
-        return hit.rlike(f"^(?:{KINDS[kind]})$")
-
     last = F.regexp_extract(hit, r"\.[A-Za-z0-9-]+$", 0)
     head = F.regexp_replace(hit, r"\.[A-Za-z0-9-]+$", "")
-    return (F.when(whole("email"), F.concat(_classes(head, "email", key, back), last))
-            .when(whole("card"), _card(hit, key, back))
-            .when(whole("phone"), _phone(hit, key, back))
-            .when(whole("ssn"), _ranges(hit, "ssn", (1, 1, 1), (665, 99, 9999), (3, 2, 4), "-", key, back))
-            .when(whole("ip"), _ranges(hit, "ip", (0, 0, 0, 0), (256, 256, 256, 256), (0, 0, 0, 0), ".", key, back))
-            .when(whole("iso"), _date(hit, "yyyy-MM-dd", key, back))
-            .when(whole("dmy"), _date(hit, "dd.MM.yyyy", key, back))
-            .when(whole("mdy"), _date(hit, "MM/dd/yyyy", key, back))
-            .when(whole("keyid"), F.concat(F.lit("AKIA"), _classes(F.substring(hit, 5, 16), "keyid", key, back)))
-            .when(whole("hex"), _hex(hit, key, back))
-            .otherwise(hit))
+    return (F.when(_whole(hit, "email"), F.concat(_classes(head, "email", key, back), last))
+            .when(_whole(hit, "keyid"), F.concat(F.lit("AKIA"), _classes(F.substring(hit, 5, 16), "keyid", key, back)))
+            .when(_whole(hit, "hex"), _hex(hit, key, back))
+            .otherwise(_number(hit, key, back)))
+
+
+def _valid(hit: Column, kind: str) -> Column:
+    """Whether a hit of the kind is one by its value, too."""
+    if kind == "phone":
+        return F.lit(True)
+    if kind in DATES:
+        return F.coalesce(_day(hit, DATES[kind]).between(0, DATE_SIDE * DATE_SIDE - 1), F.lit(False))
+    if kind in ("ssn", "ip"):
+        return _within(_fields(hit, "-" if kind == "ssn" else "."), *(_SSN if kind == "ssn" else _IP))
+    return _luhn(_digits(hit))
+
+
+def _candidates(s: Column, kind: str, value: str) -> Column:
+    """Patterns of the valid values of a kind, wherever one may begin."""
+    before, _, after = KINDS[kind]
+    hits = F.array_distinct(F.regexp_extract_all(s, F.lit(f"(?=({before}{value}{after}))"), F.lit(1)))
+    return F.transform(F.filter(hits, lambda h: _valid(h, kind)), lambda h: F.concat(F.lit(f"{before}\\Q"), h, F.lit(f"\\E{after}")))
+
+
+def _cut(s: Column, patterns: Column, rest, key: str) -> Column:
+    """``(s, n)``: ``s`` with the values of the patterns replaced, ``rest`` applied
+    to what is between them; ``n`` values changed."""
+    def at(p: Column) -> Column:
+        def put(g: Column) -> Column:
+            new = F.transform(F.regexp_extract_all(s, p, F.lit(0)), lambda h: let(_number(h, key), lambda v: F.struct(v.alias("s"), (v != h).cast("int").alias("n"))))
+            return let(F.concat(new, F.array(F.struct(F.lit("").alias("s"), F.lit(0).alias("n")))), lambda v: F.struct(
+                F.array_join(F.zip_with(g, v, lambda a, b: F.concat(a["s"], b["s"])), "").alias("s"),
+                F.aggregate(F.zip_with(g, v, lambda a, b: a["n"] + b["n"]), F.lit(0), lambda a, x: a + x).alias("n")))
+        return let(F.transform(F.split(s, p, -1), rest), put)
+    return let(F.when(F.size(patterns) > 0, F.array_join(patterns, "|")).otherwise(F.lit("(?!)")), at)
+
+
+def _run(s: Column, key: str) -> Column:
+    """``(s, n)`` of a run of numbers."""
+    def kept(g: Column) -> Column:
+        return F.struct(g.alias("s"), F.lit(0).alias("n"))
+
+    def loose(g: Column) -> Column:
+        # The longest of the valid ones that begin at a number.
+        found = F.concat(*[_candidates(g, "loose", rf"[0-9](?:[ -]?[0-9]){{{n - 1}}}") for n in range(19, 12, -1)])
+        return F.when(F.length(g) > 12, let(found, lambda p: _cut(g, p, kept, key))).otherwise(kept(g))
+
+    found = F.concat(*[_candidates(s, k, KINDS[k][1]) for k in NUMERIC])
+    return F.when(F.length(s) >= _SHORTEST, let(found, lambda p: _cut(s, p, loose, key))).otherwise(kept(s))
+
+
+def _named(hit: Column, key: str) -> Column:
+    """``(s, n)`` of a hit of ``PATTERN``."""
+    return F.when(hit.rlike(f"^(?:{RUN})$"), _run(hit, key)).otherwise(
+        let(pseudonym(hit, key), lambda v: F.struct(v.alias("s"), (v != hit).cast("int").alias("n"))))
 
 
 def pseudonymize(docs: DataFrame, key: str, text: str = "text", count: str | None = None) -> DataFrame:
@@ -191,11 +285,11 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text", count: str | Non
     out = docs.withColumn(hits, F.regexp_extract_all(F.col(text).cast("string"), F.lit(PATTERN), F.lit(0)))
     # Values of a text are handled once each, in a map of the different ones.
     out = out.withColumn(done, F.when(F.size(hits) > 0, F.map_from_arrays(
-        F.array_distinct(hits), F.transform(F.array_distinct(hits), lambda h: pseudonym(h, key)))))
+        F.array_distinct(hits), F.transform(F.array_distinct(hits), lambda h: _named(h, key)))))
     gaps = F.split(F.col(text).cast("string"), PATTERN, -1)
-    named = F.concat(F.transform(F.col(hits), lambda h: F.element_at(F.col(done), h)), F.array(F.lit("")))
+    named = F.concat(F.transform(F.col(hits), lambda h: F.element_at(F.col(done), h)["s"]), F.array(F.lit("")))
     new = F.when(F.size(hits) > 0, F.array_join(F.zip_with(gaps, named, lambda g, h: F.concat(g, h)), "")).otherwise(F.col(text).cast("string"))
-    changed = F.coalesce(F.size(F.filter(F.col(hits), lambda h: F.element_at(F.col(done), h) != h)), F.lit(0))
+    changed = F.aggregate(F.transform(F.col(hits), lambda h: F.element_at(F.col(done), h)["n"]), F.lit(0), lambda a, x: a + x)
     out = out.withColumn(n, F.when(F.size(hits) > 0, changed).otherwise(F.lit(0))).withColumn(text, new)
     if count:
         out = out.withColumn(count, F.col(n).cast("bigint"))

@@ -340,6 +340,24 @@ def test_feistel_round_trip_and_formats(spark, edges, empty):
     assert a == f"pay {b}."
 
 
+def test_feistel_neighbouring_values(spark):
+    one = {v: None for v in ("4111111111111111", "4111 1111 1111 1111", "3782 822463 10005", "41111111 11111111", "017-555-7713", "212-555-1234", "(212) 555-1234",
+                             "+1 212 555 1234", "123-45-6789", "1980-01-02", "1985-03-04", "12/31/1999", "97.51.17.173", "ann@x.org")}
+    alone = spark.createDataFrame([(v,) for v in one], "v string").select("v", feistel.pseudonym(F.col("v"), "key").alias("p"))
+    one = {x.v: x.p for x in alone.collect()}
+    assert all(v != p for v, p in one.items())
+    cases = ["card {4111111111111111} 123", "{4111 1111 1111 1111} 12/27", "12 {4111111111111111}", "1234 {4111 1111 1111 1111}", "{017-555-7713} {212-555-1234}",
+             "{212-555-1234} {123-45-6789}", "{212-555-1234}-{123-45-6789}", "{1980-01-02} {1985-03-04}", "{1980-01-02}-{1985-03-04}",
+             "{4111111111111111} {12/31/1999}", "{4111 1111 1111 1111} {(212) 555-1234}", "{3782 822463 10005} {+1 212 555 1234}", "7 {97.51.17.173} 4",
+             "{41111111 11111111}", "{41111111 11111111} {212-555-1234}", "5 {ann@x.org}", "4111 1111 1111 1112 {123-45-6789}", "4111111111111112 5 6"]
+    texts = [re.sub("[{}]", "", c) for c in cases]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = feistel.pseudonymize(df, "key", count="n").orderBy("doc_id").collect()
+    for c, x in zip(cases, got):
+        assert x.text == re.sub(r"\{(.*?)\}", lambda m: one[m[1]], c), c
+        assert x.n == c.count("{"), c
+
+
 def test_feistel_is_a_permutation(spark):
     df = spark.range(270 * 3).select(F.array((F.col("id") / 270).cast("int"), (F.col("id") % 270).cast("int")).alias("v"))
     out = df.select(feistel.permute(F.col("v"), F.array(F.lit(3), F.lit(270)), "t", "k").alias("p")).distinct()
