@@ -10,7 +10,7 @@ pseudonyms in all documents and stay linked, whatever their separators.
 
 Kinds: email addresses (letters and digits of all but the last label), payment
 cards (13 to 19 digits, check digit right), telephone numbers (the ten national
-digits), social security numbers (ranges kept), IPv4 addresses (octets up to
+digits), social security numbers (areas 1-665 and 667-899), IPv4 addresses (octets up to
 255), dates (ISO, dd.mm.yyyy, mm/dd/yyyy; real days from 1900-01-01 on over
 ``DATE_SIDE ** 2`` days), access key ids and long hexadecimal secrets.  What
 fails its validation stays as it is.
@@ -196,7 +196,24 @@ def _hex(s: Column, key: str, back: bool) -> Column:
 
 
 #: Least values and numbers of values of the fields.
-_SSN, _IP = ((1, 1, 1), (665, 99, 9999)), ((0, 0, 0, 0), (256, 256, 256, 256))
+_SSN, _IP = ((1, 1, 1), (898, 99, 9999)), ((0, 0, 0, 0), (256, 256, 256, 256))
+
+
+def _ssn_fields(s: Column) -> Column:
+    """The fields with areas numbered without a gap (666 is none)."""
+    return F.transform(_fields(s, "-"), lambda v, i: F.when((i == 0) & (v == 666), F.lit(0)).when((i == 0) & (v > 666), v - 1).otherwise(v))
+
+
+def _ssn(s: Column, key: str, back: bool) -> Column:
+    def of(f: Column) -> Column:
+        def shown(p: Column) -> Column:
+            area = F.get(p, F.lit(0)) + 1
+            parts = (F.when(area > 665, area + 1).otherwise(area), F.get(p, F.lit(1)) + 1, F.get(p, F.lit(2)) + 1)
+            return F.concat_ws("-", *[F.lpad(x.cast("string"), w, "0") for x, w in zip(parts, (3, 2, 4))])
+
+        sizes = F.array(*map(F.lit, _SSN[1]))
+        return F.when(_within(f, *_SSN), let(permute(F.transform(f, lambda v: v - 1), sizes, "ssn", key, back), shown)).otherwise(s)
+    return let(_ssn_fields(s), of)
 
 
 def _whole(hit: Column, kind: str) -> Column:
@@ -207,7 +224,7 @@ def _number(hit: Column, key: str, back: bool = False) -> Column:
     """The pseudonym of a value in a run of numbers."""
     return (F.when(_whole(hit, "card") | _whole(hit, "loose"), _card(hit, key, back))
             .when(_whole(hit, "phone"), _phone(hit, key, back))
-            .when(_whole(hit, "ssn"), _ranges(hit, "ssn", *_SSN, (3, 2, 4), "-", key, back))
+            .when(_whole(hit, "ssn"), _ssn(hit, key, back))
             .when(_whole(hit, "ip"), _ranges(hit, "ip", *_IP, (0, 0, 0, 0), ".", key, back))
             .when(_whole(hit, "iso"), _date(hit, DATES["iso"], key, back))
             .when(_whole(hit, "dmy"), _date(hit, DATES["dmy"], key, back))
@@ -231,8 +248,10 @@ def _valid(hit: Column, kind: str) -> Column:
         return F.lit(True)
     if kind in DATES:
         return F.coalesce(_day(hit, DATES[kind]).between(0, DATE_SIDE * DATE_SIDE - 1), F.lit(False))
-    if kind in ("ssn", "ip"):
-        return _within(_fields(hit, "-" if kind == "ssn" else "."), *(_SSN if kind == "ssn" else _IP))
+    if kind == "ssn":
+        return _within(_ssn_fields(hit), *_SSN)
+    if kind == "ip":
+        return _within(_fields(hit, "."), *_IP)
     return _luhn(_digits(hit))
 
 

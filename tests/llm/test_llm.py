@@ -358,6 +358,19 @@ def test_feistel_neighbouring_values(spark):
         assert x.n == c.count("{"), c
 
 
+def test_feistel_social_security_areas(spark):
+    vals = [f"{a:03d}-12-3456" for a in range(1000)]
+    df = spark.createDataFrame([(v,) for v in vals], "v string").select("v", feistel.pseudonym(F.col("v"), "key").alias("p"))
+    rows = df.withColumn("b", feistel.pseudonym(F.col("p"), "key", back=True)).collect()
+    for x in rows:
+        valid = lambda s: 1 <= int(s[:3]) <= 899 and s[:3] != "666" and "00" != s[4:6] and "0000" != s[7:]
+        assert x.b == x.v and (valid(x.p) and x.p != x.v if valid(x.v) else x.p == x.v)
+    assert len({x.p for x in rows}) == 1000
+    text = spark.createDataFrame([(1, "701-12-3456 666-12-3456")], "doc_id int, text string")
+    out = feistel.pseudonymize(text, "key", count="n").collect()[0]
+    assert out.n == 1 and out.text.endswith(" 666-12-3456")
+
+
 def test_feistel_is_a_permutation(spark):
     df = spark.range(270 * 3).select(F.array((F.col("id") / 270).cast("int"), (F.col("id") % 270).cast("int")).alias("v"))
     out = df.select(feistel.permute(F.col("v"), F.array(F.lit(3), F.lit(270)), "t", "k").alias("p")).distinct()
