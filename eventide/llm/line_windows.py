@@ -7,7 +7,8 @@ every occurrence but the first (smallest doc_id, then position) removes the
 lines it covers, blank lines between them included.  Overlapping windows cover
 together.
 
-Documents with fewer than three lines keep them; null texts stay null; a
+Documents with fewer than three lines keep them, as the SQL form of op5 has it; with
+``short`` all their lines are one window, so exact copies of them go, too.  Null texts stay null; a
 document whose lines all go keeps an empty text.  Rows with the same doc_id are
 told apart by their text; equal rows are one occurrence and are treated alike.
 A null doc_id comes first in the order.  An empty table gives an empty table;
@@ -26,35 +27,37 @@ WINDOW = 3
 _BLANK = " \t\r"
 
 
-def _windows(docs: DataFrame, text: str, key: str) -> DataFrame:
+def _windows(docs: DataFrame, text: str, key: str, short: bool = False) -> DataFrame:
     """``(id, th, a, b, w1, w2)``: lines ``a`` to ``b`` of a document as a window."""
     trimmed = F.transform(F.split(F.col(text).cast("string"), "\n"), lambda l: F.btrim(l, F.lit(_BLANK)))
     full = F.filter(F.transform(trimmed, lambda l, i: F.struct(i.alias("i"), F.length(l).alias("n"), F.xxhash64(l).alias("h"),
                                                                 F.xxhash64(F.lit("second"), l).alias("g"))), lambda s: s["n"] > 0)
-    rows = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("th"), full.alias("lines")).where(F.size("lines") >= WINDOW)
+    rows = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("th"), full.alias("lines")).where(F.size("lines") >= (1 if short else WINDOW))
 
     def window(i: Column) -> Column:
         at = [F.get(F.col("lines"), i + k) for k in range(WINDOW)]
-        return F.struct(at[0]["i"].alias("a"), at[-1]["i"].alias("b"), F.xxhash64(*[x["h"] for x in at]).alias("w1"),
+        # Lines that a short document lacks are null, which the hashes pass over.
+        return F.struct(at[0]["i"].alias("a"), F.coalesce(*[x["i"] for x in reversed(at)]).alias("b"), F.xxhash64(*[x["h"] for x in at]).alias("w1"),
                         F.xxhash64(*[x["g"] for x in at]).alias("w2"))
 
-    made = F.transform(F.sequence(F.lit(0), F.size("lines") - WINDOW), window)
+    made = F.transform(F.sequence(F.lit(0), F.greatest(F.size("lines") - WINDOW, F.lit(0))), window)
     return rows.select("id", "th", F.inline(made))
 
 
-def removals(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def removals(docs: DataFrame, text: str = "text", key: str = "doc_id", short: bool = False) -> DataFrame:
     """``(id, th, a, b)``: the line ranges of later occurrences."""
-    windows = _windows(docs, text, key)
+    windows = _windows(docs, text, key, short)
     place = F.struct("id", "th", "a")
     first = cut_lineage(windows.groupBy("w1", "w2").agg(F.min(place).alias("first"), F.count("*").alias("n"), F.max(place).alias("last"))
                         .where("n > 1 AND NOT (first <=> last)").select("w1", "w2", "first"))
     return windows.join(first, ["w1", "w2"]).where(~place.eqNullSafe(F.col("first"))).select("id", "th", "a", "b")
 
 
-def deduplicate(docs: DataFrame, text: str = "text", key: str = "doc_id", counts: bool = False) -> DataFrame:
+def deduplicate(docs: DataFrame, text: str = "text", key: str = "doc_id", counts: bool = False, short: bool = False) -> DataFrame:
     """``docs`` without the lines of repeated windows; ``counts`` adds
-    ``n_lines`` and ``n_removed``."""
-    cut = removals(docs, text, key).groupBy("id", "th").agg(F.collect_set(F.struct("a", "b")).alias("cut"))
+    ``n_lines`` and ``n_removed``; ``short``: documents with one or two lines
+    form one window of them."""
+    cut = removals(docs, text, key, short).groupBy("id", "th").agg(F.collect_set(F.struct("a", "b")).alias("cut"))
     cut = cut.select(F.col("id").alias("__id"), F.col("th").alias("__th"), F.col("cut").alias("__cut"))
     out = docs.join(cut, docs[key].eqNullSafe(cut["__id"]) & (F.xxhash64(docs[text]) == cut["__th"]), "left")
     lines = F.split(F.col(text).cast("string"), "\n")
