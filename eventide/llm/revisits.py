@@ -12,7 +12,8 @@ last response of each span carried over the spans of a URL.  A URL that holds a
 third of all captures is so dealt over its spans, and of a span only one row
 travels.  Payloads are not moved: the result names the response.
 
-Null URLs resolve to nothing; a null time comes before all others; null headers
+Null URLs resolve to nothing (they are no response, and their rows are dealt over
+spans of their own); a null time comes before all others; null headers
 count as none; repeated records are resolved each on its own; an empty table
 gives an empty table; other columns are not read.
 """
@@ -86,15 +87,16 @@ def resolve(records: DataFrame, span: int = SPAN) -> DataFrame:
     base = records.select(
         "record_id", canonical_url(F.col("url")).alias("u"), F.coalesce(F.unix_micros("ts"), F.lit(-(1 << 62))).alias("at"),
         F.coalesce("full", F.lit(False)).alias("full"), "etag", "last_modified", "digest", "headers")
-    base = base.withColumn("span", F.floor(F.col("at") / (span * 1_000_000)))
-    answer = F.when(F.col("full"), F.struct("at", "record_id", "etag", "last_modified", "digest", "headers"))
+    lost = F.col("u").isNull()
+    base = base.withColumn("span", F.when(lost, F.xxhash64("record_id", "at", "etag", "digest")).otherwise(F.floor(F.col("at") / (span * 1_000_000))))
+    answer = F.when(F.col("full") & ~lost, F.struct("at", "record_id", "etag", "last_modified", "digest", "headers"))
     # At the same time a revisit comes first: the response must be earlier.
     order = ["at", F.col("full").cast("int"), "record_id"]
     near = Window.partitionBy("u", "span").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = base.withColumn("near", F.last(answer, ignorenulls=True).over(near)).where("NOT full")
-    spans = base.where("full").select("u", "span", F.struct("at", "record_id", "etag", "last_modified", "digest", F.map_entries("headers").alias("headers")).alias("r"))
+    spans = base.where("full AND u IS NOT NULL").select("u", "span", F.struct("at", "record_id", "etag", "last_modified", "digest", F.map_entries("headers").alias("headers")).alias("r"))
     spans = spans.groupBy("u", "span").agg(F.max_by("r", F.struct(F.col("r.at"), F.col("r.record_id"))).alias("r"))
-    open_ = local.where("near IS NULL").select("u", "span").distinct().withColumn("r", F.lit(None).cast(spans.schema["r"].dataType))
+    open_ = local.where("near IS NULL AND u IS NOT NULL").select("u", "span").distinct().withColumn("r", F.lit(None).cast(spans.schema["r"].dataType))
     earlier = Window.partitionBy("u").orderBy("span").rangeBetween(Window.unboundedPreceding, -1)
     carried = (spans.unionByName(open_).groupBy("u", "span").agg(F.first("r", ignorenulls=True).alias("r"))
                .withColumn("far", F.last("r", ignorenulls=True).over(earlier)).where("far IS NOT NULL").select("u", "span", "far"))

@@ -401,6 +401,17 @@ def test_revisits(spark):
     assert revisits.resolve(df.withColumn("ts", F.timestamp_seconds("s")).where("false")).count() == 0
 
 
+def test_revisits_null_urls(spark):
+    rows = [(1, None, 10, True, '"1"'), (2, None, 20, False, '"1"'), (3, None, 200_000, False, '"2"'), (4, "https://a.com/x", 30, False, '"1"'),
+            (5, None, 20, True, '"2"'), (5, None, 20, False, '"1"')]
+    df = spark.createDataFrame(rows, "record_id bigint, url string, s bigint, full boolean, etag string").select(
+        "*", F.timestamp_seconds("s").alias("ts"), F.lit(None).cast("string").alias("last_modified"), F.lit(None).cast("string").alias("digest"),
+        F.lit(None).cast("map<string,string>").alias("headers"))
+    for span in (60, 86_400, 10**9):
+        got = sorted((r.record_id, r.response_id, r.outcome) for r in revisits.resolve(df, span).collect())
+        assert got == [(k, None, "orphan") for k in (2, 3, 4, 5)]
+
+
 def test_revisits_span_does_not_matter(spark):
     records = revisits.captures(spark.read.parquet(f"{SMALL}/pages.parquet"))
     a, b = (sorted((r.record_id, str(r.response_id), r.outcome) for r in revisits.resolve(records, span).collect()) for span in (600, 10**9))
