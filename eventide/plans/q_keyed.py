@@ -142,10 +142,16 @@ _MAP_SQL = ", ".join(f"""CASE WHEN count(CASE WHEN vc = {v} THEN 1 END) OVER w >
         FROM sensor WINDOW w AS (PARTITION BY id ORDER BY seq {RUN})"""))
 def state_value_counts_running(spark, sf):
     """K3 running: map state value -> count; the whole map and the count of this
-    row's value after every row."""
-    d = K.value_map_running(sensor(spark, sf).select("seq", "id", "vc"), ["id"], "vc", range(LEVELS))
-    return d.select("seq", "id", "vc", F.try_element_at("counts", "vc").alias("value_count"),
-                    _rendered("counts").alias("counts"))
+    row's value after every row.  The map has an entry for each level seen, those
+    of negative values included; null is no level and has none, but is counted in
+    ``value_count``."""
+    return _value_counts_running(sensor(spark, sf).select("seq", "id", "vc"))
+
+
+def _value_counts_running(s):
+    d = K.value_map_running(s, ["id"], "vc", range(1 - LEVELS, LEVELS))
+    d = K.value_counts_running(d, ["id"], "vc")
+    return d.select("seq", "id", "vc", "value_count", _rendered("counts").alias("counts"))
 
 
 @query("state_value_counts", with_sensor("""SELECT id,

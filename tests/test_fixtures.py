@@ -297,6 +297,14 @@ def test_value_map_running(spark, sensor_rows):
     assert [r.counts for r in got] == [{1: 1}, {1: 1, 2: 1}, {1: 1}, {1: 2, 2: 1}, {1: 2, 2: 1}]
 
 
+def test_value_counts_running_of_all_levels(spark, sensor_rows):
+    from eventide.plans.q_keyed import _value_counts_running
+    s = sensor_rows([("s1", 1, -2), ("s1", 2, None), ("s1", 3, -2), ("s1", 4, None), ("s1", 5, 14)])
+    got = _value_counts_running(s.select("seq", "id", "vc")).orderBy("seq").collect()
+    assert [r.value_count for r in got] == [1, 1, 2, 2, 1]
+    assert [r.counts for r in got] == ["-2:1", "-2:1", "-2:2", "-2:2", "-2:2,14:1"]
+
+
 def test_f21_generator(spark):
     d = G.sequence_source(spark, 100, G.number_string, partitions=2)
     vals = [r.value for r in d.collect()]
