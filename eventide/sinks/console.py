@@ -6,10 +6,12 @@ import sys
 
 from pyspark.sql import DataFrame
 
+from eventide.sinks.custom import RowSink
+
 
 def print_batch(label: str | None = None, to_stderr: bool = False):
-    """A ``foreachBatch`` function that prints every row of each micro-batch;
-    one partition at a time passes through the driver's console."""
+    """A ``foreachBatch`` function that prints every row of each micro-batch on
+    the driver's console, one partition at a time: for looking at small batches."""
     def run(df: DataFrame, batch_id: int) -> None:
         out = sys.stderr if to_stderr else sys.stdout
         prefix = f"{label}> " if label else ""
@@ -18,6 +20,16 @@ def print_batch(label: str | None = None, to_stderr: bool = False):
     return run
 
 
+def print_rows(label: str | None = None, to_stderr: bool = False) -> RowSink:
+    """A row sink that prints every row in the task that holds it."""
+    prefix = f"{label}> " if label else ""
+
+    def show(_, row) -> None:
+        print(f"{prefix}{row}", file=sys.stderr if to_stderr else sys.stdout, flush=True)
+    return RowSink(show)
+
+
 def print_stream(df: DataFrame, label: str | None = None, to_stderr: bool = False):
-    """Streaming print sink: returns the un-started writer."""
-    return df.writeStream.foreachBatch(print_batch(label, to_stderr))
+    """Streaming print sink: returns the un-started writer.  The tasks print; no
+    row passes through the driver."""
+    return df.writeStream.foreach(print_rows(label, to_stderr))

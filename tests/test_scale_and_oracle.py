@@ -149,6 +149,18 @@ def test_print_batch_prints_every_row(spark, capsys):
     assert capsys.readouterr().out.count("p> ") == 25
 
 
+def test_print_stream_prints_in_the_tasks(spark, capsys, tmp_path):
+    from eventide.sinks.console import print_rows, print_stream
+    print_rows("p").run_partition(iter(range(25)))
+    assert capsys.readouterr().out.count("p> ") == 25
+    spark.range(25).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("id bigint").parquet(str(tmp_path / "in"))
+    q = print_stream(stream, "p").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "ck")).start()
+    q.awaitTermination()
+    assert q.exception() is None and q.recentProgress[0]["numInputRows"] == 25
+    assert "p> " not in capsys.readouterr().out  # not on the driver
+
+
 def test_sequence_ends(spark):
     from eventide.sources import generators as G
     got = G.sequence_source(spark, 50, G.table_spec({"ts": ("sequence", 5, 14), "r": ("random", 1, 3)})).collect()
