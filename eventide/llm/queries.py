@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventide.llm import (
-    byte_bpe, feistel, line_windows, packing, prefix_counts, pstable, revisits, sql, toxicity, trie_join, winnowing,
+    alignment, byte_bpe, feistel, line_windows, packing, prefix_counts, pstable, revisits, sql, toxicity, trie_join, winnowing,
 )
 from eventide.sources.tables import table
 
@@ -82,3 +82,9 @@ def op9_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
