@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventide.llm import (
-    alignment, byte_bpe, feistel, line_windows, packing, prefix_counts, pstable, revisits, sql, toxicity, trie_join, winnowing,
+    alignment, byte_bpe, feistel, line_windows, multi_index, packing, prefix_counts, pstable, revisits, sql, toxicity, trie_join, winnowing,
 )
 from eventide.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op3_revisits": sql.REVISITS, "op5_line_windows": sql.LINE_WINDOWS}
+ORACLES: dict[str, str] = {"op3_revisits": sql.REVISITS, "op5_line_windows": sql.LINE_WINDOWS,
+                           "op11_hard_negatives": sql.HARD_NEGATIVES}
 
 #: Key of the pseudonyms in the registered query and the pipeline; a real run
 #: passes a secret of its own.
@@ -84,6 +85,12 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return multi_index.hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label), "vec_id % 100 = 0")
+
+
 @query
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
