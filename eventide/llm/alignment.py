@@ -36,7 +36,9 @@ from eventide.llm.byte_bpe import byte_alphabet
 from eventide.session import shared_dir
 
 #: Characters whose documents share a block of pair counts.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 1_000_000
+#: Characters that the tokenizers get at once.
+ENCODE_CHARS = 100_000
 _COMMA, _BAR, _SEMICOLON = 44, 124, 59
 
 
@@ -131,21 +133,34 @@ class Sides:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[1:-1], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]) -> tuple[list, list]:
+    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of both sides per text; none of either where the bytes differ."""
-        none: list[int] = []
+        none = np.zeros(0, dtype=np.uint32)
         left, right = [none] * len(texts), [none] * len(texts)
         some = [i for i, t in enumerate(texts) if t]
-        spaced = [" " + texts[i] for i in some]
-        encoded = self.a.encode_batch(spaced, add_special_tokens=False) if some else []
-        pieces = self.b.encode([texts[i] for i in some], num_threads=1) if some else []
-        for i, text, x, y in zip(some, spaced, encoded, pieces):
-            raw, ids = text.encode(), x.ids
-            if b"".join(map(self.a_bytes.__getitem__, ids)) == raw and b"".join(map(self.b_bytes.__getitem__, y)) == raw:
-                left[i], right[i] = ids, y
+        for few in _slices(some, [len(texts[i]) for i in some], ENCODE_CHARS):
+            spaced = [" " + texts[i] for i in few]
+            encoded = self.a.encode_batch_fast(spaced, add_special_tokens=False)
+            pieces = self.b.encode([texts[i] for i in few], num_threads=1)
+            for i, text, x, y in zip(few, spaced, encoded, pieces):
+                raw, ids = text.encode(), x.ids
+                if b"".join(map(self.a_bytes.__getitem__, ids)) == raw and b"".join(map(self.b_bytes.__getitem__, y)) == raw:
+                    left[i], right[i] = np.array(ids, dtype=np.uint32), np.array(y, dtype=np.uint32)
         return left, right
 
 
+def _slices(items: list, sizes: list[int], most: int):
+    """Runs of items of at most ``most`` in all, or a single larger one."""
+    begin, held = 0, 0
+    for k, n in enumerate(sizes):
+        if k > begin and held + n > most:
+            yield items[begin:k]
+            begin, held = k, 0
+        held += n
+    if begin < len(items):
+        yield items[begin:]
+
+
 def _digits(size: int) -> np.ndarray:
     """Decimal digits of the numbers below ``size``, right-aligned, zero bytes before."""
     n = np.arange(size)
@@ -174,10 +189,8 @@ def shown(a_ids: np.ndarray, b_ids: np.ndarray, groups: Groups, digits: np.ndarr
     return flat, np.cumsum(length)[begin + na + nb - 1]
 
 
-def _flat(lists: list) -> tuple[np.ndarray, np.ndarray]:
-    at = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
-    ids = np.fromiter((i for x in lists for i in x), np.int64, int(at[-1]))
-    return at, ids
+def _flat(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64), np.concatenate(lists).astype(np.int64)
 
 
 def align_block(texts: list[str], sides: Sides, digits: np.ndarray) -> dict:

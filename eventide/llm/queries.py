@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventide.llm import (
-    alignment, byte_bpe, feistel, line_windows, multi_index, packing, prefix_counts, pstable, revisits, sql, toxicity, trie_join, winnowing,
+    alignment, byte_bpe, feistel, line_windows, multi_index, neighbour_graph, packing, prefix_counts, pstable, revisits, sql, toxicity, trie_join, winnowing,
 )
 from eventide.sources.tables import table
 
@@ -95,3 +95,8 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                            public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op13_neighbour_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_graph.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20)
