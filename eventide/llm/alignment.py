@@ -13,7 +13,8 @@ own pairs first, so that a pair that all documents hold is one row per block; th
 counts go back to the blocks, not to the documents.
 
 A is a byte-level BPE (``tokenizers`` file) of space + text, B a piece model
-(``sentencepiece`` file), which adds that space itself.  Texts that are null or
+(``sentencepiece`` file), which adds that space itself.  Every byte is a token of A,
+so only B's bytes can differ.  Texts that are null or
 empty, or whose tokens' bytes of either side differ from space + text, have no
 tokens: zeros and an empty string.  Rows are documents of their own, whatever
 their key: repeated and null keys need no rule.  A block holds at most
@@ -24,7 +25,7 @@ table; columns other than key and text are not read.
 from __future__ import annotations
 
 import hashlib
-import os
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,13 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from eventide.llm.blocks import gather_runs, text_blocks
-from eventide.llm.byte_bpe import byte_alphabet
+from eventide.llm.byte_bpe import encode_block, from_json
 from eventide.session import shared_dir
 
 #: Characters whose documents share a block of pair counts.
 BLOCK_CHARS = 1_000_000
-#: Characters that the tokenizers get at once.
-ENCODE_CHARS = 100_000
+#: Different words whose ids a task remembers.
+KNOWN_WORDS = 300_000
 _COMMA, _BAR, _SEMICOLON = 44, 124, 59
 
 
@@ -113,52 +114,51 @@ class Sides:
     """The two tokenizers in a task."""
 
     def __init__(self, a_file: bytes, b_file: bytes):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_buffer(a_file)
-        self.a.encode_special_tokens = True
-        self.a.no_truncation()
-        self.a.no_padding()
+        self.a = from_json(a_file)
+        self.a.special = {}                              # their strings are plain text
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_file)
-        byte_of = byte_alphabet()
-        size = self.a.get_vocab_size()
-        names = [self.a.id_to_token(i) for i in range(size)]
-        self.a_bytes = [b"" if t is None else bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode() for t in names]
-        self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
-        self.a_len, self.b_len = (np.array([len(t) for t in table], dtype=np.int64) for table in (self.a_bytes, self.b_bytes))
-
-    def _piece(self, i: int) -> bytes:
-        piece = self.b.id_to_piece(i)
-        return bytes([int(piece[1:-1], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
-
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Ids of both sides per text; none of either where the bytes differ."""
-        none = np.zeros(0, dtype=np.uint32)
-        left, right = [none] * len(texts), [none] * len(texts)
-        some = [i for i, t in enumerate(texts) if t]
-        for few in _slices(some, [len(texts[i]) for i in some], ENCODE_CHARS):
-            spaced = [" " + texts[i] for i in few]
-            encoded = self.a.encode_batch_fast(spaced, add_special_tokens=False)
-            pieces = self.b.encode([texts[i] for i in few], num_threads=1)
-            for i, text, x, y in zip(few, spaced, encoded, pieces):
-                raw, ids = text.encode(), x.ids
-                if b"".join(map(self.a_bytes.__getitem__, ids)) == raw and b"".join(map(self.b_bytes.__getitem__, y)) == raw:
-                    left[i], right[i] = np.array(ids, dtype=np.uint32), np.array(y, dtype=np.uint32)
-        return left, right
-
-
-def _slices(items: list, sizes: list[int], most: int):
-    """Runs of items of at most ``most`` in all, or a single larger one."""
-    begin, held = 0, 0
-    for k, n in enumerate(sizes):
-        if k > begin and held + n > most:
-            yield items[begin:k]
-            begin, held = k, 0
-        held += n
-    if begin < len(items):
-        yield items[begin:]
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.b_bytes = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.a_len, self.b_len = np.asarray(self.a.token_len, dtype=np.int64), np.array([len(t) for t in self.b_bytes], dtype=np.int64)
+        # Where no piece goes on behind a word's end, no merge does: words are encoded
+        # by themselves, each different one once.
+        self.words = re.compile(r" +[^ ]*" if not any(re.search("[^▁]▁", p) for p in pieces) else r"(?s:.+)")
+        self.known: dict[str, tuple[list[int], bool]] = {}
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of both sides, ``(a_at, a_ids, b_at, b_ids)``; none of either for a
+        text where the bytes differ."""
+        spaced = [" " + t if t else "" for t in texts]
+        a_at, a_ids = encode_block(spaced, self.a)
+        found = [self.words.findall(t) for t in spaced]
+        different = {w: k for k, w in enumerate(dict.fromkeys(w for words in found for w in words))}
+        table, good = self._ids(list(different))
+        size = np.array([len(ids) for ids in table], dtype=np.int64)
+        flat = np.fromiter((i for ids in table for i in ids), np.int64, int(size.sum()))
+        code = np.fromiter((different[w] for words in found for w in words), np.int64)
+        text_of = np.repeat(np.arange(len(texts)), [len(words) for words in found])
+        b_ids = flat[gather_runs((np.cumsum(size) - size)[code], size[code])]
+        n_b = np.bincount(text_of, weights=size[code], minlength=len(texts)).astype(np.int64)
+        bad = np.zeros(len(texts), dtype=bool)
+        bad[text_of[~good[code]]] = True
+        bad |= np.array([t != "" for t in spaced]) & ((np.diff(a_at) == 0) | (n_b == 0))
+        if bad.any():
+            a_ids, b_ids = a_ids[~np.repeat(bad, np.diff(a_at))], b_ids[~np.repeat(bad, n_b)]
+            a_at, n_b = np.concatenate([[0], np.cumsum(np.where(bad, 0, np.diff(a_at)))]), np.where(bad, 0, n_b)
+        return a_at.astype(np.int64), a_ids.astype(np.int64), np.concatenate([[0], np.cumsum(n_b)]), b_ids
+
+    def _ids(self, words: list[str]) -> tuple[list[list[int]], np.ndarray]:
+        """B's ids of each word, and whether its bytes are theirs."""
+        if not self.known or len(self.known) > KNOWN_WORDS:
+            # A space behind the last word (an empty text has no tokens at all).
+            self.known = {" ": ([self.b.piece_to_id("▁")], True)}
+        new = [w for w in words if w not in self.known]
+        for w, ids in zip(new, self.b.encode([w[1:] for w in new], num_threads=1) if new else []):
+            self.known[w] = ids, b"".join(map(self.b_bytes.__getitem__, ids)) == w.encode()
+        got = [self.known[w] for w in words]
+        return [ids for ids, _ in got], np.array([ok for _, ok in got], dtype=bool)
 
 
 def _digits(size: int) -> np.ndarray:
@@ -189,18 +189,12 @@ def shown(a_ids: np.ndarray, b_ids: np.ndarray, groups: Groups, digits: np.ndarr
     return flat, np.cumsum(length)[begin + na + nb - 1]
 
 
-def _flat(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    return np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64), np.concatenate(lists).astype(np.int64)
-
-
 def align_block(texts: list[str], sides: Sides, digits: np.ndarray) -> dict:
     """Everything of a block but the corpus counts: per text ``n_a``, ``n_b``,
     ``n_groups``, ``n_links`` and the groups' digest; the block's different pairs
     (``a << 32 | b``) with their numbers of texts; and per text which pairs it links
     how often (``ptr``, ``pair``, ``times``)."""
-    left, right = sides.encode(texts)
-    a_at, a_ids = _flat(left)
-    b_at, b_ids = _flat(right)
+    a_at, a_ids, b_at, b_ids = sides.encode(texts)
     a_ends, b_ends = np.cumsum(sides.a_len[a_ids]), np.cumsum(sides.b_len[b_ids])
     groups = shared_cuts(a_ends, b_ends, a_at, b_at)
     n = len(texts)
@@ -255,7 +249,7 @@ def _blocks(docs: DataFrame, a_path: str, b_path: str, text: str, key: str) -> D
 
     def run(batches):
         sides = build()
-        digits = _digits(max(len(sides.a_bytes), len(sides.b_bytes)))
+        digits = _digits(max(len(sides.a_len), len(sides.b_len)))
         for batch, texts in text_blocks(batches, "t", BLOCK_CHARS):
             got = align_block(texts, sides, digits)
             keys = batch.column("k")
