@@ -36,69 +36,46 @@ def top_values(df: DataFrame, value: str, n: int = 2, keys: Sequence[str] = (),
     return top_n(d, list(keys), [F.desc(value)], n)
 
 
+def _sieve(df: DataFrame, value: Column, k: int, keys: Sequence, order: Sequence, prefix: str) -> DataFrame:
+    """Adds the running ``k`` largest values of a window, largest first, as
+    ``<prefix>0 ..``, and those before the row as ``<prefix>b0 ..``.
+
+    The largest is a running maximum.  A row passes the lesser of its value and the
+    maximum before it on, and the running maximum of what is passed on is the second
+    largest, and so forth: each value sinks past all that are larger."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    upto, before = w.rowsBetween(Window.unboundedPreceding, Window.currentRow), w.rowsBetween(Window.unboundedPreceding, -1)
+    d = df.withColumn(f"{prefix}v", value)
+    for i in range(k):
+        d = d.withColumns({f"{prefix}{i}": F.max(f"{prefix}v").over(upto), f"{prefix}b{i}": F.max(f"{prefix}v").over(before)})
+        held = F.col(f"{prefix}b{i}")
+        d = d.withColumn(f"{prefix}v", F.when(F.col(f"{prefix}v").isNotNull() & held.isNotNull(), F.least(f"{prefix}v", held)))
+    return d.drop(f"{prefix}v")
+
+
 def running_top_k(df: DataFrame, keys: Sequence[str], value: str, k: int = 3,
                   order: str = "seq") -> DataFrame:
-    """K2/J4 running: after each row, the ``k`` largest values of its key so far.
-
-    Two-level, like ``scan.running``: rows are hash-partitioned on
-    (key, chunk) and sorted, then one pandas pass per partition folds the
-    running top-k (state: k values; a (key, chunk) block is bounded by the
-    chunk width).  The top-k of all earlier chunks of a key comes from a
-    prefix over per-chunk top-k arrays - k values per chunk, a table ``width``
-    times smaller than the input - and is merged with array functions.
-    """
+    """K2/J4 running: adds ``top<k>``, the ``k`` largest values of the key so far,
+    largest first; equal values stand side by side.  Nulls and NaN are passed over.
+
+    Two-level, like ``scan.running``: running maxima inside a chunk of a key, the
+    last of each chunk carried over the chunks (``k`` values a chunk), and both
+    put together by array functions."""
     from eventide.operators.scan import seq_chunk
 
-    ch = "__tk_chunk"
     keys = list(keys)
-    d = df.withColumn(ch, seq_chunk(df, order))
-    cols = list(d.columns)
-    arr = T.ArrayType(T.IntegerType())
-    schema = T.StructType(list(d.schema.fields) + [T.StructField("__local", arr)])
-    group_cols = [*keys, ch]
-
-    def fold(batches):
-        import heapq
-        cur, heap = None, []
-        for pdf in batches:
-            tops = []
-            for g, v in zip(zip(*[pdf[c].tolist() for c in group_cols]), pdf[value].tolist()):
-                if g != cur:
-                    cur, heap = g, []
-                if v is not None and v == v:
-                    if len(heap) < k:
-                        heapq.heappush(heap, int(v))
-                    elif v > heap[0]:
-                        heapq.heapreplace(heap, int(v))
-                tops.append(sorted(heap, reverse=True))
-            out = pdf[cols].copy()
-            out["__local"] = tops
-            yield out
-
-    loc = d.repartition(*group_cols).sortWithinPartitions(*group_cols, order) \
-        .mapInPandas(fold, schema)
-    summ = loc.groupBy(*group_cols).agg(F.max_by("__local", order).alias("__tot"))
-
-    # Prefix over chunks: k values per chunk, folded in chunk order per key.
-    def prefix(batches):
-        import heapq
-        cur, acc = None, []
-        for pdf in batches:
-            pre = []
-            for g, tot in zip(zip(*[pdf[c].tolist() for c in keys]), pdf["__tot"].tolist()):
-                if g != cur:
-                    cur, acc = g, []
-                pre.append(sorted(acc, reverse=True))
-                acc = heapq.nlargest(k, acc + [int(x) for x in tot])
-            out = pdf[group_cols].copy()
-            out["__pre"] = pre
-            yield out
-
-    pre_schema = T.StructType([f for f in summ.schema.fields if f.name != "__tot"]
-                              + [T.StructField("__pre", arr)])
-    part = summ.repartition(*keys) if keys else summ.repartition(1)
-    pre = part.sortWithinPartitions(*group_cols).mapInPandas(prefix, pre_schema)
-    j = loc.join(pre, group_cols, "left")
-    merged = F.slice(F.sort_array(F.concat(F.coalesce("__pre", F.array().cast(arr)),
-                                           F.col("__local")), asc=False), 1, k)
-    return j.withColumn(f"top{k}", merged).drop(ch, "__local", "__pre")
+    by = [*keys, "__tk_chunk"]
+    v = F.when(~F.isnan(value), F.col(value)) if isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType)) else F.col(value)
+    tops, earlier = [f"__tk_l{i}" for i in range(k)], [f"__tk_pb{i}" for i in range(k)]
+    loc = _sieve(df.withColumn("__tk_chunk", seq_chunk(df, order)), v, k, by, [order], "__tk_l").drop(*[f"__tk_lb{i}" for i in range(k)])
+    last = loc.groupBy(*by).agg(*[F.max(c).alias(c) for c in tops])
+    flat = last.select(*by, F.posexplode(F.array(*tops)).alias("__tk_i", "__tk_x"))
+    pre = _sieve(flat, F.col("__tk_x"), k, keys, ["__tk_chunk", "__tk_i"], "__tk_p").where("__tk_i = 0")
+    names = {c: f"__tk_k{i}" for i, c in enumerate(by)}
+    pre = pre.select(*[F.col(c).alias(n) for c, n in names.items()], *earlier)
+    same = F.lit(True)
+    for c, n in names.items():
+        same = same & F.col(c).eqNullSafe(F.col(n))
+    found = F.filter(F.array(*tops, *earlier), lambda x: x.isNotNull())
+    out = loc.join(pre, same, "left").withColumn(f"top{k}", F.slice(F.sort_array(found, asc=False), 1, k))
+    return out.drop("__tk_chunk", *tops, *earlier, *names.values())

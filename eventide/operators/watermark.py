@@ -132,3 +132,52 @@ def timers(df: DataFrame, keys: Sequence[str], ts: str, after_us: int, delay_us:
     final_wm = df.agg(F.max(t) - F.lit(delay_us + 1000)).scalar()
     return tm.select(*keys, _ts(F.col("__timer")).alias("timer_ts"),
                      (F.col("__timer") <= final_wm).alias("fired"))
+
+
+def timer_firings(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str], after_us: int, delay_us: int,
+                  delete_previous: bool = False) -> DataFrame:
+    """K8: when each event-time timer fires.  A row registers one at ``ts + after``;
+    it fires at the first row from its own on that takes the watermark (max event
+    time - delay - 1 ms) forward to its time or beyond.  Gives the keys,
+    ``timer_ts``, the place ``fired_<o>`` of that row in ``order`` (arrival, epoch
+    microseconds first) and its ``watermark``, all null for timers that only the
+    end of the input fires.  The same instant of a key registered again before it
+    fires is one timer.
+
+    With ``delete_previous`` every row first deletes the pending timer of its key.
+    Then there is one row per registration, with its place in ``order`` and
+    ``deleted_<o>``, the place of the row that deleted it, if one did.
+
+    The rows that take the watermark forward are found by a scan.  Two backward
+    scans look up the first of them at or behind a row, and the first that
+    reaches a timer's time; the later of the two fires it.  Rows without a time
+    register nothing and do not move the watermark."""
+    lag, places = F.lit(delay_us + 1000), [F.col(o) for o in order]
+    back = [-c for c in places]
+    d = df.withColumn("__t", epoch_us(ts)).where("__t IS NOT NULL").select(*keys, *order, "__t")
+    d = scan.running(d, [], list(order), {"__before": ("max", F.col("__t"))}, exclusive=True, chunk=scan.micros_chunk(d, order[0]))
+    step = F.struct(*places, (F.col("__t") - lag).alias("__wm"))
+    d = d.withColumn("__step", F.when(F.col("__before").isNull() | (F.col("__t") > F.col("__before")), step)).drop("__before")
+    if delete_previous:
+        d = scan.previous(d, keys, back, F.struct(*places), "__over", chunk=scan.micros_chunk(d, back[0]))
+    d = scan.stage(scan.running(d, [], back, {"__next": ("min", F.col("__step"))}, chunk=scan.micros_chunk(d, back[0])))
+    # One axis of times: a step stands before the timers of the same instant.
+    steps = d.where("__step IS NOT NULL").select(F.col("__step.__wm").alias("__x"), F.lit(0).alias("__kind"), "__step")
+    asked = d.select(*keys, *order, "__next", *(["__over"] if delete_previous else []), (F.col("__t") + F.lit(after_us)).alias("__x"), F.lit(1).alias("__kind"))
+    if not delete_previous:
+        asked = asked.select(*keys, "__next", "__x", "__kind").distinct()
+    both = asked.unionByName(steps, allowMissingColumns=True)
+    reached = scan.running(both, [], [-F.col("__x"), F.col("__kind"), *(back if delete_previous else [])],
+                           {"__reach": ("min", F.col("__step"))}, chunk=scan.micros_chunk(both, -F.col("__x")))
+    fired = F.when(F.col("__next").isNotNull() & F.col("__reach").isNotNull(), F.greatest("__next", "__reach"))
+    out = reached.where("__kind = 1").withColumn("__fired", fired)
+    if not delete_previous:
+        return out.select(*keys, _ts(F.col("__x")).alias("timer_ts"), *[F.col(f"__fired.{o}").alias(f"fired_{o}") for o in order],
+                          _ts(F.col("__fired.__wm")).alias("watermark")).distinct()
+    # At its own row a deletion comes before the watermark.
+    at = F.struct(*[F.col(f"__fired.{o}") for o in order])
+    gone = F.col("__over").isNotNull() & (F.col("__fired").isNull() | (at >= F.col("__over")))
+    return out.select(*keys, *order, _ts(F.col("__x")).alias("timer_ts"),
+                      *[F.when(~gone, F.col(f"__fired.{o}")).alias(f"fired_{o}") for o in order],
+                      F.when(~gone, _ts(F.col("__fired.__wm"))).alias("watermark"),
+                      *[F.when(gone, F.col(f"__over.{o}")).alias(f"deleted_{o}") for o in order])

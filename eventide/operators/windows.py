@@ -7,6 +7,7 @@ returned flat as ``window_start`` / ``window_end``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -43,6 +44,31 @@ def sliding(df: DataFrame, ts: str, size: str, slide: str) -> DataFrame:
     return _flat(df.withColumn("__w", F.window(ts, _interval(size), _interval(slide))))
 
 
+def sliding_windows(df: DataFrame, keys: Sequence[str], ts: str, size: str, slide: str,
+                    aggs: Mapping[str, tuple[str, Column]]) -> DataFrame:
+    """H2 aggregated: one row per key and sliding window, put together from slices.
+
+    Windows begin at multiples of ``slide``; all their ends lie at multiples of the
+    greatest common divisor of size and slide, so the rows between two of these,
+    a slice, share all their windows.  Rows are aggregated into slices first (partly
+    on every task); only slices are copied to the ``size / slide`` windows that hold
+    them.  ``aggs`` maps a name to ``(kind, column)`` with the kinds of
+    ``scan.running``.  Rows with a null time are in no window; with ``slide`` beyond
+    ``size`` those between windows are in none, either."""
+    size_us, slide_us = micros(size), micros(slide)
+    width = math.gcd(size_us, slide_us)
+    t = epoch_us(ts)
+    slices = df.withColumn("__slice", t - F.pmod(t, F.lit(width))).where("__slice IS NOT NULL") \
+        .groupBy(*keys, "__slice").agg(*[scan.LOCAL[kind](c).alias(name) for name, (kind, c) in aggs.items()])
+    least = F.col("__slice") + F.lit(width - size_us)         # no window that holds the slice begins before
+    first, last = least + F.pmod(-least, F.lit(slide_us)), F.col("__slice") - F.pmod("__slice", F.lit(slide_us))
+    starts = F.when(first <= last, F.sequence(first, last, F.lit(slide_us).cast("bigint")))
+    windows = slices.withColumn("__start", F.explode(starts)).groupBy(*keys, "__start") \
+        .agg(*[scan.COMBINE[kind](name).alias(name) for name, (kind, _) in aggs.items()])
+    return windows.select(*keys, from_epoch_us(F.col("__start")).alias("window_start"),
+                          from_epoch_us(F.col("__start") + F.lit(size_us)).alias("window_end"), *aggs)
+
+
 def with_ingest_time(df: DataFrame, name: str = "ingest_ts") -> DataFrame:
     """H5: processing time as a column; one value per query / micro-batch."""
     return df.withColumn(name, F.current_timestamp())

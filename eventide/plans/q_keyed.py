@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventide.operators import keyed as K
+from eventide.operators.map_scan import value_map
 from eventide.plans.q_basic import DOC_LINES_SQL, doc_words
 from eventide.plans.registry import query, sensor, with_sensor
 from eventide.sources.sensor import LEVELS, epoch_s
@@ -142,15 +143,13 @@ _MAP_SQL = ", ".join(f"""CASE WHEN count(CASE WHEN vc = {v} THEN 1 END) OVER w >
         FROM sensor WINDOW w AS (PARTITION BY id ORDER BY seq {RUN})"""))
 def state_value_counts_running(spark, sf):
     """K3 running: map state value -> count; the whole map and the count of this
-    row's value after every row.  The map has an entry for each level seen, those
-    of negative values included; null is no level and has none, but is counted in
-    ``value_count``."""
+    row's value after every row, in one pass over any domain.  Null is no level and
+    has no entry, but is counted in ``value_count``."""
     return _value_counts_running(sensor(spark, sf).select("seq", "id", "vc"))
 
 
 def _value_counts_running(s):
-    d = K.value_map_running(s, ["id"], "vc", range(1 - LEVELS, LEVELS))
-    d = K.value_counts_running(d, ["id"], "vc")
+    d = value_map(s, ["id"], "vc", own="value_count")
     return d.select("seq", "id", "vc", "value_count", _rendered("counts").alias("counts"))
 
 

@@ -127,6 +127,39 @@ def timer_event_time(spark, sf):
     return WM.timers(sensor(spark, sf), ["id"], "ts", TIMER_US, DELAY_US)
 
 
+_TIMER_CTE = f"""r AS (SELECT *, epoch_us(ts) AS t, row_number() OVER (ORDER BY arrival_us, seq) AS pos,
+            max(epoch_us(ts)) OVER ({ARR_SQL}) AS mb FROM arrivals),
+    adv AS (SELECT pos, seq, t - {LAG} AS wm FROM r WHERE mb IS NULL OR t > mb),
+    tm AS (SELECT id, seq, pos, t + {TIMER_US} AS due, lead(pos) OVER k AS over_pos, lead(seq) OVER k AS over_seq
+           FROM r WINDOW k AS (PARTITION BY id ORDER BY pos)),
+    due AS (SELECT tm.*, adv.pos AS p1 FROM tm ASOF LEFT JOIN adv ON tm.due <= adv.wm),
+    nxt AS (SELECT due.*, adv.pos AS p2 FROM due ASOF LEFT JOIN adv ON due.pos <= adv.pos),
+    fires AS (SELECT nxt.*, adv.pos AS fired_pos, adv.seq AS fired_seq, make_timestamp(adv.wm) AS watermark
+              FROM nxt LEFT JOIN adv ON adv.pos = CASE WHEN p1 IS NOT NULL AND p2 IS NOT NULL THEN greatest(p1, p2) END)"""
+
+
+@query("timer_firings", with_sensor(
+    "SELECT DISTINCT id, make_timestamp(due) AS timer_ts, fired_seq, watermark FROM fires", ctes=_TIMER_CTE, arrival=True))
+def timer_firings(spark, sf):
+    """K8: the row at which each timer fires and the watermark at that moment, in
+    arrival order (null: fired by the end of the input)."""
+    return WM.timer_firings(arrivals(spark, sf), ["id"], "ts", ARR, TIMER_US, DELAY_US) \
+        .select("id", "timer_ts", "fired_seq", "watermark")
+
+
+@query("timer_deleted", with_sensor("""
+    SELECT id, seq, make_timestamp(due) AS timer_ts,
+           CASE WHEN NOT gone THEN fired_seq END AS fired_seq, CASE WHEN NOT gone THEN watermark END AS watermark,
+           CASE WHEN gone THEN over_seq END AS deleted_seq
+    FROM (SELECT *, over_pos IS NOT NULL AND (fired_pos IS NULL OR fired_pos >= over_pos) AS gone FROM fires)""",
+    ctes=_TIMER_CTE, arrival=True))
+def timer_deleted(spark, sf):
+    """K8, delete variant: each row replaces its key's pending timer, so a timer
+    fires only if its key stays silent until the watermark reaches it."""
+    return WM.timer_firings(arrivals(spark, sf), ["id"], "ts", ARR, TIMER_US, DELAY_US, delete_previous=True) \
+        .select("id", "seq", "timer_ts", "fired_seq", "watermark", "deleted_seq")
+
+
 _SIDES_SQL = """ev AS (SELECT seq, id, ts, arrival_us,
         CASE WHEN event_type IN ('click', 'view', 'signup') THEN 'L' ELSE 'R' END AS side FROM arrivals)"""
 

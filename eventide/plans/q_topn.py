@@ -25,12 +25,19 @@ def _top_sql(group: str, n: int = 2) -> str:
         ctes=_SLIDING)
 
 
+def _sliding_counts(spark, sf, *by):
+    return W.sliding_windows(sensor(spark, sf), list(by), "ts", SIZE, SLIDE, {"cnt": ("count", F.lit(1))})
+
+
+def _top(counts, group):
+    return N.top_n(counts, group, [F.desc("cnt"), F.asc("vc")], 2).withColumn("rank", F.col("rank").cast("bigint"))
+
+
 @query("topn_window_all", _top_sql("window_start, window_end"))
 def topn_window_all(spark, sf):
     """The 2 most frequent vc per sliding window over all sensors.
-    Partial counts per task, then a per-window limit - never one task."""
-    s = W.sliding(sensor(spark, sf), "ts", SIZE, SLIDE)
-    return N.count_top_n(s, ["window_start", "window_end"], "vc", 2).withColumn("rank", F.col("rank").cast("bigint"))
+    Counts per slice, then a per-window limit - never one task."""
+    return _top(_sliding_counts(spark, sf, "vc"), ["window_start", "window_end"])
 
 
 @query("topn_two_stage", with_sensor(f"""SELECT * FROM (
@@ -40,18 +47,13 @@ def topn_window_all(spark, sf):
 def topn_two_stage(spark, sf):
     """Stage 1 counts per (vc, window) with the window end attached;
     stage 2 regroups by window end and keeps the top 2."""
-    s = W.sliding(sensor(spark, sf), "ts", SIZE, SLIDE)
-    stage1 = s.groupBy("vc", "window_end").agg(F.count(F.lit(1)).alias("cnt"))
-    return N.top_n(stage1, ["window_end"], [F.desc("cnt"), F.asc("vc")], 2) \
-        .withColumn("rank", F.col("rank").cast("bigint"))
+    return _top(_sliding_counts(spark, sf, "vc").drop("window_start"), ["window_end"])
 
 
 @query("topn_per_key", _top_sql("id, window_start, window_end"))
 def topn_per_key(spark, sf):
     """Top 2 vc per sensor id and window, for any number of ids."""
-    s = W.sliding(sensor(spark, sf), "ts", SIZE, SLIDE)
-    return N.count_top_n(s, ["id", "window_start", "window_end"], "vc", 2) \
-        .withColumn("rank", F.col("rank").cast("bigint"))
+    return _top(_sliding_counts(spark, sf, "id", "vc"), ["id", "window_start", "window_end"])
 
 
 @query("keyed_top3", with_sensor("""SELECT id, vc, seq, rank FROM (

@@ -53,8 +53,8 @@ def window_agg_bounds(spark, sf):
         CROSS JOIN (SELECT range AS k FROM range(0, {SIZE_US // SLIDE_US})) r
         GROUP BY ALL"""))
 def sliding_event(spark, sf):
-    return W.sliding(sensor(spark, sf), "ts", SIZE, SLIDE) \
-        .groupBy("id", "window_start", "window_end").agg(*_agg_cols())
+    """H2: sliding windows put together from slices."""
+    return W.sliding_windows(sensor(spark, sf), ["id"], "ts", SIZE, SLIDE, _session_aggs())
 
 
 def _session_aggs():
