@@ -25,6 +25,7 @@ table; columns other than key and text are not read.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from dataclasses import dataclass
 
@@ -66,8 +67,9 @@ def shared_cuts(a_ends: np.ndarray, b_ends: np.ndarray, a_at: np.ndarray, b_at:
         leaf_a.append(a1[leaf])
         leaf_b.append(b1[leaf])
         a0, a1, b0, b1, cut_a, cut_b = (v[~leaf] for v in (a0, a1, b0, b1, cut_a, cut_b))
-        a0, a1 = np.concatenate([a0, cut_a]), np.concatenate([cut_a, a1])
-        b0, b1 = np.concatenate([b0, cut_b]), np.concatenate([cut_b, b1])
+        # Both halves side by side: intervals stay in order.
+        a0, a1 = np.stack([a0, cut_a], axis=1).ravel(), np.stack([cut_a, a1], axis=1).ravel()
+        b0, b1 = np.stack([b0, cut_b], axis=1).ravel(), np.stack([cut_b, b1], axis=1).ravel()
     if not leaf_a:
         return Groups(np.zeros(0, np.int64), np.zeros(0, np.int64))
     return Groups(np.sort(np.concatenate(leaf_a)), np.sort(np.concatenate(leaf_b)))
@@ -98,16 +100,29 @@ def _near_middle(a_ends, b_ends, a0, a1, b0, b1):
     return cut_a, cut_b
 
 
-def overlaps(a_ends: np.ndarray, b_ends: np.ndarray, groups: Groups) -> tuple[np.ndarray, np.ndarray]:
+def overlaps(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Token numbers ``(a, b)`` of all overlapping pairs, in order.
 
-    In a group every end but the last is of one side only, and each end closes one
-    overlap: of the tokens that hold the byte before it."""
-    inner = np.ones(len(b_ends), dtype=bool)
-    inner[groups.b - 1] = False
-    ends = np.concatenate([a_ends, b_ends[inner]])
-    ends.sort(kind="stable")
-    return np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
+    Each end of either side closes one overlap: of the tokens that hold the byte
+    before it.  Their numbers are the ends of their sides before it."""
+    size = int(a_ends[-1]) + 1 if len(a_ends) else 1
+    a, b = np.zeros(size, dtype=bool), np.zeros(size, dtype=bool)
+    a[a_ends], b[b_ends] = True, True
+    ends = np.flatnonzero(a | b)
+    return np.cumsum(a)[ends - 1], np.cumsum(b)[ends - 1]
+
+
+class _Words(dict):
+    """Numbers of words; ``new`` lists those that have come since it was cleared."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = k = len(self)
+        self.new.append(word)
+        return k
 
 
 class Sides:
@@ -125,7 +140,13 @@ class Sides:
         # Where no piece goes on behind a word's end, no merge does: words are encoded
         # by themselves, each different one once.
         self.words = re.compile(r" +[^ ]*" if not any(re.search("[^▁]▁", p) for p in pieces) else r"(?s:.+)")
-        self.known: dict[str, tuple[list[int], bool]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        # The one known word is a space behind the last word (an empty text has no tokens).
+        self.known = _Words()
+        self.known[" "] = 0
+        self.flat, self.at, self.good = np.array([self.b.piece_to_id("▁")]), np.array([0, 1]), np.array([True])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of both sides, ``(a_at, a_ids, b_at, b_ids)``; none of either for a
@@ -133,32 +154,34 @@ class Sides:
         spaced = [" " + t if t else "" for t in texts]
         a_at, a_ids = encode_block(spaced, self.a)
         found = [self.words.findall(t) for t in spaced]
-        different = {w: k for k, w in enumerate(dict.fromkeys(w for words in found for w in words))}
-        table, good = self._ids(list(different))
-        size = np.array([len(ids) for ids in table], dtype=np.int64)
-        flat = np.fromiter((i for ids in table for i in ids), np.int64, int(size.sum()))
-        code = np.fromiter((different[w] for words in found for w in words), np.int64)
-        text_of = np.repeat(np.arange(len(texts)), [len(words) for words in found])
-        b_ids = flat[gather_runs((np.cumsum(size) - size)[code], size[code])]
-        n_b = np.bincount(text_of, weights=size[code], minlength=len(texts)).astype(np.int64)
+        n_words = np.array([len(words) for words in found])
+        code = self._numbers(found, int(n_words.sum()))
+        size = np.diff(self.at)[code]
+        b_ids = self.flat[gather_runs(self.at[code], size)]
+        text_of = np.repeat(np.arange(len(texts)), n_words)
+        n_b = np.bincount(text_of, weights=size, minlength=len(texts)).astype(np.int64)
         bad = np.zeros(len(texts), dtype=bool)
-        bad[text_of[~good[code]]] = True
+        bad[text_of[~self.good[code]]] = True
         bad |= np.array([t != "" for t in spaced]) & ((np.diff(a_at) == 0) | (n_b == 0))
         if bad.any():
             a_ids, b_ids = a_ids[~np.repeat(bad, np.diff(a_at))], b_ids[~np.repeat(bad, n_b)]
             a_at, n_b = np.concatenate([[0], np.cumsum(np.where(bad, 0, np.diff(a_at)))]), np.where(bad, 0, n_b)
         return a_at.astype(np.int64), a_ids.astype(np.int64), np.concatenate([[0], np.cumsum(n_b)]), b_ids
 
-    def _ids(self, words: list[str]) -> tuple[list[list[int]], np.ndarray]:
-        """B's ids of each word, and whether its bytes are theirs."""
-        if not self.known or len(self.known) > KNOWN_WORDS:
-            # A space behind the last word (an empty text has no tokens at all).
-            self.known = {" ": ([self.b.piece_to_id("▁")], True)}
-        new = [w for w in words if w not in self.known]
-        for w, ids in zip(new, self.b.encode([w[1:] for w in new], num_threads=1) if new else []):
-            self.known[w] = ids, b"".join(map(self.b_bytes.__getitem__, ids)) == w.encode()
-        got = [self.known[w] for w in words]
-        return [ids for ids, _ in got], np.array([ok for _, ok in got], dtype=bool)
+    def _numbers(self, found: list[list[str]], n: int) -> np.ndarray:
+        """Numbers of all words; new ones are encoded, and their bytes compared."""
+        if len(self.known) > KNOWN_WORDS:
+            self._forget()
+        code = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(found)), np.int64, n)
+        if new := self.known.new:
+            ids = self.b.encode([w[1:] for w in new], num_threads=1)
+            table = self.b_bytes
+            good = np.array([b"".join([table[i] for i in x]) == w.encode() for w, x in zip(new, ids)])
+            more = np.fromiter(itertools.chain.from_iterable(ids), np.int64)
+            ends = self.at[-1] + np.cumsum([len(x) for x in ids])
+            self.flat, self.at, self.good = np.concatenate([self.flat, more]), np.concatenate([self.at, ends]), np.concatenate([self.good, good])
+            new.clear()
+        return code
 
 
 def _digits(size: int) -> np.ndarray:
@@ -183,10 +206,10 @@ def shown(a_ids: np.ndarray, b_ids: np.ndarray, groups: Groups, digits: np.ndarr
     ids[gather_runs(begin + na, nb)] = b_ids
     marks[begin + na - 1] = _BAR
     marks[begin + na + nb - 1] = _SEMICOLON
-    rows = np.concatenate([digits[ids], marks[:, None]], axis=1)
-    flat = rows[rows != 0]
-    length = (rows != 0).sum(axis=1)
-    return flat, np.cumsum(length)[begin + na + nb - 1]
+    rows = np.empty((len(ids), digits.shape[1] + 1), dtype=np.uint8)
+    rows[:, :-1], rows[:, -1] = digits[ids], marks
+    used = rows != 0
+    return rows[used], np.cumsum(used.sum(axis=1))[begin + na + nb - 1]
 
 
 def align_block(texts: list[str], sides: Sides, digits: np.ndarray) -> dict:
@@ -198,8 +221,8 @@ def align_block(texts: list[str], sides: Sides, digits: np.ndarray) -> dict:
     a_ends, b_ends = np.cumsum(sides.a_len[a_ids]), np.cumsum(sides.b_len[b_ids])
     groups = shared_cuts(a_ends, b_ends, a_at, b_at)
     n = len(texts)
-    group_text = np.searchsorted(a_at, groups.a - 1, side="right") - 1
-    n_groups = np.bincount(group_text, minlength=n)
+    a_text = np.repeat(np.arange(n), np.diff(a_at))
+    n_groups = np.bincount(a_text[groups.a - 1], minlength=n)
     digest = [""] * n
     a, b = np.zeros((2, 0), np.int64)
     if len(groups.a):
@@ -211,8 +234,8 @@ def align_block(texts: list[str], sides: Sides, digits: np.ndarray) -> dict:
             end = int(ends[last[t] - 1])
             digest[t] = hashlib.sha256(view[begin:end - 1]).hexdigest()
             begin = end
-        a, b = overlaps(a_ends, b_ends, groups)
-    text = np.searchsorted(a_at, a, side="right") - 1
+        a, b = overlaps(a_ends, b_ends)
+    text = a_text[a]
     codes, pair = np.unique(a_ids[a] << 32 | b_ids[b], return_inverse=True)
     held, times = np.unique(text * max(len(codes), 1) + pair, return_counts=True)
     of, pair = np.divmod(held, max(len(codes), 1))

@@ -99,7 +99,7 @@ def test_cuts_are_the_common_ends():
         got = alignment.shared_cuts(a, b, np.array(a_at), np.array(b_at))
         common = sorted(set(a_ends) & set(b_ends))
         assert a[got.a - 1].tolist() == common and b[got.b - 1].tolist() == common
-        x, y = alignment.overlaps(a, b, got)
+        x, y = alignment.overlaps(a, b)
         start = lambda ends, i: ends[i - 1] if i else 0
         want = [(i, j) for i in range(len(a)) for j in range(len(b)) if start(a, i) < b[j] and start(b, j) < a[i]]
         assert list(zip(x.tolist(), y.tolist())) == want
