@@ -20,9 +20,15 @@ of its numbers is validated first, and the run is then cut at the valid ones fro
 left to right; cards of other groups than 4-4-4-4, 4-6-5 or one are looked for in
 what these leave.  So a value is found whatever number stands beside it.
 
+A run is handled token by token: each sees the tokens that a value can span, the
+first valid value there becomes a mark in front of it, and one pass over the
+marked run cuts it.  Time grows with the length of a text, whatever it holds; no
+repeated group of a pattern can be gone back into, so none needs a deep stack.
+
 Null texts stay null, empty texts stay empty; a text is handled within its row,
 so long texts, repeated rows, ties and hot values need no group at all; an empty
-table gives an empty table; other columns are passed through untouched.
+table gives an empty table; other columns are passed through untouched.  The key
+comes from a table of one row and stands in no plan.
 """
 
 from __future__ import annotations
@@ -38,7 +44,7 @@ _EPOCH = "1900-01-01"
 # The patterns of the kinds, as what comes before, the value and
 # what comes after, in order of precedence.
 KINDS = {
-    "email": (r"(?<![A-Za-z0-9._%+-])", r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+", ""),
+    "email": (r"(?<![A-Za-z0-9._%+-])", r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", ""),
     "card": (r"(?<![0-9])", r"(?:[0-9]{4}(?<s>[ -])[0-9]{4}\k<s>[0-9]{4}\k<s>[0-9]{4}|[0-9]{4}(?<t>[ -])[0-9]{6}\k<t>[0-9]{5}|[0-9]{13,19})", r"(?![0-9])"),
     "phone": (r"(?<![0-9+])", r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}", r"(?![0-9])"),
     "ssn": (r"(?<![0-9])", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", r"(?![0-9])"),
@@ -66,15 +72,16 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def permute(values: Column, radix: Column, tweak: str, key: str, back: bool = False) -> Column:
+def permute(values: Column, radix: Column, tweak: Column | str, key: Column | str, back: bool = False) -> Column:
     """Keyed permutation of an array of numbers, position ``i`` below
     ``radix[i]``; radix 1 leaves a position alone.  In each round every second
     position is shifted by a function of the others."""
     rounds = F.sequence(F.lit(ROUNDS - 1), F.lit(0), F.lit(-1)) if back else F.sequence(F.lit(0), F.lit(ROUNDS - 1))
+    key, tweak = (F.lit(x) if isinstance(x, str) else x for x in (key, tweak))
 
     def one(state: Column, r: Column) -> Column:
         others = F.filter(state, lambda v, i: (i % 2) != (r % 2))
-        stream = F.sha2(F.concat_ws("|", F.lit(key), F.lit(tweak), r.cast("string"), F.size(state).cast("string"),
+        stream = F.sha2(F.concat_ws("|", key, tweak, r.cast("string"), F.size(state).cast("string"),
                                     F.array_join(others.cast("array<string>"), ",")), 512)
 
         def shifted(s: Column) -> Column:
@@ -117,24 +124,6 @@ def _luhn(digits: Column) -> Column:
     return luhn_sum(digits) % 10 == 0
 
 
-def _card(s: Column, key: str, back: bool) -> Column:
-    def of(d: Column) -> Column:
-        payload = F.slice(d, 1, F.size(d) - 1)
-
-        def with_check(p: Column) -> Column:
-            return fill(s, F.concat(p, F.array(F.pmod(10 - luhn_sum(p, False) % 10, F.lit(10)).cast("int"))))
-
-        return F.when(_luhn(d), let(permute(payload, _constant(payload, 10), "card", key, back), with_check)).otherwise(s)
-    return let(_digits(s), of)
-
-
-def _phone(s: Column, key: str, back: bool) -> Column:
-    def of(d: Column) -> Column:
-        code, local = F.slice(d, 1, F.size(d) - 10), F.slice(d, F.size(d) - 9, 10)
-        return let(permute(local, _constant(local, 10), "phone", key, back), lambda p: fill(s, F.concat(code, p)))
-    return let(_digits(s), of)
-
-
 def _fields(s: Column, sep: str) -> Column:
     return F.transform(F.split(s, rf"\{sep}"), lambda c: c.cast("int"))
 
@@ -144,21 +133,6 @@ def _within(f: Column, lows: tuple, sizes: tuple) -> Column:
                                lambda v, r: (v >= r["b"]) & (v < r["b"] + r["n"])), lambda ok: ok)
 
 
-def _ranges(s: Column, tweak: str, lows: tuple, sizes: tuple, widths: tuple, sep: str, key: str, back: bool) -> Column:
-    """Fields between ``sep``, each in its own range; out of range: unchanged."""
-    def of(f: Column) -> Column:
-        low, size = F.array(*map(F.lit, lows)), F.array(*map(F.lit, sizes))
-        values = F.zip_with(f, low, lambda v, b: v - b)
-        valid = _within(f, lows, sizes)
-
-        def shown(p: Column) -> Column:
-            parts = [(F.get(p, F.lit(i)) + lows[i]).cast("string") for i in range(len(lows))]
-            return F.concat_ws(sep, *[F.lpad(x, w, "0") if w else x for x, w in zip(parts, widths)])
-
-        return F.when(valid, let(permute(values, size, tweak, key, back), shown)).otherwise(s)
-    return let(_fields(s, sep), of)
-
-
 def _day(s: Column, form: str) -> Column:
     """Number of a real day (null: none)."""
     y, m, d = (F.substring(s, form.index(c) + 1, n).cast("int") for c, n in (("y", 4), ("M", 2), ("d", 2)))
@@ -167,79 +141,107 @@ def _day(s: Column, form: str) -> Column:
     return F.when(real, F.datediff(day, F.lit(_EPOCH).cast("date")))
 
 
-def _date(s: Column, form: str, key: str, back: bool) -> Column:
-    def of(n: Column) -> Column:
-        pair = F.array((n / DATE_SIDE).cast("int"), (n % DATE_SIDE).cast("int"))
-        return F.when((n >= 0) & (n < DATE_SIDE * DATE_SIDE), let(
-            permute(pair, F.array(F.lit(DATE_SIDE), F.lit(DATE_SIDE)), "date", key, back),
-            lambda p: F.date_format(F.date_add(F.lit(_EPOCH).cast("date"), F.get(p, F.lit(0)) * DATE_SIDE + F.get(p, F.lit(1))), form))).otherwise(s)
-    return F.coalesce(let(_day(s, form), of), s)
+#: Least values and numbers of values of the fields.
+_SSN, _IP = ((1, 1, 1), (898, 99, 9999)), ((0, 0, 0, 0), (256, 256, 256, 256))
 
 
-def _classes(s: Column, tweak: str, key: str, back: bool) -> Column:
-    """Letters and digits permuted within their class, the rest left alone."""
-    def base(c: Column) -> Column:
-        return F.when(c.rlike("[0-9]"), 48).when(c.rlike("[a-z]"), 97).when(c.rlike("[A-Z]"), 65).otherwise(F.ascii(c))
+def _ssn_fields(s: Column) -> Column:
+    """The fields with areas numbered without a gap (666 is none)."""
+    return F.transform(_fields(s, "-"), lambda v, i: F.when((i == 0) & (v == 666), F.lit(0)).when((i == 0) & (v > 666), v - 1).otherwise(v))
 
-    def of(chars: Column) -> Column:
-        size = F.transform(chars, lambda c: F.when(c.rlike("[0-9]"), 10).when(c.rlike("[A-Za-z]"), 26).otherwise(1))
-        values = F.transform(chars, lambda c: (F.ascii(c) - base(c)).cast("int"))
-        return let(permute(values, size, tweak, key, back), lambda p: F.array_join(
-            F.zip_with(p, chars, lambda v, c: F.char((v + base(c)).cast("bigint"))), ""))
-    return let(F.split(s, ""), of)
 
+def _whole(hit: Column, kind: str) -> Column:
+    return hit.rlike(f"^(?:{''.join(KINDS[kind])})$")
 
-def _hex(s: Column, key: str, back: bool) -> Column:
-    values = F.transform(F.split(s, ""), lambda c: F.conv(c, 16, 10).cast("int"))
-    return let(values, lambda v: let(permute(v, _constant(v, 16), "hex", key, back),
-                                     lambda p: F.array_join(F.transform(p, lambda x: F.lower(F.hex(x.cast("bigint")))), "")))
 
+def _base(c: Column) -> Column:
+    """First character of a character's class."""
+    return F.when(c.rlike("[0-9]"), 48).when(c.rlike("[a-z]"), 97).when(c.rlike("[A-Z]"), 65).otherwise(F.ascii(c))
 
-#: Least values and numbers of values of the fields.
-_SSN, _IP = ((1, 1, 1), (898, 99, 9999)), ((0, 0, 0, 0), (256, 256, 256, 256))
 
+_LABEL = r"\.[A-Za-z0-9-]+$"
 
-def _ssn_fields(s: Column) -> Column:
-    """The fields with areas numbered without a gap (666 is none)."""
-    return F.transform(_fields(s, "-"), lambda v, i: F.when((i == 0) & (v == 666), F.lit(0)).when((i == 0) & (v > 666), v - 1).otherwise(v))
 
+def _letters(hit: Column, kind: str) -> Column:
+    """The characters of an address or key id that are permuted in their class."""
+    return F.split(F.regexp_replace(hit, _LABEL, "") if kind == "email" else F.substring(hit, 5, 16), "")
 
-def _ssn(s: Column, key: str, back: bool) -> Column:
-    def of(f: Column) -> Column:
-        def shown(p: Column) -> Column:
-            area = F.get(p, F.lit(0)) + 1
-            parts = (F.when(area > 665, area + 1).otherwise(area), F.get(p, F.lit(1)) + 1, F.get(p, F.lit(2)) + 1)
-            return F.concat_ws("-", *[F.lpad(x.cast("string"), w, "0") for x, w in zip(parts, (3, 2, 4))])
 
-        sizes = F.array(*map(F.lit, _SSN[1]))
-        return F.when(_within(f, *_SSN), let(permute(F.transform(f, lambda v: v - 1), sizes, "ssn", key, back), shown)).otherwise(s)
-    return let(_ssn_fields(s), of)
+def _coded(hit: Column) -> Column:
+    """``(kind, values, radix)`` of a valid value, null for anything else."""
+    def row(kind: str, values: Column, radix: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), values.alias("values"), radix.alias("radix"))
 
+    def tens(kind: str, values: Column) -> Column:
+        return let(values, lambda v: row(kind, v, _constant(v, 10)))
 
-def _whole(hit: Column, kind: str) -> Column:
-    return hit.rlike(f"^(?:{''.join(KINDS[kind])})$")
+    def classes(kind: str) -> Column:
+        return let(_letters(hit, kind), lambda chars: row(
+            kind, F.transform(chars, lambda c: (F.ascii(c) - _base(c)).cast("int")),
+            F.transform(chars, lambda c: F.when(c.rlike("[0-9]"), 10).when(c.rlike("[A-Za-z]"), 26).otherwise(1))))
 
+    def day(form: str) -> Column:
+        return let(_day(hit, form), lambda n: F.when((n >= 0) & (n < DATE_SIDE * DATE_SIDE), row(
+            "date", F.array((n / DATE_SIDE).cast("int"), (n % DATE_SIDE).cast("int")), F.array(F.lit(DATE_SIDE), F.lit(DATE_SIDE)))))
 
-def _number(hit: Column, key: str, back: bool = False) -> Column:
-    """The pseudonym of a value in a run of numbers."""
-    return (F.when(_whole(hit, "card") | _whole(hit, "loose"), _card(hit, key, back))
-            .when(_whole(hit, "phone"), _phone(hit, key, back))
-            .when(_whole(hit, "ssn"), _ssn(hit, key, back))
-            .when(_whole(hit, "ip"), _ranges(hit, "ip", *_IP, (0, 0, 0, 0), ".", key, back))
-            .when(_whole(hit, "iso"), _date(hit, DATES["iso"], key, back))
-            .when(_whole(hit, "dmy"), _date(hit, DATES["dmy"], key, back))
-            .when(_whole(hit, "mdy"), _date(hit, DATES["mdy"], key, back))
-            .otherwise(hit))
+    card = let(_digits(hit), lambda d: F.when(_luhn(d), tens("card", F.slice(d, 1, F.size(d) - 1))))
+    phone = let(_digits(hit), lambda d: tens("phone", F.slice(d, F.size(d) - 9, 10)))
+    ssn = let(_ssn_fields(hit), lambda f: F.when(_within(f, *_SSN), row("ssn", F.transform(f, lambda v: v - 1), F.array(*map(F.lit, _SSN[1])))))
+    ip = let(_fields(hit, "."), lambda f: F.when(_within(f, *_IP), row("ip", f, F.array(*map(F.lit, _IP[1])))))
+    hexes = let(F.transform(F.split(hit, ""), lambda c: F.conv(c, 16, 10).cast("int")), lambda v: row("hex", v, _constant(v, 16)))
+    return (F.when(_whole(hit, "email"), classes("email"))
+            .when(_whole(hit, "keyid"), classes("keyid"))
+            .when(_whole(hit, "hex"), hexes)
+            .when(_whole(hit, "card") | _whole(hit, "loose"), card)
+            .when(_whole(hit, "phone"), phone)
+            .when(_whole(hit, "ssn"), ssn)
+            .when(_whole(hit, "ip"), ip)
+            .when(_whole(hit, "iso"), day(DATES["iso"]))
+            .when(_whole(hit, "dmy"), day(DATES["dmy"]))
+            .when(_whole(hit, "mdy"), day(DATES["mdy"])))
 
 
-def pseudonym(hit: Column, key: str, back: bool = False) -> Column:
+def _written(hit: Column, kind: Column, p: Column) -> Column:
+    """Permuted values in the form of the hit."""
+    def chars(of: str) -> Column:
+        return F.array_join(F.zip_with(p, _letters(hit, of), lambda v, c: F.char((v + _base(c)).cast("bigint"))), "")
+
+    def fields(parts, sep: str) -> Column:
+        return F.concat_ws(sep, *[F.lpad(x.cast("string"), w, "0") if w else x.cast("string") for x, w in parts])
+
+    area = F.get(p, F.lit(0)) + 1
+    ssn = [(F.when(area > 665, area + 1).otherwise(area), 3), (F.get(p, F.lit(1)) + 1, 2), (F.get(p, F.lit(2)) + 1, 4)]
+    day = F.date_add(F.lit(_EPOCH).cast("date"), F.get(p, F.lit(0)) * DATE_SIDE + F.get(p, F.lit(1)))
+    date = F.when(hit.contains("-"), F.date_format(day, DATES["iso"])).when(hit.contains("."), F.date_format(day, DATES["dmy"])) \
+        .otherwise(F.date_format(day, DATES["mdy"]))
+    return (F.when(kind == "email", F.concat(chars("email"), F.regexp_extract(hit, _LABEL, 0)))
+            .when(kind == "keyid", F.concat(F.lit("AKIA"), chars("keyid")))
+            .when(kind == "hex", F.array_join(F.transform(p, lambda x: F.lower(F.hex(x.cast("bigint")))), ""))
+            .when(kind == "card", fill(hit, F.concat(p, F.array(F.pmod(10 - luhn_sum(p, False) % 10, F.lit(10)).cast("int")))))
+            .when(kind == "phone", let(_digits(hit), lambda d: fill(hit, F.concat(F.slice(d, 1, F.size(d) - 10), p))))
+            .when(kind == "ssn", fields(ssn, "-"))
+            .when(kind == "ip", fields([(F.get(p, F.lit(i)), 0) for i in range(4)], "."))
+            .otherwise(date))
+
+
+def pseudonym(hit: Column, key: Column | str, back: bool = False) -> Column:
     """The pseudonym of one found value (``back``: the value of a pseudonym)."""
-    last = F.regexp_extract(hit, r"\.[A-Za-z0-9-]+$", 0)
-    head = F.regexp_replace(hit, r"\.[A-Za-z0-9-]+$", "")
-    return (F.when(_whole(hit, "email"), F.concat(_classes(head, "email", key, back), last))
-            .when(_whole(hit, "keyid"), F.concat(F.lit("AKIA"), _classes(F.substring(hit, 5, 16), "keyid", key, back)))
-            .when(_whole(hit, "hex"), _hex(hit, key, back))
-            .otherwise(_number(hit, key, back)))
+    return let(_coded(hit), lambda c: F.when(c.isNull(), hit).otherwise(
+        let(permute(c["values"], c["radix"], c["kind"], key, back), lambda p: _written(hit, c["kind"], p))))
+
+
+# ------------------------------------------------------------- runs of numbers
+# A number, or one character between numbers.
+_TOKEN = "[0-9]++|[^0-9]"
+#: Tokens that a value can span (19 single digits and what separates them), and one
+#: behind them.
+_SPAN = 2 * 19
+#: Marks: the character of this number plus n stands before a value of n tokens.
+_MARK = 0xE000
+_MARKED = "".join(chr(_MARK + n) for n in range(1, _SPAN + 1))
+_MARKS = f"[{_MARKED[0]}-{_MARKED[-1]}]"
+_CUT = "|".join(f"{chr(_MARK + n)}(?:{_MARKS}?+(?:[0-9]++|[^0-9{_MARKS[1:-1]}])){{{n}}}+" for n in range(1, _SPAN + 1))
+_ANY = "|".join("".join(KINDS[k]) for k in NUMERIC)
 
 
 def _valid(hit: Column, kind: str) -> Column:
@@ -255,44 +257,71 @@ def _valid(hit: Column, kind: str) -> Column:
     return _luhn(_digits(hit))
 
 
-def _candidates(s: Column, kind: str, value: str) -> Column:
-    """Patterns of the valid values of a kind, wherever one may begin."""
-    before, _, after = KINDS[kind]
-    hits = F.array_distinct(F.regexp_extract_all(s, F.lit(f"(?=({before}{value}{after}))"), F.lit(1)))
-    return F.transform(F.filter(hits, lambda h: _valid(h, kind)), lambda h: F.concat(F.lit(f"{before}\\Q"), h, F.lit(f"\\E{after}")))
+def _first_valid(near: Column, kinds) -> Column:
+    """The value of the first of the ``kinds`` that begins behind the first character
+    of ``near`` and is valid (null: none)."""
+    def one(kind: str, value: str) -> Column:
+        before, _, after = KINDS[kind]
+        return let(F.regexp_extract(near, f"^(?s:.){before}({value}){after}", 1),
+                   lambda h: F.when(h != "", F.when(_valid(h, kind), h)))
+    return F.coalesce(*[one(k, v) for k, v in kinds])
+
+
+def _piece(s: Column, value: bool) -> Column:
+    return F.struct(s.alias("s"), F.lit(value).alias("v"))
+
+
+def _cut(s: Column, guard: str, kinds, rest) -> Column:
+    """Pieces ``(s, v)`` of ``s`` in order: its values (``v``) and what ``rest`` makes
+    of the text between them."""
+    def marked(tokens: Column) -> Column:
+        def mark(near: Column) -> Column:
+            value = F.when(near.rlike(f"^(?s:.)(?:{guard})"), _first_valid(near, kinds))
+            return let(value, lambda h: F.when(h.isNull(), "").otherwise(
+                F.substring(F.lit(_MARKED), F.size(F.regexp_extract_all(h, F.lit(_TOKEN), F.lit(0))), F.lit(1))))
 
+        def one(t: Column, i: Column) -> Column:
+            behind = F.when(i > 0, F.right(F.get(tokens, i - 1), F.lit(1))).otherwise(F.lit(" "))
+            near = F.concat(behind, F.array_join(F.slice(tokens, i + 1, _SPAN + 1), ""))
+            return F.when(t.rlike("^[0-9(+]"), F.concat(let(near, mark), t)).otherwise(t)
+        return F.array_join(F.transform(tokens, one), "")
 
-def _cut(s: Column, patterns: Column, rest, key: str) -> Column:
-    """``(s, n)``: ``s`` with the values of the patterns replaced, ``rest`` applied
-    to what is between them; ``n`` values changed."""
-    def at(p: Column) -> Column:
-        def put(g: Column) -> Column:
-            new = F.transform(F.regexp_extract_all(s, p, F.lit(0)), lambda h: let(_number(h, key), lambda v: F.struct(v.alias("s"), (v != h).cast("int").alias("n"))))
-            return let(F.concat(new, F.array(F.struct(F.lit("").alias("s"), F.lit(0).alias("n")))), lambda v: F.struct(
-                F.array_join(F.zip_with(g, v, lambda a, b: F.concat(a["s"], b["s"])), "").alias("s"),
-                F.aggregate(F.zip_with(g, v, lambda a, b: a["n"] + b["n"]), F.lit(0), lambda a, x: a + x).alias("n")))
-        return let(F.transform(F.split(s, p, -1), rest), put)
-    return let(F.when(F.size(patterns) > 0, F.array_join(patterns, "|")).otherwise(F.lit("(?!)")), at)
+    def pieces(m: Column) -> Column:
+        def plain(x: Column) -> Column:
+            return F.regexp_replace(x, _MARKS, "")
 
+        gaps = F.transform(F.split(m, _CUT, -1), lambda x: rest(plain(x)))
+        values = F.transform(F.regexp_extract_all(m, F.lit(_CUT), F.lit(0)), lambda x: F.array(_piece(plain(x), True)))
+        return F.flatten(F.zip_with(gaps, values, lambda g, v: F.when(v.isNull(), g).otherwise(F.concat(g, v))))
 
-def _run(s: Column, key: str) -> Column:
-    """``(s, n)`` of a run of numbers."""
+    return let(let(F.regexp_extract_all(s, F.lit(_TOKEN), F.lit(0)), marked), pieces)
+
+
+def _pieces(hit: Column) -> Column:
+    """Pieces of a hit of ``PATTERN``."""
     def kept(g: Column) -> Column:
-        return F.struct(g.alias("s"), F.lit(0).alias("n"))
+        return F.array(_piece(g, False))
 
     def loose(g: Column) -> Column:
         # The longest of the valid ones that begin at a number.
-        found = F.concat(*[_candidates(g, "loose", rf"[0-9](?:[ -]?[0-9]){{{n - 1}}}") for n in range(19, 12, -1)])
-        return F.when(F.length(g) > 12, let(found, lambda p: _cut(g, p, kept, key))).otherwise(kept(g))
+        kinds = [("loose", rf"[0-9](?:[ -]?[0-9]){{{n - 1}}}") for n in range(19, 12, -1)]
+        return F.when(F.length(g) > 12, _cut(g, "(?<![0-9])[0-9](?:[ -]?[0-9]){12}", kinds, kept)).otherwise(kept(g))
 
-    found = F.concat(*[_candidates(s, k, KINDS[k][1]) for k in NUMERIC])
-    return F.when(F.length(s) >= _SHORTEST, let(found, lambda p: _cut(s, p, loose, key))).otherwise(kept(s))
+    run = _cut(hit, _ANY, [(k, KINDS[k][1]) for k in NUMERIC], loose)
+    return (F.when(~hit.rlike(f"^(?:{RUN})$"), F.array(_piece(hit, True)))
+            .when(F.length(hit) >= _SHORTEST, run).otherwise(kept(hit)))
 
 
-def _named(hit: Column, key: str) -> Column:
-    """``(s, n)`` of a hit of ``PATTERN``."""
-    return F.when(hit.rlike(f"^(?:{RUN})$"), _run(hit, key)).otherwise(
-        let(pseudonym(hit, key), lambda v: F.struct(v.alias("s"), (v != hit).cast("int").alias("n"))))
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until ``df`` has none of them."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def pseudonymize(docs: DataFrame, key: str, text: str = "text", count: str | None = None) -> DataFrame:
@@ -300,16 +329,22 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text", count: str | Non
     column for the number of values that changed.
 
     The text is cut at the found values and put together again in its row."""
-    hits, done, n = "__eventide_hits", "__eventide_done", "__eventide_n"
-    out = docs.withColumn(hits, F.regexp_extract_all(F.col(text).cast("string"), F.lit(PATTERN), F.lit(0)))
-    # Values of a text are handled once each, in a map of the different ones.
-    out = out.withColumn(done, F.when(F.size(hits) > 0, F.map_from_arrays(
-        F.array_distinct(hits), F.transform(F.array_distinct(hits), lambda h: _named(h, key)))))
-    gaps = F.split(F.col(text).cast("string"), PATTERN, -1)
-    named = F.concat(F.transform(F.col(hits), lambda h: F.element_at(F.col(done), h)["s"]), F.array(F.lit("")))
-    new = F.when(F.size(hits) > 0, F.array_join(F.zip_with(gaps, named, lambda g, h: F.concat(g, h)), "")).otherwise(F.col(text).cast("string"))
-    changed = F.aggregate(F.transform(F.col(hits), lambda h: F.element_at(F.col(done), h)["n"]), F.lit(0), lambda a, x: a + x)
-    out = out.withColumn(n, F.when(F.size(hits) > 0, changed).otherwise(F.lit(0))).withColumn(text, new)
+    hits, named, secret = free_names(docs, "__hits", "__named", "__key")
+    whole = F.col(text).cast("string")
+    out = docs.withColumn(secret, docs.sparkSession.createDataFrame([(key,)], "key string").scalar())
+    out = out.withColumn(hits, F.regexp_extract_all(whole, F.lit(PATTERN), F.lit(0)))
+
+    def shown(p: Column) -> Column:
+        new = F.when(p["v"], pseudonym(p["s"], F.col(secret))).otherwise(p["s"])
+        return let(new, lambda v: F.struct(v.alias("s"), (v != p["s"]).cast("int").alias("n")))
+
+    def joined(ps: Column) -> Column:
+        return F.struct(F.array_join(ps["s"], "").alias("s"), F.aggregate(ps["n"], F.lit(0), lambda a, x: a + x).alias("n"))
+
+    out = out.withColumn(named, F.when(F.size(hits) > 0, F.transform(hits, lambda h: let(F.transform(_pieces(h), shown), joined))))
+    gaps = F.split(whole, PATTERN, -1)
+    new = F.array_join(F.zip_with(gaps, F.col(named)["s"], lambda g, h: F.concat(g, F.coalesce(h, F.lit("")))), "")
     if count:
-        out = out.withColumn(count, F.col(n).cast("bigint"))
-    return out.drop(hits, done, n)
+        changed = F.coalesce(F.aggregate(F.col(named)["n"], F.lit(0), lambda a, x: a + x), F.lit(0))
+        out = out.withColumn(count, changed.cast("bigint"))
+    return out.withColumn(text, F.when(F.size(hits) > 0, new).otherwise(whole)).drop(hits, named, secret)
