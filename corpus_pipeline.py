@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventide.llm import feistel, line_windows, packing, toxicity, trie_join
 from eventide.llm.queries import PSEUDONYM_KEY
-from eventide.session import shared_dir
+from eventide.session import retire, shared_dir
 from eventide.sources.tables import table
 
 
@@ -56,11 +56,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents."""
-    base = shared_dir(spark, "pipeline")
+    """All stages over documents.  A stage's copy goes when the next one is written."""
+    base, read = shared_dir(spark, "pipeline"), None
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         path = f"{base}/{k}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if read:
+            retire(spark, read)
+        read = path
     return docs

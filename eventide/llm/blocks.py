@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 #: Characters handled together; a longer text forms a block of its own.
 BLOCK_CHARS = 5_000_000
@@ -27,6 +28,18 @@ def text_blocks(batches: Iterable[pa.RecordBatch], column: str = "text",
             yield batch.slice(begin), texts[begin:]
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until ``df`` has none of them."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def group_chunks(frames, keys: list[str]):
     """Frames of a partition sorted by ``keys``, cut so that each holds whole
     groups: ``(frame, edges)`` with the groups between consecutive edges.  A

@@ -35,6 +35,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from eventide.llm.blocks import free_names
+
 #: Rounds of the network.
 ROUNDS = 8
 #: Days are a pair of numbers below this.
@@ -312,18 +314,6 @@ def _pieces(hit: Column) -> Column:
             .when(F.length(hit) >= _SHORTEST, run).otherwise(kept(hit)))
 
 
-def free_names(df: DataFrame, *names: str) -> list[str]:
-    """The names, lengthened until ``df`` has none of them."""
-    taken = {c.lower() for c in df.columns}
-    out = []
-    for name in names:
-        while name.lower() in taken:
-            name += "_"
-        taken.add(name.lower())
-        out.append(name)
-    return out
-
-
 def pseudonymize(docs: DataFrame, key: str, text: str = "text", count: str | None = None) -> DataFrame:
     """``docs`` with the personal data of ``text`` replaced; ``count`` names a
     column for the number of values that changed.

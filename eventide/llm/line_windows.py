@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from eventide.llm.blocks import free_names
 from eventide.llm.feistel import let
 from eventide.session import cut_lineage
 
@@ -57,16 +58,17 @@ def deduplicate(docs: DataFrame, text: str = "text", key: str = "doc_id", counts
     """``docs`` without the lines of repeated windows; ``counts`` adds
     ``n_lines`` and ``n_removed``; ``short``: documents with one or two lines
     form one window of them."""
-    cut = removals(docs, text, key, short).groupBy("id", "th").agg(F.collect_set(F.struct("a", "b")).alias("cut"))
-    cut = cut.select(F.col("id").alias("__id"), F.col("th").alias("__th"), F.col("cut").alias("__cut"))
-    out = docs.join(cut, docs[key].eqNullSafe(cut["__id"]) & (F.xxhash64(docs[text]) == cut["__th"]), "left")
+    i, h, cuts, n, kept = free_names(docs, "__id", "__th", "__cut", "__n", "__kept")
+    cut = removals(docs, text, key, short).groupBy("id", "th").agg(F.collect_set(F.struct("a", "b")).alias(cuts))
+    cut = cut.withColumnRenamed("id", i).withColumnRenamed("th", h)
+    out = docs.join(cut, docs[key].eqNullSafe(cut[i]) & (F.xxhash64(docs[text]) == cut[h]), "left")
     lines = F.split(F.col(text).cast("string"), "\n")
-    covered = F.flatten(F.transform("__cut", lambda c: F.sequence(c["a"], c["b"])))
-    out = out.withColumn("__n", F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)))
-    out = out.withColumn("__kept", F.when(F.col("__cut").isNotNull(), F.array_except(F.sequence(F.lit(0), F.col("__n") - 1), covered)))
-    new = F.when(F.col("__kept").isNull(), F.col(text)).otherwise(
-        let(lines, lambda ls: F.array_join(F.transform(F.col("__kept"), lambda i: F.get(ls, i)), "\n")))
+    covered = F.flatten(F.transform(cuts, lambda c: F.sequence(c["a"], c["b"])))
+    out = out.withColumn(n, F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)))
+    out = out.withColumn(kept, F.when(F.col(cuts).isNotNull(), F.array_except(F.sequence(F.lit(0), F.col(n) - 1), covered)))
+    new = F.when(F.col(kept).isNull(), F.col(text)).otherwise(
+        let(lines, lambda ls: F.array_join(F.transform(F.col(kept), lambda at: F.get(ls, at)), "\n")))
     if counts:
-        out = out.withColumn("n_lines", F.col("__n").cast("bigint")).withColumn(
-            "n_removed", F.when(F.col("__kept").isNull(), 0).otherwise(F.col("__n") - F.size("__kept")).cast("bigint"))
-    return out.withColumn(text, new).drop("__id", "__th", "__cut", "__n", "__kept")
+        out = out.withColumn("n_lines", F.col(n).cast("bigint")).withColumn(
+            "n_removed", F.when(F.col(kept).isNull(), 0).otherwise(F.col(n) - F.size(kept)).cast("bigint"))
+    return out.withColumn(text, new).drop(i, h, cuts, n, kept)

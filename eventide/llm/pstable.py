@@ -17,7 +17,8 @@ Vectors that are null, zero, or hold null or non-finite components link with
 nothing; a null label links with nothing.  A row without a vec_id has no links
 and no component and is not kept.  Repeated rows are vectors of their own: each
 counts the others.  Rows with the same vec_id and different vectors share a
-component.  An empty table gives an empty table; other columns are not read.
+component.  Vectors of unequal size link with nothing of another size.  Components
+may be as large or small as doubles are.  An empty table gives an empty table; other columns are not read.
 """
 
 from __future__ import annotations
@@ -62,7 +63,7 @@ def _classes(df: DataFrame, key: str, vector: str, label: str) -> DataFrame:
                 x = None
                 if v is not None and len(v) and None not in v:
                     x = np.asarray(v, dtype=np.float64)
-                    if not np.isfinite(x).all() or not x.any() or not np.isfinite(x @ x) or x @ x == 0:
+                    if not np.isfinite(x).all() or not x.any():
                         x = None
                 # -0.0 and 0.0 are equal components
                 out.append((x + 0.0).tobytes() if x is not None else None)
@@ -74,6 +75,13 @@ def _classes(df: DataFrame, key: str, vector: str, label: str) -> DataFrame:
     return rows.withColumn("vec", F.when(F.col("label").isNotNull() & F.col("id").isNotNull(), F.col("vec")))
 
 
+def unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length one; the largest component is divided out first, so that no
+    square leaves the range of doubles."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def _buckets(classes: DataFrame, k: int, t: int, seed: int) -> DataFrame:
     """Adds ``buckets``: one 64-bit bucket number per table."""
     def run(batches):
@@ -88,8 +96,7 @@ def _buckets(classes: DataFrame, k: int, t: int, seed: int) -> DataFrame:
                     made[size] = rng.standard_normal((size // 8, k * t)), rng.uniform(0, WIDTH, k * t)
                 direction, shift = made[size]
                 of = [i for i, v in enumerate(vecs) if len(v) == size]
-                x = np.frombuffer(b"".join(vecs[i] for i in of), dtype=np.float64).reshape(len(of), -1)
-                x = x / np.linalg.norm(x, axis=1, keepdims=True)
+                x = unit(np.frombuffer(b"".join(vecs[i] for i in of), dtype=np.float64).reshape(len(of), -1))
                 steps = np.floor((x @ direction + shift) / WIDTH).astype(np.int64).reshape(len(of), t, k)
                 h = (steps.astype(np.uint64) * mix).sum(axis=2, dtype=np.uint64)
                 h ^= h >> np.uint64(31)
@@ -112,11 +119,11 @@ def _linked(hashed: DataFrame, cosine: float) -> DataFrame:
     crowded = (hashed.select("label", F.posexplode("buckets").alias("t", "bucket")).groupBy("label", "t", "bucket")
                .agg(F.count("*").alias("m")).where(F.col("m") > BLOCK)
                .select("label", "t", "bucket", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
-    spread = spread.join(crowded, ["label", "t", "bucket"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    spread = spread.withColumn("size", F.octet_length("vec")).join(crowded, ["label", "t", "bucket"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     spread = spread.withColumn("own", F.pmod(F.xxhash64("vec", "t"), F.col("blocks")).cast("int"))
     meet = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     meet = meet.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("other", "blocks")
-    keys = ["t", "bucket", "label", "i", "j"]
+    keys = ["t", "bucket", "label", "size", "i", "j"]
     dealt = meet.repartition(*keys).sortWithinPartitions(*keys, "own", "rep")
     kind = dict(hashed.dtypes)["rep"]
 
@@ -129,11 +136,10 @@ def _linked(hashed: DataFrame, cosine: float) -> DataFrame:
             buckets = pdf["buckets"].to_numpy()
             a, b, n = [], [], []
             for s, e in zip(edges, edges[1:]):
-                if e - s < 2 or len({len(v) for v in vecs[s:e]}) > 1 and _mixed(vecs[s:e]):
+                if e - s < 2:
                     continue
                 mid = s + int((own[s:e] == ii[s]).sum()) if ii[s] != jj[s] else s
-                x = np.frombuffer(b"".join(vecs[s:e]), dtype=np.float64).reshape(e - s, -1)
-                x = x / np.linalg.norm(x, axis=1, keepdims=True)
+                x = unit(np.frombuffer(b"".join(vecs[s:e]), dtype=np.float64).reshape(e - s, -1))
                 if ii[s] == jj[s]:
                     p, q = np.nonzero(np.triu(x @ x.T >= cosine, 1))
                 else:
@@ -163,10 +169,6 @@ def _linked(hashed: DataFrame, cosine: float) -> DataFrame:
     return dealt.mapInPandas(run, f"a {kind}, b {kind}, n bigint")
 
 
-def _mixed(vecs) -> bool:
-    raise ValueError(f"vectors of one label have different sizes: {sorted({len(v) // 8 for v in vecs})}")
-
-
 def near_duplicates(df: DataFrame, cosine: float = 0.93, key: str = "vec_id", vector: str = "embedding",
                     label: str = "label", recall: float = RECALL, seed: int = 42) -> DataFrame:
     """``(key, n_links, component_id, kept)`` of every vector."""

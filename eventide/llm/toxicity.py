@@ -26,9 +26,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from eventide.llm.blocks import text_blocks
+from eventide.llm.blocks import free_names, text_blocks
 from eventide.session import cut_lineage
 
 #: Labelled rows that a fit may use.
@@ -172,11 +172,13 @@ def train_on(indptr: np.ndarray, cols: np.ndarray, counts: np.ndarray, names: li
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, text: str = "text", key: str = "doc_id",
           label: str = "toxic") -> OrdinalModel:
-    """Fit on at most ``rows`` labelled documents, those of least hash."""
+    """Fit on at most ``rows`` labelled documents: the labelled keys of least hash,
+    each with one of its texts (that of least hash, if several rows have the key)."""
     known = (labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("k"))
              .agg(F.max(F.col(label).cast("int")).alias("y")).orderBy(F.xxhash64("k"), "k").limit(rows))
     sample = cut_lineage(docs.select(F.col(key).alias("k"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
-                         .join(F.broadcast(known), "k"))
+                         .join(F.broadcast(known), "k").withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy(F.xxhash64("t"))))
+                         .where("r = 1").drop("r"))
 
     def standing(wanted):
         """Numbers of texts that have a feature, summed up per task."""
@@ -282,12 +284,12 @@ def severity(docs: DataFrame, model: OrdinalModel, text: str = "text", key: str
 def reject(docs: DataFrame, model: OrdinalModel, chance: float = 0.5, text: str = "text") -> DataFrame:
     """``docs`` without those whose chance of any toxic grade is ``chance`` or
     more; all columns stay as they are, and the texts are not shuffled."""
-    names = docs.columns
-    bare = docs.withColumn("__t", F.col(text).cast("string"))
+    names, (t,) = docs.columns, free_names(docs, "__t")
+    bare = docs.withColumn(t, F.col(text).cast("string"))
 
     def run(batches):
         linear = model.scorer()
-        for batch, texts in text_blocks(batches, "__t"):
+        for batch, texts in text_blocks(batches, t):
             keep = model.score(linear(texts))[:, 0] < chance
             yield batch.filter(pa.array(keep)).select(names)
 

@@ -22,9 +22,9 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from eventide.llm.blocks import gather_runs, sorted_groups, text_blocks
+from eventide.llm.blocks import free_names, gather_runs, sorted_groups, text_blocks
 from eventide.llm.components import Forest, components
 from eventide.session import cut_lineage
 
@@ -243,10 +243,21 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4, text: str
 
 
 def deduplicate(docs: DataFrame, shingle: int = 4, bits: int = 4, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One document of each group stays: the one with the smallest key.  All
-    columns are kept.  Rows with the same key are one document, which stays if
-    one of its rows is its group's first; rows without a key stay."""
-    groups = near_duplicates(docs, shingle, bits, text, key)
-    gone = (groups.groupBy(F.col(key).alias("__k")).agg(F.max(F.col(key) == F.col("component_id")).alias("first"))
-            .where("NOT first").select("__k"))
-    return docs.join(gone, docs[key] == gone["__k"], "left_anti")
+    """One row of each group stays: the one with the smallest key, then text hash
+    (rows without a key come last).  All columns are kept.  Repeated rows (equal key
+    and text, a null text being an empty one, whatever their other columns) are one
+    row first, of which the one with the least hash of all columns but maps stays;
+    equal keys with different texts are documents of their own."""
+    k, th, fp, r = free_names(docs, "__k", "__th", "__fp", "__r")
+    hashed = docs.withColumn(k, F.col(key)).withColumn(th, F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+    # Every task keeps one of its equal rows before the shuffle.
+    same = Window.partitionBy(k, th).orderBy(F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind]))
+    once = hashed.withColumn(r, F.row_number().over(same)).where(F.col(r) == 1).drop(r)
+    named = docs.select(F.struct(F.col(key).alias("k"), F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("th")).alias("row"), F.col(text).alias("t"))
+    prints = cut_lineage(fingerprints(named, shingle, "t", "row").distinct())
+    comp = components(links(prints.select("fp").distinct(), bits))
+    of = prints.join(comp.select(F.col("node").alias("fp"), "component"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    place = F.struct(F.col("row.k").isNull().alias("none"), F.col("row.k").alias("k"), F.col("row.th").alias("th"))
+    first = of.groupBy("component").agg(F.min(place).alias("first")).select(F.col("first.k").alias(fp), F.col("first.th").alias("__of"))
+    keep = once.join(first, once[k].eqNullSafe(first[fp]) & (once[th] == first["__of"]), "left_semi")
+    return keep.select(*docs.columns)
