@@ -10,9 +10,9 @@ neighbours until all of them have been.
 
 On Spark a round is two joins.  Centres are dealt into parts; the vectors that a
 part needs are joined to it once, however many of its centres share them, and a
-part hands on at most ``DEGREE`` candidates a node.  A hub's backward neighbours
-are dealt into slots of ``CROWD``, so no group grows with the table.  Queries go in
-parts in the same way.
+part hands on at most ``DEGREE`` candidates a node, in one row per bucket of
+``BUCKET`` nodes.  A hub's backward neighbours are dealt into slots of ``CROWD``, so
+no group grows with the table.  Queries go in parts in the same way.
 
 Vectors are scaled by the longest and get one more component that makes them unit
 vectors, which turns the largest inner product into the nearest vector; the graph
@@ -38,14 +38,15 @@ from eventide.session import cut_lineage
 
 #: Neighbours of a node.
 DEGREE = 48
-#: Best nodes that a search expands.
-BEAM = 96
+#: Best nodes that a search expands, and how many of them at once.
+BEAM, STEP = 96, 32
 #: Random groups at the start, and nodes of a group.
 STARTS, GROUP = 4, 512
 #: Rounds at most, and the share of new links at which they end.
 ROUNDS, FEW = 8, 0.02
-#: Centres of a part, backward neighbours of a slot, queries of a part.
-CENTRES, CROWD, QUERIES = 4096, 1024, 512
+#: Centres of a part, backward neighbours of a slot, queries of a part, nodes of a
+#: bucket of the graph.
+CENTRES, CROWD, QUERIES, BUCKET = 4096, 1024, 512, 1024
 #: Nodes at which every search begins besides its own: so many of least hash and as
 #: many of the longest.
 ENTRIES = 16
@@ -116,59 +117,63 @@ def _best(v, u, s, old, k: int):
     return v[keep], u[keep], s[keep], old[keep]
 
 
-def _packed(v, u, s, old):
-    """Links, ordered by ``v``, as a frame of one row per ``v``: neighbours,
-    likenesses, which links are old, how many there are and are new, and the last
-    one's likeness."""
-    import pandas as pd
+_LINKS = "bucket bigint, nodes binary, links binary, nbr binary, sim binary, old binary, total int, fresh int"
+_COLUMNS = ["bucket", "nodes", "links", "nbr", "sim", "old", "total", "fresh"]
+
 
-    edges = np.append(np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]])), len(v)) if len(v) else np.zeros(1, np.int64)
-    cut = list(zip(edges[:-1].tolist(), edges[1:].tolist()))
-    u, s, flags = u.astype("<i8"), s.astype("<f4"), old.astype(np.uint8)
-    return pd.DataFrame({"node": v[edges[:-1]].astype(np.int64), "nbr": [u[a:b].tobytes() for a, b in cut], "sim": [s[a:b].tobytes() for a, b in cut],
-                         "old": [flags[a:b].tobytes() for a, b in cut], "links": np.diff(edges).astype(np.int32),
-                         "fresh": (np.diff(edges) - np.add.reduceat(flags, edges[:-1], dtype=np.int64) if cut else np.zeros(0)).astype(np.int32),
-                         "last": s[edges[1:] - 1]})
+def _packed(bucket: int, nodes, v, u, s, old) -> tuple:
+    """A row of links: its nodes, how many links each has, and the links by node;
+    ``v`` is ordered and ``nodes`` holds it."""
+    links = np.diff(np.searchsorted(v, np.append(nodes, nodes[-1] + 1))) if len(nodes) else np.zeros(0, np.int64)
+    return (bucket, nodes.astype("<i8").tobytes(), links.astype("<i4").tobytes(), u.astype("<i8").tobytes(), s.astype("<f4").tobytes(),
+            old.astype(np.uint8).tobytes(), len(v), int(len(v) - np.count_nonzero(old)))
 
 
 def _unpacked(pdf):
-    n = pdf["links"].to_numpy()
-    return (np.repeat(pdf["node"].to_numpy(), n), np.frombuffer(b"".join(pdf["nbr"]), "<i8"), np.frombuffer(b"".join(pdf["sim"]), "<f4"),
+    """``(nodes, links, v, u, s, old)`` of rows of links."""
+    nodes, links = np.frombuffer(b"".join(pdf["nodes"]), "<i8"), np.frombuffer(b"".join(pdf["links"]), "<i4")
+    return (nodes, links, np.repeat(nodes, links), np.frombuffer(b"".join(pdf["nbr"]), "<i8"), np.frombuffer(b"".join(pdf["sim"]), "<f4"),
             np.frombuffer(b"".join(pdf["old"]), np.uint8).astype(bool))
 
 
-_LINKS = "node bigint, nbr binary, sim binary, old binary, links int, fresh int, last float"
+def _buckets(v, u, s, bucket, nodes=None):
+    """Rows of new links, one per bucket; ``bucket`` is that of each ``v`` (and behind
+    them of ``nodes`` that may have no link)."""
+    import pandas as pd
+
+    whole = v if nodes is None else np.concatenate([v, nodes])
+    out = []
+    order = np.lexsort((v, bucket[:len(v)]))
+    v, u, s, of = v[order], u[order], s[order], bucket[:len(v)][order]
+    held, first = np.unique(np.stack([bucket, whole]), axis=1, return_index=True)
+    edges = np.flatnonzero(np.concatenate([[True], held[0][1:] != held[0][:-1]])) if len(first) else np.zeros(0, np.int64)
+    for a, b in zip(edges, np.append(edges[1:], held.shape[1])):
+        k = int(held[0][a])
+        x, y = np.searchsorted(of, [k, k + 1])
+        out.append(_packed(k, held[1][a:b], v[x:y], u[x:y], s[x:y], np.zeros(y - x, dtype=bool)))
+    return pd.DataFrame(out, columns=_COLUMNS)
 
 
 def _merged(links: DataFrame, k: int) -> DataFrame:
-    """One row per node with its ``k`` best links; those of rows marked ``was`` are
-    old."""
+    """One row per bucket with the ``k`` best links of each node; those of rows
+    marked ``was`` are old."""
     def run(frames):
-        for pdf, _ in group_chunks(frames, ["node"]):
-            v, u, s, _ = _unpacked(pdf)
-            got = _packed(*_best(v, u, s, np.repeat(pdf["was"].to_numpy().astype(bool), pdf["links"].to_numpy()), k))
-            alone = np.setdiff1d(pdf["node"].to_numpy(), got["node"].to_numpy())
-            yield got
-            if len(alone):
-                yield _linkless(alone)
-
-    return links.repartition("node").sortWithinPartitions("node").mapInPandas(run, _LINKS)
-
-
-def _linkless(ids):
-    import pandas as pd
+        import pandas as pd
 
-    return pd.DataFrame({"node": ids, "nbr": b"", "sim": b"", "old": b"", "links": 0, "fresh": 0, "last": 0.0})
+        for pdf, edges in group_chunks(frames, ["bucket"]):
+            out = []
+            for a, b in zip(edges, edges[1:]):
+                rows = pdf.iloc[a:b]
+                nodes, _, v, u, s, _ = _unpacked(rows)
+                old = np.repeat(rows["was"].to_numpy().astype(bool), rows["total"].to_numpy())
+                out.append(_packed(int(rows["bucket"].iat[0]), np.unique(nodes), *_best(v, u, s, old, k)))
+            yield pd.DataFrame(out, columns=_COLUMNS)
 
+    return links.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(run, _LINKS)
 
-def _backwards(graph: DataFrame) -> DataFrame:
-    def run(frames):
-        for pdf in frames:
-            v, u, s, old = _unpacked(pdf)
-            o = np.argsort(u, kind="stable")
-            yield _packed(u[o], v[o], s[o], old[o])
 
-    return graph.mapInPandas(run, _LINKS)
+def _bucket(node: str, n: int):
+    return F.pmod(F.xxhash64(node), F.lit(-(-n // BUCKET)))
 
 
 # ------------------------------------------------------------------ NN-descent
@@ -176,24 +181,23 @@ def _start(nodes: DataFrame, n: int, size: int) -> DataFrame:
     """Best links within random groups."""
     groups = max(1, -(-n // GROUP))
     each = DEGREE if groups == 1 else DEGREE // 2
-    dealt = nodes.select("node", "code", F.explode(F.sequence(F.lit(0), F.lit((STARTS if groups > 1 else 1) - 1))).alias("turn"))
+    dealt = nodes.select("node", "code", _bucket("node", n).alias("bucket"), F.explode(F.sequence(F.lit(0), F.lit((STARTS if groups > 1 else 1) - 1))).alias("turn"))
     dealt = dealt.withColumn("part", F.pmod(F.xxhash64("node", "turn"), F.lit(groups)))
     keys = ["turn", "part"]
 
     def run(frames):
         for pdf, edges in group_chunks(frames, keys):
+            found = []
             for a, b in zip(edges, edges[1:]):
                 x, ids = _floats(pdf["code"].iloc[a:b].tolist(), size), pdf["node"].to_numpy()[a:b]
                 k = min(each, b - a - 1)
-                if k < 1:
-                    yield _linkless(ids)
-                    continue
-                s = x @ x.T
-                np.fill_diagonal(s, -np.inf)
-                top = np.argpartition(-s, k - 1, axis=1)[:, :k]
-                order = np.argsort(ids, kind="stable")
-                v, u, got = np.repeat(ids[order], k), ids[top[order]].ravel(), np.take_along_axis(s, top, 1)[order].ravel()
-                yield _packed(v, u, got, np.zeros(len(v), dtype=bool))
+                if k > 0:
+                    s = x @ x.T
+                    np.fill_diagonal(s, -np.inf)
+                    top = np.argpartition(-s, k - 1, axis=1)[:, :k]
+                    found.append((np.repeat(ids, k), ids[top].ravel(), np.take_along_axis(s, top, 1).ravel(), np.repeat(pdf["bucket"].to_numpy()[a:b], k)))
+            v, u, s, of = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, t) for t in (np.int64, np.int64, np.float32, np.int64))
+            yield _buckets(v, u, s, np.concatenate([of, pdf["bucket"].to_numpy()]), pdf["node"].to_numpy())
 
     links = dealt.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, _LINKS)
     return _merged(links.withColumn("was", F.lit(False)), DEGREE)
@@ -205,13 +209,27 @@ def _pairs(graph: DataFrame) -> DataFrame:
         import pandas as pd
 
         for pdf in frames:
-            v, u, _, old = _unpacked(pdf)
+            _, _, v, u, _, old = _unpacked(pdf)
             yield pd.DataFrame({"centre": np.concatenate([v, u]), "member": np.concatenate([u, v]),
                                 "back": np.repeat([False, True], len(v)), "old": np.concatenate([old, old])})
 
     return graph.mapInPandas(run, "centre bigint, member bigint, back boolean, old boolean")
 
 
+def _bars(graph: DataFrame) -> DataFrame:
+    """``(node, worst)``: the worst link of a full list, which a candidate has to
+    beat."""
+    def run(frames):
+        import pandas as pd
+
+        for pdf in frames:
+            nodes, links, _, _, s, _ = _unpacked(pdf)
+            full = links == DEGREE
+            yield pd.DataFrame({"node": nodes[full], "worst": s[(np.cumsum(links) - 1)[full]]})
+
+    return graph.mapInPandas(run, "node bigint, worst float")
+
+
 def _round(graph: DataFrame, nodes: DataFrame, n: int, size: int) -> DataFrame:
     """The graph after one join of neighbours of neighbours."""
     pairs = _pairs(graph)
@@ -220,13 +238,13 @@ def _round(graph: DataFrame, nodes: DataFrame, n: int, size: int) -> DataFrame:
     own = F.pmod(F.xxhash64("member"), F.col("slots")).cast("int")
     pairs = pairs.withColumn("slot", F.explode(F.when(F.col("back"), F.array(own)).otherwise(F.sequence(F.lit(0), F.col("slots") - 1))))
     pairs = pairs.withColumn("part", F.pmod(F.xxhash64("centre", "slot"), F.lit(-(-n // CENTRES)))).select("part", "centre", "slot", "member", "old")
-    # The worst link of a full list is what a candidate has to beat.
-    known = nodes.select("node", "code").join(graph.select("node", F.when(F.col("links") == DEGREE, F.col("last")).alias("worst")), "node", "left")
-    vectors = pairs.select("part", "member").distinct().join(known, F.col("member") == F.col("node"))
-    sides = vectors.select("part", F.lit(0).alias("kind"), "member", "code", "worst", F.lit(0).cast("bigint").alias("centre"), F.lit(0).alias("slot"),
+    known = nodes.select(F.col("node").alias("member"), "code", _bucket("node", n).alias("bucket")).join(_bars(graph).withColumnRenamed("node", "member"), "member", "left")
+    vectors = pairs.select("part", "member").distinct().join(known, "member")
+    zero = F.lit(0).cast("bigint")
+    sides = vectors.select("part", F.lit(0).alias("kind"), "member", "code", "worst", "bucket", zero.alias("centre"), F.lit(0).alias("slot"),
                            F.lit(False).alias("old"))
     sides = sides.unionByName(pairs.select("part", F.lit(1).alias("kind"), "member", F.lit(None).cast("binary").alias("code"),
-                                           F.lit(None).cast("float").alias("worst"), "centre", "slot", "old"))
+                                           F.lit(None).cast("float").alias("worst"), zero.alias("bucket"), "centre", "slot", "old"))
     dealt = sides.repartition("part").sortWithinPartitions("part", "kind", "centre", "slot", "member")
 
     def run(frames):
@@ -279,7 +297,7 @@ class _Join:
             pdf = pd.concat(self.frames)
             self.frames = []
             order = np.argsort(pdf["member"].to_numpy(), kind="stable")
-            self.ids = pdf["member"].to_numpy()[order]
+            self.ids, self.bucket = pdf["member"].to_numpy()[order], pdf["bucket"].to_numpy()[order]
             self.x = _floats(pdf["code"].tolist(), self.size)[order]
             self.worst = pdf["worst"].astype(np.float32).fillna(-np.inf).to_numpy()[order]
 
@@ -334,10 +352,10 @@ class _Join:
         if self.rest is not None:
             self._groups(self.rest, [0, len(self.rest[0])])
         if not self.held:
-            return _packed(*(np.zeros(0, t) for t in (np.int64, np.int64, np.float32, bool)))
+            self.held.append((np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)))
         self._trim()
         v, u, s = self.held[0]
-        return _packed(self.ids[v], self.ids[u], s, np.zeros(len(v), dtype=bool))
+        return _buckets(self.ids[v], self.ids[u], s, self.bucket[v])
 
 
 def build(nodes: DataFrame, n: int, size: int) -> DataFrame:
@@ -347,33 +365,46 @@ def build(nodes: DataFrame, n: int, size: int) -> DataFrame:
         return graph                                    # one group: all pairs were compared
     for _ in range(ROUNDS):
         graph = cut_lineage(_round(graph, nodes, n, size))
-        links, fresh = graph.agg(F.sum("links"), F.sum("fresh")).first()
+        links, fresh = graph.agg(F.sum("total"), F.sum("fresh")).first()
         if fresh <= FEW * links:
             break
     return graph
 
 
 # ---------------------------------------------------------------------- search
-def _around(graph: DataFrame) -> DataFrame:
+def _around(graph: DataFrame, n: int) -> DataFrame:
     """``(node, more)``: the neighbours that a search steps to, of either direction."""
-    def run(frames):
+    def back(frames):
+        import pandas as pd
+
+        for pdf in frames:
+            _, _, v, u, s, _ = _unpacked(pdf)
+            yield pd.DataFrame({"node": u, "nbr": v, "sim": s})
+
+    def gathered(frames):
+        for pdf in frames:
+            yield _buckets(pdf["node"].to_numpy(), pdf["nbr"].to_numpy(), pdf["sim"].to_numpy(), pdf["bucket"].to_numpy())
+
+    def lists(frames):
         import pandas as pd
 
         for pdf in frames:
-            yield pd.DataFrame({"node": pdf["node"], "more": [np.frombuffer(b, "<i8") for b in pdf["nbr"]]})
+            nodes, links, _, u, _, _ = _unpacked(pdf)
+            yield pd.DataFrame({"node": nodes, "more": np.split(u, np.cumsum(links)[:-1]) if len(nodes) else []})
 
-    both = graph.unionByName(_backwards(graph)).withColumn("was", F.lit(True))
-    return _merged(both, 2 * DEGREE).mapInPandas(run, "node bigint, more array<bigint>")
+    backwards = graph.mapInPandas(back, "node bigint, nbr bigint, sim float").withColumn("bucket", _bucket("node", n)).mapInPandas(gathered, _LINKS)
+    return _merged(graph.unionByName(backwards).withColumn("was", F.lit(True)), 2 * DEGREE).mapInPandas(lists, "node bigint, more array<bigint>")
 
 
-def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, nq: int, size: int, beam: int = BEAM) -> DataFrame:
+def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, n: int, nq: int, size: int, beam: int = BEAM) -> DataFrame:
     """``(q, ids)``: the nodes that a greedy search from each node ``q`` of
     ``queries (q, code)`` finds, largest inner product first."""
-    around = cut_lineage(_around(graph))
+    around = cut_lineage(_around(graph, n))
     # A bounded number of common entries.
     entries = sorted({r[0] for by in (F.xxhash64("node"), F.col("log").desc())
                       for r in nodes.select("node", "log").orderBy(by, "node").limit(ENTRIES).collect()})
-    state = queries.select("q", "code", F.array().cast("array<bigint>").alias("ids"), F.array().cast("array<float>").alias("sims"))
+    state = queries.select("q", "code", F.array().cast("array<bigint>").alias("ids"), F.array().cast("array<float>").alias("sims"),
+                           F.array().cast("array<boolean>").alias("done"))
     asked = state.select("q", F.concat(F.array("q"), F.lit(entries).cast("array<bigint>")).alias("more"))
     parts = F.lit(max(1, -(-nq // QUERIES)))
     while True:
@@ -385,15 +416,15 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, nq: int, size
 
 
 def _expand(state: DataFrame, asked: DataFrame, nodes: DataFrame, parts, size: int, beam: int) -> DataFrame:
-    """Scores the asked nodes and keeps the best ``beam`` of each query; those new
-    among them are its next ``front``."""
+    """Scores the asked nodes and keeps the best ``beam`` of each query; the first
+    ``STEP`` of them not yet expanded are its next ``front``."""
     deal = F.pmod(F.xxhash64("q"), parts).alias("part")
     asked = asked.select(deal, "q", "more")
     vectors = asked.select("part", F.explode("more").alias("node")).distinct().join(nodes.select("node", "code"), "node")
 
     def side(df, kind, turn, **columns):
         none = {"q": F.lit(0).cast("bigint"), "node": F.lit(0).cast("bigint"), "code": F.lit(None).cast("binary"), "ids": F.lit(None).cast("array<bigint>"),
-                "sims": F.lit(None).cast("array<float>"), "more": F.lit(None).cast("array<bigint>")}
+                "sims": F.lit(None).cast("array<float>"), "done": F.lit(None).cast("array<boolean>"), "more": F.lit(None).cast("array<bigint>")}
         return df.select("part" if "part" in df.columns else deal, F.lit(kind).alias("kind"), F.lit(turn).alias("turn"),
                          *[(F.col(c) if c in df.columns else e).alias(c) for c, e in none.items()])
 
@@ -415,7 +446,7 @@ def _expand(state: DataFrame, asked: DataFrame, nodes: DataFrame, parts, size: i
             if beams is not None:
                 yield beams.result()
 
-    return dealt.mapInPandas(run, "q bigint, code binary, ids array<bigint>, sims array<float>, front array<bigint>")
+    return dealt.mapInPandas(run, "q bigint, code binary, ids array<bigint>, sims array<float>, done array<boolean>, front array<bigint>")
 
 
 class _Beams:
@@ -430,7 +461,7 @@ class _Beams:
             self.x = _floats(pdf["code"].tolist(), size)[order]
 
     def take(self, pdf) -> None:
-        for row in pdf[["q", "turn", "code", "ids", "sims", "more"]].itertuples(index=False):
+        for row in pdf[["q", "turn", "code", "ids", "sims", "done", "more"]].itertuples(index=False):
             if row.turn == 0:
                 self._end()
                 self.now = row
@@ -445,16 +476,19 @@ class _Beams:
         # Without the additional component this is the inner product, scaled.
         got = self.x[np.searchsorted(self.nodes, more), :-1] @ _floats([r.code], self.size)[0, :-1]
         ids, sims = np.concatenate([r.ids, more]).astype(np.int64), np.concatenate([r.sims, got]).astype(np.float32)
-        new = np.arange(len(ids)) >= len(r.ids)
+        done = np.concatenate([r.done, np.zeros(len(more), dtype=bool)]).astype(bool)
         best = np.lexsort((ids, -sims))[:self.beam]
-        self.out.append((r.q, r.code, ids[best], sims[best], ids[best][new[best]]))
+        ids, sims, done = ids[best], sims[best], done[best]
+        front = np.flatnonzero(~done)[:STEP]
+        done[front] = True
+        self.out.append((r.q, r.code, ids, sims, done, ids[front]))
         self.now, self.asked = None, []
 
     def result(self):
         import pandas as pd
 
         self._end()
-        return pd.DataFrame(self.out, columns=["q", "code", "ids", "sims", "front"])
+        return pd.DataFrame(self.out, columns=["q", "code", "ids", "sims", "done", "front"])
 
 
 def nearest(df: DataFrame, queries: str, k: int = 20, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -484,7 +518,7 @@ def nearest(df: DataFrame, queries: str, k: int = 20, key: str = "vec_id", vecto
                          .select("query_id", F.col("node").alias("q"), "code"))
     points = cut_lineage(asking.groupBy("q").agg(F.first("code").alias("code")))
     n, nq = nodes.count(), points.count()
-    found = search(build(nodes.select("node", "code"), n, size), nodes, points, nq, size, max(BEAM, 2 * (k + 1)))
+    found = search(build(nodes.select("node", "code"), n, size), nodes, points, n, nq, size, max(BEAM, 2 * (k + 1)))
     return _answers(found, nodes, asking, k, number, size, key, kind)
 
 

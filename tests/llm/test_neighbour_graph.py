@@ -82,6 +82,7 @@ def test_edges(spark):
 
 def test_hubs_are_dealt_into_slots(spark, monkeypatch):
     monkeypatch.setattr(neighbour_graph, "CROWD", 20)
+    monkeypatch.setattr(neighbour_graph, "BUCKET", 64)
     monkeypatch.setattr(neighbour_graph, "CENTRES", 100)
     monkeypatch.setattr(neighbour_graph, "GROUP", 128)
     r = np.random.default_rng(9)
