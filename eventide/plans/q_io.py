@@ -7,7 +7,7 @@ from pyspark.sql import functions as F, types as T
 from eventide.session import shared_dir
 from eventide.sinks.files import read_bucketed_text, write_bucketed_text
 from eventide.sinks.queue import encode_key_value as encode_kv
-from eventide.sources import generators as G
+from eventide.sources import datagen, generators as G
 from eventide.sources.text import parse_fields, sensor_lines
 from eventide.plans.registry import query, sensor, with_sensor
 from eventide.sources.tables import table
@@ -48,6 +48,21 @@ def gen_table_spec(spark, sf):
     return spark.sql("SELECT id, ts, vc FROM {source}", source=source)
 
 
+@query("gen_source", f"""SELECT e.event_id, e.event_type, CAST(1 + {_mix_sql('i', 1)} % 10 AS INTEGER) AS id,
+        CAST(1 + i AS BIGINT) AS ts, CAST(1 + {_mix_sql('i', 3)} % 100 AS INTEGER) AS vc
+    FROM {_IDX} g JOIN events e ON e.event_id = g.i""")
+def gen_source(spark, sf):
+    """The declared generator as a data source, as long as the events' numbers,
+    joined to the event of each row's number."""
+    datagen.register(spark)
+    events = table(spark, sf, "events").select("event_id", "event_type")
+    rows = events.agg(F.max("event_id") + 1).first()[0] or 0
+    options = {"number-of-rows": rows, "fields.id.kind": "random", "fields.id.min": 1, "fields.id.max": 10, "fields.ts.kind": "sequence",
+               "fields.ts.start": 1, "fields.vc.kind": "random", "fields.vc.min": 1, "fields.vc.max": 100}
+    source = spark.read.format(datagen.NAME).schema("id int, ts bigint, vc int").options(**options).load()
+    return events.join(source, F.col("event_id") == F.col("ts") - 1).select("event_id", "event_type", "id", "ts", "vc")
+
+
 @query("parse_sensor_line", with_sensor(
     "SELECT id, epoch_us(ts) // 1000000 AS ts, vc, true AS valid FROM sensor"))
 def parse_sensor_line(spark, sf):
