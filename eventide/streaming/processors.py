@@ -324,3 +324,25 @@ TTL_SCHEMA = "id string, seq long, state int"
 def apply(df: DataFrame, key: str, processor: StatefulProcessor, schema: str,
           time_mode: str = "None", mode: str = "Append") -> DataFrame:
     return df.groupBy(key).transformWithStateInPandas(processor, schema, mode, time_mode)
+
+
+class SlotCount(StatefulProcessor):
+    """K7: the rows of a slot so far, one output row per micro-batch.  A new query
+    starts from the state handed to it (``streaming.handover``)."""
+
+    def init(self, handle) -> None:
+        self.count = handle.getValueState("count", _LONG)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.count.update((int(initialState["cnt"].sum()),))
+
+    def handleInputRows(self, key, rows, timerValues):
+        n = (self.count.get()[0] if self.count.exists() else 0) + sum(len(pdf) for pdf in rows)
+        self.count.update((n,))
+        yield pd.DataFrame({"slot": [key[0]], "cnt": [n]})
+
+    def close(self) -> None:
+        pass
+
+
+SLOT_SCHEMA = "slot int, cnt long"
