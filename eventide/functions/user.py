@@ -15,19 +15,26 @@ accumulators, whose groups are bounded by ``FAN``:
 
     SELECT * FROM top2(TABLE({accumulators}) PARTITION BY customer)
 
+``running`` gives the result after every row, in arrival order: chunks of a key are
+folded by themselves, their accumulators carried over the chunks in order, and the
+rows of a chunk go on from there.  There ``merge`` only has to be associative.
+
 Keys may be null (one group) and of any atomic type; rows of an empty table give
 no group, with no keys included.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+import copy
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
+from eventide.operators import scan
+
 #: Slots of a key on the first level of the tree: the most accumulators that a key
 #: has on the second.
 FAN = 1024
@@ -73,6 +80,27 @@ class UserTableAggregate(UserAggregate):
         raise TypeError("a table aggregate gives rows, not one result")
 
 
+class Reduce(UserAggregate):
+    """A fold of two values of one type into one, the first row as it is.  A
+    struct value comes as a tuple; rows without a value are passed over."""
+
+    def __init__(self, fn: Callable, kind: str):
+        self.fn, self.accumulator, self.result = fn, kind, kind
+        self.codec = _Codec(kind)
+
+    def create(self):
+        return None
+
+    def add(self, acc, value):
+        return self.merge(acc, self.codec.load(value))
+
+    def merge(self, a, b):
+        return b if a is None else a if b is None else self.fn(a, b)
+
+    def finish(self, acc):
+        return self.codec.dump(acc)
+
+
 Aggregates = Mapping[str, tuple[UserAggregate, Sequence[str | Column]]]
 
 
@@ -206,6 +234,81 @@ def aggregate(df: DataFrame, keys: Sequence[str], aggs: Aggregates) -> DataFrame
     return _merged(accumulators(df, keys, aggs), list(keys), names, [aggs[n][0] for n in names], finish=True)
 
 
+def running(df: DataFrame, keys: Sequence[str], aggs: Aggregates, order: str = "seq") -> DataFrame:
+    """Adds the results of ``aggs`` after every row of its key, in the order
+    of ``order`` (an integer column)."""
+    keys, names, columns = list(keys), list(aggs), df.columns
+    fns = [aggs[n][0] for n in names]
+    codecs = [_Codec(f.accumulator) for f in fns]
+    args, spans = [], []
+    for n in names:
+        of = [F.col(c) if isinstance(c, str) else c for c in aggs[n][1]]
+        spans.append(range(len(args), len(args) + len(of)))
+        args += [c.alias(f"__ev_a{len(args) + i}") for i, c in enumerate(of)]
+    by = [*keys, "__ev_chunk"]
+    rows = df.select("*", *args, scan.seq_chunk(df, order).alias("__ev_chunk"))
+    k, accs = len(by), [f"__ev_acc{i}" for i in range(len(fns))]
+    state = T.StructType([rows.schema[c] for c in by] + [T.StructField(a, _type(f.accumulator)) for a, f in zip(accs, fns)])
+    held = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in state.fields])
+    count = len(args)
+
+    def added(now, row):
+        return [f.add(a, *(row[j] for j in span)) for f, a, span in zip(fns, now, spans)]
+
+    def totals(batches):
+        at, now, done = None, None, []
+        for batch in batches:
+            for key, *row in zip(_keys(batch, k), *[c.to_pylist() for c in batch.columns[k:k + count]] or [[None] * batch.num_rows]):
+                if now is None or key != at:
+                    if now is not None:
+                        done.append((at, now))
+                    at, now = key, [f.create() for f in fns]
+                now = added(now, row)
+            yield from _batches(done, codecs, held)
+            done = []
+        yield from _batches([(at, now)] if now is not None else [], codecs, held)
+
+    def prefix(batches):
+        at, now = None, None
+        for batch in batches:
+            done = []
+            for key, *row in zip(_keys(batch, k), *[[c.load(v) for v in x.to_pylist()] for c, x in zip(codecs, batch.columns[k:])]):
+                if now is None or key[:-1] != at:
+                    at, now = key[:-1], [f.create() for f in fns]
+                # A copy: the next merge may change it.
+                done.append((key, [c.load(c.dump(a)) if c.kind else copy.copy(a) for c, a in zip(codecs, now)]))
+                now = [f.merge(a, b) for f, a, b in zip(fns, now, row)]
+            yield from _batches(done, codecs, held)
+
+    dealt = rows.repartition(*by).sortWithinPartitions(*by, order).select(*by, *[f"__ev_a{i}" for i in range(count)])
+    before = dealt.mapInArrow(totals, state)
+    before = (before.repartition(*keys) if keys else before.repartition(1)).sortWithinPartitions(*by).mapInArrow(prefix, state)
+    both = before.withColumn("__ev_kind", F.lit(0)).unionByName(rows.withColumn("__ev_kind", F.lit(1)), allowMissingColumns=True)
+    both = both.repartition(*by).sortWithinPartitions(*by, "__ev_kind", order)
+    both = both.select("__ev_kind", *accs, *[f"__ev_a{i}" for i in range(count)], *columns)
+    schema = T.StructType([*df.schema.fields, *[T.StructField(n, _type(f.result)) for n, f in zip(names, fns)]])
+    out = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in schema.fields])
+
+    def fold(batches):
+        now = None
+        for batch in batches:
+            made: list[list] = [[] for _ in fns]
+            values = [c.to_pylist() for c in batch.columns[1 + len(fns):1 + len(fns) + count]]
+            kinds = batch.column(0).to_pylist()
+            for r, kind in enumerate(kinds):
+                if kind == 0:
+                    now = [c.load(batch.column(1 + i)[r].as_py()) for i, c in enumerate(codecs)]
+                    continue
+                now = added(now, [v[r] for v in values])
+                for result, f, a in zip(made, fns, now):
+                    result.append(f.finish(a))
+            mine = batch.filter(pa.array([kind == 1 for kind in kinds], pa.bool_()))
+            data = [c.cast(f.type) if c.type != f.type else c for c, f in zip(mine.columns[1 + len(fns) + count:], out)]
+            yield pa.RecordBatch.from_arrays([*data, *[pa.array(x, out.field(len(columns) + i).type) for i, x in enumerate(made)]], schema=out)
+
+    return both.mapInArrow(fold, schema)
+
+
 def register_aggregate(spark: SparkSession, name: str, fn: UserAggregate) -> None:
     """The aggregate by name in SQL, over a column of ``accumulators``:
     ``SELECT k, name(acc) FROM {accumulators} GROUP BY k``."""

@@ -25,13 +25,10 @@ def rebalance(df: DataFrame, n: int | None = None) -> DataFrame:
 
 
 def rescale(df: DataFrame, n: int | None = None) -> DataFrame:
-    """Local merge of neighbouring partitions, no shuffle (only reduces);
-    by default to half the current partitions."""
+    """Local merge of neighbouring partitions, no shuffle (only reduces); by
+    default to half the session's shuffle partitions."""
     if n is None:
-        try:
-            n = max(1, df.rdd.getNumPartitions() // 2)
-        except Exception:  # noqa: BLE001  (no RDD access): no merge
-            return df
+        n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 2)
     return df.coalesce(n)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from eventide.functions import user
 from eventide.operators import keyed as K
 from eventide.operators.map_scan import value_map
 from eventide.plans.q_basic import DOC_LINES_SQL, doc_words
@@ -109,15 +110,29 @@ def keyed_reduce(spark, sf):
     return K.reduce_sums(_with_ts_s(sensor(spark, sf)).select("id", "ts_s", "vc"), ["id"], ["ts_s", "vc"])
 
 
-@query("keyed_reduce_running", with_sensor(f"""SELECT seq, id,
+_REDUCE_SQL = with_sensor(f"""SELECT seq, id,
     CAST(sum(epoch_us(ts) // 1000000) OVER (PARTITION BY id ORDER BY seq {RUN}) AS BIGINT) AS ts_s,
-    CAST(sum(vc) OVER (PARTITION BY id ORDER BY seq {RUN}) AS BIGINT) AS vc FROM sensor"""))
+    CAST(sum(vc) OVER (PARTITION BY id ORDER BY seq {RUN}) AS BIGINT) AS vc FROM sensor""")
+
+
+@query("keyed_reduce_running", _REDUCE_SQL)
 def keyed_reduce_running(spark, sf):
     """G7 running: the first row passes through, then the running fold."""
     d = _with_ts_s(sensor(spark, sf)).select("seq", "id", "ts_s", "vc")
     return K.reduce_sums(d, ["id"], ["ts_s", "vc"], running=True)
 
 
+@query("keyed_reduce_user", _REDUCE_SQL)
+def keyed_reduce_user(spark, sf):
+    """G7 running with a fold of the user's own over whole rows."""
+    def add(a, b):
+        return a[0] + b[0], a[1] + b[1]
+
+    d = _with_ts_s(sensor(spark, sf)).select("seq", "id", F.struct("ts_s", F.col("vc").cast("bigint").alias("vc")).alias("row"))
+    fold = user.Reduce(add, "struct<ts_s bigint, vc bigint>")
+    return user.running(d, ["id"], {"sums": (fold, ["row"])}).select("seq", "id", "sums.ts_s", "sums.vc")
+
+
 @query("sql_group_sum", with_sensor(
     "SELECT id, CAST(sum(vc) AS BIGINT) AS vc_sum FROM sensor WHERE vc > 5 GROUP BY id"))
 def sql_group_sum(spark, sf):

@@ -9,17 +9,6 @@ from pyspark.sql import DataFrame
 from eventide.sinks.custom import RowSink
 
 
-def print_batch(label: str | None = None, to_stderr: bool = False):
-    """A ``foreachBatch`` function that prints every row of each micro-batch on
-    the driver's console, one partition at a time: for looking at small batches."""
-    def run(df: DataFrame, batch_id: int) -> None:
-        out = sys.stderr if to_stderr else sys.stdout
-        prefix = f"{label}> " if label else ""
-        for r in df.toLocalIterator():
-            print(f"{prefix}{r}", file=out)
-    return run
-
-
 def print_rows(label: str | None = None, to_stderr: bool = False) -> RowSink:
     """A row sink that prints every row in the task that holds it."""
     prefix = f"{label}> " if label else ""
@@ -29,6 +18,16 @@ def print_rows(label: str | None = None, to_stderr: bool = False) -> RowSink:
     return RowSink(show)
 
 
+def print_batch(label: str | None = None, to_stderr: bool = False):
+    """A ``foreachBatch`` function that prints every row of each micro-batch in the
+    task that holds it."""
+    sink = print_rows(label, to_stderr)
+
+    def run(df: DataFrame, batch_id: int) -> None:
+        df.foreachPartition(sink.run_partition)
+    return run
+
+
 def print_stream(df: DataFrame, label: str | None = None, to_stderr: bool = False):
     """Streaming print sink: returns the un-started writer.  The tasks print; no
     row passes through the driver."""

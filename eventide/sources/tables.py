@@ -21,16 +21,3 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     """Expose the tables to ``spark.sql`` under their own names."""
     for name in names:
         table(spark, sf_dir, name).createOrReplaceTempView(name)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over the cluster only when it yields fewer input
-    splits than there are task slots (one big row group, say), before
-    CPU-heavy row work such as splitting whole texts.  At scale the input has
-    far more splits than slots and this is a no-op - no extra shuffle."""
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (no RDD access, e.g. a Connect session)
-        return df
-    return df.repartition(slots) if splits < slots else df

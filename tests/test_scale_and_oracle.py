@@ -143,10 +143,19 @@ def test_no_shared_folder_is_a_clear_error():
         shared_dir(Session(), "x")
 
 
-def test_print_batch_prints_every_row(spark, capsys):
-    from eventide.sinks.console import print_batch
-    print_batch("p")(spark.range(25), 0)
-    assert capsys.readouterr().out.count("p> ") == 25
+def test_print_batch_prints_every_row(spark, tmp_path, monkeypatch):
+    """In the tasks: the printed lines are read from the tasks' own output."""
+    from eventide.sinks import console
+    from eventide.sinks.custom import RowSink
+    lines = str(tmp_path / "lines")
+
+    def show(_, row):
+        with open(lines, "a") as out:
+            out.write(f"p> {row}\n")
+
+    monkeypatch.setattr(console, "print_rows", lambda label, to_stderr: RowSink(show))
+    console.print_batch("p")(spark.range(25), 0)
+    assert sorted(open(lines).read().splitlines()) == sorted(f"p> Row(id={i})" for i in range(25))
 
 
 def test_print_stream_prints_in_the_tasks(spark, capsys, tmp_path):

@@ -316,8 +316,9 @@ def test_union_watermark_policy_min_vs_max(spark, tmp_path):
 
 
 def test_print_sink_labels(spark, capsys):
-    from eventide.sinks.console import print_batch
-    print_batch("warn")(spark.range(3), 0)
+    from eventide.sinks.console import print_batch, print_rows
+    print_batch("warn")(spark.range(3), 0)                    # on the tasks' output
+    print_rows("warn").run_partition(spark.range(3).collect())
     assert capsys.readouterr().out.count("warn> ") == 3
 
 

@@ -115,3 +115,25 @@ def test_f17_table_function_cross_and_left(spark):
         [("hello", 5), ("flink", 5), ("hello", 5), ("world", 5), ("hi", 2), ("hello", 5), ("java", 4)])
     left = spark.sql("SELECT words, T.w, T.n FROM {lines} LEFT JOIN LATERAL SplitFunction(words) AS T(w, n) ON true", lines=lines).collect()
     assert (None, None, None) in [tuple(r) for r in left] and len(left) == len(cross) + 1
+
+
+@pytest.mark.parametrize("chunk", ["2", "1000000"])
+def test_running_fold_in_order(spark, chunk):
+    """A fold that is not commutative, over any number of chunks."""
+    rows = [(k, v, n) for n, (k, v) in enumerate([("a", "x"), ("b", "y"), ("a", None), (None, "n"), ("a", "z"), ("b", "w"), (None, "m"), ("a", "x"), ("a", "q")])]
+    df = spark.createDataFrame(rows, "k string, v string, seq bigint")
+    held, want = {}, []
+    for k, v, n in rows:
+        held[k] = (held.get(k) or "") + v if v is not None else held.get(k)
+        want.append((n, held[k]))
+    before = spark.conf.get("eventide.scan.chunkRows")
+    try:
+        spark.conf.set("eventide.scan.chunkRows", chunk)
+        got = U.running(df, ["k"], {"all": (U.Reduce(lambda a, b: a + b, "string"), ["v"]), "mode": (MostFrequent(), [F.length("v")])})
+        assert got.columns == ["k", "v", "seq", "all", "mode"]
+        assert [(r.seq, r["all"]) for r in got.orderBy("seq").collect()] == want
+        whole = U.running(df, [], {"all": (U.Reduce(lambda a, b: a + b, "string"), ["v"])}).orderBy(F.desc("seq")).first()
+        assert whole["all"] == "".join(v for _, v, _ in rows if v)
+        assert U.running(df.where("false"), ["k"], {"all": (U.Reduce(lambda a, b: a + b, "string"), ["v"])}).collect() == []
+    finally:
+        spark.conf.set("eventide.scan.chunkRows", before)
