@@ -31,7 +31,7 @@ from eventide.session import cut_lineage
 BITS = 64
 HALF = 32
 #: Fingerprints below a node of the first expansion, on average, at most.
-LEAF = 4096
+LEAF = 1 << 16
 #: A node with more fingerprints than this is expanded further on Spark.
 CROWDED = 8 * LEAF
 #: Bits by which a crowded node is expanded at once.

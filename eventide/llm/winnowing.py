@@ -131,20 +131,29 @@ def compare(texts: list[str], following: list[str], follows: list[int] | None =
     return out
 
 
+def _ordered(docs: DataFrame) -> DataFrame:
+    """Rows ``(k, t)`` in ranges of their order."""
+    order = [F.col("k").desc_nulls_last(), F.col("th"), F.col("z")]
+    numbered = docs.withColumn("th", F.xxhash64("t")).withColumn("z", F.monotonically_increasing_id())
+    return numbered.repartitionByRange(*order).sortWithinPartitions(*order).select("k", "t")
+
+
 _RESULT = "n_chars bigint, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
 
 def edit_report(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Every document against its edited text and the next document, in
-    descending key order (equal keys by text; after the last the first).
+    descending key order (equal keys by their texts' hashes; after the last the
+    first).
 
-    Rows are range-partitioned once by key.  Each task handles the neighbours
+    Rows are range-partitioned once by key, text hash and a number, so equal keys,
+    or equal rows (which may stand in for each other), share no one partition.  Each task handles the neighbours
     within its partition and hands on its first and last text; those ends, two
     per partition, are matched afterwards.  Rows without a key come last.
     An empty table gives an empty table; a single document is its own next."""
     kind = df.select(key).schema[0].dataType.simpleString()
     docs = df.select(F.col(key).alias("k"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
-    ordered = docs.repartitionByRange(F.col("k").desc_nulls_last()).sortWithinPartitions(F.col("k").desc_nulls_last(), "t")
+    ordered = _ordered(docs)
     names = ["pid", "part", "k", "t", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
     def rows(pid, part, keys, texts, results):
