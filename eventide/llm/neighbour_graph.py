@@ -41,12 +41,12 @@ DEGREE = 48
 #: Best nodes that a search expands, and how many of them at once.
 BEAM, STEP = 96, 32
 #: Random groups at the start, and nodes of a group.
-STARTS, GROUP = 4, 512
+STARTS, GROUP = 3, 4096
 #: Rounds at most, and the share of new links at which they end.
-ROUNDS, FEW = 8, 0.02
+ROUNDS, FEW = 8, 0.05
 #: Centres of a part, backward neighbours of a slot, queries of a part, nodes of a
 #: bucket of the graph.
-CENTRES, CROWD, QUERIES, BUCKET = 4096, 1024, 512, 1024
+CENTRES, CROWD, QUERIES, BUCKET = 16_384, 1024, 512, 1024
 #: Nodes at which every search begins besides its own: so many of least hash and as
 #: many of the longest.
 ENTRIES = 16
@@ -96,8 +96,12 @@ def unit_codes(x: np.ndarray, logs: np.ndarray, longest: float) -> np.ndarray:
     return np.concatenate([y, rest[:, None]], axis=1).astype("<f2")
 
 
+def _halves(codes, size: int) -> np.ndarray:
+    return np.frombuffer(b"".join(codes), dtype="<f2").reshape(len(codes), size + 1)
+
+
 def _floats(codes, size: int) -> np.ndarray:
-    return np.frombuffer(b"".join(codes), dtype="<f2").reshape(len(codes), size + 1).astype(np.float32)
+    return _halves(codes, size).astype(np.float32)
 
 
 # ------------------------------------------------------------- lists of links
@@ -117,65 +121,60 @@ def _best(v, u, s, old, k: int):
     return v[keep], u[keep], s[keep], old[keep]
 
 
-_LINKS = "bucket bigint, nodes binary, links binary, nbr binary, sim binary, old binary, total int, fresh int"
-_COLUMNS = ["bucket", "nodes", "links", "nbr", "sim", "old", "total", "fresh"]
-
-
-def _packed(bucket: int, nodes, v, u, s, old) -> tuple:
-    """A row of links: its nodes, how many links each has, and the links by node;
-    ``v`` is ordered and ``nodes`` holds it."""
-    links = np.diff(np.searchsorted(v, np.append(nodes, nodes[-1] + 1))) if len(nodes) else np.zeros(0, np.int64)
-    return (bucket, nodes.astype("<i8").tobytes(), links.astype("<i4").tobytes(), u.astype("<i8").tobytes(), s.astype("<f4").tobytes(),
-            old.astype(np.uint8).tobytes(), len(v), int(len(v) - np.count_nonzero(old)))
-
+#: Links of many nodes in one row: the nodes, how many links each has, and the links.
+_LINKS = "bucket bigint, nodes array<bigint>, links array<int>, nbr array<bigint>, sim array<float>"
+#: The graph: a row per node, best neighbours first, and which links are old.
+_GRAPH = "node bigint, nbr array<bigint>, sim array<float>, old array<boolean>"
 
-def _unpacked(pdf):
-    """``(nodes, links, v, u, s, old)`` of rows of links."""
-    nodes, links = np.frombuffer(b"".join(pdf["nodes"]), "<i8"), np.frombuffer(b"".join(pdf["links"]), "<i4")
-    return (nodes, links, np.repeat(nodes, links), np.frombuffer(b"".join(pdf["nbr"]), "<i8"), np.frombuffer(b"".join(pdf["sim"]), "<f4"),
-            np.frombuffer(b"".join(pdf["old"]), np.uint8).astype(bool))
 
-
-def _buckets(v, u, s, bucket, nodes=None):
-    """Rows of new links, one per bucket; ``bucket`` is that of each ``v`` (and behind
-    them of ``nodes`` that may have no link)."""
+def _packed(bucket, nodes, v, u, s):
+    """Rows of links, one per bucket.  ``bucket`` is that of each of the different
+    ``nodes``; ``v`` names nodes only."""
     import pandas as pd
 
-    whole = v if nodes is None else np.concatenate([v, nodes])
-    out = []
-    order = np.lexsort((v, bucket[:len(v)]))
-    v, u, s, of = v[order], u[order], s[order], bucket[:len(v)][order]
-    held, first = np.unique(np.stack([bucket, whole]), axis=1, return_index=True)
-    edges = np.flatnonzero(np.concatenate([[True], held[0][1:] != held[0][:-1]])) if len(first) else np.zeros(0, np.int64)
-    for a, b in zip(edges, np.append(edges[1:], held.shape[1])):
-        k = int(held[0][a])
-        x, y = np.searchsorted(of, [k, k + 1])
-        out.append(_packed(k, held[1][a:b], v[x:y], u[x:y], s[x:y], np.zeros(y - x, dtype=bool)))
-    return pd.DataFrame(out, columns=_COLUMNS)
+    by = np.lexsort((nodes, bucket))
+    nodes, bucket = nodes[by], bucket[by]
+    place = np.empty(len(nodes), dtype=np.int64)      # where a node stands, by its rank among all
+    rank = np.argsort(nodes, kind="stable")
+    place[:] = rank
+    of = place[np.searchsorted(nodes[rank], v)] if len(v) else np.zeros(0, np.int64)
+    order = np.argsort(of, kind="stable")
+    u, s, links = u[order], s[order].astype(np.float32), np.bincount(of, minlength=len(nodes))
+    edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(nodes) else np.zeros(0, np.int64)
+    ends = np.concatenate([[0], np.cumsum(links)])
+    cut = list(zip(edges.tolist(), np.append(edges[1:], len(nodes)).tolist()))
+    return pd.DataFrame({"bucket": bucket[edges], "nodes": [nodes[a:b] for a, b in cut], "links": [links[a:b].astype(np.int32) for a, b in cut],
+                         "nbr": [u[ends[a]:ends[b]] for a, b in cut], "sim": [s[ends[a]:ends[b]] for a, b in cut]})
 
 
 def _merged(links: DataFrame, k: int) -> DataFrame:
-    """One row per bucket with the ``k`` best links of each node; those of rows
-    marked ``was`` are old."""
+    """The graph of the ``k`` best links of each node; links of rows marked ``was``
+    are old."""
     def run(frames):
         import pandas as pd
 
         for pdf, edges in group_chunks(frames, ["bucket"]):
-            out = []
             for a, b in zip(edges, edges[1:]):
                 rows = pdf.iloc[a:b]
-                nodes, _, v, u, s, _ = _unpacked(rows)
-                old = np.repeat(rows["was"].to_numpy().astype(bool), rows["total"].to_numpy())
-                out.append(_packed(int(rows["bucket"].iat[0]), np.unique(nodes), *_best(v, u, s, old, k)))
-            yield pd.DataFrame(out, columns=_COLUMNS)
+                nodes, n = np.concatenate(rows["nodes"].to_list()), np.concatenate(rows["links"].to_list())
+                u, s = np.concatenate(rows["nbr"].to_list()), np.concatenate(rows["sim"].to_list())
+                old = np.repeat(rows["was"].to_numpy().astype(bool), [len(x) for x in rows["nbr"]])
+                v, u, s, old = _best(np.repeat(nodes, n), u, s, old, k)
+                nodes = np.unique(nodes)
+                cut = np.searchsorted(v, nodes[1:])
+                yield pd.DataFrame({"node": nodes, "nbr": np.split(u, cut), "sim": np.split(s, cut), "old": np.split(old, cut)})
 
-    return links.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(run, _LINKS)
+    return links.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(run, _GRAPH)
 
 
 def _bucket(node: str, n: int):
     return F.pmod(F.xxhash64(node), F.lit(-(-n // BUCKET)))
 
 
+def _as_links(graph: DataFrame, n: int) -> DataFrame:
+    return graph.select(_bucket("node", n).alias("bucket"), F.array("node").alias("nodes"), F.array(F.size("nbr")).alias("links"), "nbr", "sim")
+
+
 # ------------------------------------------------------------------ NN-descent
 def _start(nodes: DataFrame, n: int, size: int) -> DataFrame:
     """Best links within random groups."""
@@ -187,58 +186,37 @@ def _start(nodes: DataFrame, n: int, size: int) -> DataFrame:
 
     def run(frames):
         for pdf, edges in group_chunks(frames, keys):
-            found = []
             for a, b in zip(edges, edges[1:]):
                 x, ids = _floats(pdf["code"].iloc[a:b].tolist(), size), pdf["node"].to_numpy()[a:b]
-                k = min(each, b - a - 1)
-                if k > 0:
-                    s = x @ x.T
-                    np.fill_diagonal(s, -np.inf)
+                k, v, u, sims = min(each, b - a - 1), [], [], []
+                for at in range(0, b - a if k > 0 else 0, 512):
+                    s = x[at:at + 512] @ x.T
+                    here = np.arange(len(s))
+                    s[here, at + here] = -np.inf
                     top = np.argpartition(-s, k - 1, axis=1)[:, :k]
-                    found.append((np.repeat(ids, k), ids[top].ravel(), np.take_along_axis(s, top, 1).ravel(), np.repeat(pdf["bucket"].to_numpy()[a:b], k)))
-            v, u, s, of = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, t) for t in (np.int64, np.int64, np.float32, np.int64))
-            yield _buckets(v, u, s, np.concatenate([of, pdf["bucket"].to_numpy()]), pdf["node"].to_numpy())
+                    v.append(np.repeat(ids[at:at + 512], k))
+                    u.append(ids[top].ravel())
+                    sims.append(np.take_along_axis(s, top, 1).ravel())
+                v, u, sims = (np.concatenate(c) if c else np.zeros(0, t) for c, t in ((v, np.int64), (u, np.int64), (sims, np.float32)))
+                yield _packed(pdf["bucket"].to_numpy()[a:b], ids, v, u, sims)
 
     links = dealt.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, _LINKS)
     return _merged(links.withColumn("was", F.lit(False)), DEGREE)
 
 
-def _pairs(graph: DataFrame) -> DataFrame:
-    """``(centre, member, back, old)``: every link from either end."""
-    def run(frames):
-        import pandas as pd
-
-        for pdf in frames:
-            _, _, v, u, _, old = _unpacked(pdf)
-            yield pd.DataFrame({"centre": np.concatenate([v, u]), "member": np.concatenate([u, v]),
-                                "back": np.repeat([False, True], len(v)), "old": np.concatenate([old, old])})
-
-    return graph.mapInPandas(run, "centre bigint, member bigint, back boolean, old boolean")
-
-
-def _bars(graph: DataFrame) -> DataFrame:
-    """``(node, worst)``: the worst link of a full list, which a candidate has to
-    beat."""
-    def run(frames):
-        import pandas as pd
-
-        for pdf in frames:
-            nodes, links, _, _, s, _ = _unpacked(pdf)
-            full = links == DEGREE
-            yield pd.DataFrame({"node": nodes[full], "worst": s[(np.cumsum(links) - 1)[full]]})
-
-    return graph.mapInPandas(run, "node bigint, worst float")
-
-
 def _round(graph: DataFrame, nodes: DataFrame, n: int, size: int) -> DataFrame:
     """The graph after one join of neighbours of neighbours."""
-    pairs = _pairs(graph)
-    crowded = (pairs.where("back").groupBy("centre").agg(F.ceil(F.count("*") / CROWD).cast("int").alias("slots")).where("slots > 1"))
+    links = graph.select("node", F.inline(F.arrays_zip("nbr", "old")))
+    pairs = links.select(F.col("node").alias("centre"), F.col("nbr").alias("member"), F.lit(False).alias("back"), "old")
+    pairs = pairs.unionByName(links.select(F.col("nbr").alias("centre"), F.col("node").alias("member"), F.lit(True).alias("back"), "old"))
+    crowded = links.groupBy(F.col("nbr").alias("centre")).agg(F.ceil(F.count("*") / CROWD).cast("int").alias("slots")).where("slots > 1")
     pairs = pairs.join(crowded, "centre", "left").withColumn("slots", F.coalesce("slots", F.lit(1)))
     own = F.pmod(F.xxhash64("member"), F.col("slots")).cast("int")
     pairs = pairs.withColumn("slot", F.explode(F.when(F.col("back"), F.array(own)).otherwise(F.sequence(F.lit(0), F.col("slots") - 1))))
     pairs = pairs.withColumn("part", F.pmod(F.xxhash64("centre", "slot"), F.lit(-(-n // CENTRES)))).select("part", "centre", "slot", "member", "old")
-    known = nodes.select(F.col("node").alias("member"), "code", _bucket("node", n).alias("bucket")).join(_bars(graph).withColumnRenamed("node", "member"), "member", "left")
+    # The worst link of a full list is what a candidate has to beat.
+    bars = graph.select(F.col("node").alias("member"), F.when(F.size("sim") == DEGREE, F.get("sim", F.lit(DEGREE - 1))).alias("worst"))
+    known = nodes.select(F.col("node").alias("member"), "code", _bucket("node", n).alias("bucket")).join(bars, "member")
     vectors = pairs.select("part", "member").distinct().join(known, "member")
     zero = F.lit(0).cast("bigint")
     sides = vectors.select("part", F.lit(0).alias("kind"), "member", "code", "worst", "bucket", zero.alias("centre"), F.lit(0).alias("slot"),
@@ -249,16 +227,16 @@ def _round(graph: DataFrame, nodes: DataFrame, n: int, size: int) -> DataFrame:
 
     def run(frames):
         for part in _parts(frames):
-            join = None
+            join = _Join(size)
             for kind, pdf in part:
                 if kind == 0:
-                    join = _Join(pdf, size) if join is None else join.add(pdf)
+                    join.add(pdf)
                 else:
                     join.take(pdf)
             yield join.result()
 
     found = dealt.mapInPandas(run, _LINKS).withColumn("was", F.lit(False))
-    return _merged(graph.withColumn("was", F.lit(True)).unionByName(found), DEGREE)
+    return _merged(_as_links(graph, n).withColumn("was", F.lit(True)).unionByName(found), DEGREE)
 
 
 def _parts(frames):
@@ -280,26 +258,23 @@ def _parts(frames):
 class _Join:
     """Neighbours of neighbours in one part."""
 
-    def __init__(self, pdf, size: int):
-        self.size, self.frames, self.rest = size, [pdf], None
+    def __init__(self, size: int):
+        self.size, self.known, self.rest, self.later = size, [], None, {}
         self.ids = None
         self.held: list = []
         self.n = 0
 
-    def add(self, pdf):
-        self.frames.append(pdf)
-        return self
+    def add(self, pdf) -> None:
+        """Vectors, kept in half precision."""
+        worst = pdf["worst"].astype(np.float32).fillna(-np.inf).to_numpy()
+        self.known.append((pdf["member"].to_numpy(), pdf["bucket"].to_numpy(), worst, _halves(pdf["code"].tolist(), self.size)))
 
     def _ready(self) -> None:
         if self.ids is None:
-            import pandas as pd
-
-            pdf = pd.concat(self.frames)
-            self.frames = []
-            order = np.argsort(pdf["member"].to_numpy(), kind="stable")
-            self.ids, self.bucket = pdf["member"].to_numpy()[order], pdf["bucket"].to_numpy()[order]
-            self.x = _floats(pdf["code"].tolist(), self.size)[order]
-            self.worst = pdf["worst"].astype(np.float32).fillna(-np.inf).to_numpy()[order]
+            ids, bucket, worst, x = (np.concatenate(c) for c in zip(*self.known))
+            self.known = []
+            order = np.argsort(ids, kind="stable")
+            self.ids, self.bucket, self.worst, self.x = ids[order], bucket[order], worst[order], x[order]
 
     def take(self, pdf) -> None:
         self._ready()
@@ -319,21 +294,25 @@ class _Join:
             self._centre(place[a:b], old[a:b].astype(bool))
 
     def _centre(self, place, old) -> None:
-        # A member from both ends is new if either link is.
-        place, first = np.unique(place, return_index=True)
-        new = place[~old[first]]
-        if not len(new) or len(place) < 2:
+        # A member from both ends is new if either link is; new ones first.
+        place, first = np.unique(place[np.argsort(old, kind="stable")], return_index=True)
+        new = first < np.count_nonzero(~old)
+        place = np.concatenate([place[new], place[~new]])
+        n = int(new.sum())
+        if not n or len(place) < 2:
             return
-        s = self.x[new] @ self.x[place].T
-        better = (s > self.worst[new][:, None]), (s > self.worst[place][None, :])
-        i, j = np.nonzero(better[0] | better[1])
-        p, q, s = new[i], place[j], s[i, j]
-        other = p != q
-        p, q, s = p[other], q[other], s[other]
-        for a, b in ((p, q), (q, p)):
-            hit = s > self.worst[a]
+        x, worst = self.x[place].astype(np.float32), self.worst[place]
+        s = x[:n] @ x.T
+        better = s > np.minimum(worst[:n, None], worst[None, :])
+        if n not in self.later:
+            self.later[n] = np.triu(np.ones((n, n), dtype=bool), 1)
+        better[:, :n] &= self.later[n]               # each pair of new ones once
+        i, j = np.nonzero(better)
+        p, q, s = place[i], place[j], s[i, j]
+        for a, b, bar in ((p, q, worst[i]), (q, p, worst[j])):
+            hit = s > bar
             self.held.append((a[hit].astype(np.int32), b[hit].astype(np.int32), s[hit]))
-            self.n += int(hit.sum())
+            self.n += len(self.held[-1][0])
         if self.n > _HELD:
             self._trim()
 
@@ -352,10 +331,11 @@ class _Join:
         if self.rest is not None:
             self._groups(self.rest, [0, len(self.rest[0])])
         if not self.held:
-            self.held.append((np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)))
+            return _packed(*(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.float32)))
         self._trim()
         v, u, s = self.held[0]
-        return _buckets(self.ids[v], self.ids[u], s, self.bucket[v])
+        some = np.unique(v)
+        return _packed(self.bucket[some], self.ids[some], self.ids[v], self.ids[u], s)
 
 
 def build(nodes: DataFrame, n: int, size: int) -> DataFrame:
@@ -365,8 +345,8 @@ def build(nodes: DataFrame, n: int, size: int) -> DataFrame:
         return graph                                    # one group: all pairs were compared
     for _ in range(ROUNDS):
         graph = cut_lineage(_round(graph, nodes, n, size))
-        links, fresh = graph.agg(F.sum("total"), F.sum("fresh")).first()
-        if fresh <= FEW * links:
+        links, old = graph.agg(F.sum(F.size("old")), F.sum(F.size(F.filter("old", lambda x: x)))).first()
+        if links - old <= FEW * links:
             break
     return graph
 
@@ -374,26 +354,13 @@ def build(nodes: DataFrame, n: int, size: int) -> DataFrame:
 # ---------------------------------------------------------------------- search
 def _around(graph: DataFrame, n: int) -> DataFrame:
     """``(node, more)``: the neighbours that a search steps to, of either direction."""
-    def back(frames):
-        import pandas as pd
-
-        for pdf in frames:
-            _, _, v, u, s, _ = _unpacked(pdf)
-            yield pd.DataFrame({"node": u, "nbr": v, "sim": s})
-
-    def gathered(frames):
-        for pdf in frames:
-            yield _buckets(pdf["node"].to_numpy(), pdf["nbr"].to_numpy(), pdf["sim"].to_numpy(), pdf["bucket"].to_numpy())
-
-    def lists(frames):
-        import pandas as pd
-
-        for pdf in frames:
-            nodes, links, _, u, _, _ = _unpacked(pdf)
-            yield pd.DataFrame({"node": nodes, "more": np.split(u, np.cumsum(links)[:-1]) if len(nodes) else []})
-
-    backwards = graph.mapInPandas(back, "node bigint, nbr bigint, sim float").withColumn("bucket", _bucket("node", n)).mapInPandas(gathered, _LINKS)
-    return _merged(graph.unionByName(backwards).withColumn("was", F.lit(True)), 2 * DEGREE).mapInPandas(lists, "node bigint, more array<bigint>")
+    flat = graph.select(F.col("node").alias("u"), F.inline(F.arrays_zip("nbr", "sim")))
+    # A hub's best only, cut down on every task.
+    near = F.row_number().over(Window.partitionBy("nbr").orderBy(F.col("sim").desc(), "u"))
+    back = flat.withColumn("r", near).where(F.col("r") <= 2 * DEGREE).groupBy("nbr").agg(F.collect_list("u").alias("u"), F.collect_list("sim").alias("sim"))
+    back = back.select(_bucket("nbr", n).alias("bucket"), F.array("nbr").alias("nodes"), F.array(F.size("u")).alias("links"), F.col("u").alias("nbr"), "sim")
+    both = _as_links(graph, n).unionByName(back).withColumn("was", F.lit(True))
+    return _merged(both, 2 * DEGREE).select("node", F.col("nbr").alias("more"))
 
 
 def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, n: int, nq: int, size: int, beam: int = BEAM) -> DataFrame:
