@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eventide.operators import scan
 from eventide.sources.sensor import epoch_us, from_epoch_us
@@ -151,14 +151,9 @@ def count_tumbling(df: DataFrame, keys: Sequence[str], size: int = 5,
 
     Adds ``window_no`` (1-based) and keeps rows of full blocks only.
     """
-    d = count_number(df, keys, order)
-    d = d.withColumn("window_no", F.floor((F.col("rn") - 1) / size) + 1)
-    # a block is full when the key has at least window_no * size rows; the
-    # per-key totals table has one row per key (AQE broadcasts or skew-splits)
-    totals = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__total"))
-    d = d.join(totals, [*keys], "left")
-    full = F.col("window_no") * size <= F.col("__total")
-    return d.filter(full).drop("__total")
+    d = count_number(df, keys, order).withColumn("window_no", F.floor((F.col("rn") - 1) / size) + 1)
+    held = F.count(F.lit(1)).over(Window.partitionBy(*keys, "window_no"))       # at most size rows
+    return d.withColumn("__held", held).filter(F.col("__held") == size).drop("__held")
 
 
 def count_sliding(df: DataFrame, keys: Sequence[str], size: int = 5, slide: int = 2,
@@ -170,15 +165,11 @@ def count_sliding(df: DataFrame, keys: Sequence[str], size: int = 5, slide: int
     firing row.  Firings past the last row of the key do not happen.
     """
     d = count_number(df, keys, order)
-    totals = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__total"))
-    d = d.join(totals, [*keys], "left")
-    copies = -(-size // slide)
-    # firing f (a multiple of slide) holds rows f-size+1 .. f
-    d = d.withColumn("__first_f", F.ceil(F.col("rn") / slide) * slide)
-    d = d.withColumn("__k", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
-    d = d.withColumn("window_no", F.col("__first_f") + F.col("__k") * slide)
-    d = d.filter(F.col("window_no") - size < F.col("rn"))
-    return d.filter(F.col("window_no") <= F.col("__total")).drop("__first_f", "__k", "__total")
+    first = F.ceil(F.col("rn") / slide) * slide              # firing f holds rows f-size+1 .. f
+    firings = F.sequence(first, first + F.lit((-(-size // slide) - 1) * slide), F.lit(slide).cast("bigint"))
+    d = d.withColumn("window_no", F.explode(firings)).filter(F.col("window_no") - size < F.col("rn"))
+    last = F.max("rn").over(Window.partitionBy(*keys, "window_no"))
+    return d.withColumn("__last", last).filter(F.col("__last") == F.col("window_no")).drop("__last")
 
 
 def count_windows(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column], size: int = 5,
