@@ -45,8 +45,9 @@ STARTS, GROUP = 3, 4096
 #: Rounds at most, and the share of new links at which they end.
 ROUNDS, FEW = 8, 0.05
 #: Centres of a part, backward neighbours of a slot, queries of a part, nodes of a
-#: bucket of the graph.
-CENTRES, CROWD, QUERIES, BUCKET = 16_384, 1024, 512, 1024
+#: bucket of the graph.  A part needs at most 97 vectors a centre (in half precision
+#: 300 MB for 64 components); larger parts need fewer copies of each.
+CENTRES, CROWD, QUERIES, BUCKET = 24_576, 1024, 512, 1024
 #: Nodes at which every search begins besides its own: so many of least hash and as
 #: many of the longest.
 ENTRIES = 16
