@@ -122,8 +122,8 @@ def _units(vecs, number: str) -> np.ndarray:
 
 
 def _linked(classes: DataFrame, hashed: DataFrame, number: str, cosine: float) -> DataFrame:
-    """``(a, ar, b, br, n)``: classes by name and their least keys.  ``b`` -1: links
-    counted for a class; otherwise a link of the spanning forest."""
+    """``(a, b, n)``, classes by name.  ``b`` -1: links counted for a class;
+    otherwise a link of the spanning forest."""
     bucket = ["t", "bucket", "label", "size"]
     spread = hashed.select("name", "label", "size", "buckets", F.posexplode("buckets").alias("t", "bucket"))
     crowded = (spread.groupBy(*bucket).agg(F.count("*").alias("m")).where(F.col("m") > BLOCK)
@@ -135,13 +135,13 @@ def _linked(classes: DataFrame, hashed: DataFrame, number: str, cosine: float) -
     meet = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     meet = meet.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("other", "blocks")
     keys = [*bucket, "i", "j"]
-    dealt = meet.join(classes.select("name", "rep", "vec", "n"), "name").repartition(*keys).sortWithinPartitions(*keys, "own", "name")
+    dealt = meet.join(classes.select("name", "vec", "n"), "name").repartition(*keys).sortWithinPartitions(*keys, "own", "name")
 
     def run(frames):
         import pandas as pd
 
         for pdf, edges in group_chunks(frames, keys):
-            names, reps, mult, own = (pdf[c].to_numpy() for c in ("name", "rep", "n", "own"))
+            names, mult, own = (pdf[c].to_numpy() for c in ("name", "n", "own"))
             vecs, tables, ii, jj, seen = (pdf[c].to_numpy() for c in ("vec", "t", "i", "j", "seen"))
             a, b, n = [], [], []                      # places in the frame
             for s, e in zip(edges, edges[1:]):
@@ -165,10 +165,9 @@ def _linked(classes: DataFrame, hashed: DataFrame, number: str, cosine: float) -
                 n += [got[hit].astype(np.int64), np.zeros(len(u), np.int64)]
             if a:
                 a, b, n = (np.concatenate(c) for c in (a, b, n))
-                yield pd.DataFrame({"a": names[a], "ar": reps[a], "b": np.where(b < 0, -1, names[b]), "br": reps[b], "n": n})
+                yield pd.DataFrame({"a": names[a], "b": np.where(b < 0, -1, names[b]), "n": n})
 
-    kind = dict(classes.dtypes)["rep"]
-    return dealt.mapInPandas(run, f"a bigint, ar {kind}, b bigint, br {kind}, n bigint")
+    return dealt.mapInPandas(run, "a bigint, b bigint, n bigint")
 
 
 def _near(x: np.ndarray, mid: int | None, cosine: float, met: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
@@ -202,12 +201,12 @@ def near_duplicates(df: DataFrame, cosine: float = 0.93, key: str = "vec_id", ve
     classes = cut_lineage(classes.withColumn("name", F.monotonically_increasing_id()))
     k, t = plan(classes.count(), cosine, recall)
     found = cut_lineage(_linked(classes, cut_lineage(_buckets(classes, number, k, t, seed)), number, cosine))
-    # Classes in the order of their least keys, so a component is named by its least key.
-    ends = [F.struct(F.col(f"{c}r").alias("rep"), F.col(c).alias("name")).alias(c) for c in "ab"]
-    comp = components(found.where("b >= 0").select(*ends)).select("node.name", F.col("component.rep").alias("component"))
+    comp = components(found.where("b >= 0").select("a", "b")).withColumnRenamed("node", "name")
     more = found.where("b < 0").groupBy(F.col("a").alias("name")).agg(F.sum("n").alias("more"))
-    of = classes.join(comp, "name", "left").join(more, "name", "left").select(
-        "label", "vec", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    named = classes.join(comp, "name", "left").withColumn("component", F.coalesce("component", "name"))
+    least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
+    of = named.join(least, "component").join(more, "name", "left").select(
+        "label", "vec", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"), "component_id")
     out = rows.join(of, ["label", "vec"], "left")
     component = F.coalesce("component_id", "id")
     return out.select(F.col("id").alias(key), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
