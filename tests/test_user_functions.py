@@ -109,10 +109,10 @@ def test_f16_top2_over_a_partitioned_table_argument(spark):
 
 def test_f17_table_function_cross_and_left(spark):
     U.register_table_function(spark, "SplitFunction", SplitWords, "word string, length int")
-    lines = spark.createDataFrame([("hello flink",), ("hello world hi",), ("hello java",), (None,), ("",)], "words string")
+    lines = spark.createDataFrame([("hello spark",), ("hello world hi",), ("hello java",), (None,), ("",)], "words string")
     cross = spark.sql("SELECT words, word, length FROM {lines}, LATERAL SplitFunction(words)", lines=lines).collect()
     assert sorted((r.word, r.length) for r in cross if r.words) == sorted(
-        [("hello", 5), ("flink", 5), ("hello", 5), ("world", 5), ("hi", 2), ("hello", 5), ("java", 4)])
+        [("hello", 5), ("spark", 5), ("hello", 5), ("world", 5), ("hi", 2), ("hello", 5), ("java", 4)])
     left = spark.sql("SELECT words, T.w, T.n FROM {lines} LEFT JOIN LATERAL SplitFunction(words) AS T(w, n) ON true", lines=lines).collect()
     assert (None, None, None) in [tuple(r) for r in left] and len(left) == len(cross) + 1
 
