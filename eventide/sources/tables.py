@@ -21,3 +21,14 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     """Expose the tables to ``spark.sql`` under their own names."""
     for name in names:
         table(spark, sf_dir, name).createOrReplaceTempView(name)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robins a scan over the session's shuffle partitions before texts are
+    split, where the session asks for it (``eventide.spreadTexts=true``, as local
+    sessions do: a table of one row group is one task otherwise).  Off by default:
+    a large table has splits enough, and its texts are not shuffled."""
+    conf = df.sparkSession.conf
+    if conf.get("eventide.spreadTexts", "false").lower() != "true":
+        return df
+    return df.repartition(int(conf.get("spark.sql.shuffle.partitions")))
