@@ -4,10 +4,12 @@ table aggregates (U4).
 An aggregate is a class with an accumulator of any Spark type: ``create`` an
 empty one, ``add`` a row to it, ``merge`` two, and ``finish`` it to a result.
 Each task folds its rows into one accumulator per key, so only accumulators
-are shuffled, and these meet in a tree of two levels: first in ``FAN`` slots per
-key, then the slots of a key.  A key that holds all rows of ``T`` tasks so is
-``T / FAN`` accumulators in each of ``FAN`` groups and ``FAN`` in the last; its rows
-never meet.  ``merge`` must give the same result in any order and grouping.
+are shuffled, and these meet in a tree of two levels: first in slots of ``FAN``
+neighbouring tasks (``FAN`` slots per key at most), then the slots of a key.  A key
+that holds all rows of ``T`` tasks so is ``FAN`` accumulators in each of ``T / FAN``
+groups (``T / FAN`` in each of ``FAN``, if that is more) and one a group in the last;
+its rows never meet, and up to ``FAN`` tasks leave one accumulator per key.
+``merge`` must give the same result in any order and grouping.
 
 A table aggregate gives rows instead of a result (``emit``).  It is called by name
 in SQL as a table function with a partitioned table argument, over the table of
@@ -178,7 +180,7 @@ def accumulators(df: DataFrame, keys: Sequence[str], aggs: Aggregates) -> DataFr
                 held = {}
         yield from _batches(held.items(), codecs, out)
 
-    slot = F.pmod(F.spark_partition_id(), F.lit(FAN))
+    slot = F.pmod(F.floor(F.spark_partition_id() / FAN), F.lit(FAN))
     return _merged(rows.mapInArrow(fold, schema).withColumn(_SLOT, slot), [*keys, _SLOT], names, fns).drop(_SLOT)
 
 
@@ -329,11 +331,33 @@ def register_table_function(spark: SparkSession, name: str, handler: type, field
     spark.udtf.register(name, F.udtf(handler, returnType=fields, useArrow=True))
 
 
+_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+
+
+def _cast(field: T.StructField) -> Callable | None:
+    """The Python value that a field of a pickled row needs (a plain one of its own
+    type: others would come as null); a number beyond its type is an error."""
+    kind = type(field.dataType)
+    if kind in _BITS:
+        most = 1 << (_BITS[kind] - 1)
+
+        def whole(value):
+            n = int(value)
+            if n != value or not -most <= n < most:
+                raise ValueError(f"{value!r} is no {field.dataType.simpleString()} ({field.name})")
+            return n
+
+        return whole
+    return {T.FloatType: float, T.DoubleType: float, T.BooleanType: bool, T.StringType: str}.get(kind)
+
+
 def register_table_aggregate(spark: SparkSession, name: str, fn: UserTableAggregate) -> None:
     """The table aggregate by name in SQL, over a table of keys and one
     column of ``accumulators`` (the last), partitioned by the keys.  Its rows are
-    the keys and the aggregate's fields."""
+    the keys and the aggregate's fields.  Groups are many and their rows few, so rows
+    go in pickled batches: Arrow makes a table of its own for each call."""
     codec, fields = _Codec(fn.accumulator), T.StructType.fromDDL(fn.fields).fields
+    casts = [_cast(f) for f in fields]
 
     class Handler:
         @staticmethod
@@ -352,6 +376,6 @@ def register_table_aggregate(spark: SparkSession, name: str, fn: UserTableAggreg
         def terminate(self):
             if self.any:
                 for out in fn.emit(self.acc):
-                    yield (*self.keys, *out)
+                    yield (*self.keys, *[v if v is None or cast is None else cast(v) for cast, v in zip(casts, out, strict=True)])
 
-    spark.udtf.register(name, F.udtf(Handler, useArrow=True))
+    spark.udtf.register(name, F.udtf(Handler, useArrow=False))

@@ -2,6 +2,7 @@
 
 import collections
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,6 +79,46 @@ def test_hot_key_never_meets_in_one_task(spark, monkeypatch):
     assert U.aggregate(df, ["k"], {"m": (MostFrequent(), ["v"])}).collect() == [("hot", 0)]
 
 
+def test_few_tasks_leave_one_accumulator_per_key(spark):
+    """Keys that stand in all of 8 tasks: one row each goes on to the table aggregate."""
+    df = spark.range(0, 8000, 1, 8).select((F.col("id") % 50).alias("k"), F.col("id").cast("double").alias("v"))
+    accs = U.accumulators(df, ["k"], {"acc": (Top2(), ["v"])})
+    assert sorted((r.k, tuple(r.acc)) for r in accs.collect()) == [(k, (7950.0 + k, 7900.0 + k)) for k in range(50)]
+
+
+def shapes():
+    class Shapes(U.UserTableAggregate):
+        """Values of other Python types than their fields'."""
+
+        accumulator, fields = "bigint", "d double, n int, s string, b boolean, l bigint"
+
+        def create(self):
+            return 0
+
+        def add(self, acc, value):
+            return acc + value
+
+        def merge(self, a, b):
+            return a + b
+
+        def emit(self, acc):
+            yield int(acc), np.int64(acc), np.str_("x"), np.bool_(True), None
+            yield np.float64(acc), float(acc), "y", False, acc * (1 << 62)
+
+    return Shapes()
+
+
+def test_table_aggregate_keeps_values_of_other_types(spark):
+    U.register_table_aggregate(spark, "Shapes", shapes())
+    df = spark.createDataFrame([(1, 1), (None, 0), (None, 0)], "k int, v int")
+    got = spark.sql("SELECT * FROM Shapes(TABLE({accs}) PARTITION BY k)", accs=U.accumulators(df, ["k"], {"acc": (shapes(), ["v"])}))
+    assert sorted(got.collect(), key=repr) == sorted(
+        [(1, 1.0, 1, "x", True, None), (1, 1.0, 1, "y", False, 1 << 62), (None, 0.0, 0, "x", True, None), (None, 0.0, 0, "y", False, 0)], key=repr)
+    more = spark.createDataFrame([(1, 2)], "k int, v int")                # 2 << 62 is no bigint
+    with pytest.raises(Exception, match="is no bigint"):
+        spark.sql("SELECT * FROM Shapes(TABLE({accs}) PARTITION BY k)", accs=U.accumulators(more, ["k"], {"acc": (shapes(), ["v"])})).collect()
+
+
 def test_keys_beyond_what_a_task_holds(spark, monkeypatch):
     monkeypatch.setattr(U, "HELD", 10)
     df = spark.range(3000).select((F.col("id") % 500).alias("k"), F.lit(1).alias("v"), F.lit(1).alias("w"))
