@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventide.functions import user
+from eventide.functions.text import words
 from eventide.operators import keyed as K
 from eventide.operators.map_scan import value_map
+from eventide.operators.transforms import split_lines
+from eventide.operators.word_scan import running_word_count
 from eventide.plans.q_basic import DOC_LINES_SQL, doc_words
 from eventide.plans.registry import query, sensor, with_sensor
 from eventide.sources.sensor import LEVELS, epoch_s
+from eventide.sources.tables import table
 
 RUN = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 
@@ -33,11 +37,11 @@ def word_count(spark, sf):
     FROM w""")
 def word_count_running(spark, sf):
     """The running count of each word in text order (one row per word
-    occurrence).  Two-level scan keyed by word, chunked by ranges of 256
-    documents (a hot word's block holds at most 256 documents' occurrences)."""
-    w = doc_words(spark, sf)
-    return K.running_count(w, ["word"], "cnt", order=["doc_id", "line_no", "word_no"],
-                           chunk=F.floor(F.col("doc_id") / 256))
+    occurrence).  Two-level scan of lines dealt by ranges of 1,024 documents, with
+    the counts of the words in front of each range."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return running_word_count(split_lines(docs, "text", ["doc_id"]), "line", ["doc_id", "line_no"],
+                              F.floor(F.col("doc_id") / 1024), words)
 
 
 @query("keyed_sum", with_sensor("SELECT id, CAST(sum(vc) AS BIGINT) AS vc FROM sensor GROUP BY id"))

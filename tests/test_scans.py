@@ -1,14 +1,19 @@
 """Windows from slices, timers, the map scan and the running top-k against plain forms."""
 
+import collections
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from eventide.functions.text import words
 from eventide.operators import topn as N
+from eventide.operators import transforms as X
 from eventide.operators import watermark as WM
 from eventide.operators import windows as W
 from eventide.operators.map_scan import value_map
+from eventide.operators.word_scan import running_word_count
+from eventide.plans import QUERIES
 
 
 def sensor(spark, rows):
@@ -130,6 +135,43 @@ def test_running_map_of_a_hot_key_is_chunked(spark):
     assert plan.count("__ev_chunk") and "REPARTITION_BY_COL" in plan
 
 
+# ------------------------------------------------------- running word count
+@pytest.mark.parametrize("per_batch", ["3", "10000"])
+def test_running_words_over_chunks_batches_and_repeated_documents(spark, per_batch):
+    """Documents that share their number (also over the edge of a batch) are counted
+    line by line and word number by word number; blank lines, null texts, null numbers."""
+    r = random.Random(5)
+    texts = ["\n".join(" ".join(r.choice(["a", "b", "", "é", f"w{n}"]) for _ in range(r.randint(0, 6))) for _ in range(r.randint(0, 5))) for n in range(60)]
+    docs = spark.createDataFrame([(n // 2 * 3, t) for n, t in enumerate(texts)] + [(7, None), (8, ""), (10, "   ")], "doc_id bigint, text string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", per_batch)
+    try:
+        lines = X.split_lines(docs, "text", ["doc_id"])
+        got = running_word_count(lines, "line", ["doc_id", "line_no"], F.floor(F.col("doc_id") / 8), words).collect()
+        none = running_word_count(lines.where("false"), "line", ["doc_id", "line_no"], F.floor(F.col("doc_id") / 8), words).collect()
+        at_null = running_word_count(lines.withColumn("doc_id", F.lit(None).cast("bigint")), "line", ["doc_id", "line_no"], F.col("doc_id"), words).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    plain = X.split_words(lines, "line", ["doc_id", "line_no"]).collect()
+    assert none == [] and len(at_null) == len(plain)
+    assert max(c.cnt for c in at_null if c.word == "a") == sum(p.word == "a" for p in plain)
+    # Words at one place of two documents may come in any order.
+    seen, want = collections.Counter(), []
+    for p in sorted(plain, key=lambda p: (p.doc_id, p.line_no, p.word_no)):
+        seen[p.word] += 1
+        want.append((p.doc_id, p.line_no, p.word_no, p.word, seen[p.word]))
+    assert sorted(tuple(g) for g in got) == sorted(want)
+
+
+def test_running_words_are_not_shuffled_word_by_word(spark, tmp_path):
+    """The plan that the query makes sends lines and counts only."""
+    d = spark.createDataFrame([(1, "a b a"), (3000, "a c")], "doc_id bigint, text string")
+    d.write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["word_count_running"](spark, str(tmp_path))
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 0, 0, "a", 1), (1, 0, 1, "b", 1), (1, 0, 2, "a", 2), (3000, 0, 0, "a", 3), (3000, 0, 1, "c", 1)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(__ev_chunk" in plan and "hashpartitioning(word" not in plan
+
+
 @pytest.mark.parametrize("kind", ["int", "double", "string"])
 def test_running_top_k_of_any_type(spark, kind):
     r = random.Random(3)
