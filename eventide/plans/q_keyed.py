@@ -146,10 +146,10 @@ def sql_group_sum(spark, sf):
 
 
 def _rendered(counts):
-    """``v:n,...`` by value."""
-    entries = F.transform(F.array_sort(F.map_entries(counts)),
-                          lambda e: F.concat(e["key"].cast("string"), F.lit(":"), e["value"].cast("string")))
-    return F.array_join(entries, ",")
+    """``v:n,...`` of a map of numbers, in the map's order."""
+    text = F.col(counts).cast("string")                      # {v -> n, v -> n}
+    inner = F.substr(text, F.lit(2), F.length(text) - 2)
+    return F.replace(F.replace(inner, F.lit(" -> "), F.lit(":")), F.lit(", "), F.lit(","))
 
 
 _MAP_SQL = ", ".join(f"""CASE WHEN count(CASE WHEN vc = {v} THEN 1 END) OVER w > 0

@@ -3,10 +3,13 @@
 import collections
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from eventide.functions.text import words
+from eventide.operators import map_scan
 from eventide.operators import topn as N
 from eventide.operators import transforms as X
 from eventide.operators import watermark as WM
@@ -135,6 +138,40 @@ def test_running_map_of_a_hot_key_is_chunked(spark):
     assert plan.count("__ev_chunk") and "REPARTITION_BY_COL" in plan
 
 
+@pytest.mark.parametrize("block,most", [(500_000, 1), (64, 400), (1, 900)])
+def test_rows_of_many_small_groups_share_a_block(monkeypatch, block, most):
+    """Groups of a row or two beside a large one, some going on from a map, over two
+    batches; equal to a plain count at any size of a block."""
+    monkeypatch.setattr(map_scan, "_BLOCK", block)
+    r = random.Random(4)
+    domain = [None, float("nan"), -0.0, 0.0, 1.0, 2.0, 3.0]
+    held, counts = map_scan._Counts(pa.array([], pa.float64()), np.zeros(0, np.int64)), {}
+    plain = lambda v: "nan" if v != v else v
+    for begin, sizes in ((1, [1, 2, 300, *[r.randint(1, 2) for _ in range(200)], 3]), (0, [40, 1, 5])):
+        groups = [g + begin for g, n in enumerate(sizes) for _ in range(n)]
+        values = [r.choice(domain) for _ in groups]
+        entries = [(g, v, r.randint(1, 9)) for g in range(1, len(sizes) + begin) for v in r.sample([None, float("nan"), 0.0, 3.0], r.randint(0, 4))]
+        counts = {0: counts}
+        for g, v, n in entries:
+            counts.setdefault(g, {})[plain(v)] = n
+        want = []
+        for g, v in zip(groups, values):
+            of = counts.setdefault(g, {})
+            of[plain(v)] = of.get(plain(v), 0) + 1
+            want.append(({k: n for k, n in of.items() if k is not None}, of[plain(v)]))
+        last = len(sizes) + begin - 1
+        got, blocks = [], 0
+        for size, maps, own in held.run(pa.array(values, pa.float64()), np.array(groups), pa.array([v for _, v, _ in entries], pa.float64()),
+                                        np.array([g for g, _, _ in entries], dtype=np.int64), np.array([n for *_, n in entries], dtype=np.int64), last):
+            assert size == len(maps) == len(own)
+            blocks += 1
+            for m in maps.to_pylist():
+                assert [k for k, _ in m] == sorted((k for k, _ in m), key=lambda k: (k != k, k))
+            got += [({plain(k): n for k, n in m}, o) for m, o in zip(maps.to_pylist(), own.to_pylist())]
+        assert got == want and blocks <= most
+        counts = counts[last]
+
+
 # ------------------------------------------------------- running word count
 @pytest.mark.parametrize("per_batch", ["3", "10000"])
 def test_running_words_over_chunks_batches_and_repeated_documents(spark, per_batch):
