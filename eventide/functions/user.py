@@ -325,10 +325,49 @@ def register_aggregate(spark: SparkSession, name: str, fn: UserAggregate) -> Non
     spark.udf.register(name, F.arrow_udf(finish, fn.result))
 
 
-def register_table_function(spark: SparkSession, name: str, handler: type, fields: str) -> None:
+def register_table_function(spark: SparkSession, name: str, handler: type, fields: str, arguments: str | None = None) -> None:
     """A table function by name.  ``handler.eval(*args)`` yields the rows of
-    one call, for use in ``LATERAL`` joins."""
-    spark.udtf.register(name, F.udtf(handler, returnType=fields, useArrow=True))
+    one call, for use in ``LATERAL`` joins.
+
+    With the ``arguments`` and their types (numbers, texts, booleans, bytes; fields,
+    too) calls go to Python in batches and come back in batches of rows; without them
+    each call is a table of its own, which takes several times as long."""
+    if arguments is None:
+        spark.udtf.register(name, F.udtf(handler, returnType=fields, useArrow=True))
+        return
+    given, made = _type(arguments), _type(fields)
+    other = [f.name for f in [*given.fields, *made.fields] if not isinstance(f.dataType, (T.NumericType, T.StringType, T.BooleanType, T.BinaryType))]
+    if other or hasattr(handler, "terminate"):
+        raise ValueError(f"{name}: no batches with {other or 'terminate'}; leave out arguments")
+    kind = T.ArrayType(made)
+    types = [to_arrow_type(f.dataType) for f in made.fields]
+
+    def calls(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        called = handler()
+        for batch in batches:
+            rows, ends = [], [0]
+            for args in zip(*[c.to_pylist() for c in batch.flatten()]):
+                rows.extend(called.eval(*args) or ())
+                ends.append(len(rows))
+                if len(rows) >= _OUT:
+                    yield _lists(rows, ends, types, made.names)
+                    rows, ends = [], [0]
+            if len(ends) > 1:
+                yield _lists(rows, ends, types, made.names)
+
+    spark.udf.register(f"__ev_{name}", F.arrow_udf(calls, kind))
+    columns = ", ".join(f"`{n}`" for n in given.names)
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({arguments}) RETURNS TABLE ({fields}) "
+              f"RETURN SELECT inline(__ev_{name}(struct({columns})))")
+
+
+def _lists(rows: list[tuple], ends: list[int], types: list[pa.DataType], names: list[str]) -> pa.Array:
+    """A list of rows per call; ``ends`` are the edges of the calls."""
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(types)
+    if len(columns) != len(types):
+        raise ValueError(f"a row of {len(columns)} values for {len(types)} fields")
+    values = pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
 
 
 _BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}

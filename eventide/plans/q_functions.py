@@ -186,7 +186,7 @@ def table_top2_user(spark, sf):
 @query("udtf_user_split", f"WITH {DOC_LINES_SQL} SELECT doc_id, line_no, word, length(word) AS length FROM w")
 def udtf_user_split(spark, sf):
     """A user table function by name, joined laterally."""
-    user.register_table_function(spark, "user_split", SplitWords, "word string, length int")
+    user.register_table_function(spark, "user_split", SplitWords, "word string, length int", "line string")
     docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
     return spark.sql("SELECT doc_id, line_no, t.word, t.length FROM {lines}, LATERAL user_split(line) t",
                      lines=split_lines(docs, "text", ["doc_id"]))

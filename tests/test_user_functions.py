@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventide.functions import user as U
+from eventide.plans import QUERIES
 from eventide.plans.q_functions import KeyedSum, MostFrequent, SplitWords, Top2, WeightedAvg
 
 SCORES = [("zs", 80, 3), ("zs", 90, 4), ("zs", 95, 4), ("ls", 75, 4), ("ls", 65, 4), ("ls", 85, 4), (None, 7, 1), (None, 9, 1), ("xx", None, 2)]
@@ -158,6 +159,45 @@ def test_f17_table_function_cross_and_left(spark):
     assert (None, None, None) in [tuple(r) for r in left] and len(left) == len(cross) + 1
 
 
+def test_table_function_in_batches_equals_its_calls(spark, monkeypatch):
+    monkeypatch.setattr(U, "_OUT", 7)                              # several batches out of one
+    U.register_table_function(spark, "split_calls", SplitWords, "word string, length int")
+    U.register_table_function(spark, "split_batches", SplitWords, "word string, length int", "line string")
+    texts = ["hello spark", None, "", "   ", " a  b ", "é ü 𝒳", *[" ".join("w" * (n % 5) for n in range(k)) for k in range(40)]]
+    lines = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "n int, line string").repartition(3)
+    for join in (", LATERAL {f}(line) t", " LEFT JOIN LATERAL {f}(line) AS t ON true"):
+        each = [sorted(spark.sql("SELECT n, t.word, t.length FROM {lines}" + join.replace("{f}", f), lines=lines).collect(), key=repr) for f in ("split_calls", "split_batches")]
+        assert each[0] == each[1] and len(each[0]) > 300
+    assert spark.sql("SELECT * FROM split_batches('x yz')").collect() == [("x", 1), ("yz", 2)]
+
+
+def test_table_function_of_two_arguments_in_batches(spark):
+    class Repeat:
+        def eval(self, value, times):
+            if times is not None:
+                for n in range(times):
+                    yield value, n
+
+    class Wide:
+        def eval(self, value):
+            yield value, 1, 2
+
+    U.register_table_function(spark, "repeat_value", Repeat, "v double, n bigint", "value double, times int")
+    rows = spark.createDataFrame([(1.5, 2), (None, 1), (2.0, None), (3.0, 0)], "a double, b int")
+    got = spark.sql("SELECT a, t.v, t.n FROM {rows}, LATERAL repeat_value(a, b) t", rows=rows).collect()
+    assert sorted(got, key=repr) == sorted([(1.5, 1.5, 0), (1.5, 1.5, 1), (None, None, 0)], key=repr)
+    U.register_table_function(spark, "wide", Wide, "v double, n bigint", "value double")
+    with pytest.raises(Exception, match="a row of 3 values for 2 fields"):
+        spark.sql("SELECT t.* FROM {rows}, LATERAL wide(a) t", rows=rows).collect()
+    with pytest.raises(ValueError, match="no batches"):
+        U.register_table_function(spark, "late", Wide, "at timestamp", "value double")
+
+
+def test_udtf_user_split_goes_in_batches(spark):
+    plan = QUERIES["udtf_user_split"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "UDTF" not in plan
+
+
 @pytest.mark.parametrize("chunk", ["2", "1000000"])
 def test_running_fold_in_order(spark, chunk):
     """A fold that is not commutative, over any number of chunks."""
