@@ -197,7 +197,7 @@ def _batches(items, codecs: list[_Codec], schema: pa.Schema):
 def _merged(partial: DataFrame, by: list[str], names: list[str], fns: list[UserAggregate], finish: bool = False) -> DataFrame:
     """Accumulators of equal ``by`` merged; with ``finish`` to their results."""
     codecs = [_Codec(f.accumulator) for f in fns]
-    dealt = (partial.repartition(*by) if by else partial.repartition(1)).select(*by, *names)
+    dealt = (scan.dealt(partial, by) if by else partial.repartition(1)).select(*by, *names)
     fields = [f for f in dealt.schema.fields if f.name in by]
     schema = T.StructType(fields + [T.StructField(n, _type(f.result if finish else f.accumulator)) for n, f in zip(names, fns)])
     out = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in schema.fields])
@@ -282,11 +282,11 @@ def running(df: DataFrame, keys: Sequence[str], aggs: Aggregates, order: str = "
                 now = [f.merge(a, b) for f, a, b in zip(fns, now, row)]
             yield from _batches(done, codecs, held)
 
-    dealt = rows.repartition(*by).sortWithinPartitions(*by, order).select(*by, *[f"__ev_a{i}" for i in range(count)])
+    dealt = scan.dealt(rows, by).sortWithinPartitions(*by, order).select(*by, *[f"__ev_a{i}" for i in range(count)])
     before = dealt.mapInArrow(totals, state)
     before = (before.repartition(*keys) if keys else before.repartition(1)).sortWithinPartitions(*by).mapInArrow(prefix, state)
     both = before.withColumn("__ev_kind", F.lit(0)).unionByName(rows.withColumn("__ev_kind", F.lit(1)), allowMissingColumns=True)
-    both = both.repartition(*by).sortWithinPartitions(*by, "__ev_kind", order)
+    both = scan.dealt(both, by).sortWithinPartitions(*by, "__ev_kind", order)
     both = both.select("__ev_kind", *accs, *[f"__ev_a{i}" for i in range(count)], *columns)
     schema = T.StructType([*df.schema.fields, *[T.StructField(n, _type(f.result)) for n, f in zip(names, fns)]])
     out = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in schema.fields])

@@ -55,6 +55,13 @@ def micros_chunk(df: DataFrame, order: str | Column, width: int | None = None) -
     return F.floor(c / F.lit(w))
 
 
+def dealt(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows by key over all shuffle partitions of the session, for work in Python.
+    Without a number adaptive execution merges partitions by their bytes, and few
+    bytes of such rows are long work."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def _cols(xs) -> list[Column]:
     if isinstance(xs, (str, Column)):
         xs = [xs]

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from eventide.operators import scan
 from eventide.operators.map_scan import _segments
 
 #: Rows of a batch handed on.
@@ -72,7 +73,7 @@ def running_word_count(lines: DataFrame, line: str, order: Sequence[str], chunk:
     order = list(order)
     rows = lines.select(*order, F.col(line).alias("__ev_line"), chunk.alias("__ev_chunk"))
     text = F.col("__ev_line")
-    alone = rows.select("__ev_chunk", "__ev_line").repartition("__ev_chunk").sortWithinPartitions("__ev_chunk")
+    alone = scan.dealt(rows.select("__ev_chunk", "__ev_line"), ["__ev_chunk"]).sortWithinPartitions("__ev_chunk")
     kind = T.StructType([rows.schema["__ev_chunk"], rows.schema["__ev_line"], T.StructField("n", T.LongType())])
     held_out = to_arrow_schema(kind)
 
@@ -95,7 +96,7 @@ def running_word_count(lines: DataFrame, line: str, order: Sequence[str], chunk:
     earlier = Window.partitionBy("__ev_line").orderBy("__ev_chunk").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.withColumn("__ev_n", F.sum("n").over(earlier)).where("__ev_n IS NOT NULL").drop("n")
     both = before.withColumn("__ev_kind", F.lit(0)).unionByName(rows.withColumn("__ev_kind", F.lit(1)), allowMissingColumns=True)
-    dealt = both.repartition("__ev_chunk").sortWithinPartitions("__ev_chunk", "__ev_kind", *order)
+    dealt = scan.dealt(both, ["__ev_chunk"]).sortWithinPartitions("__ev_chunk", "__ev_kind", *order)
     dealt = dealt.select(*order, "__ev_chunk", "__ev_kind", "__ev_n",
                          F.when(F.col("__ev_kind") == 0, F.array(text)).otherwise(split(text)).alias("__ev_words"))
     schema = T.StructType([*[lines.schema[c] for c in order], T.StructField("word_no", T.IntegerType()),

@@ -198,6 +198,15 @@ def test_udtf_user_split_goes_in_batches(spark):
     assert "ArrowEvalPython" in plan and "UDTF" not in plan
 
 
+def test_python_work_is_dealt_over_all_partitions(spark):
+    """Not merged by bytes by adaptive execution, which leaves few tasks."""
+    df = spark.range(100).select((F.col("id") % 9).alias("k"), F.col("id").alias("seq"))
+    for d in (U.accumulators(df, ["k"], {"acc": (MostFrequent(), ["seq"])}),
+              U.running(df, ["k"], {"n": (U.Reduce(max, "bigint"), ["seq"])})):
+        last = next(x for x in d._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in x)
+        assert "REPARTITION_BY_NUM" in last
+
+
 @pytest.mark.parametrize("chunk", ["2", "1000000"])
 def test_running_fold_in_order(spark, chunk):
     """A fold that is not commutative, over any number of chunks."""
