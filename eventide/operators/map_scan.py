@@ -148,7 +148,8 @@ def value_map(df: DataFrame, keys: Sequence[str], value: str, name: str = "count
 
     before = (counts.repartition(*keys) if keys else counts.repartition(1)).sortWithinPartitions(*by).mapInArrow(prefix, counts.schema)
     both = before.withColumn("__ev_kind", F.lit(0)).unionByName(rows.withColumn("__ev_kind", F.lit(1)), allowMissingColumns=True)
-    dealt = both.select(*columns, "__ev_chunk", "__ev_kind", "__ev_map").repartition(*by).sortWithinPartitions(*by, "__ev_kind", order)
+    both = both.select(*columns, "__ev_chunk", "__ev_kind", "__ev_map")
+    dealt = scan.dealt(both, by).sortWithinPartitions(*by, "__ev_kind", order)
     kind = df.schema[value].dataType
     schema = T.StructType([*df.schema.fields, T.StructField(name, T.MapType(kind, T.LongType())), *([T.StructField(own, T.LongType())] if own else [])])
     out, at = to_arrow_schema(schema), columns.index(value)

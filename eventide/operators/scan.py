@@ -56,10 +56,14 @@ def micros_chunk(df: DataFrame, order: str | Column, width: int | None = None) -
 
 
 def dealt(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Rows by key over all shuffle partitions of the session, for work in Python.
-    Without a number adaptive execution merges partitions by their bytes, and few
-    bytes of such rows are long work."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+    """Rows by key, for work in Python.  Adaptive execution keeps a task for every
+    core unless the session sets ``parallelismFirst`` to false: it then merges
+    partitions by their bytes alone, and few bytes of such rows are long work, so
+    the session's number of partitions is kept."""
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.adaptive.coalescePartitions.parallelismFirst", "true").lower() == "true":
+        return df.repartition(*by)
+    return df.repartition(int(conf.get("spark.sql.shuffle.partitions")), *by)
 
 
 def _cols(xs) -> list[Column]:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventide.functions import user as U
+from eventide.operators.map_scan import value_map
 from eventide.plans import QUERIES
 from eventide.plans.q_functions import KeyedSum, MostFrequent, SplitWords, Top2, WeightedAvg
 
@@ -198,13 +199,18 @@ def test_udtf_user_split_goes_in_batches(spark):
     assert "ArrowEvalPython" in plan and "UDTF" not in plan
 
 
-def test_python_work_is_dealt_over_all_partitions(spark):
-    """Not merged by bytes by adaptive execution, which leaves few tasks."""
+def test_python_work_is_not_merged_by_bytes(spark):
+    """A session that merges partitions by bytes alone would leave few tasks."""
     df = spark.range(100).select((F.col("id") % 9).alias("k"), F.col("id").alias("seq"))
-    for d in (U.accumulators(df, ["k"], {"acc": (MostFrequent(), ["seq"])}),
-              U.running(df, ["k"], {"n": (U.Reduce(max, "bigint"), ["seq"])})):
-        last = next(x for x in d._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in x)
-        assert "REPARTITION_BY_NUM" in last
+    conf = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    spark.conf.set(conf, "false")
+    try:
+        for d in (U.accumulators(df, ["k"], {"acc": (MostFrequent(), ["seq"])}), value_map(df.withColumn("v", F.col("seq") % 3), ["k"], "v"),
+                  U.running(df, ["k"], {"n": (U.Reduce(max, "bigint"), ["seq"])})):
+            last = next(x for x in d._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in x)
+            assert "REPARTITION_BY_NUM" in last
+    finally:
+        spark.conf.unset(conf)
 
 
 @pytest.mark.parametrize("chunk", ["2", "1000000"])
