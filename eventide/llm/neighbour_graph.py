@@ -1,18 +1,22 @@
 """Approximate nearest neighbours by largest inner product over an NN-descent graph.
 
 Equal vectors are one node.  Every node keeps its ``DEGREE`` best neighbours found
-so far.  They start as the best of a few random groups; then each round joins
+so far.  They start as the best of a few groupings by the nearest of random pivots (at
+random where these are many nodes); then each round joins
 neighbours of neighbours: a node's neighbours, forwards and backwards, are compared
 with each other (pairs with at least one new link only), and each of the two takes
 the other in if it is among its best.  Rounds end when few links are new.  Queries
 are searched greedily: the best ``BEAM`` nodes found so far are expanded by their
 neighbours until all of them have been.
 
-On Spark a round is two joins.  Centres are dealt into parts; the vectors that a
-part needs are joined to it once, however many of its centres share them, and a
-part hands on at most ``DEGREE`` candidates a node, in one row per bucket of
-``BUCKET`` nodes.  A hub's backward neighbours are dealt into slots of ``CROWD``, so
-no group grows with the table.  Queries go in parts in the same way.
+On Spark nodes are numbered without gaps and dealt into buckets and shelves by their
+numbers; links, vectors and scores go between tasks in packets, one row for all that
+one task has for a bucket or shelf.  A round deals the pairs of neighbours to the
+shelves of their centres; a shelf asks the buckets for the vectors that it needs, each
+once, and hands on at most ``DEGREE`` candidates a node.  A hub's backward neighbours
+are dealt into slots of about ``CROWD``, so no group grows with the table.  Queries go
+in parts: their vectors go to the shelves of the nodes that they ask for, and only inner
+products that may count come back.
 
 Vectors are scaled by the longest and get one more component that makes them unit
 vectors, which turns the largest inner product into the nearest vector; the graph
@@ -33,26 +37,31 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from eventide.llm.blocks import group_chunks
+from eventide.llm.blocks import gather_runs
+from eventide.operators.scan import dealt
 from eventide.session import cut_lineage
 
 #: Neighbours of a node.
 DEGREE = 48
 #: Best nodes that a search expands, and how many of them at once.
 BEAM, STEP = 96, 32
-#: Random groups at the start, and nodes of a group.
-STARTS, GROUP = 3, 4096
+#: Groupings at the start, nodes of a group, and pivots of a grouping at most.
+STARTS, GROUP, PIVOTS = 8, 4096, 1024
 #: Rounds at most, and the share of new links at which they end.
 ROUNDS, FEW = 8, 0.05
-#: Centres of a part, backward neighbours of a slot, queries of a part, nodes of a
-#: bucket of the graph.  A part needs at most 97 vectors a centre (in half precision
-#: 300 MB for 64 components); larger parts need fewer copies of each.
+#: Nodes of a shelf, backward neighbours of a slot, queries of a part, nodes of a
+#: bucket.  A shelf needs at most 97 vectors a centre (in half precision 300 MB for 64
+#: components); larger shelves need fewer copies of each.
 CENTRES, CROWD, QUERIES, BUCKET = 24_576, 1024, 512, 1024
 #: Nodes at which every search begins besides its own: so many of least hash and as
 #: many of the longest.
 ENTRIES = 16
-#: Candidates that a task holds before it keeps only the best of each node.
+#: Shelves at least, where there are as many buckets.
+TASKS = 16
+#: Links that a task holds before it sends them, or keeps only the best of each node.
 _HELD = 4_000_000
+#: Inner products of one step of a join, and bytes of a batch that a task hands on.
+_CELLS, _BATCH = 1_000_000, 16_000_000
 
 
 def _rows(df: DataFrame, queries: str, key: str, vector: str) -> tuple[DataFrame, str]:
@@ -97,15 +106,90 @@ def unit_codes(x: np.ndarray, logs: np.ndarray, longest: float) -> np.ndarray:
     return np.concatenate([y, rest[:, None]], axis=1).astype("<f2")
 
 
-def _halves(codes, size: int) -> np.ndarray:
-    return np.frombuffer(b"".join(codes), dtype="<f2").reshape(len(codes), size + 1)
+# --------------------------------------------------------------------- packets
+#: What goes between tasks: arrays of many nodes, links or scores in one row.  ``to``
+#: names the bucket, shelf, group or part of queries that gets it, ``kind`` says what
+#: it is (0: what is at home there).
+_FIELDS = ("a", "b", "c", "d", "e", "f")
+_PACKET = "to bigint, kind int, src bigint, " + ", ".join(f"{c} binary" for c in _FIELDS)
+_ARROW = pa.schema([("to", pa.int64()), ("kind", pa.int32()), ("src", pa.int64()), *((c, pa.binary()) for c in _FIELDS)])
 
 
-def _floats(codes, size: int) -> np.ndarray:
-    return _halves(codes, size).astype(np.float32)
+def _array(value, dtype) -> np.ndarray:
+    buf = value.as_buffer() if value is not None else None
+    return np.frombuffer(buf, dtype=dtype) if buf is not None and buf.size else np.zeros(0, dtype)
+
+
+class _Out:
+    """Packets on their way out, in batches of some megabytes."""
+
+    def __init__(self):
+        self.rows, self.bytes = [], 0
+
+    def put(self, to, kind, src, *arrays) -> None:
+        cells = [np.ascontiguousarray(x).tobytes() for x in arrays]
+        self.rows.append((int(to), int(kind), int(src), *cells, *[None] * (len(_FIELDS) - len(cells))))
+        self.bytes += sum(map(len, cells))
+
+    def deal(self, to, kind, src, *arrays) -> None:
+        """One packet for each different ``to``, with its elements of the arrays in order."""
+        order = np.argsort(to, kind="stable")
+        ends = to[order]
+        edges = np.flatnonzero(np.concatenate([[True], ends[1:] != ends[:-1], [True]])) if len(ends) else [0]
+        arrays = [x[order] for x in arrays]
+        for a, b in zip(edges, edges[1:]):
+            self.put(ends[a], kind, src, *[x[a:b] for x in arrays])
+
+    def full(self, limit: int = _BATCH):
+        if self.bytes > limit or limit == 0 and self.rows:
+            rows, self.rows, self.bytes = self.rows, [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _ARROW.types)], schema=_ARROW)
+
+
+def _packets(batches):
+    """``(to, kind, src, fields)`` of every row."""
+    for batch in batches:
+        columns = [batch.column(c) for c in _FIELDS]
+        for i, (to, kind, src) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("to", "kind", "src")))):
+            yield to, kind, src, [c[i] if c[i].is_valid else None for c in columns]
+
+
+def _each(step):
+    """``step(to, packets, out)`` for all packets of each ``to``."""
+    def run(batches):
+        import itertools
+
+        out = _Out()
+        for to, group in itertools.groupby(_packets(batches), key=lambda p: p[0]):
+            for _ in step(to, (p[1:] for p in group), out) or ():
+                yield from out.full()
+            yield from out.full()
+        yield from out.full(0)
+    return run
+
+
+def _sent(packets: DataFrame, step) -> DataFrame:
+    """``step`` where the packets arrive."""
+    at = dealt(packets, ["to"]).sortWithinPartitions("to", "kind", "src")
+    return at.mapInArrow(_each(step), _PACKET)
+
+
+def _here(packets: DataFrame, step) -> DataFrame:
+    """``step(packets, out)`` where the packets are."""
+    def run(batches):
+        out = _Out()
+        for _ in step(_packets(batches), out):
+            yield from out.full()
+        yield from out.full(0)
+    return packets.mapInArrow(run, _PACKET)
 
 
 # ------------------------------------------------------------- lists of links
+def _runs(v: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins, and the end."""
+    return np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1], [True]])) if len(v) else np.zeros(1, np.int64)
+
+
 def _best(v, u, s, old, k: int):
     """The ``k`` best links of every ``v``, each once; a link that was there before
     is not new."""
@@ -116,347 +200,638 @@ def _best(v, u, s, old, k: int):
     v, u, s, old = v[once], u[once], s[once], old[once]
     o = np.lexsort((u, -s, v))
     v, u, s, old = v[o], u[o], s[o], old[o]
-    begin = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]])) if len(v) else np.zeros(0, np.int64)
-    rank = np.arange(len(v)) - np.repeat(begin, np.diff(np.append(begin, len(v))))
-    keep = rank < k
+    edges = _runs(v)
+    keep = np.arange(len(v)) - np.repeat(edges[:-1], np.diff(edges)) < k
     return v[keep], u[keep], s[keep], old[keep]
 
 
-#: Links of many nodes in one row: the nodes, how many links each has, and the links.
-_LINKS = "bucket bigint, nodes array<bigint>, links array<int>, nbr array<bigint>, sim array<float>"
-#: The graph: a row per node, best neighbours first, and which links are old.
-_GRAPH = "node bigint, nbr array<bigint>, sim array<float>, old array<boolean>"
-
+def _merged(links: DataFrame, k: int, size: int) -> DataFrame:
+    """The graph of the ``k`` best links of each node: a packet per bucket with the
+    number of links of each of its nodes, the neighbours, best first, their inner
+    products, and which links are old; ``src`` counts the new ones.  Packets of links
+    hold nodes, neighbours and inner products; those of kind 0 are a graph, whose
+    links are old."""
+    def step(to, packets, out):
+        parts = []
+        for kind, _, (a, b, c, *_) in packets:
+            u, s = _array(b, np.int64), _array(c, np.float32)
+            v = np.repeat(np.arange(to * size, (to + 1) * size), _array(a, np.int32)) if kind == 0 else _array(a, np.int64)
+            parts.append((v, u, s, np.full(len(u), kind == 0)))
+        v, u, s, old = _best(*(np.concatenate(c) for c in zip(*parts)), k)
+        links = np.bincount(v - to * size, minlength=size).astype(np.int32)
+        out.put(to, 0, len(old) - np.count_nonzero(old), links, u, s, old)
 
-def _packed(bucket, nodes, v, u, s):
-    """Rows of links, one per bucket.  ``bucket`` is that of each of the different
-    ``nodes``; ``v`` names nodes only."""
-    import pandas as pd
+    return _sent(links, step)
 
-    by = np.lexsort((nodes, bucket))
-    nodes, bucket = nodes[by], bucket[by]
-    place = np.empty(len(nodes), dtype=np.int64)      # where a node stands, by its rank among all
-    rank = np.argsort(nodes, kind="stable")
-    place[:] = rank
-    of = place[np.searchsorted(nodes[rank], v)] if len(v) else np.zeros(0, np.int64)
-    order = np.argsort(of, kind="stable")
-    u, s, links = u[order], s[order].astype(np.float32), np.bincount(of, minlength=len(nodes))
-    edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(nodes) else np.zeros(0, np.int64)
-    ends = np.concatenate([[0], np.cumsum(links)])
-    cut = list(zip(edges.tolist(), np.append(edges[1:], len(nodes)).tolist()))
-    return pd.DataFrame({"bucket": bucket[edges], "nodes": [nodes[a:b] for a, b in cut], "links": [links[a:b].astype(np.int32) for a, b in cut],
-                         "nbr": [u[ends[a]:ends[b]] for a, b in cut], "sim": [s[ends[a]:ends[b]] for a, b in cut]})
 
+def _emitted(out: _Out, size: int, kind: int, src: int, v, u, s) -> None:
+    """Links on their way to the buckets of their nodes."""
+    out.deal(v // size, kind, src, v, u, s)
 
-def _merged(links: DataFrame, k: int) -> DataFrame:
-    """The graph of the ``k`` best links of each node; links of rows marked ``was``
-    are old."""
-    def run(frames):
-        import pandas as pd
 
-        for pdf, edges in group_chunks(frames, ["bucket"]):
-            for a, b in zip(edges, edges[1:]):
-                rows = pdf.iloc[a:b]
-                nodes, n = np.concatenate(rows["nodes"].to_list()), np.concatenate(rows["links"].to_list())
-                u, s = np.concatenate(rows["nbr"].to_list()), np.concatenate(rows["sim"].to_list())
-                old = np.repeat(rows["was"].to_numpy().astype(bool), [len(x) for x in rows["nbr"]])
-                v, u, s, old = _best(np.repeat(nodes, n), u, s, old, k)
-                nodes = np.unique(nodes)
-                cut = np.searchsorted(v, nodes[1:])
-                yield pd.DataFrame({"node": nodes, "nbr": np.split(u, cut), "sim": np.split(s, cut), "old": np.split(old, cut)})
-
-    return links.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(run, _GRAPH)
-
-
-def _bucket(node: str, n: int):
-    return F.pmod(F.xxhash64(node), F.lit(-(-n // BUCKET)))
+def _packed(rows: DataFrame, named: bool = True) -> DataFrame:
+    """A packet for each ``to`` of ``(to, node, code)``: its nodes, in order (if
+    ``named``), and their vectors."""
+    def run(batches):
+        held, now, out = [], None, _Out()
 
+        def put():
+            ids, codes = (np.concatenate(c) for c in zip(*held))
+            out.put(now, 0, 0, *([ids] if named else []), codes)
 
-def _as_links(graph: DataFrame, n: int) -> DataFrame:
-    return graph.select(_bucket("node", n).alias("bucket"), F.array("node").alias("nodes"), F.array(F.size("nbr")).alias("links"), "nbr", "sim")
+        for batch in batches:
+            codes = batch.column("code")
+            width = len(codes[0].as_py()) if len(codes) else 0
+            nodes, codes = batch.column("node").to_numpy(), np.frombuffer(b"".join(codes.to_pylist()), np.uint8).reshape(-1, width) if width else None
+            for to, ids, x in _grouped(batch.column("to").to_numpy(), nodes, codes) if width else ():
+                if held and to != now:
+                    put()
+                    held = []
+                now = to
+                held.append((ids, x))
+            yield from out.full()
+        if held:
+            put()
+        yield from out.full(0)
+
+    return dealt(rows.select("to", "node", "code"), ["to"]).sortWithinPartitions("to", "node").mapInArrow(run, _PACKET)
+
+
+class _Sizes:
+    """How the nodes, which are numbered without gaps, are dealt: into buckets of
+    ``bucket`` nodes, and these into ``shelves`` of ``shelf`` nodes."""
+
+    def __init__(self, n: int):
+        self.n, self.bucket = n, BUCKET
+        most = max(1, CENTRES // BUCKET)
+        self.shelf = BUCKET * min(most, max(1, -(-n // (BUCKET * TASKS))))
+        self.shelves = -(-n // self.shelf)
+        self.buckets = -(-n // BUCKET)
 
 
 # ------------------------------------------------------------------ NN-descent
-def _start(nodes: DataFrame, n: int, size: int) -> DataFrame:
-    """Best links within random groups."""
-    groups = max(1, -(-n // GROUP))
-    each = DEGREE if groups == 1 else DEGREE // 2
-    dealt = nodes.select("node", "code", _bucket("node", n).alias("bucket"), F.explode(F.sequence(F.lit(0), F.lit((STARTS if groups > 1 else 1) - 1))).alias("turn"))
-    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("node", "turn"), F.lit(groups)))
-    keys = ["turn", "part"]
-
-    def run(frames):
-        for pdf, edges in group_chunks(frames, keys):
-            for a, b in zip(edges, edges[1:]):
-                x, ids = _floats(pdf["code"].iloc[a:b].tolist(), size), pdf["node"].to_numpy()[a:b]
-                k, v, u, sims = min(each, b - a - 1), [], [], []
-                for at in range(0, b - a if k > 0 else 0, 512):
-                    s = x[at:at + 512] @ x.T
-                    here = np.arange(len(s))
-                    s[here, at + here] = -np.inf
-                    top = np.argpartition(-s, k - 1, axis=1)[:, :k]
-                    v.append(np.repeat(ids[at:at + 512], k))
-                    u.append(ids[top].ravel())
-                    sims.append(np.take_along_axis(s, top, 1).ravel())
-                v, u, sims = (np.concatenate(c) if c else np.zeros(0, t) for c, t in ((v, np.int64), (u, np.int64), (sims, np.float32)))
-                yield _packed(pdf["bucket"].to_numpy()[a:b], ids, v, u, sims)
-
-    links = dealt.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, _LINKS)
-    return _merged(links.withColumn("was", F.lit(False)), DEGREE)
-
-
-def _round(graph: DataFrame, nodes: DataFrame, n: int, size: int) -> DataFrame:
+def _start(codes: DataFrame, pivots: np.ndarray, z: _Sizes, size: int) -> DataFrame:
+    """Best links within groups: nodes with the same nearest pivot, dealt at random
+    where these are many."""
+    turns = len(pivots)
+    each = DEGREE if z.n <= GROUP else DEGREE // 2
+    bucket, n, crowd = z.bucket, z.n, GROUP
+
+    def cells(batches):
+        """Nodes of each cell, counted; the nearest pivots are found anew when they
+        are dealt, which costs less than keeping them."""
+        counts = np.zeros(pivots.shape[:2], np.int64)
+        for _, _, _, (a, *_) in _packets(batches):
+            x = _coded(a, size)
+            for t in range(turns):
+                counts[t] += np.bincount((x @ pivots[t].T).argmax(axis=1), minlength=counts.shape[1])
+        t, c = np.nonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(t * counts.shape[1] + c), pa.array(counts[t, c])], names=["cell", "n"])
+
+    slots = np.ones(turns * pivots.shape[1], np.int64)
+    for cell, count in codes.mapInArrow(cells, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n")).collect():
+        slots[cell] = -(-count // crowd)
+    first = np.concatenate([[0], np.cumsum(slots)])
+
+    def deal(packets, out):
+        held, n_held = [], 0
+
+        def flush():
+            group, ids, x = (np.concatenate(c) for c in zip(*held))
+            out.deal(group, 0, ids[0], ids, x)
+
+        for to, _, _, (a, *_) in packets:
+            half = _halved(a, size)
+            x, ids = half.astype(np.float32), to * bucket + np.arange(len(half))
+            for t in range(turns):
+                cell = t * pivots.shape[1] + (x @ pivots[t].T).argmax(axis=1)
+                held.append((first[cell] + (_mixed(ids, t) % slots[cell].astype(np.uint64)).astype(np.int64), ids, half))
+                n_held += len(ids)
+            if n_held > _HELD // 32:
+                flush()
+                held, n_held = [], 0
+                yield
+        if held:
+            flush()
+            yield
+
+    def join(batches):
+        import itertools
+
+        out, held, n_held = _Out(), [], 0
+        for group, packets in itertools.groupby(_packets(batches), key=lambda p: p[0]):
+            parts = [(_array(f[0], np.int64), _halved(f[1], size)) for _, _, _, f in packets]
+            ids, x = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]).astype(np.float32)
+            m, k = len(ids), min(each, len(ids) - 1)
+            for at in range(0, m if k > 0 else 0, 512):
+                s = x[at:at + 512] @ x.T
+                here = np.arange(len(s))
+                s[here, at + here] = -np.inf
+                top = np.argpartition(-s, k - 1, axis=1)[:, :k]
+                held.append((np.repeat(ids[at:at + 512], k), ids[top].ravel(), np.take_along_axis(s, top, 1).ravel()))
+                n_held += top.size
+            if n_held > _HELD:
+                _emitted(out, bucket, 1, group, *(np.concatenate(c) for c in zip(*held)))
+                held, n_held = [], 0
+                yield from out.full()
+        if held:
+            _emitted(out, bucket, 1, 0, *(np.concatenate(c) for c in zip(*held)))
+        yield from out.full(0)
+
+    groups = dealt(_here(codes, deal), ["to"]).sortWithinPartitions("to", "kind", "src").mapInArrow(join, _PACKET)
+    # Every bucket has a row of its own, also where its nodes have no links.
+    none = codes.select("to", F.lit(1).alias("kind"), F.lit(-1).cast("bigint").alias("src"), *[F.lit(None).cast("binary").alias(c) for c in _FIELDS])
+    return _merged(groups.unionByName(none), DEGREE, bucket)
+
+
+def _mixed(ids: np.ndarray, salt) -> np.ndarray:
+    """Hashes (splitmix64)."""
+    h = ids.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15) * (np.atleast_1d(salt).astype(np.uint64) + np.uint64(1))
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def _halved(value, size: int) -> np.ndarray:
+    return _array(value, "<f2").reshape(-1, size + 1)
+
+
+def _coded(value, size: int) -> np.ndarray:
+    return _halved(value, size).astype(np.float32)
+
+
+def _crowded(graph: DataFrame, z: _Sizes) -> DataFrame:
+    """``(centre, slots)`` of the hubs: nodes whose backward neighbours fill more than
+    one slot.  Tasks report nodes that have a share of a slot's links or more with them,
+    so what is not reported is less than one more slot."""
+    least, shelf, bucket = max(1, CROWD // (2 * z.shelves)), z.shelf, z.bucket
+
+    def count(batches):
+        held, n_held = [], 0
+
+        def flush():
+            node, links = np.unique(np.concatenate(held), return_counts=True)
+            many = links >= least
+            return pa.RecordBatch.from_arrays([pa.array(node[many]), pa.array(links[many])], names=["centre", "links"])
+
+        for _, _, _, (_, b, *_) in _packets(batches):
+            held.append(_array(b, np.int64))
+            n_held += bucket
+            if n_held >= shelf:
+                yield flush()
+                held, n_held = [], 0
+        if held:
+            yield flush()
+
+    many = graph.mapInArrow(count, "centre bigint, links bigint").groupBy("centre").agg(F.sum("links").alias("links"))
+    return many.select("centre", F.ceil(F.col("links") / CROWD).cast("bigint").alias("slots")).where("slots > 1")
+
+
+def _round(graph: DataFrame, codes: DataFrame, z: _Sizes, size: int) -> DataFrame:
     """The graph after one join of neighbours of neighbours."""
-    links = graph.select("node", F.inline(F.arrays_zip("nbr", "old")))
-    pairs = links.select(F.col("node").alias("centre"), F.col("nbr").alias("member"), F.lit(False).alias("back"), "old")
-    pairs = pairs.unionByName(links.select(F.col("nbr").alias("centre"), F.col("node").alias("member"), F.lit(True).alias("back"), "old"))
-    crowded = links.groupBy(F.col("nbr").alias("centre")).agg(F.ceil(F.count("*") / CROWD).cast("int").alias("slots")).where("slots > 1")
-    pairs = pairs.join(crowded, "centre", "left").withColumn("slots", F.coalesce("slots", F.lit(1)))
-    own = F.pmod(F.xxhash64("member"), F.col("slots")).cast("int")
-    pairs = pairs.withColumn("slot", F.explode(F.when(F.col("back"), F.array(own)).otherwise(F.sequence(F.lit(0), F.col("slots") - 1))))
-    pairs = pairs.withColumn("part", F.pmod(F.xxhash64("centre", "slot"), F.lit(-(-n // CENTRES)))).select("part", "centre", "slot", "member", "old")
-    # The worst link of a full list is what a candidate has to beat.
-    bars = graph.select(F.col("node").alias("member"), F.when(F.size("sim") == DEGREE, F.get("sim", F.lit(DEGREE - 1))).alias("worst"))
-    known = nodes.select(F.col("node").alias("member"), "code", _bucket("node", n).alias("bucket")).join(bars, "member")
-    vectors = pairs.select("part", "member").distinct().join(known, "member")
-    zero = F.lit(0).cast("bigint")
-    sides = vectors.select("part", F.lit(0).alias("kind"), "member", "code", "worst", "bucket", zero.alias("centre"), F.lit(0).alias("slot"),
-                           F.lit(False).alias("old"))
-    sides = sides.unionByName(pairs.select("part", F.lit(1).alias("kind"), "member", F.lit(None).cast("binary").alias("code"),
-                                           F.lit(None).cast("float").alias("worst"), zero.alias("bucket"), "centre", "slot", "old"))
-    dealt = sides.repartition("part").sortWithinPartitions("part", "kind", "centre", "slot", "member")
-
-    def run(frames):
-        for part in _parts(frames):
-            join = _Join(size)
-            for kind, pdf in part:
-                if kind == 0:
-                    join.add(pdf)
-                else:
-                    join.take(pdf)
-            yield join.result()
-
-    found = dealt.mapInPandas(run, _LINKS).withColumn("was", F.lit(False))
-    return _merged(_as_links(graph, n).withColumn("was", F.lit(True)).unionByName(found), DEGREE)
-
-
-def _parts(frames):
-    """Per part an iterator of ``(kind, frame)``; frames are of one kind."""
-    import itertools
-
-    def pieces():
-        for pdf in frames:
-            part, kind = pdf["part"].to_numpy(), pdf["kind"].to_numpy()
-            edges = np.flatnonzero((part[1:] != part[:-1]) | (kind[1:] != kind[:-1])) + 1
-            for a, b in zip([0, *edges], [*edges, len(pdf)]):
-                if a < b:
-                    yield part[a], kind[a], pdf.iloc[a:b]
-
-    for _, group in itertools.groupby(pieces(), key=lambda p: p[0]):
-        yield ((kind, pdf) for _, kind, pdf in group)
+    bucket, shelf, shelves, shelf_buckets = z.bucket, z.shelf, z.shelves, z.shelf // z.bucket
+    hubs = cut_lineage(_crowded(graph, z))
+    at = graph
+    if not hubs.isEmpty():
+        # Hubs go to all shelves that may have links to them.
+        cell = F.struct("centre", "slots")
+        lists = hubs.groupBy(F.floor(F.col("centre") / shelf).alias("src")).agg(F.sort_array(F.collect_list(cell)).alias("hubs"))
+        rows = lists.withColumn("to", F.explode(F.sequence(F.lit(0), F.lit(shelves - 1)).cast("array<bigint>"))).select("to", "src", F.inline("hubs"))
+        rows = rows.mapInArrow(_hub_packets, _PACKET)
+        mine = graph.withColumn("f", F.lit(None).cast("binary")).withColumn("kind", F.lit(1)).withColumn("src", F.col("to"))
+        mine = mine.withColumn("to", F.floor(F.col("to") / shelf_buckets))
+        at = dealt(rows.unionByName(mine), ["to"]).sortWithinPartitions("to", "kind", "src")
+    has_hubs = at is not graph
+
+    def links_of(packets):
+        """Links of some buckets at a time, each as ``(node, neighbour, old)``, the
+        buckets with the worst links of their nodes, and the hubs."""
+        hub, slots, shelf_now, held, n_held = [], [], None, [], 0
+        for to, kind, src, (a, b, c, d, *_) in packets:
+            if has_hubs and to != shelf_now:
+                if held:
+                    yield held, hub, slots
+                hub, slots, shelf_now, held, n_held = [], [], to, [], 0
+            if has_hubs and kind == 0:
+                hub.append(_array(a, np.int64))
+                slots.append(_array(b, np.int64))
+                continue
+            at = src if has_hubs else to
+            links = _array(a, np.int32)
+            held.append((at, links, _array(b, np.int64), _array(c, np.float32), _array(d, np.bool_)))
+            n_held += len(links)
+            if n_held >= shelf:
+                yield held, hub, slots
+                held, n_held = [], 0
+        if held:
+            yield held, hub, slots
+
+    def pairs_of(held, hub, slots):
+        """``(shelf, centre, slot, member, old)``: who is whose neighbour, in either
+        direction, and the shelf that joins them."""
+        v = np.concatenate([np.repeat(at * bucket + np.arange(len(links)), links) for at, links, *_ in held])
+        u, old = np.concatenate([h[2] for h in held]), np.concatenate([h[4] for h in held])
+        hub, slots = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in (hub, slots))
+        by = np.argsort(hub)
+        hub, slots = hub[by], slots[by]
+
+        def many(centre):
+            out = np.ones(len(centre), np.int64)
+            if len(hub):
+                i = np.minimum(np.searchsorted(hub, centre), len(hub) - 1)
+                out = np.where(hub[i] == centre, slots[i], out)
+            return out
+
+        # Forward neighbours are in every slot, a backward one is in one.
+        copies = many(v)
+        centre, member, flag = (np.repeat(c, copies) for c in (v, u, old))
+        slot = np.arange(len(centre)) - np.repeat(np.cumsum(copies) - copies, copies)
+        own = (_mixed(v, 7) % many(u).astype(np.uint64)).astype(np.int64)
+        centre, member, flag, slot = np.concatenate([centre, u]), np.concatenate([member, v]), np.concatenate([flag, old]), np.concatenate([slot, own])
+        other = (_mixed(centre, slot) % np.uint64(shelves)).astype(np.int64)
+        return np.where(slot == 0, centre // shelf, other), centre, slot, member, flag
+
+    def send_pairs(packets, out):
+        for held, hub, slots in links_of(packets):
+            part, centre, slot, member, old = pairs_of(held, hub, slots)
+            out.deal(part, 1, held[0][0], centre, slot.astype(np.int32), member, old)
+            yield
+
+    def send_asks(packets, out):
+        for held, hub, slots in links_of(packets):
+            for at, links, _, s, _ in held:
+                # The worst link of a full list is what a candidate has to beat.
+                worst, full = np.full(len(links), -np.inf, np.float32), links == DEGREE
+                worst[full] = s[np.cumsum(links)[full] - 1]
+                out.put(at, 1, 0, worst)
+            part, _, _, member, _ = pairs_of(held, hub, slots)
+            for p, group in _grouped(part, member):
+                group = np.unique(group)
+                edges = _runs(group // bucket)
+                for a, b in zip(edges, edges[1:]):
+                    out.put(group[a] // bucket, 2, p, group[a:b])
+            yield
+
+    def reply(to, packets, out):
+        x = worst = None
+        asks: dict = {}
+        for kind, src, (a, *_) in packets:
+            if kind == 0:
+                x = _halved(a, size)
+            elif kind == 1:
+                worst = _array(a, np.float32)
+            else:
+                asks.setdefault(src, []).append(_array(a, np.int64))
+            if kind == 2 and len(asks) > 1:                # all of the shelf before are here
+                done = next(iter(asks))
+                answer(to, done, asks.pop(done), x, worst, out)
+                yield
+        for src, ids in asks.items():
+            answer(to, src, ids, x, worst, out)
+            yield
+
+    def answer(to, src, ids, x, worst, out):
+        ids = np.unique(np.concatenate(ids)) if len(ids) > 1 else ids[0]
+        at = ids - to * bucket
+        out.put(src, 0, to, ids, x[at], worst[at])
+
+    def join(to, packets, out):
+        known, pairs = [], []
+        for kind, _, (a, b, c, d, *_) in packets:
+            if kind == 0:
+                known.append((_array(a, np.int64), _halved(b, size), _array(c, np.float32)))
+            else:
+                pairs.append((_array(a, np.int64), _array(b, np.int32), _array(c, np.int64), _array(d, np.bool_)))
+        if not pairs:
+            return
+        ids, x, worst = (np.concatenate(c) for c in zip(*known))          # by bucket, so in order
+        known.clear()
+        v, u, s = _Join(ids, x, worst).run(*(np.concatenate(c) for c in zip(*pairs)))
+        for a in range(0, len(v), _HELD):
+            _emitted(out, bucket, 1, to, v[a:a + _HELD], u[a:a + _HELD], s[a:a + _HELD])
+            yield
+
+    wanted = codes.unionByName(_here(at, send_asks))
+    replies = _sent(wanted, reply)
+    found = _sent(replies.unionByName(_here(at, send_pairs)), join)
+    return _merged(graph.unionByName(found), DEGREE, bucket)
+
+
+def _grouped(by, *arrays):
+    """``(value, *elements)`` for each different value of ``by``."""
+    order = np.argsort(by, kind="stable")
+    by, arrays = by[order], [x[order] for x in arrays]
+    edges = _runs(by)
+    for a, b in zip(edges, edges[1:]):
+        yield (by[a], *[x[a:b] for x in arrays])
+
+
+def _hub_packets(batches):
+    out = _Out()
+    for batch in batches:
+        to, src, centre, slots = (batch.column(c).to_numpy() for c in ("to", "src", "centre", "slots"))
+        for t, a, b, c in _grouped(to, src, centre, slots):
+            out.put(t, 0, a[0], b, c)
+        yield from out.full()
+    yield from out.full(0)
 
 
 class _Join:
-    """Neighbours of neighbours in one part."""
-
-    def __init__(self, size: int):
-        self.size, self.known, self.rest, self.later = size, [], None, {}
-        self.ids = None
+    """Neighbours of neighbours on one shelf: ``ids`` are the nodes that it needs, in
+    order, ``x`` their vectors in half precision and ``worst`` what they have to beat."""
+
+    def __init__(self, ids, x, worst):
+        self.ids = ids
+        self.x = np.concatenate([x, np.zeros((1, x.shape[1]), x.dtype)])         # the last one fills up
+        self.worst = np.concatenate([worst, np.full(1, np.inf, np.float32)])
+        # A candidate is one number: node, inner product (largest first), neighbour.
+        self.bits = np.uint64(max(1, int(len(ids)).bit_length()))
+        self.steps = np.float32(2 ** min(23, 64 - 2 * int(self.bits)) - 1)
         self.held: list = []
         self.n = 0
 
-    def add(self, pdf) -> None:
-        """Vectors, kept in half precision."""
-        worst = pdf["worst"].astype(np.float32).fillna(-np.inf).to_numpy()
-        self.known.append((pdf["member"].to_numpy(), pdf["bucket"].to_numpy(), worst, _halves(pdf["code"].tolist(), self.size)))
-
-    def _ready(self) -> None:
-        if self.ids is None:
-            ids, bucket, worst, x = (np.concatenate(c) for c in zip(*self.known))
-            self.known = []
-            order = np.argsort(ids, kind="stable")
-            self.ids, self.bucket, self.worst, self.x = ids[order], bucket[order], worst[order], x[order]
-
-    def take(self, pdf) -> None:
-        self._ready()
-        columns = [pdf[c].to_numpy() for c in ("centre", "slot", "member", "old")]
-        if self.rest is not None:
-            columns = [np.concatenate([a, b]) for a, b in zip(self.rest, columns)]
-        centre, slot, _, _ = columns
-        edges = np.flatnonzero((centre[1:] != centre[:-1]) | (slot[1:] != slot[:-1])) + 1
-        last = int(edges[-1]) if len(edges) else 0
-        self._groups([c[:last] for c in columns], [0, *edges.tolist()])
-        self.rest = [c[last:] for c in columns]          # the last centre may go on
-
-    def _groups(self, columns, edges) -> None:
-        _, _, member, old = columns
-        place = np.searchsorted(self.ids, member)
-        for a, b in zip(edges, edges[1:]):
-            self._centre(place[a:b], old[a:b].astype(bool))
-
-    def _centre(self, place, old) -> None:
+    def run(self, centre, slot, member, old):
+        """``(node, neighbour, inner product)`` of the best candidates of each node."""
+        member = np.searchsorted(self.ids, member).astype(np.uint64)
+        group = self._groups(centre, slot)
+        del centre, slot
         # A member from both ends is new if either link is; new ones first.
-        place, first = np.unique(place[np.argsort(old, kind="stable")], return_index=True)
-        new = first < np.count_nonzero(~old)
-        place = np.concatenate([place[new], place[~new]])
-        n = int(new.sum())
-        if not n or len(place) < 2:
-            return
+        key = (group << self.bits | member) << np.uint64(1) | old.astype(np.uint64)
+        del member
+        key.sort()
+        once = np.ones(len(key), dtype=bool)
+        once[1:] = key[1:] >> np.uint64(1) != key[:-1] >> np.uint64(1)
+        key = key[once]
+        group, member, old = key >> (self.bits + np.uint64(1)), (key >> np.uint64(1)) & ((np.uint64(1) << self.bits) - np.uint64(1)), key & np.uint64(1)
+        key = (group << np.uint64(1) | old) << self.bits | member
+        key.sort()
+        group, member, old = key >> (self.bits + np.uint64(1)), (key & ((np.uint64(1) << self.bits) - np.uint64(1))).astype(np.int32), (key >> self.bits) & np.uint64(1)
+        del key
+        edges = _runs(group)
+        begin, members = edges[:-1], np.diff(edges)
+        new = members - np.add.reduceat(old.astype(np.int64), begin)
+        some = np.flatnonzero((new > 0) & (members > 1))
+        some = some[np.lexsort((members[some], new[some] // 12))]
+        at = 0
+        while at < len(some):
+            # Groups of about the same size at once.
+            size = max(1, min(len(some) - at, _CELLS // int(members[some[at]] ** 2)))
+            while size > 1 and size * int(members[some[at:at + size]].max()) * int(new[some[at:at + size]].max()) > 2 * _CELLS:
+                size //= 2
+            self._centres(member, begin[some[at:at + size]], members[some[at:at + size]], new[some[at:at + size]])
+            at += size
+        if not self.held:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
+        v, u, s = self._trim()
+        return self.ids[v], self.ids[u], s
+
+    def _groups(self, centre, slot):
+        """Numbers of the groups, by centre and slot."""
+        _, first = np.unique(centre, return_inverse=True)
+        if slot.any():
+            _, first = np.unique(first.astype(np.int64) * (int(slot.max()) + 1) + slot, return_inverse=True)
+        return first.astype(np.uint64)
+
+    def _centres(self, member, begin, members, new) -> None:
+        rows, most = int(new.max()), int(members.max())
+        at = np.arange(most)
+        place = np.where(at < members[:, None], member[np.minimum(begin[:, None] + at, len(member) - 1)], len(self.ids))
         x, worst = self.x[place].astype(np.float32), self.worst[place]
-        s = x[:n] @ x.T
-        better = s > np.minimum(worst[:n, None], worst[None, :])
-        if n not in self.later:
-            self.later[n] = np.triu(np.ones((n, n), dtype=bool), 1)
-        better[:, :n] &= self.later[n]               # each pair of new ones once
-        i, j = np.nonzero(better)
-        p, q, s = place[i], place[j], s[i, j]
-        for a, b, bar in ((p, q, worst[i]), (q, p, worst[j])):
-            hit = s > bar
-            self.held.append((a[hit].astype(np.int32), b[hit].astype(np.int32), s[hit]))
-            self.n += len(self.held[-1][0])
+        s = x[:, :rows] @ x.transpose(0, 2, 1)
+        better = s > np.minimum(worst[:, :rows, None], worst[:, None, :])
+        better &= at > np.arange(rows)[:, None]             # each pair of new ones once
+        better &= (np.arange(rows) < new[:, None])[:, :, None]
+        better &= (at < members[:, None])[:, None, :]
+        hit = np.flatnonzero(better)
+        i, j = np.divmod(hit, most)
+        g = i // rows
+        p, q, s = place.ravel()[g * most + i - g * rows], place.ravel()[g * most + j], s.ravel()[hit]
+        code = np.clip((np.float32(1.001) - s) * (self.steps / np.float32(2.002)), 0, self.steps).astype(np.uint64)
+        for a, b in ((p, q), (q, p)):
+            ok = s > self.worst[a]
+            if ok.any():
+                self.held.append((a[ok].astype(np.uint64) << (np.uint64(64) - self.bits)) | code[ok] << self.bits | b[ok].astype(np.uint64))
+                self.n += len(self.held[-1])
         if self.n > _HELD:
-            self._trim()
-
-    def _trim(self) -> None:
-        v, u, s = (np.concatenate(c) for c in zip(*self.held))
-        v, u, s, _ = _best(v, u, s, np.zeros(len(v), dtype=bool), DEGREE)
-        self.held = [(v, u, s)]
-        # What a node found here is a bar for its next candidates, too.
-        begin = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]])) if len(v) else np.zeros(0, np.int64)
-        full = np.diff(np.append(begin, len(v))) == DEGREE
-        at = begin[full]
-        self.worst[v[at]] = np.maximum(self.worst[v[at]], s[at + DEGREE - 1])
-        self.n = 0
-
-    def result(self):
-        if self.rest is not None:
-            self._groups(self.rest, [0, len(self.rest[0])])
-        if not self.held:
-            return _packed(*(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.float32)))
-        self._trim()
-        v, u, s = self.held[0]
-        some = np.unique(v)
-        return _packed(self.bucket[some], self.ids[some], self.ids[v], self.ids[u], s)
-
-
-def build(nodes: DataFrame, n: int, size: int) -> DataFrame:
-    """The neighbour graph of ``(node, code)``."""
-    graph = cut_lineage(_start(nodes, n, size))
-    if n <= GROUP:
+            v, _, s = self._trim()
+            # What a node found here is a bar for its next candidates, too.
+            edges = _runs(v)
+            full = np.diff(edges) == DEGREE
+            self.worst[v[edges[:-1][full]]] = np.maximum(self.worst[v[edges[:-1][full]]], s[edges[1:][full] - 1])
+
+    def _trim(self):
+        """Keeps the best of each node, each once."""
+        key = np.concatenate(self.held)
+        key.sort()
+        once = np.ones(len(key), dtype=bool)
+        once[1:] = key[1:] != key[:-1]
+        key = key[once]
+        v = (key >> (np.uint64(64) - self.bits)).astype(np.int64)
+        edges = _runs(v)
+        key = key[np.arange(len(v)) - np.repeat(edges[:-1], np.diff(edges)) < DEGREE]
+        self.held, self.n = [key], 0
+        mask = (np.uint64(1) << self.bits) - np.uint64(1)
+        code = (key >> self.bits) & ((np.uint64(1) << (np.uint64(64) - np.uint64(2) * self.bits)) - np.uint64(1))
+        s = np.float32(1.001) - code.astype(np.float32) * (np.float32(2.002) / self.steps)
+        return (key >> (np.uint64(64) - self.bits)).astype(np.int64), (key & mask).astype(np.int64), s
+
+
+def build(codes: DataFrame, pivots: np.ndarray, z: _Sizes, size: int) -> DataFrame:
+    """The neighbour graph of the nodes, whose vectors are in packets by bucket."""
+    graph = cut_lineage(_start(codes, pivots, z, size))
+    if z.n <= GROUP:
         return graph                                    # one group: all pairs were compared
     for _ in range(ROUNDS):
-        graph = cut_lineage(_round(graph, nodes, n, size))
-        links, old = graph.agg(F.sum(F.size("old")), F.sum(F.size(F.filter("old", lambda x: x)))).first()
-        if links - old <= FEW * links:
+        graph = cut_lineage(_round(graph, codes, z, size))
+        links, new = graph.agg(F.sum(F.length("b") / 8), F.sum("src")).first()
+        if new <= FEW * links:
             break
     return graph
 
 
 # ---------------------------------------------------------------------- search
-def _around(graph: DataFrame, n: int) -> DataFrame:
-    """``(node, more)``: the neighbours that a search steps to, of either direction."""
-    flat = graph.select(F.col("node").alias("u"), F.inline(F.arrays_zip("nbr", "sim")))
-    # A hub's best only, cut down on every task.
-    near = F.row_number().over(Window.partitionBy("nbr").orderBy(F.col("sim").desc(), "u"))
-    back = flat.withColumn("r", near).where(F.col("r") <= 2 * DEGREE).groupBy("nbr").agg(F.collect_list("u").alias("u"), F.collect_list("sim").alias("sim"))
-    back = back.select(_bucket("nbr", n).alias("bucket"), F.array("nbr").alias("nodes"), F.array(F.size("u")).alias("links"), F.col("u").alias("nbr"), "sim")
-    both = _as_links(graph, n).unionByName(back).withColumn("was", F.lit(True))
-    return _merged(both, 2 * DEGREE).select("node", F.col("nbr").alias("more"))
-
-
-def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, n: int, nq: int, size: int, beam: int = BEAM) -> DataFrame:
+def _around(graph: DataFrame, z: _Sizes) -> DataFrame:
+    """The neighbours that a search steps to, of either direction, as a graph."""
+    bucket = z.bucket
+
+    def back(packets, out):
+        held, n_held = [], 0
+
+        def flush():
+            # A hub's best only, cut down on every task.
+            u, v, s = (np.concatenate(c) for c in zip(*held))
+            _emitted(out, bucket, 1, v[0] if len(v) else 0, *_best(v, u, s, np.zeros(len(v), dtype=bool), 2 * DEGREE)[:3])
+
+        for to, _, _, (a, b, c, *_) in packets:
+            links = _array(a, np.int32)
+            held.append((np.repeat(to * bucket + np.arange(len(links)), links), _array(b, np.int64), _array(c, np.float32)))
+            n_held += len(held[-1][0])
+            if n_held > _HELD:
+                flush()
+                held, n_held = [], 0
+                yield
+        if held:
+            flush()
+            yield
+
+    return _merged(graph.unionByName(_here(graph, back)), 2 * DEGREE, bucket)
+
+
+def search(graph: DataFrame, codes: DataFrame, queries: DataFrame, entries: np.ndarray, z: _Sizes, size: int, beam: int = BEAM) -> DataFrame:
     """``(q, ids)``: the nodes that a greedy search from each node ``q`` of
-    ``queries (q, code)`` finds, largest inner product first."""
-    around = cut_lineage(_around(graph, n))
-    # A bounded number of common entries.
-    entries = sorted({r[0] for by in (F.xxhash64("node"), F.col("log").desc())
-                      for r in nodes.select("node", "log").orderBy(by, "node").limit(ENTRIES).collect()})
-    state = queries.select("q", "code", F.array().cast("array<bigint>").alias("ids"), F.array().cast("array<float>").alias("sims"),
-                           F.array().cast("array<boolean>").alias("done"))
-    asked = state.select("q", F.concat(F.array("q"), F.lit(entries).cast("array<bigint>")).alias("more"))
-    parts = F.lit(max(1, -(-nq // QUERIES)))
+    ``queries`` (packets of nodes and their vectors) finds, largest inner product first."""
+    around = cut_lineage(_around(graph, z))
+    shelf_buckets = z.shelf // z.bucket
+    shelved = codes.withColumn("src", F.col("to")).withColumn("to", F.floor(F.col("to") / shelf_buckets))
+    state = queries
     while True:
-        state = cut_lineage(_expand(state, asked, nodes, parts, size, beam))
-        if not state.agg(F.sum(F.size("front"))).first()[0]:
-            return state.select("q", "ids")
-        asked = state.select("q", F.explode("front").alias("node")).join(around, "node").select("q", "more")
-        state = state.drop("front")
-
-
-def _expand(state: DataFrame, asked: DataFrame, nodes: DataFrame, parts, size: int, beam: int) -> DataFrame:
-    """Scores the asked nodes and keeps the best ``beam`` of each query; the first
-    ``STEP`` of them not yet expanded are its next ``front``."""
-    deal = F.pmod(F.xxhash64("q"), parts).alias("part")
-    asked = asked.select(deal, "q", "more")
-    vectors = asked.select("part", F.explode("more").alias("node")).distinct().join(nodes.select("node", "code"), "node")
-
-    def side(df, kind, turn, **columns):
-        none = {"q": F.lit(0).cast("bigint"), "node": F.lit(0).cast("bigint"), "code": F.lit(None).cast("binary"), "ids": F.lit(None).cast("array<bigint>"),
-                "sims": F.lit(None).cast("array<float>"), "done": F.lit(None).cast("array<boolean>"), "more": F.lit(None).cast("array<bigint>")}
-        return df.select("part" if "part" in df.columns else deal, F.lit(kind).alias("kind"), F.lit(turn).alias("turn"),
-                         *[(F.col(c) if c in df.columns else e).alias(c) for c, e in none.items()])
-
-    sides = side(vectors, 0, 0).unionByName(side(state, 1, 0)).unionByName(side(asked, 1, 1))
-    dealt = sides.repartition("part").sortWithinPartitions("part", "kind", "q", "turn")
-
-    def run(frames):
-        import pandas as pd
-
-        for part in _parts(frames):
-            table, beams = [], None
-            for kind, pdf in part:
-                if kind == 0:
-                    table.append(pdf)
-                    continue
-                if beams is None:
-                    beams = _Beams(pd.concat(table) if table else None, size, beam)
-                beams.take(pdf)
-            if beams is not None:
-                yield beams.result()
-
-    return dealt.mapInPandas(run, "q bigint, code binary, ids array<bigint>, sims array<float>, done array<boolean>, front array<bigint>")
-
-
-class _Beams:
-    """The queries of one part and the vectors that they ask for."""
-
-    def __init__(self, pdf, size: int, beam: int):
-        self.size, self.beam, self.out, self.now, self.asked = size, beam, [], None, []
-        self.nodes, self.x = np.zeros(0, np.int64), np.zeros((0, size + 1), np.float32)
-        if pdf is not None:
-            order = np.argsort(pdf["node"].to_numpy(), kind="stable")
-            self.nodes = pdf["node"].to_numpy()[order]
-            self.x = _floats(pdf["code"].tolist(), size)[order]
-
-    def take(self, pdf) -> None:
-        for row in pdf[["q", "turn", "code", "ids", "sims", "done", "more"]].itertuples(index=False):
-            if row.turn == 0:
-                self._end()
-                self.now = row
-            else:
-                self.asked.append(row.more)
-
-    def _end(self) -> None:
-        r = self.now
-        if r is None:
-            return
-        more = np.setdiff1d(np.concatenate(self.asked), r.ids) if self.asked else np.zeros(0, np.int64)
-        # Without the additional component this is the inner product, scaled.
-        got = self.x[np.searchsorted(self.nodes, more), :-1] @ _floats([r.code], self.size)[0, :-1]
-        ids, sims = np.concatenate([r.ids, more]).astype(np.int64), np.concatenate([r.sims, got]).astype(np.float32)
-        done = np.concatenate([r.done, np.zeros(len(more), dtype=bool)]).astype(bool)
-        best = np.lexsort((ids, -sims))[:self.beam]
-        ids, sims, done = ids[best], sims[best], done[best]
-        front = np.flatnonzero(~done)[:STEP]
-        done[front] = True
-        self.out.append((r.q, r.code, ids, sims, done, ids[front]))
-        self.now, self.asked = None, []
-
-    def result(self):
-        import pandas as pd
+        state = cut_lineage(_expand(state, around, shelved, entries, z, size, beam))
+        if not state.agg(F.sum("src")).first()[0]:
+            break
 
-        self._end()
-        return pd.DataFrame(self.out, columns=["q", "code", "ids", "sims", "done", "front"])
+    def found(batches):
+        for _, _, _, (a, _, c, d, *_) in _packets(batches):
+            q, ids = _array(a, np.int64), _array(d, np.int64)
+            ends = np.concatenate([[0], np.cumsum(_array(c, np.int32))]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(q), pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))], names=["q", "ids"])
+
+    return state.mapInArrow(found, "q bigint, ids array<bigint>")
+
+
+class _State:
+    """The beams of one part of the queries: nodes, vectors, and for each query how
+    many nodes it holds, these, their inner products, and how far each is (0: found,
+    1: to be expanded now, 2: expanded)."""
+
+    def __init__(self, fields, size: int):
+        a, b, c, d, e, f = fields
+        self.q, self.codes = _array(a, np.int64), _halved(b, size)
+        self.links = _array(c, np.int32)
+        self.ids, self.sims, self.done = _array(d, np.int64), _array(e, np.float32), _array(f, np.uint8)
+        self.first = not len(self.ids)
+        if self.first:
+            self.links = np.zeros(len(self.q), np.int32)
+        self.of = np.repeat(np.arange(len(self.q)), self.links)
+
+
+def _expand(state: DataFrame, around: DataFrame, shelved: DataFrame, entries: np.ndarray, z: _Sizes, size: int, beam: int) -> DataFrame:
+    """Scores the neighbours of the nodes to be expanded and keeps the best ``beam`` of
+    each query; the first ``STEP`` of them not yet expanded are its next.  Vectors of
+    queries go to the shelves of the nodes that they ask for, and inner products come back."""
+    bucket, shelf = z.bucket, z.shelf
+
+    def fronts(packets, out):
+        for part, _, _, fields in packets:
+            s = _State(fields, size)
+            now = s.done == 1
+            of, ids = s.of[now], s.ids[now]
+            out.deal(ids // bucket, 1, part, of.astype(np.int32), ids)
+            yield
+
+    def step_to(to, packets, out):
+        for kind, src, (a, b, *_) in packets:
+            if kind == 0:
+                links, nbr = _array(a, np.int32).astype(np.int64), _array(b, np.int64)
+                begin = np.cumsum(links) - links
+            else:
+                of, at = _array(a, np.int32), _array(b, np.int64) - to * bucket
+                out.put(src, 1, to, np.repeat(of, links[at]), nbr[gather_runs(begin[at], links[at])])
+                yield
+
+    def ask(part, packets, out):
+        s, asked = None, []
+        for kind, _, fields in packets:
+            if kind == 0:
+                s = _State(fields, size)
+            else:
+                asked.append((_array(fields[0], np.int32), _array(fields[1], np.int64)))
+        of, ids = (np.concatenate(c) for c in zip(*asked)) if asked else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+        if s.first:
+            here = np.arange(len(s.q))
+            of, ids = np.concatenate([here, np.repeat(here, len(entries))]), np.concatenate([s.q, np.tile(entries, len(here))])
+        of, ids = _pairs_left(of, ids, s.of, s.ids)
+        # What does not beat the worst of a full beam need not come back.
+        bar, full = np.full(len(s.q), -np.inf, np.float32), s.links == beam
+        bar[full] = s.sims[np.cumsum(s.links)[full] - 1]
+        for to, of, ids in _grouped(ids // shelf, of, ids):
+            some, at = np.unique(of, return_inverse=True)
+            out.put(to, 1, part, some.astype(np.int32), s.codes[some], bar[some], at.astype(np.int32), ids)
+        return ()
+
+    def score(to, packets, out):
+        table = []
+        for kind, src, (a, b, c, d, e, _) in packets:
+            if kind == 0:
+                table.append(_halved(a, size)[:, :-1].astype(np.float32))
+                continue
+            if len(table) > 1:
+                table = [np.concatenate(table)]
+            # Without the additional component this is the inner product, scaled.
+            some, y, bar = _array(a, np.int32), _halved(b, size)[:, :-1].astype(np.float32), _array(c, np.float32)
+            at, ids = _array(d, np.int32), _array(e, np.int64)
+            sims = np.concatenate([np.einsum("ij,ij->i", table[0][ids[i:i + 4096] - to * shelf], y[at[i:i + 4096]]) for i in range(0, len(ids), 4096)])
+            good = sims > bar[at]
+            out.put(src, 1, to, some[at[good]], ids[good], sims[good])
+            yield
+
+    def keep(part, packets, out):
+        s, got = None, []
+        for kind, _, fields in packets:
+            if kind == 0:
+                s = _State(fields, size)
+            else:
+                got.append(tuple(_array(x, t) for x, t in zip(fields, (np.int32, np.int64, np.float32))))
+        of, ids, sims = (np.concatenate(c) for c in zip((s.of, s.ids, s.sims), *got))
+        done = np.concatenate([np.where(s.done == 1, 2, s.done), np.zeros(len(ids) - len(s.ids))]).astype(np.uint8)
+        order = np.lexsort((ids, -sims, of))
+        edges = _runs(of[order])
+        order = order[np.arange(len(order)) - np.repeat(edges[:-1], np.diff(edges)) < beam]
+        of, ids, sims, done = of[order], ids[order], sims[order], done[order]
+        # The first ones left are next.
+        left = np.flatnonzero(done == 0)
+        edges = _runs(of[left])
+        now = left[np.arange(len(left)) - np.repeat(edges[:-1], np.diff(edges)) < STEP]
+        done[now] = 1
+        out.put(part, 0, len(now), s.q, s.codes, np.bincount(of, minlength=len(s.q)).astype(np.int32), ids, sims.astype(np.float32), done)
+        return ()
+
+    steps = _sent(around.unionByName(_here(state, fronts)), step_to)
+    asks = _sent(state.unionByName(steps), ask)
+    scores = _sent(shelved.unionByName(asks), score)
+    return _sent(state.unionByName(scores), keep)
+
+
+def _pairs_left(of, ids, had_of, had_ids):
+    """The different pairs that were not there before, in order."""
+    nodes, at = np.unique(np.concatenate([ids, had_ids]), return_inverse=True)
+    wide = len(nodes) + 1
+    key = np.unique(of.astype(np.int64) * wide + at[:len(ids)])
+    had = np.sort(had_of.astype(np.int64) * wide + at[len(ids):])
+    if len(had):
+        key = key[had[np.minimum(np.searchsorted(had, key), len(had) - 1)] != key]
+    return key // wide, nodes[key % wide]
+
+
+def _numbered(nodes: DataFrame) -> DataFrame:
+    """Nodes numbered without gaps; their numbers are unique and increase by one in
+    each partition."""
+    part = F.shiftright("node", 33)
+    counts = dict(tuple(r) for r in nodes.groupBy(part).count().collect())
+    first, total = [], 0
+    for p in range(max(counts, default=-1) + 1):
+        first.append(total)
+        total += counts.get(p, 0)
+    at = F.get(F.lit(first).cast("array<bigint>"), part.cast("int"))
+    return nodes.withColumn("node", at + F.col("node").bitwiseAND(F.lit((1 << 33) - 1).cast("bigint")))
+
+
+def _pivots(nodes: DataFrame, z: _Sizes, size: int) -> np.ndarray:
+    """For each turn of the start the vectors of some nodes, at most ``PIVOTS``."""
+    turns = STARTS if z.n > GROUP else 1
+    each = max(1, min(PIVOTS, 2 * z.n // GROUP)) if turns > 1 else 1
+    rows = nodes.select("code", F.xxhash64("node").alias("h"), "node").orderBy("h", "node").limit(turns * each).collect()
+    x = np.frombuffer(b"".join(r["code"] for r in rows), "<f2").reshape(-1, size + 1)
+    return x[np.arange(turns * each) % len(x)].reshape(turns, each, size + 1).astype(np.float32)
 
 
 def nearest(df: DataFrame, queries: str, k: int = 20, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -481,12 +856,19 @@ def nearest(df: DataFrame, queries: str, k: int = 20, key: str = "vec_id", vecto
                 code = unit_codes(x, batch.column("log").to_numpy(), longest)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([c.tobytes() for c in code], pa.binary())], names=[*batch.schema.names, "code"])
 
-    nodes = cut_lineage(coded.mapInArrow(run, f"node bigint, vec binary, ids array<{kind}>, log double, code binary"))
+    nodes = _numbered(cut_lineage(coded.mapInArrow(run, f"node bigint, vec binary, ids array<{kind}>, log double, code binary")))
     asking = cut_lineage(rows.where("asked").select("vec", F.col("id").alias("query_id")).join(nodes.select("vec", "node", "code"), "vec")
                          .select("query_id", F.col("node").alias("q"), "code"))
     points = cut_lineage(asking.groupBy("q").agg(F.first("code").alias("code")))
-    n, nq = nodes.count(), points.count()
-    found = search(build(nodes.select("node", "code"), n, size), nodes, points, n, nq, size, max(BEAM, 2 * (k + 1)))
+    z, nq = _Sizes(nodes.count()), points.count()
+    parts = max(1, -(-nq // QUERIES), min(TASKS, nq // 64))
+    codes = cut_lineage(_packed(nodes.select(F.floor(F.col("node") / z.bucket).alias("to"), "node", "code"), named=False))
+    asked = cut_lineage(_packed(points.select(F.pmod(F.xxhash64("q"), F.lit(parts)).alias("to"), F.col("q").alias("node"), "code")))
+    # A bounded number of common entries.
+    entries = sorted({r[0] for by in (F.xxhash64("node"), F.col("log").desc())
+                      for r in nodes.select("node", "log").orderBy(by, "node").limit(ENTRIES).collect()})
+    graph = build(codes, _pivots(nodes, z, size), z, size)
+    found = search(graph, codes, asked, np.array(entries, dtype=np.int64), z, size, max(BEAM, 2 * (k + 1)))
     return _answers(found, nodes, asking, k, number, size, key, kind)
 
 

@@ -91,3 +91,20 @@ def test_hubs_are_dealt_into_slots(spark, monkeypatch):
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
     got = neighbour_graph.nearest(df, "vec_id % 30 = 0").collect()
     assert recall(got, brute(np.arange(1200), x, np.arange(0, 1200, 30))) >= 0.95
+
+
+def test_no_row_per_link_goes_to_python(spark, monkeypatch):
+    monkeypatch.setattr(neighbour_graph, "BUCKET", 64)
+    monkeypatch.setattr(neighbour_graph, "CENTRES", 512)
+    monkeypatch.setattr(neighbour_graph, "GROUP", 512)
+    n = 2000
+    x = np.random.default_rng(5).standard_normal((n, 16))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    steps = []
+    for name in ("mapInArrow", "mapInPandas"):
+        real = getattr(type(df), name)
+        monkeypatch.setattr(type(df), name, lambda self, *a, real=real, **k: steps.append(self) or real(self, *a, **k))
+    got = neighbour_graph.nearest(df, "vec_id % 200 = 0").collect()
+    assert recall(got, brute(np.arange(n), x, np.arange(0, n, 200))) >= 0.95
+    # Each of them would have tens of links a node.
+    assert max(step.count() for step in steps) <= 2 * n
