@@ -35,6 +35,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from eventide.llm.blocks import gather_runs
@@ -44,7 +45,7 @@ from eventide.session import cut_lineage
 #: Neighbours of a node.
 DEGREE = 48
 #: Best nodes that a search expands, and how many of them at once.
-BEAM, STEP = 96, 32
+BEAM, STEP = 288, 144
 #: Groupings at the start, nodes of a group, and pivots of a grouping at most.
 STARTS, GROUP, PIVOTS = 8, 4096, 1024
 #: Rounds at most, and the share of new links at which they end.
@@ -52,7 +53,7 @@ ROUNDS, FEW = 8, 0.05
 #: Nodes of a shelf, backward neighbours of a slot, queries of a part, nodes of a
 #: bucket.  A shelf needs at most 97 vectors a centre (in half precision 300 MB for 64
 #: components); larger shelves need fewer copies of each.
-CENTRES, CROWD, QUERIES, BUCKET = 24_576, 1024, 512, 1024
+CENTRES, CROWD, QUERIES, BUCKET = 24_576, 1024, 256, 1024
 #: Nodes at which every search begins besides its own: so many of least hash and as
 #: many of the longest.
 ENTRIES = 16
@@ -69,8 +70,29 @@ def _rows(df: DataFrame, queries: str, key: str, vector: str) -> tuple[DataFrame
     the number type of ``vec``; ``log`` is the logarithm of the length."""
     number = "<f4" if dict(df.dtypes)[vector] == "array<float>" else "<f8"
 
+    def whole(batch):
+        """The same for rows of one size without nulls, all at once; None for others."""
+        column = batch.column("v")
+        flat, sizes = column.flatten(), np.diff(column.offsets.to_numpy())
+        if not len(sizes) or not sizes[0] or flat.null_count or (sizes != sizes[0]).any():
+            return None
+        x = flat.to_numpy().astype(number).reshape(len(sizes), -1)
+        ok = np.isfinite(x).all(axis=1) & x.any(axis=1)
+        x[~ok] = 1.0
+        most = np.abs(x).max(axis=1).astype(np.float64)
+        logs = np.log(most) + np.log(np.linalg.norm(x.astype(np.float64) / most[:, None], axis=1))
+        data = (x + 0.0).astype(number).tobytes()                                          # -0.0 is 0.0
+        ends = np.arange(len(x) + 1, dtype=np.int32) * (len(data) // len(x))
+        vecs = pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data)])
+        return pc.if_else(pa.array(ok), vecs, pa.scalar(None, pa.binary())), sizes, logs
+
     def run(batches):
         for batch in batches:
+            if (found := whole(batch)) is not None:
+                vecs, sizes, logs = found
+                yield pa.RecordBatch.from_arrays([batch.column("id"), vecs, pa.array(sizes, pa.int32()), pa.array(logs), batch.column("asked")],
+                                                 names=["id", "vec", "size", "log", "asked"])
+                continue
             vecs, logs, sizes = [], [], []
             for v in batch.column("v").to_pylist():
                 x = np.asarray(v, dtype=number) if v is not None and None not in v else np.zeros(0)
@@ -115,6 +137,13 @@ _PACKET = "to bigint, kind int, src bigint, " + ", ".join(f"{c} binary" for c in
 _ARROW = pa.schema([("to", pa.int64()), ("kind", pa.int32()), ("src", pa.int64()), *((c, pa.binary()) for c in _FIELDS)])
 
 
+def _order(by: np.ndarray) -> np.ndarray:
+    """What sorts whole numbers, equal ones in order; few of them by their digits."""
+    if len(by) and (low := by.min()) > by.max() - 65_536:
+        by = (by - low).astype(np.uint16)
+    return np.argsort(by, kind="stable")
+
+
 def _array(value, dtype) -> np.ndarray:
     buf = value.as_buffer() if value is not None else None
     return np.frombuffer(buf, dtype=dtype) if buf is not None and buf.size else np.zeros(0, dtype)
@@ -133,7 +162,7 @@ class _Out:
 
     def deal(self, to, kind, src, *arrays) -> None:
         """One packet for each different ``to``, with its elements of the arrays in order."""
-        order = np.argsort(to, kind="stable")
+        order = _order(to)
         ends = to[order]
         edges = np.flatnonzero(np.concatenate([[True], ends[1:] != ends[:-1], [True]])) if len(ends) else [0]
         arrays = [x[order] for x in arrays]
@@ -168,10 +197,15 @@ def _each(step):
     return run
 
 
-def _sent(packets: DataFrame, step) -> DataFrame:
+def _arrived(packets: DataFrame, places: int) -> DataFrame:
+    """The packets in order where they arrive, for so many different ``to``: where
+    these are few, so are the tasks."""
+    return dealt(packets, ["to"]).coalesce(2 * places).sortWithinPartitions("to", "kind", "src")
+
+
+def _sent(packets: DataFrame, step, places: int) -> DataFrame:
     """``step`` where the packets arrive."""
-    at = dealt(packets, ["to"]).sortWithinPartitions("to", "kind", "src")
-    return at.mapInArrow(_each(step), _PACKET)
+    return _arrived(packets, places).mapInArrow(_each(step), _PACKET)
 
 
 def _here(packets: DataFrame, step) -> DataFrame:
@@ -205,12 +239,14 @@ def _best(v, u, s, old, k: int):
     return v[keep], u[keep], s[keep], old[keep]
 
 
-def _merged(links: DataFrame, k: int, size: int) -> DataFrame:
+def _merged(links: DataFrame, k: int, z: _Sizes) -> DataFrame:
     """The graph of the ``k`` best links of each node: a packet per bucket with the
     number of links of each of its nodes, the neighbours, best first, their inner
     products, and which links are old; ``src`` counts the new ones.  Packets of links
     hold nodes, neighbours and inner products; those of kind 0 are a graph, whose
     links are old."""
+    size = z.bucket
+
     def step(to, packets, out):
         parts = []
         for kind, _, (a, b, c, *_) in packets:
@@ -221,7 +257,7 @@ def _merged(links: DataFrame, k: int, size: int) -> DataFrame:
         links = np.bincount(v - to * size, minlength=size).astype(np.int32)
         out.put(to, 0, len(old) - np.count_nonzero(old), links, u, s, old)
 
-    return _sent(links, step)
+    return _sent(links, step, z.buckets)
 
 
 def _emitted(out: _Out, size: int, kind: int, src: int, v, u, s) -> None:
@@ -229,8 +265,8 @@ def _emitted(out: _Out, size: int, kind: int, src: int, v, u, s) -> None:
     out.deal(v // size, kind, src, v, u, s)
 
 
-def _packed(rows: DataFrame, named: bool = True) -> DataFrame:
-    """A packet for each ``to`` of ``(to, node, code)``: its nodes, in order (if
+def _packed(rows: DataFrame, places: int, named: bool = True) -> DataFrame:
+    """A packet for each of the ``places`` ``to`` of ``(to, node, code)``: its nodes, in order (if
     ``named``), and their vectors."""
     def run(batches):
         held, now, out = [], None, _Out()
@@ -254,7 +290,7 @@ def _packed(rows: DataFrame, named: bool = True) -> DataFrame:
             put()
         yield from out.full(0)
 
-    return dealt(rows.select("to", "node", "code"), ["to"]).sortWithinPartitions("to", "node").mapInArrow(run, _PACKET)
+    return dealt(rows.select("to", "node", "code"), ["to"]).coalesce(2 * places).sortWithinPartitions("to", "node").mapInArrow(run, _PACKET)
 
 
 class _Sizes:
@@ -338,10 +374,10 @@ def _start(codes: DataFrame, pivots: np.ndarray, z: _Sizes, size: int) -> DataFr
             _emitted(out, bucket, 1, 0, *(np.concatenate(c) for c in zip(*held)))
         yield from out.full(0)
 
-    groups = dealt(_here(codes, deal), ["to"]).sortWithinPartitions("to", "kind", "src").mapInArrow(join, _PACKET)
+    groups = _arrived(_here(codes, deal), int(first[-1])).mapInArrow(join, _PACKET)
     # Every bucket has a row of its own, also where its nodes have no links.
     none = codes.select("to", F.lit(1).alias("kind"), F.lit(-1).cast("bigint").alias("src"), *[F.lit(None).cast("binary").alias(c) for c in _FIELDS])
-    return _merged(groups.unionByName(none), DEGREE, bucket)
+    return _merged(groups.unionByName(none), DEGREE, z)
 
 
 def _mixed(ids: np.ndarray, salt) -> np.ndarray:
@@ -400,7 +436,7 @@ def _round(graph: DataFrame, codes: DataFrame, z: _Sizes, size: int) -> DataFram
         rows = rows.mapInArrow(_hub_packets, _PACKET)
         mine = graph.withColumn("f", F.lit(None).cast("binary")).withColumn("kind", F.lit(1)).withColumn("src", F.col("to"))
         mine = mine.withColumn("to", F.floor(F.col("to") / shelf_buckets))
-        at = dealt(rows.unionByName(mine), ["to"]).sortWithinPartitions("to", "kind", "src")
+        at = _arrived(rows.unionByName(mine), shelves)
     has_hubs = at is not graph
 
     def links_of(packets):
@@ -512,14 +548,14 @@ def _round(graph: DataFrame, codes: DataFrame, z: _Sizes, size: int) -> DataFram
             yield
 
     wanted = codes.unionByName(_here(at, send_asks))
-    replies = _sent(wanted, reply)
-    found = _sent(replies.unionByName(_here(at, send_pairs)), join)
-    return _merged(graph.unionByName(found), DEGREE, bucket)
+    replies = _sent(wanted, reply, z.buckets)
+    found = _sent(replies.unionByName(_here(at, send_pairs)), join, shelves)
+    return _merged(graph.unionByName(found), DEGREE, z)
 
 
 def _grouped(by, *arrays):
     """``(value, *elements)`` for each different value of ``by``."""
-    order = np.argsort(by, kind="stable")
+    order = _order(by)
     by, arrays = by[order], [x[order] for x in arrays]
     edges = _runs(by)
     for a, b in zip(edges, edges[1:]):
@@ -674,18 +710,18 @@ def _around(graph: DataFrame, z: _Sizes) -> DataFrame:
             flush()
             yield
 
-    return _merged(graph.unionByName(_here(graph, back)), 2 * DEGREE, bucket)
+    return _merged(graph.unionByName(_here(graph, back)), 2 * DEGREE, z)
 
 
-def search(graph: DataFrame, codes: DataFrame, queries: DataFrame, entries: np.ndarray, z: _Sizes, size: int, beam: int = BEAM) -> DataFrame:
+def search(graph: DataFrame, codes: DataFrame, queries: DataFrame, parts: int, entries: np.ndarray, z: _Sizes, size: int, beam: int = BEAM) -> DataFrame:
     """``(q, ids)``: the nodes that a greedy search from each node ``q`` of
-    ``queries`` (packets of nodes and their vectors) finds, largest inner product first."""
+    ``queries`` (nodes and their vectors, in packets for ``parts`` parts) finds, largest inner product first."""
     around = cut_lineage(_around(graph, z))
     shelf_buckets = z.shelf // z.bucket
     shelved = codes.withColumn("src", F.col("to")).withColumn("to", F.floor(F.col("to") / shelf_buckets))
-    state = queries
+    state, first = queries, True
     while True:
-        state = cut_lineage(_expand(state, around, shelved, entries, z, size, beam))
+        state, first = cut_lineage(_expand(state, parts, around, shelved, entries if first else entries[:0], z, size, beam)), False
         if not state.agg(F.sum("src")).first()[0]:
             break
 
@@ -708,14 +744,15 @@ class _State:
         self.q, self.codes = _array(a, np.int64), _halved(b, size)
         self.links = _array(c, np.int32)
         self.ids, self.sims, self.done = _array(d, np.int64), _array(e, np.float32), _array(f, np.uint8)
-        self.first = not len(self.ids)
-        if self.first:
-            self.links = np.zeros(len(self.q), np.int32)
+        if f is None:                                      # before the first step: the query itself, to be expanded
+            x = self.codes[:, :-1].astype(np.float32)
+            self.links, self.ids = np.ones(len(self.q), np.int32), self.q
+            self.sims, self.done = np.einsum("ij,ij->i", x, x), np.ones(len(self.q), np.uint8)
         self.of = np.repeat(np.arange(len(self.q)), self.links)
 
 
-def _expand(state: DataFrame, around: DataFrame, shelved: DataFrame, entries: np.ndarray, z: _Sizes, size: int, beam: int) -> DataFrame:
-    """Scores the neighbours of the nodes to be expanded and keeps the best ``beam`` of
+def _expand(state: DataFrame, parts: int, around: DataFrame, shelved: DataFrame, entries: np.ndarray, z: _Sizes, size: int, beam: int) -> DataFrame:
+    """Scores the neighbours of the nodes to be expanded (and the entries) and keeps the best ``beam`` of
     each query; the first ``STEP`` of them not yet expanded are its next.  Vectors of
     queries go to the shelves of the nodes that they ask for, and inner products come back."""
     bucket, shelf = z.bucket, z.shelf
@@ -746,16 +783,16 @@ def _expand(state: DataFrame, around: DataFrame, shelved: DataFrame, entries: np
             else:
                 asked.append((_array(fields[0], np.int32), _array(fields[1], np.int64)))
         of, ids = (np.concatenate(c) for c in zip(*asked)) if asked else (np.zeros(0, np.int32), np.zeros(0, np.int64))
-        if s.first:
-            here = np.arange(len(s.q))
-            of, ids = np.concatenate([here, np.repeat(here, len(entries))]), np.concatenate([s.q, np.tile(entries, len(here))])
+        if len(entries):
+            of, ids = np.concatenate([of, np.repeat(np.arange(len(s.q)), len(entries))]), np.concatenate([ids, np.tile(entries, len(s.q))])
         of, ids = _pairs_left(of, ids, s.of, s.ids)
         # What does not beat the worst of a full beam need not come back.
         bar, full = np.full(len(s.q), -np.inf, np.float32), s.links == beam
         bar[full] = s.sims[np.cumsum(s.links)[full] - 1]
         for to, of, ids in _grouped(ids // shelf, of, ids):
-            some, at = np.unique(of, return_inverse=True)
-            out.put(to, 1, part, some.astype(np.int32), s.codes[some], bar[some], at.astype(np.int32), ids)
+            edges = _runs(of)
+            some, at = of[edges[:-1]], np.repeat(np.arange(len(edges) - 1, dtype=np.int32), np.diff(edges))
+            out.put(to, 1, part, some.astype(np.int32), s.codes[some], bar[some], at, ids)
         return ()
 
     def score(to, packets, out):
@@ -795,21 +832,21 @@ def _expand(state: DataFrame, around: DataFrame, shelved: DataFrame, entries: np
         out.put(part, 0, len(now), s.q, s.codes, np.bincount(of, minlength=len(s.q)).astype(np.int32), ids, sims.astype(np.float32), done)
         return ()
 
-    steps = _sent(around.unionByName(_here(state, fronts)), step_to)
-    asks = _sent(state.unionByName(steps), ask)
-    scores = _sent(shelved.unionByName(asks), score)
-    return _sent(state.unionByName(scores), keep)
+    steps = _sent(around.unionByName(_here(state, fronts)), step_to, z.buckets)
+    asks = _sent(state.unionByName(steps), ask, parts)
+    scores = _sent(shelved.unionByName(asks), score, z.shelves)
+    return _sent(state.unionByName(scores), keep, parts)
 
 
 def _pairs_left(of, ids, had_of, had_ids):
     """The different pairs that were not there before, in order."""
-    nodes, at = np.unique(np.concatenate([ids, had_ids]), return_inverse=True)
-    wide = len(nodes) + 1
-    key = np.unique(of.astype(np.int64) * wide + at[:len(ids)])
-    had = np.sort(had_of.astype(np.int64) * wide + at[len(ids):])
+    key, had = (a.astype(np.int64) << 44 | b for a, b in ((of, ids), (had_of, had_ids)))
+    key.sort()
+    key = key[_runs(key)[:-1]]
     if len(had):
+        had.sort()
         key = key[had[np.minimum(np.searchsorted(had, key), len(had) - 1)] != key]
-    return key // wide, nodes[key % wide]
+    return key >> 44, key & ((1 << 44) - 1)
 
 
 def _numbered(nodes: DataFrame) -> DataFrame:
@@ -862,13 +899,13 @@ def nearest(df: DataFrame, queries: str, k: int = 20, key: str = "vec_id", vecto
     points = cut_lineage(asking.groupBy("q").agg(F.first("code").alias("code")))
     z, nq = _Sizes(nodes.count()), points.count()
     parts = max(1, -(-nq // QUERIES), min(TASKS, nq // 64))
-    codes = cut_lineage(_packed(nodes.select(F.floor(F.col("node") / z.bucket).alias("to"), "node", "code"), named=False))
-    asked = cut_lineage(_packed(points.select(F.pmod(F.xxhash64("q"), F.lit(parts)).alias("to"), F.col("q").alias("node"), "code")))
+    codes = cut_lineage(_packed(nodes.select(F.floor(F.col("node") / z.bucket).alias("to"), "node", "code"), z.buckets, named=False))
+    asked = cut_lineage(_packed(points.select(F.pmod(F.xxhash64("q"), F.lit(parts)).alias("to"), F.col("q").alias("node"), "code"), parts))
     # A bounded number of common entries.
     entries = sorted({r[0] for by in (F.xxhash64("node"), F.col("log").desc())
                       for r in nodes.select("node", "log").orderBy(by, "node").limit(ENTRIES).collect()})
     graph = build(codes, _pivots(nodes, z, size), z, size)
-    found = search(graph, codes, asked, np.array(entries, dtype=np.int64), z, size, max(BEAM, 2 * (k + 1)))
+    found = search(graph, codes, asked, parts, np.array(entries, dtype=np.int64), z, size, max(BEAM, 2 * (k + 1)))
     return _answers(found, nodes, asking, k, number, size, key, kind)
 
 
